@@ -72,11 +72,16 @@ def is_common_stock(name: Column) -> Column:
     return (text == "") | (market_from_name(name).isNull() & ~marked)
 
 
+def prefer_standard(old: Column, fresh: Column) -> Column:
+    """Of two standard markets: ETF/ETN from either side wins, then the old one, then the fresh one."""
+    etp = lambda col: F.when(col.isin(*ETP_MARKETS), col)
+    return F.coalesce(etp(old), etp(fresh), old, fresh)
+
+
 def prefer_market(existing: Column, new: Column) -> Column:
-    """ETF/ETN wins from either side, then the existing market, then the new one."""
+    """As :func:`prefer_standard` for markets in any spelling."""
     blank = F.lit("")
-    old, fresh = listing_market(existing, blank), listing_market(new, blank)
-    return F.when(old.isin(*ETP_MARKETS), old).when(fresh.isin(*ETP_MARKETS), fresh).otherwise(F.coalesce(old, fresh))
+    return prefer_standard(listing_market(existing, blank), listing_market(new, blank))
 
 
 def source_priority(source: Column) -> Column:

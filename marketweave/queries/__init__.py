@@ -2,6 +2,8 @@
 
 from . import (  # noqa: F401
     joins_q,
+    macro_q,
+    rankings_q,
     scalars_q,
     windows_q,
 )
