@@ -3,8 +3,10 @@
 from . import (  # noqa: F401
     joins_q,
     macro_q,
+    normalize_q,
     rankings_q,
     scalars_q,
+    tables_q,
     windows_q,
 )
 from .registry import ORACLES, QUERIES

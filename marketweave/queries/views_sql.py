@@ -58,6 +58,9 @@ SELECT code AS symbol, base_date, max(unit * l_partkey) AS market_cap, max(l_par
 SELECT code AS symbol, base_date, max(disc_pct)::DOUBLE AS per, max(tax_pct)::DOUBLE AS pbr,
   CASE WHEN max(l_linenumber) <= 5 THEN min(tax_pct)::DOUBLE END AS roe, min(disc_pct)::DOUBLE AS debt_ratio,
   min(CASE WHEN l_linenumber <= 4 THEN 'KIS' ELSE 'KIS_DETAIL' END) AS source FROM lines GROUP BY 1, 2""",
+    "day_bars": """
+SELECT code AS symbol, base_date, max(cents // qty) AS p, sum(qty)::BIGINT AS vol, sum(cents)::BIGINT AS val, max(l_partkey) AS shares, min(tax_pct) AS tx, min(disc_pct) AS dc,
+  max(l_linenumber) AS ln FROM lines GROUP BY 1, 2""",
     "macro_series": """
 SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'KR_GOVT_10Y' WHEN '2-HIGH' THEN 'KR_GOVT_3Y' WHEN '3-MEDIUM' THEN 'KR_CORP_AA_3Y'
    WHEN '4-NOT SPECIFIED' THEN 'KR_CORP_BBB_3Y' WHEN '5-LOW' THEN 'USDKRW' END AS series_id, o_orderdate::DATE AS base_date,

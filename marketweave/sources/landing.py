@@ -178,6 +178,15 @@ class Landing:
             F.min(F.when(c("l_linenumber") <= 4, "KIS").otherwise("KIS_DETAIL")).alias("source"),
         )
 
+    @cached_property
+    def day_bars(self) -> DataFrame:
+        """One row of whole numbers per symbol and day, from which landed payloads are written."""
+        c = F.col
+        return self._lines.groupBy(c("code").alias("symbol"), "base_date").agg(
+            F.max(F.expr("cents div qty")).alias("p"), F.sum("qty").alias("vol"), F.sum("cents").alias("val"), F.max("l_partkey").alias("shares"),
+            F.min("tax_pct").alias("tx"), F.min("disc_pct").alias("dc"), F.max("l_linenumber").alias("ln"),
+        )
+
     @cached_property
     def macro_series(self) -> DataFrame:
         c = F.col
