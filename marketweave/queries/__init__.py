@@ -1,6 +1,7 @@
 """Every query of the package, with the SQL that checks it."""
 
 from . import (  # noqa: F401
+    audits_q,
     joins_q,
     macro_q,
     normalize_q,
