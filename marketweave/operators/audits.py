@@ -185,7 +185,7 @@ def missing_rankings(rankings: DataFrame, expected: list[tuple[str, str]]) -> Co
     """Comma list of the expected (market, type) pairs the latest date lacks."""
     have = jn.latest(rankings).agg(F.collect_set(F.concat_ws(":", "market", "rank_type")).alias("s")).scalar()
     wanted = F.array(*[F.lit(f"{m}:{t}") for m, t in expected])
-    return F.array_join(F.array_sort(F.array_except(wanted, have)), ",")
+    return F.array_join(F.sort_array(F.array_except(wanted, have)), ",")
 
 
 def market_master(master: DataFrame, kosdaq_minimum: int = 1000, etf_minimum: int = 100) -> DataFrame:

@@ -4,6 +4,7 @@ from . import (  # noqa: F401
     audits_q,
     joins_q,
     macro_q,
+    maintenance_q,
     normalize_q,
     rankings_q,
     scalars_q,
