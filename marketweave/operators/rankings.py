@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.markets import ETP_MARKETS, MASTER_MARKETS, STOCK_MARKETS
 from . import prices as px, windows as win
-from .aggregates import stack
 
 # Sizes of the daily rankings and their readiness thresholds.
 VOLUME_THRESHOLDS = {"KOSPI": 20, "KOSDAQ": 20, "ETF": 10, "ETN": 5}
@@ -87,18 +86,19 @@ def price_candidates(prices: DataFrame, master: DataFrame, start, end) -> DataFr
 def price_based(
     prices: DataFrame, master: DataFrame, global_date: DataFrame, target: date, limits: dict | None = None, lookback_days: int = 10
 ) -> DataFrame:
-    """Top rows per (market, rank_type) on the global price date, else on the market's newest date with candidates."""
+    """Top rows per (market, rank_type) on the global price date, else on the market's newest date with candidates.
+
+    Each date is cut to its top rows first, in one scan; the date is then chosen
+    among those few rows.
+    """
     rows = price_candidates(prices, master, target - timedelta(days=lookback_days), target)
-    usable = rows.groupBy("market", "rank_type").agg(
-        F.max(F.when(F.col("base_date") == global_date.scalar(), F.col("base_date"))).alias("global_day"), F.max("base_date").alias("newest_day")
-    )
-    # at most four markets by three types
-    chosen = F.broadcast(usable.select("market", "rank_type", F.coalesce("global_day", "newest_day").alias("base_date")))
-    picked = rows.join(chosen, ["market", "rank_type", "base_date"])
     order = [F.desc("metric_value"), F.coalesce("trading_value", F.lit(0)).desc(), F.col("symbol")]
-    ranked = win.rank_by(picked, ["market", "rank_type"], order, limits or RANKING_LIMITS)
+    ranked = win.rank_by(rows, ["market", "rank_type", "base_date"], order, limits or RANKING_LIMITS)
+    group = Window.partitionBy("market", "rank_type")
+    on_global = F.max(F.when(F.col("base_date") == global_date.scalar(), F.col("base_date"))).over(group)
+    picked = ranked.withColumn("day", F.coalesce(on_global, F.max("base_date").over(group))).where(F.col("base_date") == F.col("day")).drop("day")
     on_target = F.col("market").isin(*ETP_MARKETS) & (F.col("base_date") == F.lit(target))
-    return ranked.withColumns({
+    return picked.withColumns({
         "source_base_date": F.col("base_date"),
         "source": F.when(on_target, "KRX").otherwise("VALID_PRICE_FALLBACK"),
         "base_date": F.lit(target),
@@ -108,20 +108,49 @@ def price_based(
 _OUT = ("base_date", "market", "rank_type", "rank", "symbol", "name", "volume", "trading_value", "market_cap", "metric_value", "source", "source_base_date")
 
 
+def broker_rankings(classified: DataFrame, target: date, limits: dict, need: dict) -> DataFrame:
+    """Broker rows of the date ranked by volume, and for stock markets by value, in one scan.
+
+    Kept down to the larger of limit and density threshold.
+    """
+    today = classified.where(F.col("base_date") == F.lit(target))
+    by_value = F.when(F.col("market").isin(*STOCK_MARKETS), F.col("trading_value"))
+    kinds = F.array(*[F.struct(F.lit(t).alias("rank_type"), v.alias("metric_value"), o.alias("second")) for t, v, o in (
+        ("volume", F.col("volume"), F.col("trading_value")), ("trading_value", by_value, F.col("volume")))])
+    rows = today.select("base_date", "market", "symbol", "name", "volume", "trading_value", "market_cap", F.inline(kinds))
+    rows = rows.where((F.col("rank_type") == "volume") | F.col("metric_value").isNotNull())
+    depth = {m: max(limits[m], need[m]) for m in limits}
+    ranked = win.rank_by(rows, ["market", "rank_type"], _ordered("metric_value", "second"), depth)
+    return ranked.withColumns({"source": F.lit("KIS"), "source_base_date": F.lit(target)}).select(*_OUT)
+
+
+def _by_market(values: dict) -> Column:
+    out = F.lit(None).cast("int")
+    for market, value in values.items():
+        out = F.when(F.col("market") == market, value).otherwise(out)
+    return out
+
+
+def choose(broker: DataFrame, priced: DataFrame, limits: dict, need: dict) -> DataFrame:
+    """Broker or price rows per (market, type), from the few ranked rows of both.
+
+    Volume: stock markets keep broker rows; an ETF/ETN market below its threshold
+    takes price rows if it has any. Value: broker rows for stock markets, price rows
+    for ETF/ETN. Cap: price rows.
+    """
+    both = broker.withColumn("priced", F.lit(False)).unionByName(priced.select(*_OUT).withColumn("priced", F.lit(True)))
+    market, volume = Window.partitionBy("market"), F.col("rank_type") == "volume"
+    dense = F.coalesce(F.max(F.when(volume & ~F.col("priced"), F.col("rank"))).over(market) >= _by_market(need), F.lit(False))
+    has_price = F.max(volume & F.col("priced")).over(market)
+    stock = F.col("market").isin(*STOCK_MARKETS)
+    use_price = F.when(volume, ~stock & ~dense & has_price).when(F.col("rank_type") == "trading_value", ~stock).otherwise(F.lit(True))
+    return both.withColumn("use_price", use_price).where((F.col("priced") == F.col("use_price")) & (F.col("rank") <= _by_market(limits))).drop("priced", "use_price")
+
+
 def select_volume(classified: DataFrame, fallback: DataFrame, target: date, thresholds: dict | None = None, limits: dict | None = None) -> DataFrame:
     """Volume ranking per market: broker rows, replaced by price rows for a sparse ETF/ETN market that has any."""
-    need = thresholds or VOLUME_THRESHOLDS
-    today = classified.where(F.col("base_date") == F.lit(target))
-    broker = top_broker(today, "volume", limits).withColumns({"rank_type": F.lit("volume"), "source": F.lit("KIS"), "source_base_date": F.lit(target)})
-    priced = fallback.where((F.col("rank_type") == "volume") & F.col("market").isin(*ETP_MARKETS))
-    threshold = F.lit(None).cast("int")
-    for market in ETP_MARKETS:
-        threshold = F.when(F.col("market") == market, need[market]).otherwise(threshold)
-    dense = today.groupBy("market").agg(F.count(F.lit(1)).alias("n")).where(F.col("market").isin(*STOCK_MARKETS) | (F.col("n") >= threshold)).select("market")
-    has_price = priced.select("market").distinct()
-    replaced = has_price.join(dense, "market", "left_anti")
-    kept = broker.join(F.broadcast(replaced), "market", "left_anti")
-    return kept.select(*_OUT).unionByName(priced.join(F.broadcast(replaced), "market", "left_semi").select(*_OUT))
+    need, top = thresholds or VOLUME_THRESHOLDS, limits or RANKING_LIMITS
+    return choose(broker_rankings(classified, target, top, need), fallback, top, need).where(F.col("rank_type") == "volume")
 
 
 def market_ready(prices: DataFrame, master: DataFrame, target: date, thresholds: dict | None = None) -> DataFrame:
@@ -147,15 +176,13 @@ def build_daily(
     thresholds: dict | None = None, limits: dict | None = None, ready_thresholds: dict | None = None,
 ) -> DataFrame:
     """All rankings of a date: four markets by volume, value and capitalisation."""
-    classified = classify_volume(broker_rows, master)
-    priced = price_based(prices, master, global_date, target, limits)
-    volume = select_volume(classified, priced, target, thresholds, limits)
-    stock_value = top_broker(
-        classified.where((F.col("base_date") == F.lit(target)) & F.col("market").isin(*STOCK_MARKETS)), "trading_value", limits
-    ).withColumns({"rank_type": F.lit("trading_value"), "source": F.lit("KIS"), "source_base_date": F.lit(target)})
-    etp_value = priced.where((F.col("rank_type") == "trading_value") & F.col("market").isin(*ETP_MARKETS))
-    caps = market_cap_gate(priced, market_ready(prices, master, target, ready_thresholds), target)
-    rows = stack([df.select(*_OUT) for df in (volume, stock_value, etp_value, caps)])
+    need, top = thresholds or VOLUME_THRESHOLDS, limits or RANKING_LIMITS
+    broker = broker_rankings(classify_volume(broker_rows, master), target, top, need)
+    chosen = choose(broker, price_based(prices, master, global_date, target, top), top, need)
+    gate = F.broadcast(market_ready(prices, master, target, ready_thresholds).select("market", "ready"))  # two rows
+    stock_ok = F.coalesce("ready", F.lit(False)) & (F.col("source_base_date") == F.lit(target))
+    cap_ok = (F.col("rank_type") != "market_cap") | F.col("market").isin(*ETP_MARKETS) | stock_ok
+    rows = chosen.join(gate, "market", "left").where(cap_ok).select(*_OUT)
     payload = F.to_json(F.struct("source_base_date", F.col("base_date").alias("ranking_base_date"), F.col("market").alias("master_market")))
     return rows.withColumn("raw_data", payload)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 from datetime import date
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -79,12 +80,18 @@ def _split_ctes(text: str) -> tuple[str, str]:
     raise ValueError("no final SELECT")
 
 
+@lru_cache(maxsize=8)
+def landing(spark: SparkSession, folder: str) -> Landing:
+    """Queries on one folder share the lazy domain tables, so plans are not rebuilt per query."""
+    return Landing(spark, folder)
+
+
 def query(name: str, sql: str | None = None, dates: str = "", rounds: str = "", ints: str = ""):
     """Register ``fn(landing) -> DataFrame`` under ``name`` with its checking SQL."""
 
     def wrap(fn):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return present(fn(Landing(spark, folder)), rounds)
+            return present(fn(landing(spark, folder)), rounds)
 
         run.__name__ = name
         run.__doc__ = fn.__doc__
