@@ -13,13 +13,15 @@ def clean_text(col: Column) -> Column:
 
 
 def normalize_symbol(col: Column) -> Column:
-    """``Q530036`` -> ``530036``, ``5930`` -> ``005930``, null -> ``''``, other text unchanged."""
+    """``Q530036`` -> ``530036``, ``5930`` -> ``005930``, null -> ``''``, other text unchanged.
+
+    One chain of replacements: a CASE would repeat its input, and again in every
+    filter that is pushed below it.
+    """
     text = F.coalesce(clean_text(col), F.lit(""))
-    return (
-        F.when(text.rlike("^Q[0-9]{6}$"), F.substring(text, 2, 6))
-        .when(text.rlike("^[0-9]+$") & (F.length(text) < 6), F.lpad(text, 6, "0"))
-        .otherwise(text)
-    )
+    bare = F.regexp_replace(text, "^Q([0-9]{6})$", "$1")
+    marked = F.regexp_replace(bare, "^([0-9]{1,5})$", "#00000$1")
+    return F.regexp_replace(marked, "^#0*([0-9]{6})$", "$1")
 
 
 def is_q_symbol(col: Column) -> Column:

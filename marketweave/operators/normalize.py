@@ -203,7 +203,8 @@ def ratio_has_values() -> Column:
 def fred(df: DataFrame) -> DataFrame:
     """Observations of landed series documents; ``.`` means missing."""
     item = text_struct("date", "value")
-    rows = df.select("series_id", F.inline(F.from_json(F.get_json_object("raw_data", "$.observations"), T.ArrayType(item))))
+    document = T.StructType([T.StructField("observations", T.ArrayType(item))])
+    rows = df.select("series_id", F.inline_outer(F.from_json("raw_data", document)["observations"]))
     value = F.when(F.col("value") != ".", F.col("value")).try_cast("double")
     return rows.select("series_id", F.col("date").try_cast("date").alias("base_date"), value.alias("value")).where("value is not null and base_date is not null")
 

@@ -29,7 +29,9 @@ def payload_rows(df: DataFrame, fields: T.StructType, column: str = "raw_data")
     )
     many = T.ArrayType(fields)
     header = F.get(F.from_json("header_text", many), F.lit(0))
-    return texts.where(F.col("row_text").isNotNull()).select(*others, header.alias("header"), F.explode(F.from_json("row_text", many)).alias("row"))
+    # the outer form keeps Spark from testing the parsed list in a filter, which would parse it again
+    rows = texts.select(*others, header.alias("header"), F.explode_outer(F.from_json("row_text", many)).alias("row"))
+    return rows.where(F.col("row").isNotNull())
 
 
 def field(name: str, column: str = "raw_data", *aliases: str) -> Column:

@@ -25,6 +25,10 @@ def missing_keys(keys: list[str]) -> Column:
     return F.concat_ws(",", *[F.when(_blank(k), F.lit(k)) for k in keys])
 
 
+def complete_key(keys: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [~_blank(k) for k in keys])
+
+
 def reject_missing_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Adds ``reject_reason``: null for a complete key. One pass serves both sinks."""
     missing = missing_keys(keys)
@@ -36,7 +40,7 @@ def dedupe_last(df: DataFrame, keys: list[str], order: list[Column]) -> DataFram
 
     ``row_number() = 1`` keeps one row per key and map task before the shuffle.
     """
-    complete = df.where(missing_keys(keys) == "")
+    complete = df.where(complete_key(keys))
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return complete.withColumn("keep", rank).where(F.col("keep") == 1).drop("keep")
 
@@ -54,19 +58,30 @@ def prepare(table: str, df: DataFrame, order: list[Column]) -> DataFrame:
     if "symbol" in df.columns:
         df = df.withColumn("symbol", normalize_symbol(F.col("symbol")))
     if table == "normalized_stock_prices_daily":
-        df = df.where(px.block_reason().isNull())
+        df = df.where(px.complete_row())  # a snapshot-only row is incomplete too
     rows = dedupe_last(df, KEYS[table], order)
     return align_schema(rows, SCHEMAS[table], table in STRICT_TABLES) if table in SCHEMAS else rows
 
 
+def _first_of(frames: list[DataFrame], keys: list[str]) -> DataFrame:
+    """Rows of the frames, the first frame that has a key giving its row; each frame has unique keys.
+
+    One shuffle moves all frames, and none is read twice.
+    """
+    columns = frames[0].columns
+    stacked = reduce(DataFrame.unionByName, [df.select(*columns, F.lit(i).alias("frame")) for i, df in enumerate(frames)])
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("frame"))
+    return stacked.withColumn("keep", rank).where(F.col("keep") == 1).select(*columns)
+
+
 def upsert(target: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
-    """Changes replace target rows of the same key; ``changes`` has unique keys."""
-    return target.join(changes.select(*keys), keys, "left_anti").unionByName(changes.select(*target.columns))
+    """Changes replace target rows of the same key."""
+    return _first_of([changes.select(*target.columns), target], keys)
 
 
 def insert_ignore(target: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
     """Only keys the target lacks are added."""
-    return target.unionByName(changes.join(target.select(*keys), keys, "left_anti").select(*target.columns))
+    return _first_of([target, changes.select(*target.columns)], keys)
 
 
 def update_where(target: DataFrame, changes: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
