@@ -148,7 +148,7 @@ def ratio_short(ratios: DataFrame, shorts: DataFrame) -> DataFrame:
     zero = lambda n: F.count_if(F.col(n) == 0).alias(f"{n}_zero_rows")
     left = jn.latest(ratios).agg(F.max("base_date").alias("ratio_date"), *[zero(n) for n in ("per", "pbr", "roe", "debt_ratio")])
     right = jn.latest(shorts).agg(F.max("base_date").alias("short_date"), F.count(F.lit(1)).alias("short_rows"), F.count_if(px.suspicious_short()).alias("positive_short_missing_ratio_rows"))
-    return left.crossJoin(right)  # one row each
+    return jn.beside(left, right)
 
 
 # ---- symbols, master and rankings -------------------------------------------
@@ -282,7 +282,7 @@ def ranking_source(rankings, master, prices, target, kospi: int = KOSPI_READY, k
         *[F.coalesce(F.max(of(m) & (F.col("source") != "KIS")), F.lit(False)).alias(f"{m.lower()}_price_based") for m in mk.STOCK_MARKETS],
     )
     valid = stock_valid(prices, master, jn.latest(rankings).agg(F.max("base_date").alias("d")))
-    joined = counts.crossJoin(valid)  # one row each
+    joined = jn.beside(counts, valid)
     current = F.col("latest_date") == lit_date(target)
     thin_a, thin_b = F.col("kospi_rows") < kospi, F.col("kosdaq_rows") < kosdaq
     return joined.withColumn("stale_days", F.datediff(lit_date(target), "latest_date")).withColumn("status", ladder([
@@ -329,7 +329,7 @@ def report_readiness(prices, master, rankings, logs, static_universe, features,
     watch = static_universe.where("enabled").select("symbol")
     covered = px.canonical(prices.where((F.col("base_date") == goal) & F.col("source").isin("KIS_DETAIL", "KIS") & px.valid_row())).join(watch, "symbol", "left_semi")
     featured = px.canonical(features.where((F.col("base_date") == goal) & (F.col("symbol") != "GLOBAL")))
-    joined = counts.crossJoin(flags).select(
+    joined = jn.beside(counts, flags).select(
         "*", F.coalesce(log.startswith("SUCCESS") | log.startswith("WARN_PARTIAL"), F.lit(False)).alias("universe_ready"), one(covered, F.count_distinct("symbol")).alias("watchlist_covered"),
         one(featured, F.count_distinct("symbol")).alias("feature_stock_symbols"), ((F.col("kospi_valid") >= kospi) & (F.col("kosdaq_valid") >= kosdaq)).alias("full_market_price_ready"))
     sections = {
@@ -419,7 +419,7 @@ def feature_without_price(features, prices, target) -> DataFrame:
     stock = px.canonical(rows.where(F.col("symbol") != "GLOBAL")).select("symbol").distinct().join(good, "symbol", "left")
     lists = stock.agg(F.count(F.lit(1)).alias("stock_feature_symbols"), F.count_if(F.col("good").isNull()).alias("without_price_count"), names(F.col("good").isNull()).alias("without_valid_price"))
     sums = rows.agg(F.count(F.lit(1)).alias("feature_total_rows"), F.count_if(F.col("symbol") == "GLOBAL").alias("global_feature_rows"))
-    return sums.crossJoin(lists).withColumn("detail_valid_price_rows", size(good)).withColumn("status", ladder([
+    return jn.beside(sums, lists).withColumn("detail_valid_price_rows", size(good)).withColumn("status", ladder([
         ((F.col("stock_feature_symbols") == 0) | (F.col("without_price_count") == 0), "SUCCESS"), (F.col("without_price_count") < F.col("stock_feature_symbols"), "WARN_FEATURE_PARTIAL_PRICE_MATCH"),
     ], "WARN_FEATURE_WITHOUT_VALID_PRICE"))
 
@@ -476,7 +476,7 @@ def report_views(static_universe, watch_rows, etf_rows, target) -> DataFrame:
         F.count(F.lit(1)).alias("watchlist_rows"), F.count("on").alias("active_rows"), F.count_if(F.col("on") & (F.col("data_status") == "STALE")).alias("stale_watchlist"), F.count_if(F.col("base_date") > goal).alias("future_watch"))
     stale = (F.coalesce("stale_days", F.lit(0)) > 3) | F.coalesce(F.col("data_status") == "STALE", F.lit(False))
     etf = etf_rows.agg(F.count(F.lit(1)).alias("etf_rows"), F.count_if(stale).alias("stale_sector_etf"), F.count_if(F.col("latest_price_date") > goal).alias("future_etf"))
-    return watch.crossJoin(etf).select(
+    return jn.beside(watch, etf).select(
         "watchlist_rows", "active_rows", "etf_rows", "stale_watchlist", "stale_sector_etf", (F.col("future_watch") + F.col("future_etf")).alias("future_date_rows"),
     ).withColumn("status", ladder([(F.col("future_date_rows") > 0, "FAIL_REPORT_SOURCE_QUALITY"), ((F.col("stale_watchlist") > 0) | (F.col("stale_sector_etf") > 0), "WARN_REPORT_SOURCE_STALE")]))
 
@@ -490,7 +490,7 @@ def report_source(watch, views, macro_row, fields: dict[str, str]) -> DataFrame:
     w = watch.agg(
         F.count(F.lit(1)).alias("symbols_checked"), F.count_if(F.coalesce("stale_days", F.lit(0)) > 3).alias("stale_watch_symbols"), F.count_if("source_mixed").alias("source_mixed_symbols"),
         names(F.col("price_scale_warning") != "").alias("scale_warning_symbols"))
-    joined = w.crossJoin(views.select("stale_sector_etf", "future_date_rows")).crossJoin(macro_row.select(suspicious))  # one row each
+    joined = jn.beside(jn.beside(w, views.select("stale_sector_etf", "future_date_rows")), macro_row.select(suspicious))
     return joined.withColumn("status", ladder([
         (F.col("future_date_rows") > 0, "FAIL_REPORT_SOURCE_QUALITY"), (F.col("source_mixed_symbols") > 0, "WARN_FEATURE_SOURCE_MIXED"),
         ((F.col("stale_watch_symbols") > 0) | (F.col("stale_sector_etf") > 0), "WARN_REPORT_SOURCE_STALE"), (F.col("macro_suspicious") != "", "WARN_PRICE_SCALE_ANOMALY")]))
@@ -557,6 +557,6 @@ def zero_row_alarm(tables: dict[str, DataFrame], days: DataFrame) -> DataFrame:
 
 def consumer_readiness(coverage: DataFrame, watchlist: DataFrame, minimum: int = 2000) -> DataFrame:
     """Two gates: a report can be made; the whole market may be described. One row each side."""
-    return coverage.select("covered_symbols", "kospi_covered", "kosdaq_covered").crossJoin(watchlist).select(
+    return jn.beside(coverage.select("covered_symbols", "kospi_covered", "kosdaq_covered"), watchlist).select(
         "base_date", "covered_symbols", "kospi_covered", "kosdaq_covered", "watchlist_symbols", "watchlist_symbols_with_price",
         ((F.col("watchlist_symbols") > 0) & (F.col("watchlist_symbols_with_price") > 0)).alias("minimum_report_ready"), (F.col("covered_symbols") > minimum).alias("full_market_coverage_pass"))

@@ -21,6 +21,12 @@ def latest(df: DataFrame, column: str = "base_date") -> DataFrame:
     return df.where(F.col(column) == newest.scalar())
 
 
+def beside(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """The columns of a one-row frame on every row, as one scalar subquery instead of a join."""
+    packed = one_row.select(F.struct(*one_row.columns).alias("r"))
+    return df.withColumn("one_row", packed.scalar()).select(*df.columns, "one_row.*")
+
+
 def with_master(df: DataFrame, master: DataFrame, keep_unmatched: bool = False) -> DataFrame:
     return px.canonical(df).join(master.select(*MASTER_COLUMNS), "symbol", "left" if keep_unmatched else "inner")
 
@@ -74,8 +80,7 @@ def coverage_gap(master: DataFrame, prices: DataFrame, markets: list[str], limit
 def watchlist_coverage(static_universe: DataFrame, prices: DataFrame) -> DataFrame:
     """Watchlist symbols, and those with a row, on the latest price date."""
     day = prices.agg(F.max("base_date").alias("base_date"))
-    # one row on the left, so the product is as long as the watchlist
-    wanted = day.crossJoin(static_universe.where("enabled").select("symbol"))
+    wanted = beside(static_universe.where("enabled").select("symbol"), day)
     have = prices.where(F.col("base_date") == day.scalar()).select("symbol", "base_date").distinct().withColumn("has_price", F.lit(1))
     return wanted.join(have, ["symbol", "base_date"], "left").groupBy("base_date").agg(
         F.count(F.lit(1)).alias("watchlist_symbols"), F.count("has_price").alias("watchlist_symbols_with_price")

@@ -153,8 +153,9 @@ def short_selling(rows: DataFrame) -> DataFrame:
 
 def short_market_fallback(rows: DataFrame) -> DataFrame:
     """Of the market codes tried for a symbol-day keep the first, in attempt order, that gave accepted rows."""
-    best = F.rank().over(Window.partitionBy("symbol", "base_date").orderBy("attempt"))
-    return rows.where("accepted").withColumn("best", best).where(F.col("best") == 1).drop("best")
+    # a join, not a window: a symbol-day with very many rows can be split
+    first = rows.where("accepted").groupBy("symbol", "base_date").agg(F.min("attempt").alias("attempt"))
+    return rows.where("accepted").join(first, ["symbol", "base_date", "attempt"], "left_semi")
 
 
 def snapshot(df: DataFrame) -> DataFrame:

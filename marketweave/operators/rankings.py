@@ -42,7 +42,7 @@ def latest_valid_price_date(
     good = F.when(F.col("valid_rows_count") >= min_valid_rows, F.col("base_date"))
     row = F.struct("base_date", "valid_rows_count", _counts_text().alias("market_counts"))
     picked = newest.agg(F.max(good).alias("selected"), F.collect_list(row).alias("days"))
-    of_day = F.filter("days", lambda d: d["base_date"] == F.col("selected"))[0]
+    of_day = F.get(F.filter("days", lambda d: d["base_date"] == F.col("selected")), F.lit(0))
     rejected = F.reverse(F.array_sort(F.filter("days", lambda d: F.col("selected").isNull() | (d["base_date"] > F.col("selected")))))
     text = F.transform(rejected, lambda d: F.concat_ws("=", d["base_date"].cast("string"), d["valid_rows_count"].cast("string")))
     return picked.select(

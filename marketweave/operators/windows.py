@@ -111,20 +111,21 @@ def lag_change_series(df: DataFrame, key: str = "series_id", value: str = "value
     })
 
 
-def blocked_lag(df: DataFrame, key: str, order: str, value: str, block: Column) -> DataFrame:
+def blocked_lag(df: DataFrame, keys: str | list[str], order: str, value: str, block: Column) -> DataFrame:
     """``lag(value)`` per key for histories too long for one task.
 
     Rows are windowed per (key, block); the first row of a block takes the last
     value of the key's previous block from a table with one row per block.
     """
-    inside = Window.partitionBy(key, "block").orderBy(order)
-    blocks = Window.partitionBy(key).orderBy("block")
+    by = [keys] if isinstance(keys, str) else list(keys)
+    inside = Window.partitionBy(*by, "block").orderBy(order)
+    blocks = Window.partitionBy(*by).orderBy("block")
     cut = df.withColumn("block", block)
-    tails = cut.groupBy(key, "block").agg(F.max_by(value, order).alias("tail"))
-    carried = tails.select(key, "block", F.lag("tail").over(blocks).alias("carried"))
+    tails = cut.groupBy(*by, "block").agg(F.max_by(value, order).alias("tail"))
+    carried = tails.select(*by, "block", F.lag("tail").over(blocks).alias("carried"))
     return (
         cut.withColumns({"inner": F.lag(value).over(inside), "row": F.row_number().over(inside)})
-        .join(carried, [key, "block"])
+        .join(carried, [*by, "block"])
         .withColumn("previous", F.when(F.col("row") == 1, F.col("carried")).otherwise(F.col("inner")))
         .drop("block", "inner", "row", "carried")
     )

@@ -394,8 +394,8 @@ def dq_status_document(L):
     universe = L.master.agg(F.struct(F.count_if("is_active").alias("active_count"), F.count_if(~c("is_active")).alias("inactive_count")).alias("universe_summary"))
     item = F.struct("target_date", "job_name", "status", "occurrences")
     health = agg.pipeline_health(L.run_logs, TARGET).agg(F.sort_array(F.collect_list(item), asc=False).alias("pipeline_health"))
-    # one row per panel
-    return panel_.crossJoin(universe).crossJoin(health).select(F.to_json(F.struct("price_table_quality", "universe_summary", "pipeline_health")).alias("document"))
+
+    return jn.beside(jn.beside(panel_, universe), health).select(F.to_json(F.struct("price_table_quality", "universe_summary", "pipeline_health")).alias("document"))
 
 
 @query("dq_macro_inspect", """

@@ -145,7 +145,7 @@ def asof_many_decisions(L):
     rows = L.intraday.withColumnRenamed("observed_at", "at")
     seen = rows.where("source = 'KIS'")
     asked = rows.where("source <> 'KIS'").withColumnRenamed("event_id", "decision_id")
-    return jn.asof_many(seen, asked, "series_id", F.col("at").cast("date")).withColumnRenamed("at", "decided_at")
+    return jn.asof_many(seen, asked, "series_id", F.date_trunc("hour", "at")).withColumnRenamed("at", "decided_at")
 
 
 @query("update_from_join", """

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import aggregates as agg, features as feat, macro as mc, signals as sg
+from ..operators import aggregates as agg, features as feat, joins as jn, macro as mc, signals as sg
 from ..operators import calendar as cal, windows as win
 from .rankings_q import _REPORT_VIEW, report_rows
 from .registry import TARGET, query
@@ -209,8 +209,8 @@ SELECT m.*, coalesce(buy_count * 100.0 / nullif(total_count, 0), 0) AS buy_ratio
 FROM m, b""", "base_date", "usdkrw us10y buy_ratio")
 def report_market_summary(L):
     newest = L.global_macro.where(F.col("base_date") <= F.lit(TARGET)).orderBy(F.desc("base_date")).limit(1)
-    # one row on each side
-    return newest.crossJoin(agg.buy_ratio(today(L))).select("base_date", "usdkrw", "us10y", "buy_ratio", "stance")
+
+    return jn.beside(newest, agg.buy_ratio(today(L))).select("base_date", "usdkrw", "us10y", "buy_ratio", "stance")
 
 
 @query("report_top5", f"""WITH {_WIDE} SELECT s.symbol, coalesce(m.name, s.symbol) AS name, total_score, signal, coalesce(foreign_flow_zscore - 1500, 0) AS foreign_flow_zscore

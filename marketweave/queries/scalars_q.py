@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import markets as mk, parsing as ps, sanity as sn, symbols as sy, times as tm
-from ..operators import prices as px
+from ..operators import prices as px, windows as win
 from .registry import TARGET, query
 from .views_sql import norm, valid
 
@@ -175,11 +175,15 @@ _BARS = "bars AS (SELECT *, lag(value) OVER (PARTITION BY series_id, base_date O
 
 
 def bars(L):
-    """Intraday bars with the previous and first value of their series-day."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("series_id", "base_date").orderBy("observed_at", "event_id")
-    return L.intraday.withColumns({"previous": F.lag("value").over(w), "opening": F.first("value").over(w)})
+    """Intraday bars with the previous and first value of their series-day.
+
+    A busy series-day is cut into hours for the first and aggregated for the second.
+    """
+    day = ["series_id", "base_date"]
+    rows = L.intraday.withColumn("at", F.struct("observed_at", "event_id"))
+    opening = rows.groupBy(*day).agg(F.min_by("value", "at").alias("opening"))
+    stepped = win.blocked_lag(rows, day, "at", "value", F.date_trunc("hour", "observed_at"))
+    return stepped.join(opening, day)
 
 
 @query("fn_change_rate", f"WITH {_BARS} SELECT event_id, (value / nullif(previous, 0) - 1) * 100 AS change_rate FROM bars", rounds="change_rate")

@@ -163,8 +163,8 @@ WINDOW w AS (PARTITION BY series_id ORDER BY observed_at, event_id)""", "observe
 def win_previous_bar_change(L):
     from ..functions.sanity import change_rate
 
-    bars = L.intraday.select("series_id", "value", "observed_at", F.struct("observed_at", "event_id").alias("at"), F.col("observed_at").cast("date").alias("day"))
-    rows = win.blocked_lag(bars, "series_id", "at", "value", F.col("day"))
+    bars = L.intraday.select("series_id", "value", "observed_at", F.struct("observed_at", "event_id").alias("at"))
+    rows = win.blocked_lag(bars, "series_id", "at", "value", F.date_trunc("hour", "observed_at"))
     return rows.select("series_id", "observed_at", "value", change_rate(F.col("value"), F.col("previous")).alias("change_rate"))
 
 
