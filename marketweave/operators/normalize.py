@@ -135,9 +135,14 @@ def supply_investor(rows: DataFrame) -> DataFrame:
 
 
 def _first_date(*candidates: Column) -> Column:
-    """First candidate that reads as a date; one parse expression serves the whole list."""
+    """First candidate that reads as a date.
+
+    Nearly always that is the first one present; only when it cannot be read is
+    the whole list tried.
+    """
     present = F.filter(F.array(*candidates), lambda t: t != "")
-    return F.get(F.filter(F.transform(present, lambda t: ps.parse_date_any(t)), lambda d: d.isNotNull()), F.lit(0))
+    tried = F.get(F.filter(F.transform(present, lambda t: ps.parse_date_any(t)), lambda d: d.isNotNull()), F.lit(0))
+    return F.coalesce(ps.parse_date_any(ps.first_present(*candidates)), tried)
 
 
 def short_selling(rows: DataFrame) -> DataFrame:
