@@ -556,7 +556,12 @@ def zero_row_alarm(tables: dict[str, DataFrame], days: DataFrame) -> DataFrame:
 
 
 def consumer_readiness(coverage: DataFrame, watchlist: DataFrame, minimum: int = 2000) -> DataFrame:
-    """Two gates: a report can be made; the whole market may be described. One row each side."""
-    return jn.beside(coverage.select("covered_symbols", "kospi_covered", "kosdaq_covered"), watchlist).select(
-        "base_date", "covered_symbols", "kospi_covered", "kosdaq_covered", "watchlist_symbols", "watchlist_symbols_with_price",
+    """Two gates: a report can be made; the whole market may be described.
+
+    ``watchlist`` is one row (none without a watchlist); ``coverage`` has no row when nothing is covered.
+    """
+    counts = ("covered_symbols", "kospi_covered", "kosdaq_covered")
+    both = jn.beside(watchlist, coverage.select(*counts)).withColumns({n: F.coalesce(n, F.lit(0)) for n in counts})
+    return both.select(
+        "base_date", *counts, "watchlist_symbols", "watchlist_symbols_with_price",
         ((F.col("watchlist_symbols") > 0) & (F.col("watchlist_symbols_with_price") > 0)).alias("minimum_report_ready"), (F.col("covered_symbols") > minimum).alias("full_market_coverage_pass"))
