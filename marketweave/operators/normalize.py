@@ -134,23 +134,19 @@ def supply_investor(rows: DataFrame) -> DataFrame:
     return parsed.join(alive, "symbol", "left_semi")
 
 
-def _first_date(*candidates: Column) -> Column:
-    """First candidate that reads as a date.
-
-    Nearly always that is the first one present; only when it cannot be read is
-    the whole list tried.
-    """
-    present = F.filter(F.array(*candidates), lambda t: t != "")
-    tried = F.get(F.filter(F.transform(present, lambda t: ps.parse_date_any(t)), lambda d: d.isNotNull()), F.lit(0))
-    return F.coalesce(ps.parse_date_any(ps.first_present(*candidates)), tried)
+def _first_date(texts: str) -> Column:
+    """First entry of a text array that reads as a date; nearly always that is the first entry."""
+    tried = F.get(F.filter(F.transform(texts, lambda t: ps.parse_date_any(t)), lambda d: d.isNotNull()), F.lit(0))
+    return F.coalesce(ps.parse_date_any(F.get(texts, F.lit(0))), tried)
 
 
 def short_selling(rows: DataFrame) -> DataFrame:
     """Short-sale rows dated by the row, else the header, else the request; ``accepted`` is false without a key."""
     pick = lambda names: ps.first_present(*[_r(n) for n in names])
-    day = _first_date(*[F.col(f"{part}.{n}") for part in ("row", "header") for n in SHORT_DATES], F.col("request_date"))
-    return rows.select(
-        *[c for c in rows.columns if c not in ("row", "header", "request_date", "symbol")], normalize_symbol(F.col("symbol")).alias("symbol"), day.alias("base_date"),
+    candidates = F.array(*[F.col(f"{part}.{n}") for part in ("row", "header") for n in SHORT_DATES], F.col("request_date"))
+    dated = rows.withColumn("date_texts", F.filter(candidates, lambda t: t != ""))
+    return dated.select(
+        *[c for c in rows.columns if c not in ("row", "header", "request_date", "symbol")], normalize_symbol(F.col("symbol")).alias("symbol"), _first_date("date_texts").alias("base_date"),
         ps.parse_int_zero(pick(SHORT_VOLUMES)).alias("short_volume"), ps.parse_int_zero(pick(SHORT_VALUES)).alias("short_value"),
         ps.parse_nullable(pick(SHORT_RATIOS), dash=False).alias("short_ratio"),
     ).withColumn("accepted", (F.col("symbol") != "") & F.col("base_date").isNotNull())
