@@ -10,10 +10,16 @@ similarity of at least ``percent`` / 100 and returns each one's component.
   rounds end once every bin is filled, and the later half of the rounds
   fills bin after bin, so no coordinate stays empty.
 * Documents that share a whole band are candidates. Within a bucket all are
-  first held against one centre, the document that meets most others. Links
-  are confirmed on the full sets; then only pairs of one bucket that are
-  still in different components are confirmed, so a bucket of thousands of
-  copies never turns into all of its pairs, and no link is lost by a cap.
+  first held against one centre, the document that meets most others, and
+  links are confirmed on the full sets. That joins the bulk of a large group
+  with one pair for each member.
+* What is left are documents that share a bucket with another component. Two
+  such sets can only be similar enough if they share one of their rarest
+  shingles: with a and b shingles they need an overlap of
+  percent * (a + b) / (100 + percent), so one of the first a - overlap + 1 in
+  any common order must be among the first b - overlap + 1 of the other. Only
+  such pairs of different components are confirmed. No link is lost by a cap,
+  and no bucket turns into all of its pairs.
 
 With similarity 0.85 a link shares no band with probability
 (1 - 0.85**5)**32 < 1e-8.
@@ -32,7 +38,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketweave.llm.common import mix, pieces, seeds, shingles, staged
@@ -102,6 +108,34 @@ def _confirmed(n: int, percent: int, batches: Iterator[pa.RecordBatch]) -> Itera
         yield pa.RecordBatch.from_arrays([pa.array(kept_a, pa.int64()), pa.array(kept_b, pa.int64())], ["a", "b"])
 
 
+def _exploded(n: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for piece in pieces(batch, "text"):
+            values, bounds = shingles(piece.column("text"), n)
+            row = np.repeat(np.arange(piece.num_rows), np.diff(bounds))
+            kinds = np.array([int(np.bitwise_xor.reduce(values[a:b])) >> 1 for a, b in zip(bounds, bounds[1:], strict=False)], np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [*(piece.column(c).take(pa.array(row)) for c in ("doc_id", "component")), pa.array(kinds[row]), pa.array(np.diff(bounds)[row]), pa.array(values.view(np.int64))],
+                ["doc_id", "component", "text_key", "n", "shingle"],
+            )
+
+
+def _rare_pairs(placed: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components of ``placed`` (doc_id, component) whose rarest shingles meet as similar sets' must."""
+    held = texts.join(placed, "doc_id").select("doc_id", "component", "text").mapInArrow(partial(_exploded, n), "doc_id long, component long, text_key long, n long, shingle long")
+    held = staged(held, "held")
+    seen = held.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
+    own = Window.partitionBy("doc_id", "text_key")
+    ranked = held.join(seen, "shingle").withColumns({"rank": F.row_number().over(own.orderBy("df", "shingle")), "common": F.count("*").over(own)})
+    reach = ranked.withColumn("most", F.expr(f"(common - rank + 1) * {100 + percent} div {percent} - n")).where(f"most * 100 >= n * {percent}")
+    rare = reach.select("shingle", "doc_id", "component", "n", "most")
+    mixed = rare.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("shingle")
+    rare = staged(rare.join(mixed, "shingle", "left_semi"), "rare")
+    x, y = (rare.select("shingle", *(F.col(c).alias(f"{c}_{k}") for c in ("doc_id", "component", "n", "most"))) for k in "xy")
+    met = x.join(y, "shingle").where("component_x < component_y and n_y <= most_x and n_x <= most_y")
+    return met.select(F.least("doc_id_x", "doc_id_y").alias("a"), F.greatest("doc_id_x", "doc_id_y").alias("b")).distinct()
+
+
 def _one_text_per_id(piece: pa.RecordBatch, column: str, ids: np.ndarray) -> bool:
     """Whether equal ids have equal texts here, so that one set for each id does."""
     return len(pa.Table.from_arrays([pa.array(ids), piece.column(column)], ["id", "text"]).group_by(["id", "text"]).aggregate([])) == len(np.unique(ids))
@@ -163,12 +197,11 @@ def near_copies(docs: DataFrame, n: int = 5, percent: int = 85) -> DataFrame:
     links = staged(_links(pairs, texts, n, percent).unionAll(shared), "links")
     joined = components(links)
 
-    placed = members.join(joined, members.doc_id == joined.node, "left").select("bucket", "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component"))
+    placed = members.join(joined, members.doc_id == joined.node, "left").select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    placed = staged(placed, "placed")
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("bucket")
-    placed = staged(placed.join(mixed, "bucket", "left_semi"), "placed")
-    x = placed.select("bucket", F.col("doc_id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("component").alias("c_a"))
-    y = placed.select("bucket", F.col("doc_id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("component").alias("c_b"))
-    rest = x.join(y, "bucket").where("a < b and c_a <> c_b").where(_size_fits(percent)).select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
+    placed = placed.join(mixed, "bucket", "left_semi").select("doc_id", "component").distinct()
+    rest = _rare_pairs(placed, texts, n, percent).join(pairs, ["a", "b"], "left_anti")
     more = staged(_links(staged(rest, "rest"), texts, n, percent), "links")
     joined = components(links.unionAll(more))
 

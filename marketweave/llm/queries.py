@@ -4,9 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from marketweave.llm.langid import identify
 from marketweave.llm.minhash import near_copies
+from marketweave.llm.pii import find_personal_data
+from marketweave.llm.secrets import find_secrets
+from marketweave.llm.spiece import checked
+from marketweave.llm.token_prefix import count_tokens
+from marketweave.llm.topk import top_k
+from marketweave.llm.warc import deduplicate
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -47,3 +56,60 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT a, min(b) AS co
 def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Components of documents whose sets of five-word shingles are similar by 0.85 or more."""
     return near_copies(table(spark, folder, "documents"))
+
+
+@query()
+def op2_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets that patterns find, and weak parts of credentials that complementary parts confirm."""
+    return find_secrets(table(spark, folder, "documents"))
+
+
+@query()
+def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Token counts of whole texts, from the exact counts of all prefixes."""
+    return count_tokens(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query()
+def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids under the rebuilt model, held against sentencepiece's and decoded again."""
+    return checked(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query()
+def op5_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data that patterns find, and candidates that boosted trees choose."""
+    return find_personal_data(table(spark, folder, "documents"))
+
+
+@query()
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of each text by bit-sliced n-gram filters."""
+    return identify(table(spark, folder, "documents"))
+
+
+@query("""
+WITH u AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM u q JOIN u c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 5
+""")
+def op9_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The five best inner products of every fiftieth vector, exactly."""
+    return top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+_HEX = "sha1(coalesce(html, ''))"
+_BASE32 = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, {1 + 5 * k}, 5))::BIGINT >> {shift}) & 31) + 1, 1)" for k in range(8) for shift in (15, 10, 5, 0))
+
+
+@query(f"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, {_HEX} AS h FROM pages),
+d AS (SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest, min(page_id) OVER (PARTITION BY h) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to FROM d
+""")
+def op10_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages written as an archive without repeated payloads, and read back."""
+    return deduplicate(table(spark, folder, "pages"))
