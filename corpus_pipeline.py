@@ -4,29 +4,52 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from marketweave.llm import decontam, minhash, secrets, spiece, toxicity
 from marketweave.llm.common import staged
-from marketweave.llm.minhash import near_copies
+from marketweave.llm.queries import table
+
+
+def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the compression score calls toxic go."""
+    return toxicity.keep_clean(docs, table(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies stays."""
-    kept = near_copies(docs).where("kept and doc_id is not null").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").unionAll(docs.where("doc_id is null"))
+    return minhash.keep_one(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, copied or edited, go."""
+    return decontam.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secrets_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets in the texts are masked."""
+    return secrets.redact(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their ids under the SentencePiece model."""
+    return spiece.encode(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [("near_dedup", near_dedup)]
-#: Some stages learn models, which SQL can't express; the tests hold them against brute force.
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", toxic_out), ("near_dedup", near_dedup), ("decontamination", decontaminate), ("secrets", secrets_out), ("sentencepiece", tokens),
+]
+#: Some stages learn models, which SQL can't express; the tests hold every stage against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = staged(stage(spark, docs, sf_dir), name)
     return docs
 
 
 PIPELINE_QUERIES = {"pipeline": run}
-PIPELINE_ORACLES = {"pipeline": ORACLE_SQL} if ORACLE_SQL else {}
+PIPELINE_ORACLES: dict[str, str] = {}

@@ -108,12 +108,12 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
 
 
-def words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words between ASCII white space, A-Z lowered: (hash, row, first byte, end byte) of each, in order; bytes count from the row's start."""
+def words(column: pa.Array, parts: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words between the bytes that ``parts`` marks (ASCII white space), A-Z lowered: (hash, row, first byte, end byte) of each, in order; bytes count from the row's start."""
     data, offsets = text_bytes(column)
     data = _LOWER[data]
     inside = np.zeros(len(data) + 1, bool)
-    inside[:-1] = ~_SPACE[data]
+    inside[:-1] = ~parts[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     rows_at = offsets[:-1][offsets[:-1] < offsets[1:]]

@@ -208,3 +208,11 @@ def near_copies(docs: DataFrame, n: int = 5, percent: int = 85) -> DataFrame:
     out = ranked.join(joined, F.col("first") == F.col("node"), "left")
     component = F.coalesce("component", "first", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def keep_one(docs: DataFrame, n: int = 5, percent: int = 85) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest doc_id, and of rows that share it the first by their columns. Rows without a doc_id all stay."""
+    kept = near_copies(docs, n, percent).where("kept and doc_id is not null").select(F.col("doc_id").alias("kept_doc_id")).distinct()
+    first = Window.partitionBy("doc_id").orderBy(*docs.columns)
+    rows = docs.join(kept, F.col("doc_id") == F.col("kept_doc_id"), "left_semi").withColumn("kept_rank", F.row_number().over(first)).where("kept_rank = 1")
+    return rows.select(docs.columns).unionAll(docs.where("doc_id is null"))

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketweave.llm.decontam import contaminated
 from marketweave.llm.langid import identify
 from marketweave.llm.minhash import near_copies
 from marketweave.llm.pii import find_personal_data
@@ -15,6 +16,7 @@ from marketweave.llm.secrets import find_secrets
 from marketweave.llm.spiece import checked
 from marketweave.llm.token_prefix import count_tokens
 from marketweave.llm.topk import top_k
+from marketweave.llm.toxicity import toxicity
 from marketweave.llm.warc import deduplicate
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +115,15 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'r
 def op10_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
     """Pages written as an archive without repeated payloads, and read back."""
     return deduplicate(table(spark, folder, "pages"))
+
+
+@query()
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of whole texts by compression under two learnt dictionaries."""
+    return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query()
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold benchmark items, copied or edited."""
+    return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

@@ -86,7 +86,7 @@ def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 base_out.append(_scoped(base, cuts))
                 weak_out.append(_scoped(weak, cuts))
                 sums.append(sha256(joined(base, ORDER)))
-            yield pa.RecordBatch.from_arrays([piece.column("doc_id").cast(pa.int64()), pa.array(base_out, pa.list_(span)), pa.array(weak_out, pa.list_(span)), pa.array(sums)], ["doc_id", "base", "weak", "base_sha256"])
+            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("text_key"), pa.array(base_out, pa.list_(span)), pa.array(weak_out, pa.list_(span)), pa.array(sums)], ["doc_id", "text_key", "base", "weak", "base_sha256"])
 
 
 def _scoped(spans: list[Span], cuts: list[int]) -> list[dict]:
@@ -94,9 +94,10 @@ def _scoped(spans: list[Span], cuts: list[int]) -> list[dict]:
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """doc_id, base and weak spans with their scopes, base_sha256, and a number for the row."""
+    """doc_id, text_key (a hash of the text), base and weak spans with their scopes, base_sha256."""
     part = "array<struct<kind:string,start:long,end:long,scope:long>>"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_scanned, f"doc_id long, base {part}, weak {part}, base_sha256 string")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64(F.col("text").cast("string")).alias("text_key"))
+    return texts.mapInArrow(_scanned, f"doc_id long, text_key long, base {part}, weak {part}, base_sha256 string")
 
 
 def _near(role: str, order: Window, reach: int) -> Column:
@@ -120,13 +121,49 @@ def link(parts: DataFrame, reach: int = 400) -> DataFrame:
     return group_near.where(F.col("weak") & (F.col("grouped") | endpoint)).select("key", "kind", "start", "end")
 
 
-def find_secrets(docs: DataFrame, reach: int = 400) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_linked (weak spans that linking added) for each row of ``docs`` (doc_id, text)."""
+def _found(docs: DataFrame, reach: int) -> DataFrame:
+    """The rows of :func:`scan`, staged, with the weak spans that linking confirms."""
     found = staged(scan(docs).withColumn("key", F.monotonically_increasing_id()), "secrets")
     part = lambda weak: lambda s: F.struct(s.kind.alias("kind"), s.start.alias("start"), s.end.alias("end"), s.scope.alias("scope"), F.lit(weak).alias("weak"))
     parts = found.where(F.size("weak") > 0).select("key", F.explode(F.concat(F.transform("base", part(False)), F.transform("weak", part(True)))).alias("p")).select("key", "p.*")
     linked = link(parts, reach).groupBy("key").agg(F.collect_list(F.struct("kind", "start", "end")).alias("linked"))
+    return found.join(linked, "key", "left")
+
+
+def find_secrets(docs: DataFrame, reach: int = 400) -> DataFrame:
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_linked (weak spans that linking added) for each row of ``docs`` (doc_id, text)."""
     count = lambda kind: F.size(F.filter("base", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
-    return found.join(linked, "key", "left").select(
+    return _found(docs, reach).select(
         "doc_id", count("assign"), count("access"), count("hex"), "base_sha256", rendered(KINDS, "base", "linked").alias("spans"), F.coalesce(F.size("linked"), F.lit(0)).cast("long").alias("n_linked")
     )
+
+
+def masked(text: str, spans: str, mask: str) -> str:
+    """``text`` with every stretch that ``spans`` cover replaced."""
+    out, at = [], 0
+    for start, end in sorted(tuple(map(int, s.split(":")[1:])) for s in spans.split(",") if s):
+        if start >= at:
+            out += [text[at:start], mask]
+        at = max(at, end)
+    return "".join([*out, text[at:]])
+
+
+def redact(docs: DataFrame, reach: int = 400, mask: str = "[SECRET]") -> DataFrame:
+    """``docs`` with every secret in their texts replaced; n_chars, if there is one, is that of the new text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = zip(batch.column("text").to_pylist(), batch.column("found_spans").to_pylist(), strict=True)
+            done = pa.array([masked(t, s, mask) if s else t for t, s in texts], pa.string())
+            yield pa.RecordBatch.from_arrays([done if c == "text" else batch.column(c) for c in docs.columns], docs.columns)
+
+    found = _found(docs, reach).select("doc_id", "text_key", rendered(KINDS, "base", "linked").alias("found_spans")).where("found_spans <> ''")
+    found = found.select(F.coalesce("doc_id", F.lit(0)).alias("found_id"), F.col("text_key").alias("found_key"), "found_spans").distinct()
+    keyed = docs.select(*docs.columns, F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("found_id"), F.xxhash64(F.col("text").cast("string")).alias("found_key"))
+    joined = keyed.join(found, ["found_id", "found_key"], "left")
+    clean = joined.where("found_spans is null").select(docs.columns)
+    masked_rows = joined.where("found_spans is not null").mapInArrow(run, docs.select(docs.columns).schema)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        masked_rows = masked_rows.withColumn("n_chars", F.length("text").cast(kind))
+    return clean.unionAll(masked_rows)
