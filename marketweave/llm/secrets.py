@@ -150,12 +150,13 @@ def masked(text: str, spans: str, mask: str) -> str:
 
 def redact(docs: DataFrame, reach: int = 400, mask: str = "[SECRET]") -> DataFrame:
     """``docs`` with every secret in their texts replaced; n_chars, if there is one, is that of the new text."""
+    columns = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = zip(batch.column("text").to_pylist(), batch.column("found_spans").to_pylist(), strict=True)
             done = pa.array([masked(t, s, mask) if s else t for t, s in texts], pa.string())
-            yield pa.RecordBatch.from_arrays([done if c == "text" else batch.column(c) for c in docs.columns], docs.columns)
+            yield pa.RecordBatch.from_arrays([done if c == "text" else batch.column(c) for c in columns], columns)
 
     found = _found(docs, reach).select("doc_id", "text_key", rendered(KINDS, "base", "linked").alias("found_spans")).where("found_spans <> ''")
     found = found.select(F.coalesce("doc_id", F.lit(0)).alias("found_id"), F.col("text_key").alias("found_key"), "found_spans").distinct()
