@@ -206,7 +206,7 @@ def near_copies(docs: DataFrame, n: int = 5, percent: int = 85) -> DataFrame:
     joined = components(links.unionAll(more))
 
     out = ranked.join(joined, F.col("first") == F.col("node"), "left")
-    component = F.coalesce("component", "first", "doc_id")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "first", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 

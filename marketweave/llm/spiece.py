@@ -10,7 +10,7 @@
 * byte pieces for characters outside the vocabulary;
 * the decoder that undoes this.
 
-No piece holds the marker after another character, if so the text falls into
+Where no piece holds the marker after another character, a text falls into
 stretches that begin with markers and are encoded each for itself: the ids of
 a text are those of its stretches, one after another. Each worker keeps the
 ids of the stretches it has seen; new ones are encoded as one batch, on the
@@ -162,23 +162,20 @@ class Codec:
         self.ids_of: dict[str, np.ndarray] = {}
         self.differs: set[str] = set()
 
-    def _parity_ids(self, stretch: str) -> list[int]:
-        """What sentencepiece makes of a stretch. The dummy prefix is the stretch's own first marker, or is taken off again."""
-        if not self.model.dummy_prefix:
-            return self.original.encode(stretch.replace(MARKER, " "))
-        if stretch[0] == MARKER:
-            return self.original.encode(stretch[1:].replace(MARKER, " "))
-        return []
-
     def learn(self, new: list[str]) -> None:
         """Encodes new stretches as a batch on the library's threads and holds the ids against sentencepiece's."""
         for stretch, encoded in zip(new, self.plain.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            ids = encoded.ids
-            self.ids_of[stretch] = np.array(ids, np.int32)
-        checked = [s for s in new if s[0] == MARKER] if self.model.dummy_prefix else new
-        cut = 1 if self.model.dummy_prefix else 0
-        for stretch, right in zip(checked, self.original.encode([s[cut:].replace(MARKER, " ") for s in checked], num_threads=1), strict=True):
-            if len(right) != len(self.ids_of[stretch]) or right != self.ids_of[stretch].tolist():
+            self.ids_of[stretch] = np.array(encoded.ids, np.int32)
+        cut = 0
+        if self.model.dummy_prefix:  # sentencepiece puts a marker first by itself, except before an empty text
+            new = [s for s in new if s[0] == MARKER]
+            cut = 1
+        texts = [s[cut:].replace(MARKER, " ") for s in new]
+        lone = len(self.original.encode("a"))
+        for stretch, text, right in zip(new, texts, self.original.encode(texts, num_threads=1), strict=True):
+            if not text:
+                right = self.original.encode("a ")[lone:]
+            if right != self.ids_of[stretch].tolist():
                 self.differs.add(stretch)
                 self.ids_of[stretch] = np.array(right, np.int32)
 

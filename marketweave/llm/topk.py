@@ -149,7 +149,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256) -> DataFra
         found.append(staged(_ranked(partial, k), "found") if blocks > 1 else _ranked(partial, k))
     if not found:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    return reduce(DataFrame.unionAll, found)
+    return found[0] if len(found) == 1 else _ranked(reduce(DataFrame.unionAll, found), k)
 
 
 def _ranked(partial: DataFrame, k: int) -> DataFrame:

@@ -1,0 +1,88 @@
+"""The stages on a small table, each against what its operator says of its own input, and the queries' schemas."""
+
+import os
+import subprocess
+import sys
+
+import duckdb
+import pytest
+
+pytest.importorskip("marketweave.llm")
+
+import corpus_pipeline  # noqa: E402
+import public_tokenizers  # noqa: E402
+import sentencepiece  # noqa: E402
+
+import __spark_entry__ as entry  # noqa: E402
+import check  # noqa: E402
+from marketweave.llm import decontam, minhash, secrets, toxicity  # noqa: E402
+from marketweave.llm.common import staged  # noqa: E402
+from marketweave.llm.queries import ORACLES, QUERIES  # noqa: E402
+
+FOLDER = "/root/testdata/sf0.001"
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_matches_sql(spark, name):
+    con = duckdb.connect()
+    for table in check.TABLES:
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
+    ok, note, _ = check.compare(spark, con, name, FOLDER)
+    assert ok, note
+
+
+def test_one_query_for_each_operator():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert {"pipeline", *QUERIES} <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+
+
+def test_stages(spark):
+    docs = corpus_pipeline.table(spark, FOLDER, "documents")
+    odd = spark.createDataFrame([(None, "no id", "en", "s", 5), (10**6, None, None, None, None), (10**6 + 1, "", "en", "s", 0)], docs.schema)
+    docs = staged(docs.unionAll(odd), "in")
+    columns = docs.columns
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_dedup", "decontamination", "secrets", "sentencepiece"]
+    for name, stage in corpus_pipeline.STAGES:
+        before = [r.asDict() for r in docs.collect()]
+        out = staged(stage(spark, docs, FOLDER), name)
+        after = [r.asDict() for r in out.collect()]
+        ids = sorted(r["doc_id"] or -1 for r in after)
+        if name != "sentencepiece":
+            assert out.columns == columns
+        if name == "toxicity":
+            bad = {r["doc_id"] for r in toxicity.toxicity(docs, corpus_pipeline.table(spark, FOLDER, "labels")).where("predicted = 1").collect()}
+        elif name == "near_dedup":
+            bad = {r["doc_id"] for r in minhash.near_copies(docs).where("not kept").collect()}
+        elif name == "decontamination":
+            bad = {r["doc_id"] for r in decontam.contaminated(docs, corpus_pipeline.table(spark, FOLDER, "benchmark")).collect()}
+        else:
+            bad = set()
+        assert ids == sorted(r["doc_id"] or -1 for r in before if r["doc_id"] not in bad), name
+        texts = {r["doc_id"]: r["text"] for r in before}
+        if name == "secrets":
+            spans = {r["doc_id"]: r["spans"] for r in secrets.find_secrets(docs).collect()}
+            assert any(spans.values())
+            for r in after:
+                assert r["text"] == (texts[r["doc_id"]] and secrets.masked(texts[r["doc_id"]], spans[r["doc_id"]], "[SECRET]"))
+        elif name == "sentencepiece":
+            original = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+            assert all(r["input_ids"] == original.encode(r["text"] or "") and r["parity"] for r in after)
+        else:
+            assert all(r["text"] == texts[r["doc_id"]] for r in after)
+        docs = out
+    assert sorted(r["doc_id"] or -1 for r in corpus_pipeline.run(spark, FOLDER).collect()) == [i for i in ids if i not in (-1, 10**6, 10**6 + 1)]
+
+
+def test_entry_works_without_this_subpackage():
+    code = """
+import sys
+class Gone:
+    def find_spec(self, name, path=None, target=None):
+        if name == "corpus_pipeline" or name.startswith("marketweave.llm"):
+            raise ModuleNotFoundError(name)
+sys.meta_path.insert(0, Gone())
+import __spark_entry__ as e
+assert "pipeline" not in e.queries() and not any(n.startswith("op1_") for n in e.queries()) and "feat_stock" in e.queries()
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=ROOT)
