@@ -18,8 +18,8 @@ def parse_nullable(col: Column, dash: bool = True) -> Column:
 
 
 def parse_int_nullable(col: Column) -> Column:
-    """As :func:`parse_nullable`, truncated toward zero."""
-    return parse_nullable(col, dash=False).cast("long")
+    """As :func:`parse_nullable`, truncated toward zero; null beyond 64 bits."""
+    return parse_nullable(col, dash=False).try_cast("long")
 
 
 def parse_zero(col: Column) -> Column:

@@ -105,13 +105,13 @@ def diagnostic(days: DataFrame, calendar: DataFrame, exchange: str = "XKRX") ->
     )
 
 
-def neighbours(status: DataFrame, max_steps: int = 366) -> DataFrame:
+def neighbours(status: DataFrame) -> DataFrame:
     """Previous, next and latest-on-or-before open day of every date of one gap-free status frame."""
     by_day = Window.partitionBy("exchange_code").orderBy("calendar_date")
     hit = F.when(F.col("is_open"), F.col("calendar_date"))
-    before = F.last(hit, ignorenulls=True).over(by_day.rowsBetween(-max_steps, -1))
-    upto = F.last(hit, ignorenulls=True).over(by_day.rowsBetween(-(max_steps - 1), 0))
-    after = F.first(hit, ignorenulls=True).over(by_day.rowsBetween(1, max_steps))
+    before = F.last(hit, ignorenulls=True).over(by_day.rowsBetween(Window.unboundedPreceding, -1))
+    upto = F.last(hit, ignorenulls=True).over(by_day.rowsBetween(Window.unboundedPreceding, 0))
+    after = F.first(hit, ignorenulls=True).over(by_day.rowsBetween(1, Window.unboundedFollowing))
     return status.select(
         "calendar_date", "exchange_code",
         before.alias("previous_open_day"), after.alias("next_open_day"), upto.alias("latest_open_day"),

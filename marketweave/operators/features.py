@@ -51,19 +51,24 @@ def to_long(df: DataFrame) -> DataFrame:
     )
 
 
+def effective_day(prices: DataFrame, open_days: DataFrame, target: date) -> DataFrame:
+    """One row, the panel's newest date in the look-back, from its rows before any is chosen: no shuffle but of one row a task."""
+    span = F.col("base_date").between(F.lit(target - timedelta(days=LOOKBACK_DAYS)), F.lit(target))
+    return px.effective_date(px.clean_rows(prices.where(span), open_days.where(span)), target)
+
+
 def stock_features_wide(
-    prices: DataFrame, supply: DataFrame, open_days: DataFrame, universe: DataFrame, target: date, bounds: dict | None = None
+    prices: DataFrame, supply: DataFrame, open_days: DataFrame, universe: DataFrame, target: date, bounds: dict | None = None, day: date | None = None
 ) -> DataFrame:
-    """Window columns of the universe's symbols at the effective date of the whole panel."""
-    panel = price_panel(prices, supply, open_days, target)
-    day = px.effective_date(panel, target)
-    mine = panel.join(universe.select("symbol").distinct(), "symbol", "left_semi")
+    """Window columns of the universe's symbols at the effective date of the whole panel, which a caller may know as ``day``."""
+    at = F.lit(day) if day is not None else effective_day(prices, open_days, target).scalar()
+    mine = price_panel(prices, supply, open_days, target).join(universe.select("symbol").distinct(), "symbol", "left_semi")
     computed = win.stock_columns(mine, bounds)
-    return null_mixed(computed.where(F.col("base_date") == day.scalar()))
+    return null_mixed(computed.where(F.col("base_date") == at))
 
 
-def stock_features(prices, supply, open_days, universe, target, bounds: dict | None = None) -> DataFrame:
-    return to_long(stock_features_wide(prices, supply, open_days, universe, target, bounds))
+def stock_features(prices, supply, open_days, universe, target, bounds: dict | None = None, day: date | None = None) -> DataFrame:
+    return to_long(stock_features_wide(prices, supply, open_days, universe, target, bounds, day))
 
 
 def _global(df: DataFrame, name: Column, value: Column) -> DataFrame:
@@ -73,16 +78,16 @@ def _global(df: DataFrame, name: Column, value: Column) -> DataFrame:
     return out.where(F.col("feature_value").isNotNull() & ~F.isnan("feature_value") & (F.abs("feature_value") != float("inf")))
 
 
-def macro_long(wide: DataFrame, causal: bool = False) -> DataFrame:
-    """Wide macro table as (column_name, base_date, value), filled per column."""
+def macro_long(wide: DataFrame, causal: bool = True) -> DataFrame:
+    """Wide macro table as (column_name, base_date, value), filled per column; only rows that are cut at a target may fill their head from later ones."""
     names = [c for c in wide.columns if c != "base_date"]
     long = wide.unpivot(["base_date"], names, "column_name", "value")
     return win.fill_forward_back(long, "column_name", "base_date", "value", causal)
 
 
-def macro_ratios(wide: DataFrame) -> DataFrame:
+def macro_ratios(wide: DataFrame, causal: bool = True) -> DataFrame:
     """copper/gold and gold/wti after filling."""
-    filled = macro_long(wide.select("base_date", "gold", "copper", "wti"))
+    filled = macro_long(wide.select("base_date", "gold", "copper", "wti"), causal)
     by_day = filled.groupBy("base_date").agg(
         *[F.max(F.when(F.col("column_name") == n, F.col("value"))).alias(n) for n in ("gold", "copper", "wti")]
     )
@@ -102,8 +107,8 @@ def _two_changes(changed: DataFrame, prefix: Column) -> DataFrame:
     return _global(changed.select("base_date", pair.alias("p")), F.col("p.n"), F.col("p.v"))
 
 
-def macro_wide_change(wide: DataFrame) -> DataFrame:
-    changed = win.lag_change_wide(macro_long(wide))
+def macro_wide_change(wide: DataFrame, causal: bool = True) -> DataFrame:
+    changed = win.lag_change_wide(macro_long(wide, causal))
     return _two_changes(changed, F.concat(F.lit("macro_"), F.col("column_name")))
 
 
@@ -111,8 +116,8 @@ def feature_prefix(series: Column) -> Column:
     return F.concat(F.lit("macro_"), F.replace(F.lower(series), F.lit(" "), F.lit("_")))
 
 
-def macro_series_change(series: DataFrame) -> DataFrame:
-    filled = win.fill_forward_back(series, "series_id", "base_date", "value")
+def macro_series_change(series: DataFrame, causal: bool = True) -> DataFrame:
+    filled = win.fill_forward_back(series, "series_id", "base_date", "value", causal)
     return _two_changes(win.lag_change_series(filled), feature_prefix(F.col("series_id")))
 
 
@@ -158,19 +163,37 @@ def rate_bp_change(series: DataFrame) -> DataFrame:
     return row_changes(series, "KR_GOVT_10Y", {1: ("KR10Y_1D_CHG_BP", "bp"), 20: ("KR10Y_20D_CHG_BP", "bp")})
 
 
+def macro_features(wide: DataFrame, series: DataFrame, target: date, day: date) -> list[DataFrame]:
+    """Macro producers of one date in the order that decides equal names, each cut to its look-back and at the date before anything is filled."""
+    cut = lambda df, days: df.where(F.col("base_date").between(F.lit(target - timedelta(days=days)), F.lit(day)))
+    near, far = cut(series, SERIES_LOOKBACK_DAYS), cut(wide, LOOKBACK_DAYS)
+    on_day = lambda df: df.where(F.col("base_date") == F.lit(day))
+    # a series may end before the date; its newest change counts for the date
+    newest = lambda df: df.groupBy("symbol", "feature_name").agg(F.max_by("feature_value", "base_date").alias("feature_value")).withColumn("base_date", F.lit(day))
+    parts = [on_day(macro_ratios(far, causal=False))] if {"gold", "copper", "wti"} <= set(wide.columns) else []
+    return parts + [
+        on_day(macro_wide_change(far, causal=False)), newest(macro_series_change(near, causal=False)),
+        yield_spreads(near, day), newest(fx_rate_change(near)), newest(rate_bp_change(near)),
+    ]
+
+
+_FLAGS = {"available_at": "timestamp", "data_quality_flag": "string", "source_consistency_status": "string"}
+
+
 def union_features(*producers: DataFrame) -> DataFrame:
-    """Stack producers; blank keys and non-finite values go, the last producer of a key wins."""
+    """Stack producers with their flags; blank keys and non-finite values go, the last producer of a key wins."""
     stacked = None
     for order, df in enumerate(producers):
-        part = df.select("symbol", "base_date", "feature_name", "feature_value", F.lit(order).alias("producer"))
+        flags = [(F.col(n) if n in df.columns else F.lit(None)).cast(t).alias(n) for n, t in _FLAGS.items()]
+        part = df.select("symbol", "base_date", "feature_name", "feature_value", *flags, F.lit(order).alias("producer"))
         stacked = part if stacked is None else stacked.unionByName(part)
     finite = F.col("feature_value").isNotNull() & ~F.isnan("feature_value") & (F.abs("feature_value") != float("inf"))
     ready = stacked.withColumn("symbol", normalize_symbol(F.col("symbol"))).where(
         finite & (F.col("symbol") != "") & F.col("base_date").isNotNull() & (F.coalesce("feature_name", F.lit("")) != "")
     )
-    return ready.groupBy("symbol", "base_date", "feature_name").agg(
-        F.max_by("feature_value", F.struct("producer", "feature_value")).alias("feature_value")
-    )
+    last = F.max_by(F.struct("feature_value", *_FLAGS), F.struct("producer", "feature_value")).alias("last")
+    rows = ready.groupBy("symbol", "base_date", "feature_name").agg(last).select("symbol", "base_date", "feature_name", "last.*")
+    return rows.withColumn("available_at", F.coalesce("available_at", available_at(F.col("base_date"))))
 
 
 def universe(static_universe: DataFrame, rankings: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.symbols import normalize_symbol
-from . import prices as px
+from . import prices as px, windows as win
 
 MASTER_COLUMNS = ("symbol", "market", "asset_type", "name")
 
@@ -31,11 +31,11 @@ def with_master(df: DataFrame, master: DataFrame, keep_unmatched: bool = False)
     return px.canonical(df).join(master.select(*MASTER_COLUMNS), "symbol", "left" if keep_unmatched else "inner")
 
 
-def stock_snapshot(prices: DataFrame, supply: DataFrame, ratios: DataFrame, master: DataFrame, markets: list[str]) -> DataFrame:
-    """Price, flows and ratios of the latest price date for the given markets."""
+def stock_snapshot(prices: DataFrame, supply: DataFrame, ratios: DataFrame, master: DataFrame, markets: list[str], day: DataFrame | None = None) -> DataFrame:
+    """Price, flows and ratios of the latest price date for the given markets; ``day`` may give that date as one cell, found more cheaply."""
     key = ["symbol", "base_date"]
     return (
-        latest(prices)
+        (latest(prices) if day is None else prices.where(F.col("base_date") == day.scalar()))
         .join(master.where(F.col("market").isin(*markets)).select("symbol", "name", "market"), "symbol")
         .join(supply, key, "left")
         .join(ratios.drop("source"), key, "left")
@@ -71,10 +71,11 @@ def missing_from(symbols: DataFrame, df: DataFrame) -> DataFrame:
     return symbols.select("symbol").join(df.select("symbol"), "symbol", "left_anti")
 
 
-def coverage_gap(master: DataFrame, prices: DataFrame, markets: list[str], limit: int = 30) -> DataFrame:
-    """Listed symbols without a row on the latest price date; a short report list, by symbol."""
+def coverage_gap(master: DataFrame, prices: DataFrame, markets: list[str], limit: int | None = None) -> DataFrame:
+    """Listed symbols without a row on the latest price date; the first ``limit`` by symbol, or all."""
     listed = master.where(F.col("market").isin(*markets)).select("symbol", "name", "market")
-    return listed.join(latest(prices).select("symbol"), "symbol", "left_anti").orderBy("symbol").limit(limit)
+    gap = listed.join(latest(prices).select("symbol"), "symbol", "left_anti")
+    return gap if limit is None else gap.orderBy("symbol").limit(limit)
 
 
 def watchlist_coverage(static_universe: DataFrame, prices: DataFrame) -> DataFrame:
@@ -127,19 +128,20 @@ def known_at(df: DataFrame, keys: list[str], as_of: Column, value: Column, order
     )
 
 
-def asof_many(observations: DataFrame, decisions: DataFrame, key: str, block: Column) -> DataFrame:
-    """For many decision instants: the newest earlier observation of the same key.
+def asof_many(observations: DataFrame, decisions: DataFrame, key: str) -> DataFrame:
+    """For many decision instants: the newest observation of the same key at or before each; of one instant the last by ``seq``.
 
-    Both sides are stacked with columns (key, at, value, decision_id) and filled
+    Both sides are stacked with columns (key, at, seq, value, decision_id) and filled
     forward per (key, block); the first rows of a block look back through a table
     with one row per block, so no key is handled by one task alone.
     """
-    stacked = observations.select(key, "at", "value", F.lit(None).cast("long").alias("decision_id"), F.lit(0).alias("kind")).unionByName(
-        decisions.select(key, "at", F.lit(None).cast("double").alias("value"), "decision_id", F.lit(1).alias("kind"))
-    ).withColumn("block", block)
-    inside = Window.partitionBy(key, "block").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    place = lambda kind, seq: F.struct("at", F.lit(kind).alias("kind"), F.col(seq).cast("long").alias("seq")).alias("place")
+    stacked = win.in_blocks(observations.select(key, "at", "value", F.lit(None).cast("long").alias("decision_id"), F.lit(0).alias("kind"), place(0, "seq")).unionByName(
+        decisions.select(key, "at", F.lit(None).cast("double").alias("value"), "decision_id", F.lit(1).alias("kind"), place(1, "decision_id"))
+    ), [key], "place")
+    inside = Window.partitionBy(key, "block").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
     blocks = Window.partitionBy(key).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    tails = stacked.groupBy(key, "block").agg(F.max_by(F.when(F.col("kind") == 0, F.col("value")), F.when(F.col("kind") == 0, F.col("at"))).alias("tail"))
+    tails = stacked.groupBy(key, "block").agg(F.max_by("value", F.when(F.col("kind") == 0, F.col("place"))).alias("tail"))
     carried = tails.select(key, "block", F.last("tail", ignorenulls=True).over(blocks).alias("carried"))
     filled = stacked.withColumn("known", F.last("value", ignorenulls=True).over(inside))
     return filled.where(F.col("kind") == 1).join(carried, [key, "block"], "left").select(

@@ -74,16 +74,17 @@ def price_history(rows: DataFrame) -> DataFrame:
 def price_ohlcv(rows: DataFrame, position: str = "position") -> DataFrame:
     """Broker bars; cap = close x listed shares, else the cap of the previous payload row.
 
-    ``position`` orders a symbol's payload, one row per day. ``is_valid`` routes the
-    row: all rows go to the raw table, valid ones also to the keyed table.
+    ``position`` orders a symbol's payloads and ``row_position`` the rows of one.
+    ``is_valid`` routes the row: all rows go to the raw table, valid ones also to the
+    keyed table.
     """
     shares = ps.parse_int_nullable(ps.first_present(_r("lstn_stcn"), _r("hts_avls")))
     parsed = rows.select(
-        "symbol", position, ps.parse_ymd(_r("stck_bsop_date")).alias("base_date"),
+        "symbol", position, "row_position", ps.parse_ymd(_r("stck_bsop_date")).alias("base_date"),
         *[ps.parse_int_nullable(_r(s)).alias(t) for t, s in _BAR.items()], shares.alias("outstanding_shares"),
-    ).withColumn("own_cap", F.when(F.col("outstanding_shares") > 0, F.col("close_price") * F.col("outstanding_shares")))
-    upto = Window.partitionBy("symbol").orderBy(position).rowsBetween(Window.unboundedPreceding, 0)
-    return parsed.withColumn("market_cap", F.last("own_cap", ignorenulls=True).over(upto)).withColumn("is_valid", px.valid_row()).drop("own_cap", position)
+    ).withColumn("own_cap", F.when(F.col("outstanding_shares") > 0, F.try_multiply("close_price", "outstanding_shares")))
+    upto = Window.partitionBy("symbol").orderBy(position, "row_position").rowsBetween(Window.unboundedPreceding, 0)
+    return parsed.withColumn("market_cap", F.last("own_cap", ignorenulls=True).over(upto)).withColumn("is_valid", px.valid_row()).drop("own_cap", position, "row_position")
 
 
 def price_exchange_stock(df: DataFrame, target: date) -> DataFrame:
@@ -126,12 +127,12 @@ def supply_simple(df: DataFrame) -> DataFrame:
     return df.select("symbol", day.alias("base_date"), num("foreign_net_buy"), num("institutional_net_buy"), num("individual_net_buy"))
 
 
-def supply_investor(rows: DataFrame) -> DataFrame:
-    """Five net buys per row, 0 for junk; symbols whose whole batch is zero are rejected."""
-    parsed = rows.select("symbol", ps.parse_ymd(_r("stck_bsop_date")).alias("base_date"), *[ps.parse_int_zero(_r(s)).alias(t) for t, s in FLOW_FIELDS.items()])
+def supply_investor(rows: DataFrame, batch: str = "batch") -> DataFrame:
+    """Five net buys per row, 0 for junk; a batch of a symbol that is zero throughout is rejected, other batches stay."""
+    parsed = rows.select("symbol", batch, ps.parse_ymd(_r("stck_bsop_date")).alias("base_date"), *[ps.parse_int_zero(_r(s)).alias(t) for t, s in FLOW_FIELDS.items()])
     nonzero = F.greatest(*[F.abs(F.col(t)) for t in FLOW_FIELDS]) > 0
-    alive = parsed.groupBy("symbol").agg(F.max(nonzero).alias("any_flow")).where("any_flow").select("symbol")
-    return parsed.join(alive, "symbol", "left_semi")
+    alive = parsed.groupBy("symbol", batch).agg(F.max(nonzero).alias("any_flow")).where("any_flow").select("symbol", batch)
+    return parsed.join(alive, ["symbol", batch], "left_semi")
 
 
 def _first_date(texts: str) -> Column:
@@ -146,7 +147,7 @@ def short_selling(rows: DataFrame) -> DataFrame:
     candidates = F.array(*[F.col(f"{part}.{n}") for part in ("row", "header") for n in SHORT_DATES], F.col("request_date"))
     dated = rows.withColumn("date_texts", F.filter(candidates, lambda t: t != ""))
     return dated.select(
-        *[c for c in rows.columns if c not in ("row", "header", "request_date", "symbol")], normalize_symbol(F.col("symbol")).alias("symbol"), _first_date("date_texts").alias("base_date"),
+        *[c for c in rows.columns if c not in ("row", "row_position", "header", "request_date", "symbol")], normalize_symbol(F.col("symbol")).alias("symbol"), _first_date("date_texts").alias("base_date"),
         ps.parse_int_zero(pick(SHORT_VOLUMES)).alias("short_volume"), ps.parse_int_zero(pick(SHORT_VALUES)).alias("short_value"),
         ps.parse_nullable(pick(SHORT_RATIOS), dash=False).alias("short_ratio"),
     ).withColumn("accepted", (F.col("symbol") != "") & F.col("base_date").isNotNull())
@@ -163,7 +164,7 @@ def snapshot(df: DataFrame) -> DataFrame:
     """Quote snapshot: cap in units of 100,000,000, ratios, 52-week range, shares, holding ratio; junk is 0."""
     i, d = (lambda n: ps.parse_int_zero(F.col(n))), (lambda n: ps.parse_zero(F.col(n)))
     return df.select(
-        normalize_symbol(F.col("symbol")).alias("symbol"), "base_date", (i("hts_avls") * F.lit(MARKET_CAP_UNIT)).alias("market_cap"),
+        normalize_symbol(F.col("symbol")).alias("symbol"), "base_date", F.try_multiply(i("hts_avls"), F.lit(MARKET_CAP_UNIT)).alias("market_cap"),
         d("per").alias("per"), d("pbr").alias("pbr"), i("w52_hgpr").alias("w52_high"), i("w52_lwpr").alias("w52_low"),
         i("lstn_stcn").alias("listed_shares"), d("hts_frgn_ehrt").alias("foreign_holding_ratio"),
     )
@@ -174,7 +175,7 @@ def basic_info(df: DataFrame) -> DataFrame:
     i, d = (lambda n: ps.parse_int_nullable(F.col(n))), (lambda n: ps.parse_nullable(F.col(n), dash=False))
     return df.select(
         normalize_symbol(F.col("symbol")).alias("symbol"), "base_date", ps.first_present(F.col("hts_kor_isnm"), F.col("bstp_kor_isnm")).alias("name"),
-        (i("hts_avls") * F.lit(MARKET_CAP_UNIT)).alias("market_cap"), i("lstn_stcn").alias("outstanding_shares"),
+        F.try_multiply(i("hts_avls"), F.lit(MARKET_CAP_UNIT)).alias("market_cap"), i("lstn_stcn").alias("outstanding_shares"),
         d("hts_frgn_ehrt").alias("foreign_holding_ratio"), d("per").alias("per"), d("pbr").alias("pbr"),
     )
 

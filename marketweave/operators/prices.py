@@ -98,10 +98,14 @@ def best_source(df: DataFrame, latest_first: bool = True, ties: tuple = _TIES) -
     return df.withColumn("pick", rank).where(F.col("pick") == 1).drop("pick")
 
 
+def clean_rows(prices: DataFrame, open_days: DataFrame) -> DataFrame:
+    """Valid and sourced rows of open days: what the panel chooses from."""
+    return on_open_days(prices.where(valid_row(require_source=True)), open_days)
+
+
 def clean_panel(prices: DataFrame, open_days: DataFrame, latest_first: bool = True) -> DataFrame:
     """Canonical symbol, valid and sourced rows of open days, one row per symbol-day."""
-    kept = canonical(prices).where(valid_row(require_source=True))
-    return best_source(on_open_days(kept, open_days), latest_first)
+    return best_source(canonical(clean_rows(prices, open_days)), latest_first)
 
 
 def with_flows(panel: DataFrame, supply: DataFrame) -> DataFrame:

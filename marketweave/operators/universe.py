@@ -76,8 +76,11 @@ def priority(order: dict | None = None) -> Column:
 
 
 def top_universe(universe: DataFrame, limit: int | None = None) -> DataFrame:
-    """Priority-ordered universe; the limit is the feature and never exceeds the hard limit."""
-    return universe.withColumn("priority", priority()).orderBy("priority", "symbol").limit(min(limit or DEFAULT_LIMIT, HARD_LIMIT))
+    """Priority-ordered universe, ``DEFAULT_LIMIT`` symbols unless told otherwise; a limit outside 1 to ``HARD_LIMIT`` is refused."""
+    size = DEFAULT_LIMIT if limit is None else limit
+    if not 1 <= size <= HARD_LIMIT:
+        raise ValueError(f"a detail universe has 1 to {HARD_LIMIT} symbols, not {size}")
+    return universe.withColumn("priority", priority()).orderBy("priority", "symbol").limit(size)
 
 
 def detail_universe(static_universe, rankings, broker_rows, master, limit: int | None = None) -> DataFrame:

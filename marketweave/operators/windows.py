@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.sanity import JUMP_DOWN, JUMP_MIN_HISTORY, JUMP_UP, price_scale_warning
+from ..session import staged
 
 def by_symbol():
     return Window.partitionBy("symbol").orderBy("base_date")
@@ -111,7 +112,16 @@ def lag_change_series(df: DataFrame, key: str = "series_id", value: str = "value
     })
 
 
-def blocked_lag(df: DataFrame, keys: str | list[str], order: str, value: str, block: Column) -> DataFrame:
+def in_blocks(df: DataFrame, by: list[str], order: str) -> DataFrame:
+    """``df`` with ``block``: the number of its range of (keys, order), ranges being of about equal size whatever the keys hold.
+
+    The bounds are sampled, so the numbers are kept: every later use must see the same.
+    """
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return staged(df.repartitionByRange(ranges, *by, order).withColumn("block", F.spark_partition_id()), "blocks")
+
+
+def blocked_lag(df: DataFrame, keys: str | list[str], order: str, value: str) -> DataFrame:
     """``lag(value)`` per key for histories too long for one task.
 
     Rows are windowed per (key, block); the first row of a block takes the last
@@ -120,7 +130,7 @@ def blocked_lag(df: DataFrame, keys: str | list[str], order: str, value: str, bl
     by = [keys] if isinstance(keys, str) else list(keys)
     inside = Window.partitionBy(*by, "block").orderBy(order)
     blocks = Window.partitionBy(*by).orderBy("block")
-    cut = df.withColumn("block", block)
+    cut = in_blocks(df, by, order)
     tails = cut.groupBy(*by, "block").agg(F.max_by(value, order).alias("tail"))
     carried = tails.select(*by, "block", F.lag("tail").over(blocks).alias("carried"))
     return (

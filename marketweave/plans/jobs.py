@@ -10,7 +10,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import calendar as cal, features as feat, macro as mc, prices as px, rankings as rk
+from ..operators import calendar as cal, features as feat, macro as mc, rankings as rk
 from ..schemas import KEYS, SCHEMAS
 from ..sources import tables as tb
 
@@ -59,15 +59,12 @@ def feature_job(store: Store, universe: DataFrame, master: DataFrame, wide_macro
         return "SKIPPED_INSUFFICIENT_PRICE_DATA"
     days = open_days(store, target - timedelta(days=feat.LOOKBACK_DAYS), target)
     supply = store.read("normalized_stock_supply_daily")
-    day = px.effective_date(feat.price_panel(prices, supply, days, target), target).first()["effective_date"]
+    day = feat.effective_day(prices, days, target).first()["effective_date"]
     if day is None:
         store.log("daily_feature_generator", target, "WARN", 0, "no tradable date in the look-back")
         return "WARN"
-    stock = feat.stock_features(prices, supply, days, universe, target)
-    macro = macro_features(wide_macro, store.read("normalized_macro_series"), target, day)
-    fresh = feat.union_features(stock, *macro)
-    flags = stock.select("symbol", "base_date", "feature_name", "available_at", "data_quality_flag", "source_consistency_status")
-    rows = fresh.join(flags, KEYS["feature_store_daily"], "left").withColumn("available_at", F.coalesce("available_at", feat.available_at(F.col("base_date"))))
+    stock = feat.stock_features(prices, supply, days, universe, target, day=day)
+    rows = feat.union_features(stock, *feat.macro_features(wide_macro, store.read("normalized_macro_series"), target, day))
     old = store.read("feature_store_daily").where(F.col("base_date") == F.lit(day))
     kept = old.where(~((F.col("symbol") != "GLOBAL") & F.col("feature_name").isin(*feat.STOCK_FEATURES)))
     ready_rows = tb.align_schema(rows, SCHEMAS["feature_store_daily"])
@@ -78,22 +75,11 @@ def feature_job(store: Store, universe: DataFrame, master: DataFrame, wide_macro
     return status
 
 
-def macro_features(wide: DataFrame, series: DataFrame, target: date, day: date) -> list[DataFrame]:
-    """Macro producers in the order that decides equal names, each cut to its look-back and the wanted date."""
-    cut = lambda df, days: df.where(F.col("base_date").between(F.lit(target - timedelta(days=days)), F.lit(day)))
-    near, far = cut(series, feat.SERIES_LOOKBACK_DAYS), cut(wide, feat.LOOKBACK_DAYS)
-    on_day = lambda df: df.where(F.col("base_date") == F.lit(day))
-    # a series may end before the date; its newest change counts for the date
-    newest = lambda df: df.groupBy("symbol", "feature_name").agg(F.max_by("feature_value", "base_date").alias("feature_value")).withColumn("base_date", F.lit(day))
-    has_ratio = {"gold", "copper", "wti"} <= set(wide.columns)
-    parts = [on_day(feat.macro_ratios(far))] if has_ratio else []
-    return parts + [
-        on_day(feat.macro_wide_change(far)), newest(feat.macro_series_change(near)), feat.yield_spreads(near, day), newest(feat.fx_rate_change(near)), newest(feat.rate_bp_change(near)),
-    ]
-
-
 def ranking_job(store: Store, broker_rows: DataFrame, master: DataFrame, target: date, min_valid_rows: int = 100, ready_thresholds: dict | None = None) -> str:
-    """All rankings of a date; each (date, market, type) slice is replaced across sources."""
+    """All rankings of a date; each (date, market, type) slice of the job is replaced across sources, empty ones included.
+
+    Rows of other markets and types of the date, such as index members, stay.
+    """
     skip, reason = market_gate(store, target)
     if skip:
         store.log("daily_ranking_pipeline", target, "SKIPPED_MARKET_CLOSED", 0, reason)
@@ -102,18 +88,26 @@ def ranking_job(store: Store, broker_rows: DataFrame, master: DataFrame, target:
     days = open_days(store, target - timedelta(days=60), target)
     valid = rk.latest_valid_price_date(prices, master, days, target, min_valid_rows=min_valid_rows).select("selected_price_base_date")
     rows = rk.build_daily(prices, broker_rows, master, valid, target, ready_thresholds=ready_thresholds)
-    store.overwrite("normalized_market_rankings_daily", rows)
+    table = "normalized_market_rankings_daily"
+    own = F.col("market").isin(*rk.MASTER_MARKETS) & F.col("rank_type").isin(*rk.RANK_TYPES)
+    others = store.read(table).where((F.col("base_date") == F.lit(target)) & ~F.coalesce(own, F.lit(False)))
+    merged = others.unionByName(tb.align_schema(rows, SCHEMAS[table])).persist()  # some hundred rows
+    if merged.isEmpty():
+        tb.clear(store.spark, store.path(table), SCHEMAS[table], "base_date", target)
+    else:
+        store.overwrite(table, merged)
+    merged.unpersist()
     ready = rk.market_ready(prices, master, target, ready_thresholds).agg(F.min("ready").alias("all_ready")).first()["all_ready"]
     status = "SUCCESS" if ready else "SKIPPED_INSUFFICIENT_PRICE_DATA"
-    written = store.read("normalized_market_rankings_daily").where(F.col("base_date") == F.lit(target)).count()
+    written = store.read(table).where(own).where(F.col("base_date") == F.lit(target)).count()
     store.log("daily_ranking_pipeline", target, status, written)
     return status
 
 
 def calendar_job(store: Store, date_range: DataFrame, schedule: DataFrame, overrides: DataFrame, exchanges: list[str]) -> None:
-    """Calendar of a period per exchange, manual overrides applied."""
+    """Calendar of a period per exchange, manual overrides applied; days outside the period stay."""
     rows = cal.apply_overrides(cal.build(date_range, schedule, exchanges), overrides)
-    tb.store(tb.align_schema(rows, SCHEMAS["market_trading_calendar"]), store.path("market_trading_calendar"), "exchange_code")
+    store.upsert("market_trading_calendar", rows, [F.col("is_open").desc(), F.col("reason")], "exchange_code")
 
 
 def macro_snapshot(store: Store, days: DataFrame, wide: DataFrame, index_quotes: DataFrame, fx_quotes: DataFrame, flows: DataFrame, rates: tuple) -> DataFrame:

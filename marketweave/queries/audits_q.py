@@ -400,15 +400,15 @@ def dq_status_document(L):
 
 @query("dq_macro_inspect", """
 SELECT 'macro' AS slice, base_date::VARCHAR AS at, 'usdkrw' AS item, usdkrw AS value FROM global_macro WHERE base_date BETWEEN $T - 7 AND $T
-UNION ALL SELECT * FROM (SELECT 'series', base_date::VARCHAR, series_id, value FROM macro_series WHERE series_id IN ('USDKRW', 'DEXKOUS', 'KRW=X') AND base_date <= $T ORDER BY base_date DESC LIMIT 30)
+UNION ALL SELECT 'series', base_date::VARCHAR, series_id, value FROM macro_series WHERE series_id IN ('USDKRW', 'DEXKOUS', 'KRW=X') AND base_date <= $T
 UNION ALL SELECT 'intraday', observed_at::VARCHAR, series_id, value FROM intraday WHERE base_date BETWEEN DATE '2024-01-20' - 3 AND DATE '2024-01-20'
-UNION ALL SELECT * FROM (SELECT 'runs', target_date::VARCHAR, job_name, run_id::DOUBLE FROM run_logs WHERE job_name LIKE '%macro%' ORDER BY target_date DESC, run_id DESC LIMIT 30)""".replace(" AS at,", " AS seen_at,"), rounds="value")
+UNION ALL SELECT 'runs', target_date::VARCHAR, job_name, run_id::DOUBLE FROM run_logs WHERE job_name LIKE '%macro%'""".replace(" AS at,", " AS seen_at,"), rounds="value")
 def dq_macro_inspect(L):
     shape = lambda df, name, at, item, value: df.select(F.lit(name).alias("slice"), text(at).alias("seen_at"), item.alias("item"), value.cast("double").alias("value"))
     wide = scan.date_range(L.global_macro, "base_date", date(2001, 6, 22), TARGET)
-    series = L.macro_series.where(c("series_id").isin("USDKRW", "DEXKOUS", "KRW=X") & (c("base_date") <= F.lit(TARGET))).orderBy(F.desc("base_date")).limit(30)
+    series = L.macro_series.where(c("series_id").isin("USDKRW", "DEXKOUS", "KRW=X") & (c("base_date") <= F.lit(TARGET)))
     bars = scan.date_range(L.intraday, "base_date", date(2024, 1, 17), date(2024, 1, 20))
-    runs = L.run_logs.where(c("job_name").contains("macro")).orderBy(F.desc("target_date"), F.desc("run_id")).limit(30)
+    runs = L.run_logs.where(c("job_name").contains("macro"))
     return agg.stack([
         shape(wide, "macro", "base_date", F.lit("usdkrw"), c("usdkrw")), shape(series, "series", "base_date", c("series_id"), c("value")),
         shape(bars, "intraday", "observed_at", c("series_id"), c("value")), shape(runs, "runs", "target_date", c("job_name"), c("run_id"))])

@@ -29,7 +29,8 @@ SELECT p.symbol, m.name, m.market, p.base_date, p.close_price, p.volume, p.tradi
 FROM panel p JOIN master m ON m.symbol = p.symbol AND m.market IN ('KOSPI', 'KOSDAQ') LEFT JOIN supply s ON s.symbol = p.symbol AND s.base_date = p.base_date
 LEFT JOIN ratios r ON r.symbol = p.symbol AND r.base_date = p.base_date WHERE p.base_date = (SELECT max(base_date) FROM panel)""", "base_date")
 def join_stock_snapshot(L):
-    return jn.stock_snapshot(panel(L), L.supply, L.ratios, L.master, list(STOCK_MARKETS)).select(
+    day = px.clean_rows(L.prices_raw, L.open_days).agg(F.max("base_date").alias("d"))
+    return jn.stock_snapshot(panel(L), L.supply, L.ratios, L.master, list(STOCK_MARKETS), day).select(
         "symbol", "name", "market", "base_date", "close_price", "volume", "trading_value", "foreign_net_buy", "institutional_net_buy",
         "foreign_holding_ratio", "per", "pbr", "roe", "debt_ratio")
 
@@ -70,8 +71,7 @@ def anti_missing_symbols(L):
 
 
 @query("anti_coverage_gap", """
-SELECT symbol, name, market FROM master WHERE market IN ('KOSPI', 'KOSDAQ') AND symbol NOT IN (SELECT symbol FROM prices_raw WHERE base_date = (SELECT max(base_date) FROM prices_raw))
-ORDER BY symbol LIMIT 30""")
+SELECT symbol, name, market FROM master WHERE market IN ('KOSPI', 'KOSDAQ') AND symbol NOT IN (SELECT symbol FROM prices_raw WHERE base_date = (SELECT max(base_date) FROM prices_raw))""")
 def anti_coverage_gap(L):
     return jn.coverage_gap(L.master, L.prices_raw, list(STOCK_MARKETS))
 
@@ -140,12 +140,12 @@ def asof_point_in_time(L):
 
 @query("asof_many_decisions", """
 SELECT d.event_id AS decision_id, d.series_id, d.observed_at AS decided_at, o.value AS known_value FROM (SELECT * FROM intraday WHERE source <> 'KIS') d
-ASOF LEFT JOIN (SELECT series_id, observed_at, value FROM intraday WHERE source = 'KIS') o ON o.series_id = d.series_id AND o.observed_at <= d.observed_at""", "decided_at")
+ASOF LEFT JOIN (SELECT series_id, observed_at, arg_max(value, event_id) AS value FROM intraday WHERE source = 'KIS' GROUP BY 1, 2) o ON o.series_id = d.series_id AND o.observed_at <= d.observed_at""", "decided_at")
 def asof_many_decisions(L):
     rows = L.intraday.withColumnRenamed("observed_at", "at")
-    seen = rows.where("source = 'KIS'")
+    seen = rows.where("source = 'KIS'").withColumnRenamed("event_id", "seq")
     asked = rows.where("source <> 'KIS'").withColumnRenamed("event_id", "decision_id")
-    return jn.asof_many(seen, asked, "series_id", F.date_trunc("hour", "at")).withColumnRenamed("at", "decided_at")
+    return jn.asof_many(seen, asked, "series_id").withColumnRenamed("at", "decided_at")
 
 
 @query("update_from_join", """
@@ -264,9 +264,8 @@ t AS (SELECT *, close_price - prev AS diff FROM w WHERE base_date = (SELECT max(
 SELECT base_date, count(*) FILTER (WHERE diff > 0) AS advances, count(*) FILTER (WHERE diff < 0) AS declines, count(*) FILTER (WHERE diff = 0) AS unchanged,
  coalesce(sum(volume::BIGINT) FILTER (WHERE diff > 0), 0)::BIGINT AS advancing_volume, coalesce(sum(volume::BIGINT) FILTER (WHERE diff < 0), 0)::BIGINT AS declining_volume FROM t GROUP BY 1""", "base_date")
 def agg_market_breadth(L):
-    rows = panel(L)
-    day = px.effective_date(rows, TARGET).withColumnRenamed("effective_date", "base_date")
-    return agg.market_breadth(rows, day, TARGET)
+    day = px.effective_date(px.clean_rows(L.prices_raw, L.open_days), TARGET).withColumnRenamed("effective_date", "base_date")
+    return agg.market_breadth(panel(L), day, TARGET)
 
 
 @query("agg_market_breadth_from_change", """

@@ -161,28 +161,40 @@ def bar_stream(L):
     code = F.get_json_object("props", "$.k").cast("int")
     return event_stream(L).select(
         c("ts").cast("timestamp").alias("observed_at"), pick(c("event_type"), SERIES_BY_EVENT).alias("series_id"), (c("value") * 10).alias("value"),
-        F.when(code > 20, (code - 50).cast("double") / F.lit(2.0)).alias("change_rate"), F.when(code < 60, "KIS").when(code < 80, "YAHOO").otherwise("FALLBACK_DAILY").alias("source"), "event_id")
+        F.when(code > 20, (code - 50).cast("double") / F.lit(2.0)).alias("change_rate"), F.when(code < 60, "KIS").when(code < 80, "YAHOO").otherwise("FALLBACK_DAILY").alias("source"), c("event_id").alias("seq"))
 
 
 _BOUND = """(value <= 0 OR NOT value BETWEEN CASE series_id WHEN 'KOSPI' THEN 100 WHEN 'KOSDAQ' THEN 50 WHEN 'USDKRW' THEN 500 WHEN 'VIX' THEN 1 WHEN 'WTI' THEN 5 END
  AND CASE series_id WHEN 'KOSPI' THEN 100000 WHEN 'KOSDAQ' THEN 50000 WHEN 'USDKRW' THEN 5000 WHEN 'VIX' THEN 500 WHEN 'WTI' THEN 1000 END)"""
 
 
-@query("stream_intraday_ingest", f"""
-SELECT observed_at, series_id, source, CASE WHEN NOT {_BOUND} THEN value END AS value, CASE WHEN {_BOUND} THEN 'INVALID' WHEN source = 'FALLBACK_DAILY' THEN 'FALLBACK_DAILY' WHEN abs(change_rate) > 20 THEN 'ANOMALY' ELSE 'OK' END AS quality_flag
-FROM (SELECT *, row_number() OVER (PARTITION BY observed_at, series_id, source ORDER BY event_id) AS rn FROM intraday) WHERE rn = 1""", "observed_at")
+# The rule of a record, stated on the last value (v) and change (c) of the broker (k), Yahoo (y) and the daily source (d).
+_RECORD = f"""p AS (SELECT *, CASE WHEN k.v IS NOT NULL THEN 'KIS' WHEN y.v IS NOT NULL THEN 'YAHOO' ELSE 'FALLBACK_DAILY' END AS source, coalesce(k.v, y.v, d.v) AS value,
+  CASE WHEN k.v IS NOT NULL THEN k.c WHEN y.v IS NOT NULL THEN y.c ELSE d.c END AS change, CASE WHEN k.v IS NOT NULL THEN coalesce(y.v, d.v) END AS other FROM last),
+rec AS (SELECT *, {_BOUND} AS bad, CASE WHEN abs(change) > 20 THEN 'ANOMALY' WHEN other > 0 AND abs(value / other - 1) * 100 > 10 THEN 'SOURCE_MISMATCH' ELSE 'OK' END AS judged FROM p),
+flagged AS (SELECT *, CASE WHEN bad THEN 'INVALID' WHEN source = 'KIS' THEN judged WHEN source = 'FALLBACK_DAILY' THEN 'FALLBACK_DAILY' WHEN series_id IN ('KOSPI', 'KOSDAQ') THEN 'FALLBACK_YAHOO' ELSE judged END AS quality_flag FROM rec)"""
+_LASTS = ", ".join(f"arg_max({{'v': value, 'c': change_rate}}, %s) FILTER (WHERE source = '{s}') AS {n}" for s, n in (("KIS", "k"), ("YAHOO", "y"), ("FALLBACK_DAILY", "d")))
+_SHOWN = "source, CASE WHEN NOT bad THEN value END AS value, CASE WHEN NOT bad THEN change END AS change_rate, quality_flag, other AS yahoo_value, CASE WHEN bad THEN value END AS raw_value"
+
+
+def shown(out):
+    """The JSON detail as columns."""
+    detail = lambda n: F.get_json_object("quality_detail", f"$.{n}").cast("double")
+    return out.withColumns({"yahoo_value": detail("yahoo_fallback_val"), "raw_value": detail("raw_value")}).drop("quality_detail")
+
+
+@query("stream_intraday_ingest", f"WITH last AS (SELECT observed_at, series_id, {_LASTS.replace('%s', 'event_id')} FROM intraday GROUP BY 1, 2), {_RECORD} SELECT observed_at, series_id, {_SHOWN} FROM flagged", "observed_at")
 def stream_intraday_ingest(L):
     out = st.ingest(bar_stream(L))
-    return st.written(L.spark, st.run_available(out), out.schema, ["observed_at", "series_id", "source"])
+    return shown(st.written(L.spark, st.run_available(out, "update"), out.schema, ["observed_at", "series_id"]))
 
 
-@query("stream_source_resolve", """
-WITH r AS (SELECT *, time_bucket(INTERVAL 10 MINUTE, observed_at) AS window_start, CASE source WHEN 'KIS' THEN 0 WHEN 'YAHOO' THEN 1 ELSE 2 END AS place FROM intraday),
-b AS (SELECT *, row_number() OVER (PARTITION BY window_start, series_id ORDER BY place, observed_at DESC, value DESC) AS rn, count(*) OVER (PARTITION BY window_start, series_id) AS bars FROM r)
-SELECT window_start, series_id, source, value, CASE WHEN value <= 0 THEN 'INVALID' WHEN source = 'KIS' THEN 'OK' WHEN source = 'YAHOO' THEN 'FALLBACK_YAHOO' ELSE 'FALLBACK_DAILY' END AS quality_flag, bars FROM b WHERE rn = 1""", "window_start")
+@query("stream_source_resolve", f"""
+WITH last AS (SELECT time_bucket(INTERVAL 10 MINUTE, observed_at) AS window_start, series_id, count(*) AS bars, {_LASTS.replace('%s', "{'t': observed_at, 'e': event_id}")} FROM intraday GROUP BY 1, 2), {_RECORD}
+SELECT window_start, series_id, {_SHOWN}, bars FROM flagged""", "window_start")
 def stream_source_resolve(L):
     out = st.resolve(bar_stream(L))
-    return st.written(L.spark, st.run_available(out, "update"), out.schema, ["window_start", "series_id"])
+    return shown(st.written(L.spark, st.run_available(out, "update"), out.schema, ["window_start", "series_id"]))
 
 
 @query("stream_stale_alarm", """

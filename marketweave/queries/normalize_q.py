@@ -127,12 +127,18 @@ def norm_price_normalized_record(L):
     return L.prices_raw.where(px.valid_row_lenient()).select("symbol", "base_date", "close_price", "volume", "trading_value", "market_cap", "source")
 
 
+def gapped_snapshots(L):
+    """All snapshots; those of a low ratio lack cap, shares and holding ratio."""
+    given = lambda n: F.when(c("per") > 2, c(n)).alias(n)
+    return L.snapshots.select(*[given(n) if n in ("market_cap", "listed_shares", "foreign_holding_ratio") else n for n in L.snapshots.columns])
+
+
 @query("join_price_and_cap", """
 SELECT b.market, b.symbol, b.base_date, p::DOUBLE AS close_price, s.market_cap, s.listed_shares FROM (SELECT *, 'KOSPI' AS market FROM day_bars WHERE ln <= 4 UNION ALL SELECT *, 'KOSDAQ' FROM day_bars WHERE ln > 4) b
-LEFT JOIN (SELECT *, CASE WHEN source = 'KIS' THEN 'KOSPI' ELSE 'KOSDAQ' END AS market FROM snapshots WHERE per > 2) s ON s.market = b.market AND s.symbol = b.symbol AND s.base_date = b.base_date""", "base_date")
+LEFT JOIN (SELECT *, CASE WHEN source = 'KIS' THEN 'KOSPI' ELSE 'KOSDAQ' END AS market FROM (SELECT * REPLACE (CASE WHEN per > 2 THEN market_cap END AS market_cap, CASE WHEN per > 2 THEN listed_shares END AS listed_shares) FROM snapshots)) s ON s.market = b.market AND s.symbol = b.symbol AND s.base_date = b.base_date""", "base_date")
 def join_price_and_cap(L):
     bars = L.day_bars.where("ln <= 4").withColumn("market", F.lit("KOSPI")).unionByName(L.day_bars.where("ln > 4").withColumn("market", F.lit("KOSDAQ")))
-    caps = L.snapshots.where("per > 2").select(F.when(c("source") == "KIS", "KOSPI").otherwise("KOSDAQ").alias("market"), "symbol", "base_date", "market_cap", "listed_shares")
+    caps = gapped_snapshots(L).select(F.when(c("source") == "KIS", "KOSPI").otherwise("KOSDAQ").alias("market"), "symbol", "base_date", "market_cap", "listed_shares")
     return nz.price_and_cap(bars.select("market", "symbol", "base_date", c("p").cast("double").alias("close_price")), caps)
 
 
@@ -145,12 +151,15 @@ def norm_supply_simple(L):
 
 
 @query("norm_supply_investor", """
-SELECT symbol, base_date, CASE WHEN symbol < '000050' THEN vol ELSE 0 END AS individual_net_buy, CASE WHEN symbol < '000050' THEN -vol ELSE 0 END AS foreign_net_buy, 0 AS pension_net_buy FROM day_bars WHERE symbol < '000050'""", "base_date", ints="pension_net_buy")
+SELECT symbol, base_date, CASE WHEN dc = 0 THEN 0 ELSE vol END AS individual_net_buy, CASE WHEN dc = 0 THEN 0 ELSE -vol END AS foreign_net_buy, 0 AS pension_net_buy
+FROM (SELECT *, max(CASE WHEN dc > 0 AND vol <> 0 AND month(base_date) % 2 = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY symbol, year(base_date), month(base_date)) AS live FROM day_bars) WHERE live = 1""", "base_date", ints="pension_net_buy")
 def norm_supply_investor(L):
-    live = c("symbol") < "000050"
+    """A batch is a symbol's month; those of odd months, and days without discount, hold no flow."""
+    live = (c("dc") > 0) & (F.month("base_date") % 2 == 0)
     row = F.struct(F.date_format("base_date", "yyyyMMdd").alias("stck_bsop_date"), F.when(live, F.format_number("vol", 0)).otherwise("0").alias("prsn_ntby_qty"), F.lit("").alias("orgn_ntby_qty"),
                    F.when(live, text(-c("vol"))).otherwise("junk").alias("frgn_ntby_qty"), F.lit("0").alias("pnsn_ntby_qty"), F.lit(None).cast("string").alias("etc_corp_ntby_qty"))
-    return nz.supply_investor(L.day_bars.select("symbol", row.alias("row"))).select("symbol", "base_date", "individual_net_buy", "foreign_net_buy", "pension_net_buy")
+    batch = F.date_format("base_date", "yyyy-MM").alias("batch")
+    return nz.supply_investor(L.day_bars.select("symbol", batch, row.alias("row"))).select("symbol", "base_date", "individual_net_buy", "foreign_net_buy", "pension_net_buy")
 
 
 def landed_shorts(L):
@@ -209,10 +218,10 @@ def norm_financials(L):
     return nz.financials(rows)
 
 
-@query("norm_ratios", "SELECT symbol, base_date, CASE WHEN tx > 0 THEN dc::DOUBLE END AS per, CASE WHEN tx > 0 THEN tx::DOUBLE END AS pbr, CASE WHEN ln > 3 THEN ln::DOUBLE END AS roe, p::DOUBLE AS debt_ratio FROM day_bars WHERE dc > 0", "base_date")
+@query("norm_ratios", "SELECT symbol, base_date, CASE WHEN tx > 0 THEN dc::DOUBLE END AS per, CASE WHEN tx > 0 THEN tx::DOUBLE END AS pbr, CASE WHEN ln > 3 AND dc > 0 THEN ln::DOUBLE END AS roe, CASE WHEN dc > 0 THEN p::DOUBLE END AS debt_ratio FROM day_bars", "base_date")
 def norm_ratios(L):
-    quotes = L.day_bars.where("tx > 0").select("symbol", "base_date", text("dc").alias("per"), text("tx").alias("pbr"))
-    stability = L.day_bars.where("dc > 0").select("symbol", "base_date", F.when(c("ln") > 3, text("ln")).otherwise("").alias("self_cptl_ntin_inrt"), F.format_number("p", 0).alias("lblt_rate"))
+    quotes = L.day_bars.select("symbol", "base_date", F.when(c("tx") > 0, text("dc")).otherwise("n/a").alias("per"), F.when(c("tx") > 0, text("tx")).alias("pbr"))
+    stability = L.day_bars.select("symbol", "base_date", F.when((c("ln") > 3) & (c("dc") > 0), text("ln")).otherwise("").alias("self_cptl_ntin_inrt"), F.when(c("dc") > 0, F.format_number("p", 0)).alias("lblt_rate"))
     return nz.ratios(quotes, stability)
 
 
@@ -345,16 +354,16 @@ def raw_field_presence(L):
 
 @query("merge_snapshot_into_price", """
 SELECT p.symbol, p.base_date, p.close_price, CASE WHEN s.symbol IS NOT NULL THEN s.market_cap ELSE p.market_cap END AS market_cap, CASE WHEN s.symbol IS NOT NULL THEN s.listed_shares ELSE p.outstanding_shares END AS outstanding_shares
-FROM panel p LEFT JOIN (SELECT * FROM snapshots WHERE per > 2) s ON s.symbol = p.symbol AND s.base_date = p.base_date""", "base_date")
+FROM panel p LEFT JOIN (SELECT * REPLACE (CASE WHEN per > 2 THEN market_cap END AS market_cap, CASE WHEN per > 2 THEN listed_shares END AS listed_shares) FROM snapshots) s ON s.symbol = p.symbol AND s.base_date = p.base_date""", "base_date")
 def merge_snapshot_into_price(L):
-    return nz.merge_snapshot_into_price(panel(L), L.snapshots.where("per > 2")).select("symbol", "base_date", "close_price", "market_cap", "outstanding_shares")
+    return nz.merge_snapshot_into_price(panel(L), gapped_snapshots(L)).select("symbol", "base_date", "close_price", "market_cap", "outstanding_shares")
 
 
 @query("merge_snapshot_into_supply", """
 SELECT p.symbol, p.base_date, p.foreign_net_buy, CASE WHEN s.symbol IS NOT NULL THEN s.foreign_holding_ratio ELSE p.foreign_holding_ratio END AS foreign_holding_ratio
-FROM supply p LEFT JOIN (SELECT * FROM snapshots WHERE per > 2) s ON s.symbol = p.symbol AND s.base_date = p.base_date""", "base_date")
+FROM supply p LEFT JOIN (SELECT * REPLACE (CASE WHEN per > 2 THEN foreign_holding_ratio END AS foreign_holding_ratio) FROM snapshots) s ON s.symbol = p.symbol AND s.base_date = p.base_date""", "base_date")
 def merge_snapshot_into_supply(L):
-    return nz.merge_snapshot_into_supply(L.supply.select("symbol", "base_date", "foreign_net_buy", "foreign_holding_ratio"), L.snapshots.where("per > 2"))
+    return nz.merge_snapshot_into_supply(L.supply.select("symbol", "base_date", "foreign_net_buy", "foreign_holding_ratio"), gapped_snapshots(L))
 
 
 @query("backfill_history_slice", "SELECT symbol, base_date, close_price, base_date + INTERVAL 9 HOUR AS available_at FROM prices_raw WHERE base_date BETWEEN DATE '1999-01-01' AND DATE '2000-12-31'", "base_date available_at")

@@ -13,12 +13,12 @@ from .registry import TARGET, query
 from .views_sql import norm, valid
 from .windows_q import panel
 
-LIMITS = {"KOSPI": 3, "KOSDAQ": 3, "ETF": 2, "ETN": 2}
+LIMITS = rk.RANKING_LIMITS
 THRESHOLDS = {"KOSPI": 2, "KOSDAQ": 2, "ETF": 3, "ETN": 1}
 READY = {"KOSPI": 1, "KOSDAQ": 100}
 MIN_VALID = 22
 
-_LIM = "CASE WHEN market IN ('KOSPI', 'KOSDAQ') THEN 3 ELSE 2 END"
+_LIM = "CASE WHEN market IN ('KOSPI', 'KOSDAQ') THEN 30 ELSE 20 END"
 _Q = "CASE WHEN symbol LIKE 'Q%' THEN substr(symbol, 2) ELSE symbol END"
 
 _VALID_DAY = f"""goal AS (SELECT max(base_date) AS d FROM open_days WHERE base_date <= $T),
@@ -115,7 +115,7 @@ def rank_market_cap_gate(L):
 @query("rank_build_daily", f"""WITH {_PRICED}, {_SELECT}, {_READY}
 SELECT $T AS base_date, * FROM (SELECT * FROM vol
  UNION ALL SELECT 'trading_value', market, rank, symbol, trading_value, 'KIS', $T FROM (SELECT *, row_number() OVER (PARTITION BY market ORDER BY trading_value DESC, volume DESC, symbol) AS rank
-   FROM today WHERE market IN ('KOSPI', 'KOSDAQ')) WHERE rank <= 3
+   FROM today WHERE market IN ('KOSPI', 'KOSDAQ')) WHERE rank <= 30
  UNION ALL SELECT 'trading_value', market, rank, symbol, metric_value, source, base_date FROM priced WHERE rank_type = 'trading_value' AND market IN ('ETF', 'ETN')
  UNION ALL SELECT 'market_cap', market, rank, symbol, metric_value, source, base_date FROM caps)""", "base_date source_base_date", "metric_value")
 def rank_build_daily(L):
@@ -125,16 +125,16 @@ def rank_build_daily(L):
 
 @query("rank_simple_fallback", """
 SELECT base_date, symbol, market, rank, trading_value AS metric_value FROM (SELECT p.*, m.market, row_number() OVER (PARTITION BY base_date ORDER BY trading_value DESC, p.symbol) AS rank
- FROM panel p JOIN master m ON m.symbol = p.symbol AND m.market = 'ETF') WHERE rank <= 2""", "base_date")
+ FROM panel p JOIN master m ON m.symbol = p.symbol AND m.market = 'ETF') WHERE rank <= 20""", "base_date")
 def rank_simple_fallback(L):
-    return rk.simple_fallback(panel(L), L.master, "ETF", "trading_value", 2).select("base_date", "symbol", "market", "rank", "metric_value")
+    return rk.simple_fallback(panel(L), L.master, "ETF", "trading_value", 20).select("base_date", "symbol", "market", "rank", "metric_value")
 
 
 @query("rank_persist_verified", f"""
 SELECT base_date, market, rank_type, rank, symbol, source, metric_value FROM (SELECT r.* EXCLUDE (rank, symbol), s AS symbol, row_number() OVER (PARTITION BY base_date, r.market, rank_type
-   ORDER BY r.rank, s, source, metric_value) AS rank FROM (SELECT *, {_Q} AS s FROM rankings) r JOIN master m ON m.symbol = r.s AND m.market = r.market) WHERE rank <= 5""", "base_date")
+   ORDER BY r.rank, s, source, metric_value) AS rank FROM (SELECT *, {_Q} AS s FROM rankings) r JOIN master m ON m.symbol = r.s AND m.market = r.market) WHERE rank <= 30""", "base_date")
 def rank_persist_verified(L):
-    rows = rk.verified(L.rankings, L.master, 5, ["raw_rank", "symbol", "source", "metric_value"])
+    rows = rk.verified(L.rankings, L.master, 30, ["raw_rank", "symbol", "source", "metric_value"])
     return rows.select("base_date", "market", "rank_type", "rank", "symbol", "source", "metric_value")
 
 
@@ -179,9 +179,9 @@ def union_universe_sources(L):
 _PRIO = "CASE WHEN source_category LIKE '%static%' THEN 0 WHEN source_category LIKE '%kis_volume_rank%' THEN 3 ELSE 4 END"
 
 
-@query("topk_universe", f"WITH {_DETAIL} SELECT symbol, source_category, {_PRIO} AS priority FROM combined ORDER BY priority, symbol LIMIT 20", ints="priority")
+@query("topk_universe", f"WITH {_DETAIL} SELECT symbol, source_category, {_PRIO} AS priority FROM combined ORDER BY priority, symbol LIMIT 300", ints="priority")
 def topk_universe(L):
-    return un.top_universe(combined(L), 20).select("symbol", "source_category", "priority")
+    return un.top_universe(combined(L)).select("symbol", "source_category", "priority")
 
 
 @query("universe_detail", f"WITH {_DETAIL} SELECT symbol, name, market, source_category FROM combined ORDER BY {_PRIO}, symbol LIMIT 300")
@@ -273,12 +273,13 @@ def universe_alignment(L):
 
 
 def existing_master(L):
-    return L.master.where("symbol < '000070'").select("symbol", "name", "market", "asset_type", "is_active")
+    """Every other symbol is known already."""
+    return L.master.where("cast(symbol as int) % 2 = 0").select("symbol", "name", "market", "asset_type", "is_active")
 
 
 @query("norm_master_record", """
 SELECT symbol, name, market, CASE WHEN market IN ('ETF', 'ETN') THEN market ELSE 'STOCK' END AS asset_type,
- CASE WHEN symbol IN (SELECT symbol FROM static_universe WHERE enabled) THEN true WHEN symbol < '000070' THEN is_active ELSE false END AS is_active FROM master WHERE market IS NOT NULL""")
+ CASE WHEN symbol IN (SELECT symbol FROM static_universe WHERE enabled) THEN true WHEN symbol::INT % 2 = 0 THEN is_active ELSE false END AS is_active FROM master WHERE market IS NOT NULL""")
 def norm_master_record(L):
     rows = listing(L, "true").where("market is not null").select(F.col("code").alias("symbol"), "name", "market")
     kind = F.when(F.col("market").isin(*mk.ETP_MARKETS), F.col("market")).otherwise("STOCK")

@@ -177,12 +177,12 @@ _BARS = "bars AS (SELECT *, lag(value) OVER (PARTITION BY series_id, base_date O
 def bars(L):
     """Intraday bars with the previous and first value of their series-day.
 
-    A busy series-day is cut into hours for the first and aggregated for the second.
+    A busy series-day is cut into ranges for the first and aggregated for the second.
     """
     day = ["series_id", "base_date"]
     rows = L.intraday.withColumn("at", F.struct("observed_at", "event_id"))
     opening = rows.groupBy(*day).agg(F.min_by("value", "at").alias("opening"))
-    stepped = win.blocked_lag(rows, day, "at", "value", F.date_trunc("hour", "observed_at"))
+    stepped = win.blocked_lag(rows, day, "at", "value")
     return stepped.join(opening, day)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import prices as px
 from ..schemas import SHORTS
-from ..session import shared_dir
+from ..session import landing_dir
 from ..sources import scan, tables as tb
 from .registry import TARGET, query
 from .windows_q import panel
@@ -21,7 +21,7 @@ def c(name):
 
 def landed(L, kind: str) -> str:
     """A new folder for files this run lands."""
-    return shared_dir(L.spark, "landed", f"{kind}-{uuid.uuid4().hex}")
+    return landing_dir(L.spark, f"{kind}-{uuid.uuid4().hex}")
 
 
 @query("scan_date_range", "SELECT symbol, base_date, close_price, volume, source FROM prices_raw WHERE base_date BETWEEN DATE '1999-01-01' AND DATE '1999-12-31'", "base_date")
@@ -105,16 +105,21 @@ def read_corp_code_map(L):
 # ---- keyed writes -----------------------------------------------------------
 
 _KEY = ["symbol", "base_date"]
-_STORED = """stored AS (SELECT symbol, base_date, short_volume, short_value, short_ratio FROM shorts WHERE symbol < '000080')"""
-_FRESH = """fresh AS (SELECT symbol, base_date, short_volume + 1 AS short_volume, short_value, coalesce(short_ratio, 9.0) AS short_ratio FROM shorts WHERE symbol >= '000060' AND base_date >= DATE '2000-01-01')"""
+_STORED = """stored AS (SELECT symbol, base_date, short_volume, short_value, short_ratio FROM shorts WHERE (symbol::INT + day(base_date)) % 3 <> 0)"""
+_FRESH = """fresh AS (SELECT symbol, base_date, short_volume + 1 AS short_volume, short_value, coalesce(short_ratio, 9.0) AS short_ratio FROM shorts WHERE (symbol::INT + day(base_date)) % 3 <> 1)"""
+
+
+def _third():
+    """Which third of all symbol-days a row is in: one is stored only, one arrives only, one does both."""
+    return (c("symbol").cast("int") + F.dayofmonth("base_date")) % 3
 
 
 def stored_shorts(L):
-    return L.shorts.where("symbol < '000080'").select("symbol", "base_date", "short_volume", "short_value", "short_ratio")
+    return L.shorts.where(_third() != 0).select("symbol", "base_date", "short_volume", "short_value", "short_ratio")
 
 
 def fresh_shorts(L):
-    return L.shorts.where("symbol >= '000060' and base_date >= date'2000-01-01'").select(
+    return L.shorts.where(_third() != 1).select(
         "symbol", "base_date", (c("short_volume") + 1).alias("short_volume"), "short_value", F.coalesce("short_ratio", F.lit(9.0)).alias("short_ratio"))
 
 

@@ -107,11 +107,10 @@ WINDOW w AS (PARTITION BY s.series_id ORDER BY d.base_date ROWS UNBOUNDED PRECED
 def fill_forward_back(L):
     names = {"gold": "KR_GOVT_10Y", "copper": "KR_GOVT_3Y", "wti": "KR_CORP_AA_3Y", "us10y": "KR_CORP_BBB_3Y", "usdkrw": "USDKRW"}
     renamed = L.global_macro.withColumnsRenamed(names)
-    return feat.macro_long(renamed).select("base_date", F.col("column_name").alias("series_id"), "value")
+    return feat.macro_long(renamed, causal=False).select("base_date", F.col("column_name").alias("series_id"), "value")
 
 
-_FILLED = """filled AS (SELECT d.base_date, s.name, coalesce(last_value(value IGNORE NULLS) OVER w, first_value(value IGNORE NULLS) OVER (PARTITION BY s.name
-    ORDER BY d.base_date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS value
+_FILLED = """filled AS (SELECT d.base_date, s.name, last_value(value IGNORE NULLS) OVER w AS value
 FROM (SELECT DISTINCT base_date FROM macro_series) d CROSS JOIN (VALUES ('gold','KR_GOVT_10Y'),('copper','KR_GOVT_3Y'),('wti','KR_CORP_AA_3Y'),('us10y','KR_CORP_BBB_3Y'),('usdkrw','USDKRW')) AS s(name, series_id)
 LEFT JOIN macro_series m ON m.base_date = d.base_date AND m.series_id = s.series_id
 WINDOW w AS (PARTITION BY s.name ORDER BY d.base_date ROWS UNBOUNDED PRECEDING)),
@@ -134,10 +133,10 @@ def win_lag_change_series(L):
 @query("win_rank_by_market", """
 SELECT base_date, market, symbol, rank, trading_value FROM (SELECT p.base_date, m.market, p.symbol, p.trading_value,
    row_number() OVER (PARTITION BY p.base_date, m.market ORDER BY volume DESC, trading_value DESC, p.symbol) AS rank
- FROM panel p JOIN master m ON m.symbol = p.symbol WHERE m.market IS NOT NULL) WHERE rank <= CASE WHEN market IN ('KOSPI', 'KOSDAQ') THEN 3 ELSE 2 END""", "base_date")
+ FROM panel p JOIN master m ON m.symbol = p.symbol WHERE m.market IS NOT NULL) WHERE rank <= CASE WHEN market IN ('KOSPI', 'KOSDAQ') THEN 30 ELSE 20 END""", "base_date")
 def win_rank_by_market(L):
     rows = panel(L).join(L.master.select("symbol", "market"), "symbol").where(F.col("market").isNotNull())
-    limits = {"KOSPI": 3, "KOSDAQ": 3, "ETF": 2, "ETN": 2}
+    limits = {"KOSPI": 30, "KOSDAQ": 30, "ETF": 20, "ETN": 20}
     order = [F.desc("volume"), F.desc("trading_value"), F.col("symbol")]
     return win.rank_by(rows, ["base_date", "market"], order, limits).select("base_date", "market", "symbol", "rank", "trading_value")
 
@@ -164,13 +163,13 @@ def win_previous_bar_change(L):
     from ..functions.sanity import change_rate
 
     bars = L.intraday.select("series_id", "value", "observed_at", F.struct("observed_at", "event_id").alias("at"))
-    rows = win.blocked_lag(bars, "series_id", "at", "value", F.date_trunc("hour", "observed_at"))
+    rows = win.blocked_lag(bars, "series_id", "at", "value")
     return rows.select("series_id", "observed_at", "value", change_rate(F.col("value"), F.col("previous")).alias("change_rate"))
 
 
 @query("resolve_effective_date", "SELECT max(base_date) AS effective_date FROM panel WHERE base_date <= DATE '2001-07-01'", "effective_date")
 def resolve_effective_date(L):
-    return px.effective_date(panel(L), date(2001, 7, 1))
+    return px.effective_date(px.clean_rows(L.prices_raw, L.open_days), date(2001, 7, 1))
 
 
 # ---- trading calendar -------------------------------------------------------
@@ -318,8 +317,8 @@ def feat_quality_flags(L):
 
 @query("feat_macro_ratio", f"""WITH {_FILLED}, byday AS (SELECT base_date, max(value) FILTER (WHERE name = 'gold') AS gold, max(value) FILTER (WHERE name = 'copper') AS copper,
  max(value) FILTER (WHERE name = 'wti') AS wti FROM filled GROUP BY 1)
-SELECT 'GLOBAL' AS symbol, base_date, 'copper_gold_ratio' AS feature_name, copper / gold AS feature_value FROM byday
-UNION ALL SELECT 'GLOBAL', base_date, 'gold_oil_ratio', gold / wti FROM byday""", "base_date", "feature_value")
+SELECT 'GLOBAL' AS symbol, base_date, 'copper_gold_ratio' AS feature_name, copper / gold AS feature_value FROM byday WHERE copper / gold IS NOT NULL
+UNION ALL SELECT 'GLOBAL', base_date, 'gold_oil_ratio', gold / wti FROM byday WHERE gold / wti IS NOT NULL""", "base_date", "feature_value")
 def feat_macro_ratio(L):
     return feat.macro_ratios(L.global_macro)
 
@@ -392,9 +391,36 @@ def feat_readiness_gate(L):
     return feat.readiness_gate(L.prices_raw, L.master, TARGET)
 
 
-@query("union_features", f"""WITH {_FILLED}, {_SERIES}, {_F90},
-allf AS (SELECT 0 AS p, symbol, base_date, feature_name, feature_value FROM long WHERE feature_value IS NOT NULL
- UNION ALL SELECT 1, * FROM ({_WIDE_ROWS}) UNION ALL SELECT 2, * FROM ({_SERIES_ROWS}))
-SELECT symbol, base_date, feature_name, arg_max(feature_value, p) AS feature_value FROM allf GROUP BY 1, 2, 3""", "base_date", "feature_value")
+# One date's macro features: everything is cut at the date first, so filling a head from later rows stays within the look-back.
+_CUT = """day AS (SELECT max(base_date) AS d FROM f90), far AS (SELECT m.* FROM macro_series m, day WHERE m.base_date BETWEEN $T - 90 AND d), near AS (SELECT m.* FROM macro_series m, day WHERE m.base_date BETWEEN $T - 45 AND d),
+cutf AS (SELECT t.base_date, s.name, coalesce(last_value(value IGNORE NULLS) OVER w, first_value(value IGNORE NULLS) OVER (PARTITION BY s.name ORDER BY t.base_date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS value
+ FROM (SELECT DISTINCT base_date FROM far) t CROSS JOIN (VALUES ('gold','KR_GOVT_10Y'),('copper','KR_GOVT_3Y'),('wti','KR_CORP_AA_3Y'),('us10y','KR_CORP_BBB_3Y'),('usdkrw','USDKRW')) AS s(name, series_id)
+ LEFT JOIN far m ON m.base_date = t.base_date AND m.series_id = s.series_id WINDOW w AS (PARTITION BY s.name ORDER BY t.base_date ROWS UNBOUNDED PRECEDING)),
+metal AS (SELECT max(value) FILTER (WHERE name = 'gold') AS gold, max(value) FILTER (WHERE name = 'copper') AS copper, max(value) FILTER (WHERE name = 'wti') AS wti FROM cutf, day WHERE base_date = d),
+widec AS (SELECT *, value / nullif(lag(value) OVER p, 0) - 1 AS c1, value / nullif(lag(value, 5) OVER p, 0) - 1 AS c5 FROM cutf WINDOW p AS (PARTITION BY name ORDER BY base_date)),
+serc AS (SELECT *, value / nullif(lag(value) OVER p, 0) - 1 AS c1, CASE WHEN row_number() OVER p > 1 THEN value / nullif(first_value(value) OVER (PARTITION BY series_id ORDER BY base_date ROWS 5 PRECEDING), 0) - 1 END AS c5,
+ (value / nullif(lag(value) OVER p, 0) - 1) * 100 AS pct, (value - lag(value) OVER p) * 100 AS bp1, (value - lag(value, 20) OVER p) * 100 AS bp20 FROM near WINDOW p AS (PARTITION BY series_id ORDER BY base_date)),
+last AS (SELECT series_id, arg_max(value, base_date) AS v FROM near GROUP BY 1),
+y AS (SELECT max(v) FILTER (WHERE series_id = 'KR_GOVT_10Y') AS y10, max(v) FILTER (WHERE series_id = 'KR_GOVT_3Y') AS y3, max(v) FILTER (WHERE series_id = 'KR_CORP_AA_3Y') AS aa, max(v) FILTER (WHERE series_id = 'KR_CORP_BBB_3Y') AS bbb FROM last),
+macro AS (SELECT 1 AS p, 'copper_gold_ratio' AS name, copper / gold AS v FROM metal UNION ALL SELECT 1, 'gold_oil_ratio', gold / wti FROM metal
+ UNION ALL SELECT 2, 'macro_' || name || '_1d_chg', c1 FROM widec, day WHERE base_date = d UNION ALL SELECT 2, 'macro_' || name || '_5d_chg', c5 FROM widec, day WHERE base_date = d
+ UNION ALL SELECT 3, 'macro_' || lower(series_id) || '_1d_chg', arg_max(c1, base_date) FILTER (WHERE c1 IS NOT NULL) FROM serc GROUP BY 2
+ UNION ALL SELECT 3, 'macro_' || lower(series_id) || '_5d_chg', arg_max(c5, base_date) FILTER (WHERE c5 IS NOT NULL) FROM serc GROUP BY 2
+ UNION ALL SELECT 4, 'KR_YIELD_SPREAD_10Y_3Y', y10 - y3 FROM y UNION ALL SELECT 4, 'KR_CREDIT_SPREAD_AA_3Y', aa - y3 FROM y UNION ALL SELECT 4, 'KR_CREDIT_SPREAD_BBB_3Y', bbb - y3 FROM y
+ UNION ALL SELECT 5, 'USDKRW_1D_CHG_PCT', arg_max(pct, base_date) FILTER (WHERE pct IS NOT NULL) FROM serc WHERE series_id = 'USDKRW'
+ UNION ALL SELECT 6, 'KR10Y_1D_CHG_BP', arg_max(bp1, base_date) FILTER (WHERE bp1 IS NOT NULL) FROM serc WHERE series_id = 'KR_GOVT_10Y'
+ UNION ALL SELECT 6, 'KR10Y_20D_CHG_BP', arg_max(bp20, base_date) FILTER (WHERE bp20 IS NOT NULL) FROM serc WHERE series_id = 'KR_GOVT_10Y')"""
+
+
+@query("union_features", f"""WITH {_F90}, {_CUT},
+allf AS (SELECT 0 AS p, symbol, base_date, feature_name, feature_value, warn FROM long WHERE feature_value IS NOT NULL
+ UNION ALL SELECT p, 'GLOBAL', d, name, v, NULL FROM macro, day WHERE v IS NOT NULL),
+won AS (SELECT symbol, base_date, feature_name, arg_max(feature_value, p) AS feature_value, arg_max(coalesce(warn, ''), p) AS warn FROM allf GROUP BY 1, 2, 3)
+SELECT symbol, base_date, feature_name, feature_value, base_date + INTERVAL 7 HOUR AS available_at,
+ CASE WHEN warn <> '' AND feature_name IN ('close_price', 'return_5d', 'return_20d', 'return_60d') THEN warn END AS data_quality_flag,
+ CASE WHEN warn <> '' AND feature_name IN ('close_price', 'return_5d', 'return_20d', 'return_60d') THEN 'PRICE_SCALE_WARNING' END AS source_consistency_status FROM won""", "base_date available_at", "feature_value")
 def union_features(L):
-    return feat.union_features(stock_features(L), feat.macro_wide_change(L.global_macro), feat.macro_series_change(L.macro_series))
+    """The whole feature store of one date: stock features and every macro producer, with flags and availability."""
+    day = feat.effective_day(L.prices_raw, L.open_days, TARGET).first()["effective_date"]
+    stock = feat.stock_features(L.prices_raw, L.supply, L.open_days, feat.universe(L.static_universe, L.rankings), TARGET, DEMO_BOUNDS, day)
+    return feat.union_features(stock, *feat.macro_features(L.global_macro, L.macro_series, TARGET, day))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None, app: str = "marketweave") -> SparkSession:
@@ -31,6 +32,19 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def landing_dir(spark: SparkSession, *parts: str) -> str:
+    """Where landed files go: ``spark.marketweave.landing.dir``, or the shared folder if that is not set."""
+    base = spark.conf.get("spark.marketweave.landing.dir", None)
+    return "/".join([base.rstrip("/"), *parts]) if base else shared_dir(spark, "landing", *parts)
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The rows written once to the shared folder and read again, so that each use sees the same."""
+    path = shared_dir(df.sparkSession, "staged", f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder every executor can reach.
 

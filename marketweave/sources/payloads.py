@@ -20,7 +20,8 @@ def _as_list(text: Column) -> Column:
 def payload_rows(df: DataFrame, fields: T.StructType, column: str = "raw_data") -> DataFrame:
     """One row per payload row: ``output2``, else ``output``, each a list or an object, with the ``output1`` header.
 
-    The document is parsed once, then the row list once and the header once.
+    ``row_position`` is the row's place in its list, from 0. The document is parsed
+    once, then the row list once and the header once.
     """
     others = [c for c in df.columns if c != column]
     parts = df.select(*others, F.from_json(column, text_struct("output1", "output2", "output")).alias("doc"))
@@ -30,7 +31,7 @@ def payload_rows(df: DataFrame, fields: T.StructType, column: str = "raw_data")
     many = T.ArrayType(fields)
     header = F.get(F.from_json("header_text", many), F.lit(0))
     # the outer form keeps Spark from testing the parsed list in a filter, which would parse it again
-    rows = texts.select(*others, header.alias("header"), F.explode_outer(F.from_json("row_text", many)).alias("row"))
+    rows = texts.select(*others, header.alias("header"), F.posexplode_outer(F.from_json("row_text", many)).alias("row_position", "row"))
     return rows.where(F.col("row").isNotNull())
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..functions.symbols import normalize_symbol
@@ -120,16 +121,29 @@ def run_log(job: Column, target_date: Column, status: Column, processed: Column,
 
 
 def store(df: DataFrame, path: str, partition: str = "base_date") -> None:
-    """Overwrite only the partitions present in ``df``; rows of a partition end up in few files."""
-    (
-        df.repartition(F.col(partition), F.pmod(F.hash(*[F.col(c) for c in df.columns[:3]]), F.lit(8)))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
-    )
+    """Overwrite only the partitions present in ``df``.
+
+    Rows of a partition meet in one write task unless they are many: adaptive
+    execution splits and joins the tasks by their measured size.
+    """
+    df.hint("rebalance", F.col(partition)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+
+
+def clear(spark: SparkSession, path: str, schema: T.StructType, partition: str, value) -> None:
+    """Leave one partition without rows, which an overwrite with no rows would not touch."""
+    rest = T.StructType([f for f in schema.fields if f.name != partition])
+    nothing = spark.createDataFrame([], rest)
+    nothing.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/{partition}={value}")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+    try:
+        spark.read.schema("nothing int").parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
 def read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -140,11 +154,18 @@ def read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def upsert_table(spark: SparkSession, path: str, table: str, changes: DataFrame, order: list[Column], partition: str = "base_date") -> None:
-    """Merge changes into a stored table, rewriting only the partitions they touch."""
-    ready = prepare(table, changes, order)
-    target = read(spark, path, SCHEMAS[table])
-    touched = target.join(ready.select(partition).distinct(), partition, "left_semi")
-    store(upsert(touched, ready, KEYS[table]), path, partition)
+    """Merge changes into a stored table, reading and rewriting only the partitions they touch.
+
+    The changes are computed once and kept. The touched days, of which there are no
+    more than the calendar has, come to the driver as literals that prune the scan.
+    """
+    ready = prepare(table, changes, order).persist()
+    try:
+        days = [r[0] for r in ready.select(partition).distinct().collect()]
+        touched = read(spark, path, SCHEMAS[table]).where(F.col(partition).isin(days))
+        store(upsert(touched, ready, KEYS[table]), path, partition)
+    finally:
+        ready.unpersist()
 
 
 def append_run_log(spark: SparkSession, path: str, rows: DataFrame) -> None:

@@ -9,18 +9,19 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.sanity import classify_index_quality, intraday_out_of_bounds
 from ..operators.normalize import published_at
-from ..session import shared_dir
+from ..session import landing_dir, shared_dir
 from ..sources.tables import dedupe_last
 
 INTRADAY_DELAY = "2 hours"
 NEWS_DELAY = "12 hours"
 STALE_GAP = "90 minutes"
-# Which source wins for a series.
-SOURCE_RANK = {"KIS": 0, "YAHOO": 1, "FALLBACK_DAILY": 2}
+# The series that the broker quotes, and the sources in the order that wins.
+BROKER_SERIES = ("KOSPI", "KOSDAQ")
+SOURCES = ("KIS", "YAHOO", "FALLBACK_DAILY")
 
 
 def read_files(spark: SparkSession, folder: str, name: str, schema: T.StructType, files_per_batch: int = 50) -> DataFrame:
@@ -28,29 +29,52 @@ def read_files(spark: SparkSession, folder: str, name: str, schema: T.StructType
     return spark.readStream.schema(schema).option("pathGlobFilter", name).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
 
 
+def _last_of(source: str, *order: str) -> Column:
+    """Value and change rate of a source's last bar that has a value."""
+    given = (F.col("source") == source) & F.col("value").isNotNull()
+    return F.max_by(F.struct("value", "change_rate"), F.when(given, F.struct(*order))).alias(source)
+
+
+def _record() -> dict[str, Column]:
+    """The record of a series from the last bar of each source: the broker's, else Yahoo's, else the daily one.
+
+    The broker's value is held against Yahoo's. A Yahoo value stands in for a series
+    that the broker quotes, and is judged by its own change for the others. A value
+    out of bounds is taken out and kept as a detail.
+    """
+    kis, yahoo, daily = (F.col(s) for s in SOURCES)
+    picked = F.coalesce(kis, yahoo, daily)
+    source = F.when(kis.isNotNull(), SOURCES[0]).when(yahoo.isNotNull(), SOURCES[1]).otherwise(SOURCES[2])
+    bad = intraday_out_of_bounds(F.col("series_id"), picked["value"])
+    other = F.when(kis.isNotNull(), F.coalesce(yahoo, daily)["value"])
+    judged = classify_index_quality(picked["value"], picked["change_rate"], secondary=other)
+    stands_in = F.col("series_id").isin(*BROKER_SERIES)
+    flag = F.when(bad, "INVALID").when(kis.isNotNull(), judged).when(yahoo.isNull(), SOURCES[2]).when(stands_in, "FALLBACK_YAHOO").otherwise(judged)
+    detail = F.struct(other.alias("yahoo_fallback_val"), F.when(bad, picked["value"]).alias("raw_value"))
+    return {
+        "source": source, "value": F.when(~bad, picked["value"]), "change_rate": F.when(~bad, picked["change_rate"]),
+        "quality_flag": flag, "quality_detail": F.to_json(detail),
+    }
+
+
 def ingest(bars: DataFrame) -> DataFrame:
-    """One row per (observed_at, series_id, source) with its quality flag.
+    """One record per (observed_at, series_id) from bars (observed_at, series_id, source, value, change_rate, seq).
 
-    Late repeats are dropped within the watermark; older repairs are left to the batch upsert.
+    The last bar of a source by ``seq`` wins, so a correction within the watermark
+    replaces what was there; run it in update mode. Older repairs are left to the batch upsert.
     """
-    unique = bars.withWatermark("observed_at", INTRADAY_DELAY).dropDuplicatesWithinWatermark(["observed_at", "series_id", "source"])
-    bad = intraday_out_of_bounds(F.col("series_id"), F.col("value"))
-    flag = F.when(bad, "INVALID").when(F.col("source") == "FALLBACK_DAILY", "FALLBACK_DAILY").otherwise(classify_index_quality(F.col("value"), F.col("change_rate")))
-    return unique.select("observed_at", "series_id", "source", F.when(~bad, F.col("value")).alias("value"), flag.alias("quality_flag"))
+    held = bars.withWatermark("observed_at", INTRADAY_DELAY).groupBy("observed_at", "series_id").agg(*[_last_of(s, "seq") for s in SOURCES])
+    return held.select("observed_at", "series_id", *[c.alias(n) for n, c in _record().items()])
 
 
 def resolve(bars: DataFrame, width: str = "10 minutes") -> DataFrame:
-    """Per series and tumbling window the newest bar of the best source.
+    """The record of each series and tumbling window, from the newest bar of each source.
 
     The aggregate is partial before the shuffle, so a busy series sends one row per task and window.
     """
-    rank = F.lit(len(SOURCE_RANK))
-    for source, place in SOURCE_RANK.items():
-        rank = F.when(F.col("source") == source, place).otherwise(rank)
-    best = F.max_by(F.struct("source", "value"), F.struct((-rank).alias("r"), "observed_at", "value"))
-    windows = bars.withWatermark("observed_at", INTRADAY_DELAY).groupBy(F.window("observed_at", width).alias("w"), "series_id").agg(best.alias("b"), F.count(F.lit(1)).alias("bars"))
-    flag = F.when(F.col("b.value") <= 0, "INVALID").when(F.col("b.source") == "KIS", "OK").when(F.col("b.source") == "YAHOO", "FALLBACK_YAHOO").otherwise("FALLBACK_DAILY")
-    return windows.select(F.col("w.start").alias("window_start"), "series_id", F.col("b.source").alias("source"), F.col("b.value").alias("value"), flag.alias("quality_flag"), "bars")
+    newest = [_last_of(s, "observed_at", "seq") for s in SOURCES]
+    windows = bars.withWatermark("observed_at", INTRADAY_DELAY).groupBy(F.window("observed_at", width).alias("w"), "series_id").agg(*newest, F.count(F.lit(1)).alias("bars"))
+    return windows.select(F.col("w.start").alias("window_start"), "series_id", *[c.alias(n) for n, c in _record().items()], "bars")
 
 
 def stale_alarms(bars: DataFrame) -> DataFrame:
@@ -68,10 +92,8 @@ def fresh_news(news: DataFrame, now) -> DataFrame:
 
 def run_available(stream: DataFrame, mode: str = "append", path: str | None = None, checkpoint: str | None = None) -> str:
     """Process what has arrived and stop; returns the folder of the written batches."""
-    spark = stream.sparkSession
-    spark.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
-    run = uuid.uuid4().hex
-    target = path or shared_dir(spark, "streams", run, "rows")
+    spark, run = stream.sparkSession, uuid.uuid4().hex
+    target = path or landing_dir(spark, "streams", run, "rows")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")

@@ -3,6 +3,8 @@
 import datetime as dt
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from marketweave.operators import audits as au, calendar as cal, features as feat, joins as jn, macro as mc, maintenance as mt, normalize as nz, rankings as rk, signals as sg, universe as un, windows as win
@@ -169,7 +171,7 @@ def skewed(n=3000, seed=7):
 
 def test_blocked_lag_matches_brute_force(spark, collect):
     data = skewed()
-    got = collect(win.blocked_lag(spark.createDataFrame(data, "k string, t long, v double"), "k", "t", "v", F.floor(F.col("t") / 50)), "k", "t", "v", "previous")
+    got = collect(win.blocked_lag(spark.createDataFrame(data, "k string, t long, v double"), "k", "t", "v"), "k", "t", "v", "previous")
     want, seen = [], {}
     for k, t, v in sorted(data, key=lambda r: r[1]):
         want.append((k, t, v, seen.get(k)))
@@ -177,14 +179,56 @@ def test_blocked_lag_matches_brute_force(spark, collect):
     assert got == sorted(want, key=repr)
 
 
+def test_blocks_split_one_hour_of_one_key(spark):
+    rows = [("hot", 3600 * 5 + i * 3599 // 4000) for i in range(4000)] + [(f"k{i % 9}", 3600 * i) for i in range(400)]
+    sizes = [r["count"] for r in win.in_blocks(spark.createDataFrame(rows, "k string, t long"), ["k"], "t").groupBy("k", "block").count().collect()]
+    assert max(sizes) < 2200  # of four ranges
+
+
 def test_asof_many_matches_brute_force(spark, collect):
     data = skewed(2000, 11)
     obs, asks = [r for r in data if r[2] < 500], [r for r in data if r[2] >= 500]
-    seen = spark.createDataFrame(obs, "k string, at long, value double")
+    obs += [(k, t, v + 1000) for k, t, v in obs[::3]]  # a second observation of the same instant is the later one
+    seen = spark.createDataFrame([(*o, i) for i, o in enumerate(obs)], "k string, at long, value double, seq long")
     asked = spark.createDataFrame([(k, t, i) for i, (k, t, _) in enumerate(asks)], "k string, at long, decision_id long")
-    got = collect(jn.asof_many(seen, asked, "k", F.floor(F.col("at") / 40)), "decision_id", "known_value")
+    got = collect(jn.asof_many(seen, asked, "k"), "decision_id", "known_value")
     want = []
     for i, (k, t, _) in enumerate(asks):
         before = [o for o in obs if o[0] == k and o[1] <= t]
-        want.append((i, max(before, key=lambda o: o[1])[2] if before else None))
+        want.append((i, max(before, key=lambda o: (o[1], obs.index(o)))[2] if before else None))
     assert got == sorted(want, key=repr)
+
+
+def test_rows_of_one_payload_keep_their_order(spark):
+    bar = lambda day, close, shares: f'{{"stck_bsop_date": "{day}", "stck_clpr": "{close}", "lstn_stcn": "{shares}", "acml_vol": "1", "acml_tr_pbmn": "1"}}'
+    first = f'{{"output2": [{bar("20260505", 10, "")}, {bar("20260504", 20, 5)}, {bar("20260501", 30, "")}]}}'
+    second = f'{{"output2": [{bar("20260508", "1e30", 7)}, {bar("20260507", 40, "")}, {bar("20260506", "9000000000000000000", 9)}]}}'
+    frame = spark.createDataFrame([("005930", 1, first), ("005930", 2, second)], "symbol string, position int, raw_data string")
+    rows = pl.payload_rows(frame, nz.BAR_FIELDS)
+    assert sorted((r["position"], r["row_position"], r["row"]["stck_bsop_date"]) for r in rows.collect()) == [
+        (1, 0, "20260505"), (1, 1, "20260504"), (1, 2, "20260501"), (2, 0, "20260508"), (2, 1, "20260507"), (2, 2, "20260506")]
+    caps = {str(r["base_date"]): (r["close_price"], r["market_cap"]) for r in nz.price_ohlcv(rows.repartition(3)).collect()}
+    assert caps == {
+        "2026-05-05": (10, None), "2026-05-04": (20, 100), "2026-05-01": (30, 100),
+        "2026-05-08": (None, 100), "2026-05-07": (40, 100), "2026-05-06": (9000000000000000000, 100),  # junk neither aborts nor carries
+    }
+
+
+def test_a_zero_batch_goes_alone(spark):
+    row = "row struct<stck_bsop_date:string,prsn_ntby_qty:string,orgn_ntby_qty:string,frgn_ntby_qty:string,pnsn_ntby_qty:string,etc_corp_ntby_qty:string>"
+    flow = lambda day, n: (day, str(n), "", "junk", "0", None)
+    frame = spark.createDataFrame([("A", 1, flow("20260501", 0)), ("A", 1, flow("20260502", 0)), ("A", 2, flow("20260503", 0)), ("A", 2, flow("20260504", 7)), ("B", 1, flow("20260501", 0))], f"symbol string, batch int, {row}")
+    assert sorted((r["symbol"], str(r["base_date"])) for r in nz.supply_investor(frame).collect()) == [("A", "2026-05-03"), ("A", "2026-05-04")]
+
+
+def test_a_universe_beyond_the_hard_limit_is_refused(spark):
+    frame = spark.createDataFrame([("005930", "static")], "symbol string, source_category string")
+    for limit in (0, 501):
+        with pytest.raises(ValueError):
+            un.top_universe(frame, limit)
+
+
+def test_fills_never_look_ahead_over_all_history(spark):
+    wide = spark.createDataFrame([(dt.date(2026, 5, d), 2.0 if d >= 5 else None, 4.0) for d in range(1, 9)], "base_date date, gold double, wti double")
+    early = feat.macro_wide_change(wide).where("feature_name = 'macro_gold_1d_chg'")
+    assert min(r["base_date"] for r in early.collect()) == dt.date(2026, 5, 6)

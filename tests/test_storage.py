@@ -91,3 +91,62 @@ def test_ranking_job_gates_on_the_calendar(spark, tmp_path):
     rows = store.read("normalized_market_rankings_daily").collect()
     assert status == "SUCCESS" and {(r["rank_type"], r["source"]) for r in rows} == {("volume", "KIS"), ("trading_value", "KIS")}
     assert store.read("pipeline_run_logs").where("status = 'SKIPPED_MARKET_CLOSED'").count() == 1  # the full status is kept
+
+
+def test_calendar_job_keeps_days_outside_its_period(spark, tmp_path):
+    store = jobs.Store(spark, str(tmp_path))
+    manual = spark.createDataFrame([], "calendar_date date, exchange_code string, is_open boolean, reason string")
+    for first, last in ((D(2026, 1, 1), D(2026, 3, 31)), (D(2026, 4, 1), D(2026, 4, 30)), (D(2026, 3, 31), D(2026, 4, 2))):
+        span = spark.createDataFrame([(first, last)], "first_day date, last_day date")
+        schedule = spark.createDataFrame([(first, "XKRX")], "calendar_date date, exchange_code string")
+        jobs.calendar_job(store, span, schedule, manual, ["XKRX", "XNYS"])
+    rows = store.read("market_trading_calendar").where("exchange_code = 'XKRX'").collect()
+    assert len(rows) == 120 and min(r["calendar_date"] for r in rows) == D(2026, 1, 1)
+    assert {r["calendar_date"] for r in rows if r["is_open"]} == {D(2026, 1, 1), D(2026, 3, 31)}  # the last run closes 1 April
+
+
+def test_ranking_job_replaces_its_slices_only(spark, tmp_path):
+    store, weekdays = stocked(spark, tmp_path)
+    target, table = weekdays[-1], "normalized_market_rankings_daily"
+    old = [(target, m, "volume", 1, s, "KIS") for m, s in (("KOSPI200", "005930"), ("KOSPI", "999999"))] + [(weekdays[-2], "KOSPI", "volume", 1, "888888", "KIS")]
+    store.upsert(table, spark.createDataFrame(old, "base_date date, market string, rank_type string, rank long, symbol string, source string"), [F.col("symbol")])
+    master = spark.createDataFrame([("005930", "KOSPI", "STOCK", "S")], "symbol string, market string, asset_type string, name string")
+    broker = store.read("normalized_stock_prices_daily").select("symbol", "base_date", "volume", "trading_value", "market_cap")
+    jobs.ranking_job(store, broker, master, target, min_valid_rows=1)
+    kept = {(r["base_date"], r["market"], r["symbol"]) for r in store.read(table).collect()}
+    assert kept == {(target, "KOSPI200", "005930"), (target, "KOSPI", "005930"), (weekdays[-2], "KOSPI", "888888")}
+    # nothing to rank any more: the slices go, index members and other dates stay
+    jobs.ranking_job(store, broker.limit(0), master.limit(0), target, min_valid_rows=1)
+    assert {(r["base_date"], r["market"]) for r in store.read(table).collect()} == {(target, "KOSPI200"), (weekdays[-2], "KOSPI")}
+
+
+def test_an_empty_ranking_clears_the_date(spark, tmp_path):
+    store, weekdays = stocked(spark, tmp_path)
+    target, table = weekdays[-1], "normalized_market_rankings_daily"
+    old = spark.createDataFrame([(d, "KOSPI", "volume", 1, "999999", "KIS") for d in weekdays[-2:]], "base_date date, market string, rank_type string, rank long, symbol string, source string")
+    store.upsert(table, old, [F.col("symbol")])
+    nobody = spark.createDataFrame([], "symbol string, market string, asset_type string, name string")
+    broker = store.read("normalized_stock_prices_daily").select("symbol", "base_date", "volume", "trading_value", "market_cap")
+    assert jobs.ranking_job(store, broker, nobody, target, min_valid_rows=1) == "SKIPPED_INSUFFICIENT_PRICE_DATA"
+    assert [r["base_date"] for r in store.read(table).collect()] == [weekdays[-2]]
+
+
+def test_upsert_reads_the_touched_days_only(spark, tmp_path, monkeypatch):
+    store = jobs.Store(spark, str(tmp_path))
+    table, order = "normalized_stock_prices_daily", [F.desc("available_at")]
+    days = [D(2026, 3, 1) + dt.timedelta(days=i) for i in range(20)]
+    store.upsert(table, spark.createDataFrame([price("005930", d, 1.0) for d in days], PRICE), order)
+    read, seen = tb.upsert, []
+
+    def spied(target, changes, keys):
+        seen.extend(target.inputFiles() and [p for p in target._jdf.queryExecution().executedPlan().toString().splitlines() if "PartitionFilters" in p])
+        return read(target, changes, keys)
+
+    monkeypatch.setattr(tb, "upsert", spied)
+    store.upsert(table, spark.createDataFrame([price("005930", days[3], 2.0)], PRICE), order)
+    assert any("base_date" in p.split("PartitionFilters: [")[1].split("]")[0] for p in seen)
+    assert store.read(table).count() == 20 and store.read(table).where("close_price = 2.0").count() == 1
+
+
+def test_a_table_without_a_path_is_empty(spark, tmp_path):
+    assert tb.read(spark, str(tmp_path / "none"), SCHEMAS["stocks_master"]).count() == 0

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from marketweave.streaming import intraday as st
 
-SCHEMA = "observed_at timestamp, series_id string, source string, value double, change_rate double"
+SCHEMA = "observed_at timestamp, series_id string, source string, value double, change_rate double, seq long"
 T0 = dt.datetime(2026, 5, 8, 0, 0)
 
 
@@ -15,33 +15,42 @@ def at(minutes):
 
 
 def land(spark, folder, name, rows):
-    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(f"{folder}/{name}")
+    spark.createDataFrame([r if len(r) == 6 else (*r, i) for i, r in enumerate(rows)], SCHEMA).coalesce(1).write.mode("append").parquet(f"{folder}/{name}")
 
 
 def stream(spark, folder):
     return spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{folder}/*")
 
 
-def test_ingest_repeats_and_restart(spark, tmp_path):
+def test_ingest_corrections_and_restart(spark, tmp_path):
     folder, out, state = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state")
-    land(spark, folder, "a", [(at(0), "KOSPI", "KIS", 7822.24, 4.32), (at(0), "KOSPI", "KIS", 7822.24, 4.32), (at(0), "KOSDAQ", "KIS", 0.0, None)])
-    job = lambda: st.run_available(st.ingest(stream(spark, folder)), path=out, checkpoint=state)
+    land(spark, folder, "a", [
+        (at(0), "KOSPI", "KIS", 7822.24, 4.32, 1), (at(0), "KOSPI", "KIS", 7822.24, 4.32, 1), (at(0), "KOSDAQ", "KIS", 0.0, None, 2), (at(0), "KOSDAQ", "YAHOO", 900.0, None, 3),
+        (at(5), "VIX", "YAHOO", 30.0, 92.0, 4), (at(6), "KOSPI", "YAHOO", 7800.0, 50.0, 5), (at(7), "KOSPI", "KIS", 7800.0, 1.0, 6), (at(7), "KOSPI", "YAHOO", 6900.0, 1.0, 7)])
+    job = lambda: st.run_available(st.ingest(stream(spark, folder)), "update", path=out, checkpoint=state)
     job()
-    land(spark, folder, "b", [(at(0), "KOSPI", "KIS", 1.0, None), (at(5), "VIX", "YAHOO", 30.0, 92.0), (at(6), "KOSPI", "FALLBACK_DAILY", 7800.0, None)])
+    land(spark, folder, "b", [
+        (at(0), "KOSPI", "KIS", 7900.0, 5.0, 10), (at(5), "VIX", "YAHOO", 31.0, 2.0, 11), (at(8), "USDKRW", "FALLBACK_DAILY", 1400.0, 1.0, 12), (at(8), "USDKRW", "KIS", None, 1.0, 13)])
     job()
-    shape = spark.read.parquet(out).drop("batch_id").schema
-    rows = {(r["series_id"], r["source"], r["observed_at"]): (r["value"], r["quality_flag"]) for r in st.written(spark, out, shape, ["observed_at", "series_id", "source"]).collect()}
+    shape = st.ingest(stream(spark, folder)).schema
+    rows = {(r["series_id"], r["observed_at"]): (r["source"], r["value"], r["quality_flag"], r["quality_detail"]) for r in st.written(spark, out, shape, ["observed_at", "series_id"]).collect()}
     assert rows == {
-        ("KOSPI", "KIS", at(0)): (7822.24, "OK"), ("KOSDAQ", "KIS", at(0)): (None, "INVALID"), ("VIX", "YAHOO", at(5)): (30.0, "ANOMALY"), ("KOSPI", "FALLBACK_DAILY", at(6)): (7800.0, "FALLBACK_DAILY")}
+        ("KOSPI", at(0)): ("KIS", 7900.0, "OK", "{}"), ("KOSDAQ", at(0)): ("KIS", None, "INVALID", '{"yahoo_fallback_val":900.0,"raw_value":0.0}'), ("VIX", at(5)): ("YAHOO", 31.0, "OK", "{}"),
+        ("KOSPI", at(6)): ("YAHOO", 7800.0, "FALLBACK_YAHOO", "{}"), ("KOSPI", at(7)): ("KIS", 7800.0, "SOURCE_MISMATCH", '{"yahoo_fallback_val":6900.0}'),
+        ("USDKRW", at(8)): ("FALLBACK_DAILY", 1400.0, "FALLBACK_DAILY", "{}"),
+    }
 
 
 def test_resolve_keeps_the_best_source_of_a_window(spark, tmp_path):
     folder = str(tmp_path / "in")
-    land(spark, folder, "a", [(at(1), "KOSPI", "YAHOO", 7000.0, None), (at(2), "KOSPI", "KIS", 7800.0, None)])
-    land(spark, folder, "b", [(at(9), "KOSPI", "YAHOO", 7100.0, None), (at(11), "KOSPI", "FALLBACK_DAILY", 7200.0, None)])
+    land(spark, folder, "a", [(at(1), "KOSPI", "YAHOO", 7000.0, None), (at(2), "KOSPI", "KIS", 7800.0, None), (at(3), "USDKRW", "YAHOO", 1400.0, 0.1), (at(4), "KOSDAQ", "KIS", 1.0, None)])
+    land(spark, folder, "b", [(at(9), "KOSPI", "YAHOO", 7700.0, None), (at(11), "KOSPI", "FALLBACK_DAILY", 7200.0, None)])
     out = st.resolve(stream(spark, folder))
-    got = {r["window_start"]: (r["source"], r["value"], r["quality_flag"], r["bars"]) for r in st.written(spark, st.run_available(out, "update"), out.schema, ["window_start", "series_id"]).collect()}
-    assert got == {at(0): ("KIS", 7800.0, "OK", 3), at(10): ("FALLBACK_DAILY", 7200.0, "FALLBACK_DAILY", 1)}
+    got = {(r["series_id"], r["window_start"]): (r["source"], r["value"], r["quality_flag"], r["bars"]) for r in st.written(spark, st.run_available(out, "update"), out.schema, ["window_start", "series_id"]).collect()}
+    assert got == {
+        ("KOSPI", at(0)): ("KIS", 7800.0, "OK", 3), ("KOSPI", at(10)): ("FALLBACK_DAILY", 7200.0, "FALLBACK_DAILY", 1),
+        ("USDKRW", at(0)): ("YAHOO", 1400.0, "OK", 1), ("KOSDAQ", at(0)): ("KIS", None, "INVALID", 1),
+    }
 
 
 def test_stale_alarm_fires_after_the_gap(spark, tmp_path):
