@@ -86,9 +86,14 @@ def price_coverage(prices: DataFrame, master: DataFrame, minimum: int = 2000) ->
     ).withColumn("full_market_coverage_pass", F.col("covered_symbols") > minimum)
 
 
+# The sources of ranking rows.
+RANK_SOURCES = ("KIS", "KIS_DETAIL", "KRX", "VALID_PRICE_FALLBACK")
+
+
 def latest_rank_counts(rankings: DataFrame) -> DataFrame:
-    rows = joins.latest(rankings)
-    return rows.groupBy("base_date", "market", "rank_type").pivot("source", ["KIS", "VALID_PRICE_FALLBACK"]).agg(F.count(F.lit(1))).na.fill(0)
+    """Rows of the latest date by source; sources without a column of their own count as OTHER."""
+    rows = joins.latest(rankings).withColumn("source", F.when(F.col("source").isin(*RANK_SOURCES), F.col("source")).otherwise("OTHER"))
+    return rows.groupBy("base_date", "market", "rank_type").pivot("source", [*RANK_SOURCES, "OTHER"]).agg(F.count(F.lit(1))).na.fill(0)
 
 
 def market_crosstab(rankings: DataFrame, master: DataFrame) -> DataFrame:

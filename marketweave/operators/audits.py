@@ -384,10 +384,13 @@ def closed_market_rows(rankings, wide, calendar, target: date, us_fields: list[s
     start = target - timedelta(days=30)
     kr, us = closed_days(calendar, "XKRX", start, target), closed_days(calendar, "XNYS", start, target)
     filled = F.coalesce(*us_fields).isNotNull()
+    known = lambda exchange: size(calendar.where((F.col("exchange_code") == exchange) & F.col("calendar_date").between(lit_date(start), lit_date(target))))
     return row(rankings.sparkSession).select(
+        known("XKRX").alias("xkrx_calendar_dates"), known("XNYS").alias("xnys_calendar_dates"),
         size(kr).alias("xkrx_closed_dates"), size(us).alias("xnys_closed_dates"), size(rankings.join(F.broadcast(kr), "base_date", "left_semi")).alias("krx_closed_date_ranking_rows"),
         size(wide.where(filled).join(F.broadcast(us), "base_date", "left_semi")).alias("us_closed_date_rows"),
-    ).withColumn("status", ladder([(F.col("krx_closed_date_ranking_rows") > 0, "WARN_KRX_CLOSED_DATE_MARKET_ROWS"), (F.col("us_closed_date_rows") > 0, "WARN_US_CLOSED_DATE_MARKET_ROWS")]))
+    ).withColumn("status", ladder([
+        (F.col("xkrx_calendar_dates") == 0, "WARN_MARKET_CALENDAR_MISSING_XKRX"), (F.col("xnys_calendar_dates") == 0, "WARN_MARKET_CALENDAR_MISSING_XNYS"), (F.col("krx_closed_date_ranking_rows") > 0, "WARN_KRX_CLOSED_DATE_MARKET_ROWS"), (F.col("us_closed_date_rows") > 0, "WARN_US_CLOSED_DATE_MARKET_ROWS")]))
 
 
 def invalid_prices(prices, master, calendar, target: date, lookback_days: int = 180, recent_days: int = 30) -> DataFrame:

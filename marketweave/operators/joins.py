@@ -48,18 +48,24 @@ def latest_close_active(prices: DataFrame, master: DataFrame) -> DataFrame:
     )
 
 
-def sample_status(symbols: DataFrame, master, prices, supply, shorts, ratios) -> DataFrame:
-    """Every listed symbol with its newest row of each table; ratios are each symbol's own newest."""
-    own_latest = ratios.groupBy("symbol").agg(
-        F.max("base_date").alias("ratio_date"), F.max_by("per", "base_date").alias("per"), F.max_by("debt_ratio", "base_date").alias("debt_ratio"),
-    )
+def sample_status(symbols: DataFrame, master, prices, supply, shorts, statements, ratios) -> DataFrame:
+    """Every listed symbol with its row of each table's newest date; statements are its own newest, ratios those of the price date.
+
+    A price row counts if it is complete, and only on the newest date of the whole price table.
+    """
     named = lambda df, date_name, *cols: latest(df).select("symbol", F.col("base_date").alias(date_name), *cols)
+    amounts = [c for c in statements.columns if c not in ("symbol", "base_date")]
+    own = statements.groupBy("symbol").agg(F.max_by(F.struct(F.col("base_date").alias("statement_date"), *amounts), "base_date").alias("newest")).select("symbol", "newest.*")
+    priced = latest(prices).where(px.complete_row()).select(
+        "symbol", F.col("base_date").alias("price_date"), "close_price", "volume", "trading_value", "market_cap", "outstanding_shares")
+    of_day = ratios.select("symbol", F.col("base_date").alias("price_date"), "per", "pbr", "roe", "debt_ratio")
     return (
-        symbols.join(master.select("symbol", "name", "market", "is_active"), "symbol", "left")
-        .join(named(prices.where(px.complete_row()), "price_date", "close_price", "volume", "trading_value"), "symbol", "left")
-        .join(named(supply, "supply_date", "foreign_net_buy"), "symbol", "left")
-        .join(named(shorts, "short_date", "short_volume", "short_ratio"), "symbol", "left")
-        .join(own_latest, "symbol", "left")
+        symbols.join(master.select("symbol", "name", "market", "asset_type", "is_active"), "symbol", "left")
+        .join(priced, "symbol", "left")
+        .join(named(supply, "supply_date", "foreign_net_buy", "institutional_net_buy", "foreign_holding_ratio"), "symbol", "left")
+        .join(named(shorts, "short_date", "short_volume", "short_value", "short_ratio"), "symbol", "left")
+        .join(own, "symbol", "left")
+        .join(of_day, ["symbol", "price_date"], "left")
     )
 
 
@@ -163,11 +169,3 @@ def update_from(target: DataFrame, changes: DataFrame, keys: list[str], columns:
         for c in columns
     ]
     return joined.select(*keys, *picks)
-
-
-def market_mismatch(rankings: DataFrame, master: DataFrame) -> DataFrame:
-    """Ranking rows whose market differs from the master's; KOSPI200 is exempt."""
-    markets = ("KOSPI", "KOSDAQ", "ETF", "ETN")
-    listed = master.where(F.col("market").isin(*markets)).select("symbol", F.col("market").alias("master_market"))
-    wrong = F.col("market").isin(*markets) & (F.col("market") != F.col("master_market"))
-    return rankings.join(listed, "symbol").where(wrong)

@@ -133,7 +133,7 @@ def source_counts(universe: DataFrame, categories: tuple = ("static", "manual",
     return universe.agg(*[F.count_if(_has(c)).alias(c) for c in categories])
 
 
-def alignment(static_universe, snapshots, prices, features, report_rows, rankings, target, max_listed: int = 1000) -> DataFrame:
+def alignment(static_universe, snapshots, prices, features, report_rows, rankings, target) -> DataFrame:
     """Watchlist against detail, price, feature, report and rank symbols, with a status.
 
     The watchlist is flagged in one join chain; the missing lists only ever name

@@ -212,9 +212,10 @@ def dq_calendar(L):
 
 @query("dq_closed_market_rows", """
 WITH k AS (SELECT calendar_date AS d FROM calendar WHERE exchange_code = 'XKRX' AND NOT is_open AND calendar_date BETWEEN $T - 30 AND $T), u AS (SELECT calendar_date AS d FROM calendar WHERE exchange_code = 'XNYS' AND NOT is_open AND calendar_date BETWEEN $T - 30 AND $T),
-x AS (SELECT (SELECT count(*) FROM k) AS xkrx_closed_dates, (SELECT count(*) FROM u) AS xnys_closed_dates, (SELECT count(*) FROM rankings WHERE base_date IN (SELECT d FROM k)) AS krx_closed_date_ranking_rows,
+x AS (SELECT (SELECT count(*) FROM calendar WHERE exchange_code = 'XKRX' AND calendar_date BETWEEN $T - 30 AND $T) AS xkrx_calendar_dates, (SELECT count(*) FROM calendar WHERE exchange_code = 'XNYS' AND calendar_date BETWEEN $T - 30 AND $T) AS xnys_calendar_dates,
+ (SELECT count(*) FROM k) AS xkrx_closed_dates, (SELECT count(*) FROM u) AS xnys_closed_dates, (SELECT count(*) FROM rankings WHERE base_date IN (SELECT d FROM k)) AS krx_closed_date_ranking_rows,
  (SELECT count(*) FROM global_macro WHERE base_date IN (SELECT d FROM u) AND coalesce(gold, copper) IS NOT NULL) AS us_closed_date_rows)
-SELECT *, CASE WHEN krx_closed_date_ranking_rows > 0 THEN 'WARN_KRX_CLOSED_DATE_MARKET_ROWS' WHEN us_closed_date_rows > 0 THEN 'WARN_US_CLOSED_DATE_MARKET_ROWS' ELSE 'SUCCESS' END AS status FROM x""")
+SELECT *, CASE WHEN xkrx_calendar_dates = 0 THEN 'WARN_MARKET_CALENDAR_MISSING_XKRX' WHEN xnys_calendar_dates = 0 THEN 'WARN_MARKET_CALENDAR_MISSING_XNYS' WHEN krx_closed_date_ranking_rows > 0 THEN 'WARN_KRX_CLOSED_DATE_MARKET_ROWS' WHEN us_closed_date_rows > 0 THEN 'WARN_US_CLOSED_DATE_MARKET_ROWS' ELSE 'SUCCESS' END AS status FROM x""")
 def dq_closed_market_rows(L):
     return au.closed_market_rows(L.rankings, L.global_macro, L.calendar, TARGET, ["gold", "copper"])
 

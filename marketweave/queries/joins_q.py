@@ -43,15 +43,19 @@ def join_latest_close_active(L):
 
 
 @query("join_sample_status", """
-WITH ok AS (SELECT * FROM prices_raw WHERE close_price IS NOT NULL AND volume IS NOT NULL AND trading_value IS NOT NULL)
-SELECT u.symbol, m.name, m.market, m.is_active, p.base_date AS price_date, p.close_price, p.volume, p.trading_value, s.base_date AS supply_date, s.foreign_net_buy,
- h.base_date AS short_date, h.short_volume, h.short_ratio, r.ratio_date, r.per, r.debt_ratio
-FROM static_universe u LEFT JOIN master m ON m.symbol = u.symbol LEFT JOIN ok p ON p.symbol = u.symbol AND p.base_date = (SELECT max(base_date) FROM ok)
+WITH fin AS (SELECT symbol, base_date, val AS revenue, -vol AS operating_income, shares AS total_assets, p AS total_equity FROM day_bars WHERE dc <> 10)
+SELECT u.symbol, m.name, m.market, m.asset_type, m.is_active, p.base_date AS price_date, p.close_price, p.volume, p.trading_value, p.market_cap, p.outstanding_shares,
+ s.base_date AS supply_date, s.foreign_net_buy, s.institutional_net_buy, s.foreign_holding_ratio, h.base_date AS short_date, h.short_volume, h.short_value, h.short_ratio,
+ f.base_date AS statement_date, f.revenue, f.operating_income, f.total_assets, f.total_equity, r.per, r.pbr, r.roe, r.debt_ratio
+FROM static_universe u LEFT JOIN master m ON m.symbol = u.symbol
+LEFT JOIN prices_raw p ON p.symbol = u.symbol AND p.base_date = (SELECT max(base_date) FROM prices_raw) AND p.close_price IS NOT NULL AND p.volume IS NOT NULL AND p.trading_value IS NOT NULL
 LEFT JOIN supply s ON s.symbol = u.symbol AND s.base_date = (SELECT max(base_date) FROM supply) LEFT JOIN shorts h ON h.symbol = u.symbol AND h.base_date = (SELECT max(base_date) FROM shorts)
-LEFT JOIN (SELECT symbol, max(base_date) AS ratio_date, arg_max(per, base_date) AS per, arg_max(debt_ratio, base_date) AS debt_ratio FROM ratios GROUP BY 1) r ON r.symbol = u.symbol""",
-       "price_date supply_date short_date ratio_date")
+LEFT JOIN fin f ON f.symbol = u.symbol AND f.base_date = (SELECT max(base_date) FROM fin g WHERE g.symbol = u.symbol) LEFT JOIN ratios r ON r.symbol = u.symbol AND r.base_date = p.base_date""",
+       "price_date supply_date short_date statement_date")
 def join_sample_status(L):
-    return jn.sample_status(L.static_universe.select("symbol"), L.master, L.prices_raw, L.supply, L.shorts, L.ratios)
+    statements = L.day_bars.where("dc <> 10").select(
+        "symbol", "base_date", F.col("val").alias("revenue"), (-F.col("vol")).alias("operating_income"), F.col("shares").alias("total_assets"), F.col("p").alias("total_equity"))
+    return jn.sample_status(L.static_universe.select("symbol"), L.master, L.prices_raw, L.supply, L.shorts, statements, L.ratios)
 
 
 @query("semi_static_active", "SELECT symbol, base_date, close_price FROM panel WHERE symbol IN (SELECT symbol FROM static_universe WHERE enabled)", "base_date")
@@ -245,7 +249,8 @@ def agg_price_coverage(L):
 
 
 @query("agg_latest_rank_counts", """
-SELECT base_date, market, rank_type, count(*) FILTER (WHERE source = 'KIS') AS KIS, count(*) FILTER (WHERE source = 'VALID_PRICE_FALLBACK') AS VALID_PRICE_FALLBACK
+SELECT base_date, market, rank_type, count(*) FILTER (WHERE source = 'KIS') AS KIS, count(*) FILTER (WHERE source = 'KIS_DETAIL') AS KIS_DETAIL, count(*) FILTER (WHERE source = 'KRX') AS KRX,
+ count(*) FILTER (WHERE source = 'VALID_PRICE_FALLBACK') AS VALID_PRICE_FALLBACK, count(*) FILTER (WHERE coalesce(source, '') NOT IN ('KIS', 'KIS_DETAIL', 'KRX', 'VALID_PRICE_FALLBACK')) AS OTHER
 FROM rankings WHERE base_date = (SELECT max(base_date) FROM rankings) GROUP BY 1, 2, 3""", "base_date")
 def agg_latest_rank_counts(L):
     return agg.latest_rank_counts(L.rankings)

@@ -167,19 +167,27 @@ def macro_snapshot_build(L):
 # ---- signals and report -----------------------------------------------------
 
 _WIDE = """wide AS (SELECT symbol, base_date, """ + ", ".join(f"max(feature_value) FILTER (WHERE feature_name = '{n}') AS {n}" for n in ("moving_avg_5", "moving_avg_20", "foreign_flow_zscore")) + """ FROM features GROUP BY 1, 2),
+fxm AS (SELECT base_date, value / nullif(lag(value) OVER (ORDER BY base_date), 0) - 1 AS usdkrw_momentum FROM macro_series WHERE series_id = 'USDKRW'),
+risk AS (SELECT base_date, -(value / nullif(lag(value) OVER (ORDER BY base_date), 0) - 1) AS risk_on_off_score FROM macro_series WHERE series_id = 'KR_CORP_BBB_3Y'),
+inputs AS (SELECT w.*, usdkrw_momentum, risk_on_off_score, (b.dc - 5)::DOUBLE / 10 AS basis_signal, (b.tx - 4)::DOUBLE / 10 AS event_score FROM wide w LEFT JOIN fxm ON fxm.base_date = w.base_date
+ LEFT JOIN risk ON risk.base_date = w.base_date LEFT JOIN day_bars b ON b.symbol = w.symbol AND b.base_date = w.base_date),
 parts AS (SELECT *, CASE WHEN moving_avg_5 > moving_avg_20 THEN 0.8 WHEN moving_avg_5 <= moving_avg_20 THEN -0.5 ELSE 0 END::DOUBLE AS price,
- CASE WHEN foreign_flow_zscore - 1500 >= 1 THEN 0.9 WHEN foreign_flow_zscore - 1500 <= -1 THEN -0.9 ELSE 0 END::DOUBLE AS supply_part FROM wide),
-scored AS (SELECT *, 0.3::DOUBLE * price + 0.25::DOUBLE * supply_part AS total_score FROM parts),
+ CASE WHEN foreign_flow_zscore - 1500 >= 1 THEN 0.9 WHEN foreign_flow_zscore - 1500 <= -1 THEN -0.9 ELSE 0 END::DOUBLE AS supply_part,
+ CASE WHEN coalesce(usdkrw_momentum, 0) > 0.02 THEN -0.5 WHEN coalesce(risk_on_off_score, 0) > 0 THEN 0.5 ELSE 0 END::DOUBLE AS macro_part, coalesce(basis_signal, 0)::DOUBLE AS derivatives_part, coalesce(event_score, 0)::DOUBLE AS event_part FROM inputs),
+scored AS (SELECT *, 0.3::DOUBLE * price + 0.25::DOUBLE * supply_part + 0.2::DOUBLE * macro_part + 0.15::DOUBLE * derivatives_part + 0.1::DOUBLE * event_part AS total_score FROM parts),
 sig AS (SELECT *, CASE WHEN total_score > 0.5 THEN 'BUY' WHEN total_score < -0.2 THEN 'SELL' ELSE 'HOLD' END AS signal FROM scored)"""
 
 
 def signal_inputs(L):
-    """Stored features pivoted per symbol-day; the flow score is centred for this data."""
+    """All seven inputs: stored features pivoted per symbol-day (the flow score centred for this data), the day's currency and credit moves, and the day bar's basis and event marks."""
     wide = agg.pivot_features(L.features, ["symbol", "base_date"], ["moving_avg_5", "moving_avg_20", "foreign_flow_zscore"])
-    return wide.withColumn("foreign_flow_zscore", F.col("foreign_flow_zscore") - 1500)
+    moves = win.lag_change_series(L.macro_series.where(F.col("series_id").isin("USDKRW", "KR_CORP_BBB_3Y"))).groupBy("base_date").agg(
+        F.max(F.when(F.col("series_id") == "USDKRW", F.col("chg_1d"))).alias("usdkrw_momentum"), F.max(F.when(F.col("series_id") == "KR_CORP_BBB_3Y", -F.col("chg_1d"))).alias("risk_on_off_score"))
+    marks = L.day_bars.select("symbol", "base_date", ((F.col("dc") - 5).cast("double") / 10).alias("basis_signal"), ((F.col("tx") - 4).cast("double") / 10).alias("event_score"))
+    return wide.join(moves, "base_date", "left").join(marks, ["symbol", "base_date"], "left").withColumn("foreign_flow_zscore", F.col("foreign_flow_zscore") - 1500)
 
 
-@query("signal_components", f"WITH {_WIDE} SELECT symbol, base_date, price, supply_part AS supply, 0.0::DOUBLE AS macro, 0.0::DOUBLE AS derivatives, 0.0::DOUBLE AS event FROM parts", "base_date")
+@query("signal_components", f"WITH {_WIDE} SELECT symbol, base_date, price, supply_part AS supply, macro_part AS macro, derivatives_part AS derivatives, event_part AS event FROM parts", "base_date")
 def signal_components(L):
     return sg.components(signal_inputs(L)).select("symbol", "base_date", "price", "supply", "macro", "derivatives", "event")
 

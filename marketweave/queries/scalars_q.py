@@ -43,7 +43,6 @@ def fn_is_q_symbol(L):
     return L.prices_raw.groupBy("base_date").agg(F.count_if(sy.is_q_symbol(F.col("symbol"))).alias("q_rows"), F.count(F.lit(1)).alias("n"))
 
 
-_AMOUNT = "CASE WHEN l_tax > 0.075 THEN '-' WHEN l_tax < 0.005 THEN '' WHEN l_discount < 0.005 THEN 'n/a' ELSE format('{:,}', cents) END"
 
 
 def amount_text(L):

@@ -174,8 +174,6 @@ def resolve_effective_date(L):
 
 # ---- trading calendar -------------------------------------------------------
 
-_OPEN = "((calendar_date::TIMESTAMP + CASE exchange_code WHEN 'XKRX' THEN INTERVAL 0 HOUR ELSE INTERVAL 0 HOUR END))"
-
 
 @query("calendar_build", "SELECT calendar_date, exchange_code, is_open, reason FROM built_calendar", "calendar_date")
 def calendar_build(L):
