@@ -69,7 +69,7 @@ def table_freshness(tables: dict[str, tuple[DataFrame, str]], active: DataFrame,
     """Per table: rows, latest date, target rows, active-symbol coverage, staleness, status.
 
     The second item of a table is its kind: ``prices``, ``supply``, ``covered``,
-    ``shorts``, ``krx`` (market rows without coverage) or ``other``.
+    ``shorts``, ``krx`` (market rows without coverage), ``legacy`` (not needed any more) or ``other``.
     """
     goal, parts = lit_date(target), []
     active_n = size(active)
@@ -89,6 +89,7 @@ def table_freshness(tables: dict[str, tuple[DataFrame, str]], active: DataFrame,
     kind, stale = F.col("kind"), F.col("stale_days")
     krx = kind.isin("prices", "supply", "krx") & ~is_open
     status = ladder([
+        (kind == "legacy", "LEGACY"),
         (F.col("row_count") == 0, "FAIL_EMPTY"),
         (stale.isNull(), "FAIL_SCHEMA"),
         ((kind == "shorts") & (stale > 5), "WARN_STALE"),
@@ -154,14 +155,25 @@ def ratio_short(ratios: DataFrame, shorts: DataFrame) -> DataFrame:
 # ---- symbols, master and rankings -------------------------------------------
 
 
+def _spellings(df: DataFrame) -> DataFrame:
+    """Rows of each canonical symbol with and without the Q prefix."""
+    spelled = df.groupBy("symbol").agg(F.count(F.lit(1)).alias("n")).withColumns({"q": is_q_symbol(F.col("symbol")), "canonical": normalize_symbol(F.col("symbol"))})
+    rows = lambda cond: F.sum(F.when(cond, F.col("n")).otherwise(0))
+    return spelled.groupBy("canonical").agg(rows(F.col("q")).alias("q_rows"), rows(~F.col("q")).alias("plain_rows"))
+
+
+def symbol_candidates(tables: dict[str, DataFrame]) -> DataFrame:
+    """The symbols that a table holds in both spellings, one row each: what a repair would merge."""
+    found = [_spellings(df).where("q_rows > 0 and plain_rows > 0").select(F.lit(name).alias("table_name"), F.col("canonical").alias("symbol"), "q_rows", "plain_rows") for name, df in tables.items()]
+    return stack(found)
+
+
 def symbol_normalization(tables: dict[str, DataFrame]) -> DataFrame:
     """Q-prefixed rows per table, and how many of their symbols also exist in canonical spelling."""
     parts = []
     for name, df in tables.items():
-        spelled = df.groupBy("symbol").agg(F.count(F.lit(1)).alias("n")).withColumns({"q": is_q_symbol(F.col("symbol")), "canonical": normalize_symbol(F.col("symbol"))})
-        per_symbol = spelled.groupBy("canonical").agg(F.sum(F.when(F.col("q"), F.col("n")).otherwise(0)).alias("q_rows"), F.max(~F.col("q")).alias("has_plain"))
-        parts.append(per_symbol.agg(
-            F.coalesce(F.sum("q_rows"), F.lit(0)).alias("q_prefix_rows"), F.count_if((F.col("q_rows") > 0) & F.col("has_plain")).alias("canonical_duplicates")
+        parts.append(_spellings(df).agg(
+            F.coalesce(F.sum("q_rows"), F.lit(0)).alias("q_prefix_rows"), F.count_if((F.col("q_rows") > 0) & (F.col("plain_rows") > 0)).alias("canonical_duplicates")
         ).select(F.lit(name).alias("table_name"), "q_prefix_rows", "canonical_duplicates"))
     return stack(parts).withColumn("status", ladder([(F.col("q_prefix_rows") > 0, "FAIL_SYMBOL_NORMALIZATION")]))
 

@@ -69,6 +69,24 @@ def sample_status(symbols: DataFrame, master, prices, supply, shorts, statements
     )
 
 
+def exists_flags(spark, series, wide, prices, supply, shorts, raw, statements, told, target, samples: tuple[str, str]) -> DataFrame:
+    """One row of whether each table has what a report of its newest date needs."""
+    kr10y = series.where(F.col("series_id") == "KR_GOVT_10Y")
+    held = latest(prices).where("market_cap is not null and outstanding_shares is not null")
+    ratio = supply.where("foreign_holding_ratio is not null")
+    fields = [held.where(F.col("symbol") == s).join(ratio, ["symbol", "base_date"], "left_semi") for s in samples]
+    newest = latest(told)
+    parts = {
+        "has_kr10y": kr10y, "has_kr10y_on_target": kr10y.where(F.col("base_date") == F.lit(target)),
+        "wide_macro_has_kr10y": latest(wide).where("gold is not null"), "wide_macro_has_metals": latest(wide).where("gold is not null and wti is not null"),
+        "has_market_flows": latest(supply).where("foreign_net_buy is not null and institutional_net_buy is not null"),
+        "first_sample_has_snapshot_fields": fields[0], "second_sample_has_snapshot_fields": fields[1],
+        "has_disclosures": newest.where("source = 'OpenDart'"), "has_news": newest.where("source = 'NaverNews'"),
+        "has_raw_rows": latest(raw), "has_shorts": latest(shorts), "has_statements": latest(statements), "has_events": newest,
+    }
+    return spark.range(1).select(*[df.exists().alias(name) for name, df in parts.items()])
+
+
 def enabled_members(df: DataFrame, static_universe: DataFrame) -> DataFrame:
     return df.join(static_universe.where("enabled").select("symbol"), "symbol", "left_semi")
 

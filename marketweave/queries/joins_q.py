@@ -87,31 +87,22 @@ def cross_watchlist_latest(L):
     return jn.watchlist_coverage(L.static_universe, px.canonical(L.prices_raw))
 
 
-@query("exists_flags", """
-SELECT EXISTS (SELECT 1 FROM macro_series WHERE series_id = 'KR_GOVT_10Y' AND base_date = $T) AS has_kr10y,
- EXISTS (SELECT 1 FROM global_macro WHERE base_date = (SELECT max(base_date) FROM global_macro) AND gold IS NOT NULL AND wti IS NOT NULL) AS latest_has_metals,
- EXISTS (SELECT 1 FROM prices_raw p JOIN supply s ON s.symbol = p.symbol AND s.base_date = p.base_date WHERE p.symbol = '000001' AND market_cap IS NOT NULL
-  AND outstanding_shares IS NOT NULL AND foreign_holding_ratio IS NOT NULL) AS has_snapshot_fields,
- EXISTS (SELECT 1 FROM shorts WHERE base_date = (SELECT max(base_date) FROM shorts)) AS has_shorts""")
+_ON_LATEST = "EXISTS (SELECT 1 FROM {t} WHERE base_date = (SELECT max(base_date) FROM {t}){more})"
+_FIELDS = """EXISTS (SELECT 1 FROM prices_raw p JOIN supply s ON s.symbol = p.symbol AND s.base_date = p.base_date WHERE p.symbol = '{s}' AND p.base_date = (SELECT max(base_date) FROM prices_raw)
+  AND market_cap IS NOT NULL AND outstanding_shares IS NOT NULL AND foreign_holding_ratio IS NOT NULL)"""
+
+
+@query("exists_flags", f"""
+WITH statements AS (SELECT symbol, base_date FROM day_bars WHERE dc <> 10), told AS (SELECT ts::DATE AS base_date, CASE WHEN event_type = 'click' THEN 'NaverNews' ELSE 'OpenDart' END AS source FROM events)
+SELECT EXISTS (SELECT 1 FROM macro_series WHERE series_id = 'KR_GOVT_10Y') AS has_kr10y, EXISTS (SELECT 1 FROM macro_series WHERE series_id = 'KR_GOVT_10Y' AND base_date = $T) AS has_kr10y_on_target,
+ {_ON_LATEST.format(t='global_macro', more=' AND gold IS NOT NULL')} AS wide_macro_has_kr10y, {_ON_LATEST.format(t='global_macro', more=' AND gold IS NOT NULL AND wti IS NOT NULL')} AS wide_macro_has_metals,
+ {_ON_LATEST.format(t='supply', more=' AND foreign_net_buy IS NOT NULL AND institutional_net_buy IS NOT NULL')} AS has_market_flows,
+ {_FIELDS.format(s='000001')} AS first_sample_has_snapshot_fields, {_FIELDS.format(s='000002')} AS second_sample_has_snapshot_fields,
+ {_ON_LATEST.format(t='told', more=" AND source = 'OpenDart'")} AS has_disclosures, {_ON_LATEST.format(t='told', more=" AND source = 'NaverNews'")} AS has_news,
+ {_ON_LATEST.format(t='day_bars', more='')} AS has_raw_rows, {_ON_LATEST.format(t='shorts', more='')} AS has_shorts, {_ON_LATEST.format(t='statements', more='')} AS has_statements, {_ON_LATEST.format(t='told', more='')} AS has_events""")
 def exists_flags(L):
-    one = L.spark.range(1)
-    series = L.macro_series.where((F.col("series_id") == "KR_GOVT_10Y") & (F.col("base_date") == F.lit(TARGET)))
-    metals = jn.latest(L.global_macro).where("gold is not null and wti is not null")
-    fields = L.prices_raw.where("symbol = '000001' and market_cap is not null and outstanding_shares is not null").join(
-        L.supply.where("foreign_holding_ratio is not null"), ["symbol", "base_date"], "left_semi")
-    return one.select(
-        series.exists().alias("has_kr10y"), metals.exists().alias("latest_has_metals"),
-        fields.exists().alias("has_snapshot_fields"), jn.latest(L.shorts).exists().alias("has_shorts"))
-
-
-_DAYROWS = """dayrows AS (SELECT symbol, base_date, arg_max(close_price, trading_value) AS close_price, max(volume) AS volume, max(trading_value) AS trading_value FROM prices GROUP BY 1, 2)"""
-
-
-def day_rows(L):
-    """One row per symbol and day with a forced carry: weekend rows repeat the last open day's figures."""
-    rows = px.canonical(L.prices_raw).groupBy("symbol", "base_date").agg(
-        F.max("volume").alias("volume"), F.count(F.lit(1)).alias("n"))
-    return rows
+    told = L.table("events").select(F.col("ts").cast("date").alias("base_date"), F.when(F.col("event_type") == "click", "NaverNews").otherwise("OpenDart").alias("source"))
+    return jn.exists_flags(L.spark, L.macro_series, L.global_macro, L.prices_raw, L.supply, L.shorts, L.day_bars, L.day_bars.where("dc <> 10"), told, TARGET, ("000001", "000002"))
 
 
 @query("self_join_previous_open_day", f"""
