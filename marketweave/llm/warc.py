@@ -10,7 +10,8 @@ restores length and digest of every record, whoever wrote the archive.
 
 Archives are written by Spark's text writer, whose line separator is the blank
 lines that end a record, so they land wherever Spark can write, under its
-commit protocol. A file holds a bounded number of records.
+commit protocol, as plain files or gzipped as wholes (that writer can't gzip
+record by record). A file holds a bounded number of records.
 
 Null payloads count as empty. Payloads shorter than ``least_bytes`` are never
 revisits. Rows that share the smallest id of a payload are all responses. Rows
@@ -21,6 +22,7 @@ gives an archive without records. Other columns play no part.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -29,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketweave.llm.common import staged
 from marketweave.session import shared_dir
 
 #: Records in a file of an archive at most; a reader holds one file at a time.
@@ -93,13 +96,15 @@ def records_text(resolved: DataFrame, date: str = "2000-01-01T00:00:00Z") -> Dat
     return resolved.select(text.alias("value"))
 
 
-def write_archive(resolved: DataFrame, path: str, file_records: int = FILE_RECORDS) -> None:
-    """Writes the records of ``resolve`` below ``path``."""
-    records_text(resolved).write.option("lineSep", _RECORD_END).option("maxRecordsPerFile", file_records).text(path)
+def write_archive(resolved: DataFrame, path: str, file_records: int = FILE_RECORDS, compression: str = "gzip") -> None:
+    """Writes the records of ``resolve`` below ``path``; ``compression`` is of whole files, "none" leaves them plain."""
+    records_text(resolved).write.option("lineSep", _RECORD_END).option("maxRecordsPerFile", file_records).option("compression", compression).text(path)
 
 
 def parse_records(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers, names in lower case, and block of each record of an uncompressed archive file."""
+    """Headers, names in lower case, and block of each record of an archive file."""
+    if content[:2] == b"\x1f\x8b":
+        content = gzip.decompress(content)
     at = 0
     while (head := content.find(b"WARC/", at)) >= 0:
         stop = content.index(b"\r\n\r\n", head)
@@ -155,4 +160,4 @@ def deduplicate(pages: DataFrame, path: str | None = None, least_bytes: int = 0)
     path = path or shared_dir(spark, "marketweave-llm", f"warc-{uuid.uuid4().hex}")
     records = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").alias("payload"))
     write_archive(resolve(records, least_bytes), path)
-    return resolve_revisits(read_archive(spark, path))
+    return resolve_revisits(staged(read_archive(spark, path), "headers"))
