@@ -31,6 +31,7 @@ import re
 import struct
 import sys
 import types
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -46,7 +47,7 @@ MARKER = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 #: Stretches that a worker keeps, beyond which they are begun anew, and bytes of text whose new stretches are encoded together.
-ENTRIES, TOGETHER = 500_000, 4 << 20
+ENTRIES, TOGETHER = 900_000, 4 << 20
 
 
 @dataclass
@@ -146,59 +147,68 @@ class Codec:
 
     def __init__(self, content: bytes):
         import sentencepiece
+        from tokenizers import decoders, normalizers
 
-        self.model = parse_model(content)
-        self.tokenizer = rebuild(self.model)
-        self.normalise = self.tokenizer.normalizer.normalize_str
-        self.plain = self.tokenizer.from_str(self.tokenizer.to_str())  # for stretches, which are normalised already
-        from tokenizers import normalizers
-
-        self.plain.normalizer = normalizers.Sequence([])
+        self.model = model = parse_model(content)
+        self.tokenizer = rebuild(model)
         self.original = sentencepiece.SentencePieceProcessor(model_proto=content)
-        self.escaped = self.model.escape_spaces
-        spans_words = any(MARKER in p.lstrip(MARKER) for p, _, kind in self.model.pieces if kind in (NORMAL, USER_DEFINED))
-        #: A stretch: markers and what follows them, if no piece crosses into the next markers. Unigram scores are sums over the text, so they split alike.
-        self.stretches = re.compile(f"{MARKER}+[^{MARKER}]*|[^{MARKER}]+").findall if self.escaped and not spans_words and not any(k == USER_DEFINED for _, _, k in self.model.pieces) else None
-        self.ids_of: dict[str, np.ndarray] = {}
+        #: For stretches: they are normalised already, and keep their first space.
+        self.inner = self.tokenizer.from_str(self.tokenizer.to_str())
+        self.inner.normalizer = normalizers.Sequence([])
+        self.inner.decoder = decoders.Sequence([decoders.Replace(MARKER, " "), decoders.ByteFallback(), decoders.Fuse()])
+        used = [(p, kind) for p, _, kind in model.pieces if kind in (NORMAL, USER_DEFINED)]
+        apart = model.escape_spaces and not model.fold_spaces and not any(MARKER in p.lstrip(MARKER) or kind == USER_DEFINED for p, kind in used)
+        #: A stretch: markers and what follows them. Unigram scores are sums over a text, so they split alike.
+        self.split = re.compile(f"{MARKER}+[^{MARKER}]*|[^{MARKER}]+").findall if apart else None
+        self._forget()
+
+    def _forget(self) -> None:
+        self.ids_of: dict[str, bytes] = {}
         self.differs: set[str] = set()
+        self.changed: set[str] = set()
+
+    def normalise(self, text: str) -> str:
+        if self.model.charsmap or self.model.fold_spaces:
+            return self.tokenizer.normalizer.normalize_str(text)
+        return ((" " if self.model.dummy_prefix else "") + text).replace(" ", MARKER)
 
     def learn(self, new: list[str]) -> None:
-        """Encodes new stretches as a batch on the library's threads and holds the ids against sentencepiece's."""
-        for stretch, encoded in zip(new, self.plain.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.ids_of[stretch] = np.array(encoded.ids, np.int32)
-        cut = 0
-        if self.model.dummy_prefix:  # sentencepiece puts a marker first by itself, except before an empty text
-            new = [s for s in new if s[0] == MARKER]
-            cut = 1
-        texts = [s[cut:].replace(MARKER, " ") for s in new]
-        lone = len(self.original.encode("a"))
-        for stretch, text, right in zip(new, texts, self.original.encode(texts, num_threads=1), strict=True):
-            if not text:
-                right = self.original.encode("a ")[lone:]
-            if right != self.ids_of[stretch].tolist():
-                self.differs.add(stretch)
-                self.ids_of[stretch] = np.array(right, np.int32)
-
-    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, bool]]:
-        """The ids of each text, and whether the rebuilt tokenizer gave what sentencepiece gives."""
-        if len(self.ids_of) > ENTRIES:
-            self.ids_of, self.differs = {}, set()
-        if self.stretches is None or self.model.fold_spaces:
+        """Encodes new stretches as a batch on the library's threads, holds the ids against sentencepiece's, and decodes them."""
+        found = [e.ids for e in self.inner.encode_batch_fast(new, add_special_tokens=False)]
+        cut = int(self.model.dummy_prefix)  # sentencepiece puts a marker first by itself, except before an empty text
+        plain = [s.replace(MARKER, " ") for s in new]
+        right = self.original.encode([s[cut:] for s in plain] if cut else plain, num_threads=1)
+        if cut and " " in plain:
+            right[plain.index(" ")] = self.original.encode("a ")[len(self.original.encode("a")) :]
+        if found != right:
+            self.differs.update(s for s, x, y in zip(new, found, right, strict=True) if x != y)
+        back = self.inner.decode_batch(right, skip_special_tokens=False)
+        if back != plain:
+            self.changed.update(s for s, x, y in zip(new, back, plain, strict=True) if x != y)
+        self.ids_of.update(zip(new, [array("i", ids).tobytes() for ids in right], strict=True))
+
+    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, bool, bool]]:
+        """The ids of each text, whether the rebuilt tokenizer gave what sentencepiece gives, and whether decoding gives the text again."""
+        if self.split is None:
             yield from self._whole(texts)
             return
-        split = [self.stretches(self.normalise(t)) if t else [] for t in texts]
+        if len(self.ids_of) > ENTRIES:
+            self._forget()
+        split = [self.split(self.normalise(t)) if t else [] for t in texts]
         new = list({s for own in split for s in own if s not in self.ids_of})
         if new:
             self.learn(new)
-        ids_of = self.ids_of
-        for own in split:
-            ids = np.concatenate([ids_of[s] for s in own]) if own else np.empty(0, np.int32)
-            yield ids, not self.differs or self.differs.isdisjoint(own)
-
-    def _whole(self, texts: list[str]) -> Iterator[tuple[np.ndarray, bool]]:
-        for encoded, right in zip(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), self.original.encode(texts, num_threads=1), strict=True):
-            same = encoded.ids == right
-            yield np.array(right, np.int32), same
+        cut = int(self.model.dummy_prefix)
+        for text, own in zip(texts, split, strict=True):
+            ids = np.frombuffer(b"".join(map(self.ids_of.__getitem__, own)), np.int32)
+            back = (not self.changed or self.changed.isdisjoint(own)) and "".join(own).replace(MARKER, " ")[cut:] == text
+            yield ids, not self.differs or self.differs.isdisjoint(own), back
+
+    def _whole(self, texts: list[str]) -> Iterator[tuple[np.ndarray, bool, bool]]:
+        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        right = self.original.encode(texts, num_threads=1)
+        for text, ids, own, back in zip(texts, encoded, right, self.tokenizer.decode_batch(right, skip_special_tokens=False), strict=True):
+            yield np.array(own, np.int32), ids == own, back == text
 
     def decode(self, ids: list[int]) -> str:
         return self.tokenizer.decode(ids, skip_special_tokens=False)
@@ -227,9 +237,9 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             for piece in pieces(batch, "text", TOGETHER):
                 done = list(codec.encode(large_text(piece.column("text")).to_pylist()))
-                sizes = [len(ids) for ids, _ in done]
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(np.concatenate([ids for ids, _ in done])))
-                yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in rest), lists, pa.array(sizes, pa.int64()), pa.array([same for _, same in done])], [*rest, "input_ids", "n_tokens", "parity"])
+                sizes = [len(ids) for ids, _, _ in done]
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(np.concatenate([ids for ids, _, _ in done])))
+                yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in rest), lists, pa.array(sizes, pa.int64()), pa.array([same for _, same, _ in done])], [*rest, "input_ids", "n_tokens", "parity"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(rest).schema)
     return docs.select(rest).mapInArrow(run, f"{fields}, input_ids array<int>, n_tokens long, parity boolean")
@@ -257,8 +267,8 @@ def checked(docs: DataFrame, path: str) -> DataFrame:
             for piece in pieces(batch, "text", TOGETHER):
                 texts = large_text(piece.column("text")).to_pylist()
                 rows = []
-                for text, (ids, same) in zip(texts, codec.encode(texts), strict=True):
-                    rows.append((len(text.encode()), len(ids), hashlib.sha256(ids.astype("<i4").tobytes()).hexdigest(), same, codec.decode(ids.tolist()) == text))
+                for text, (ids, same, back) in zip(texts, codec.encode(texts), strict=True):
+                    rows.append((len(text.encode()), len(ids), hashlib.sha256(ids.astype("<i4").tobytes()).hexdigest(), same, back))
                 columns = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([piece.column("doc_id"), *map(pa.array, columns)], ["doc_id", "n_bytes", "n_tokens", "ids_sha256", "parity", "round_trip"])
 

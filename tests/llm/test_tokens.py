@@ -92,8 +92,9 @@ def test_rebuilt_model_has_parity_and_round_trip():
     codec, original = spiece.Codec(open(PIECES, "rb").read()), sentencepiece.SentencePieceProcessor(model_file=PIECES)
     rng = random.Random(2)
     texts = SP_TEXTS + ["".join(rng.choices(PARTS, k=rng.randrange(1, 12))) for _ in range(400)]
-    for text, (ids, same) in zip(texts, codec.encode(texts), strict=True):
+    for text, (ids, same, back) in zip(texts, codec.encode(texts), strict=True):
         assert same and ids.tolist() == original.encode(text), text
+        assert back == (codec.decode(ids.tolist()) == text), text
         if "▁" not in text:
             assert codec.decode(ids.tolist()) == text == original.decode(ids.tolist()), text
         assert codec.tokenizer.encode(text, add_special_tokens=False).ids == ids.tolist(), text  # whole, not by stretches
@@ -126,9 +127,9 @@ def test_unigram_scores_are_rebuilt(fold):
     codec, original = spiece.Codec(content), sentencepiece.SentencePieceProcessor(model_proto=content)
     rng = random.Random(4)
     texts = ["", "abc", "ab abc", "a  b", "é", *("".join(rng.choices("abcd ,é", k=rng.randrange(14))) for _ in range(300))]
-    for text, (ids, same) in zip(texts, codec.encode(texts), strict=True):
-        assert ids.tolist() == original.encode(text), text
-        assert same or fold, text
+    for text, (ids, same, back) in zip(texts, codec.encode(texts), strict=True):
+        assert same and ids.tolist() == original.encode(text), text
+        assert back == (codec.decode(ids.tolist()) == text), text
     assert codec.model.kind == spiece.UNIGRAM and codec.model.byte_fallback
 
 
