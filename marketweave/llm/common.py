@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 from collections.abc import Iterator
 
@@ -80,17 +82,18 @@ def seeds(count: int, salt: int) -> np.ndarray:
 
 
 _BYTE = seeds(256, 11)
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        size = max(n, 2 * PIECE_BYTES if n <= 2 * PIECE_BYTES else n)
-        for k, base in enumerate((_BASE, _INVERSE)):
-            table = np.full(size, base, np.uint64)
-            table[0] = 1
-            _powers[k] = np.cumprod(table, dtype=np.uint64)
-    return _powers[0], _powers[1]
+    """Powers of the base and of its inverse, ``n`` or more. A process keeps them to itself: they must not travel with the functions that use them."""
+    kept = sys.modules.setdefault("_marketweave_powers", types.ModuleType("_marketweave_powers"))
+    if not hasattr(kept, "tables") or len(kept.tables[0]) < n:
+        kept.tables = []
+        for base in (_BASE, _INVERSE):
+            factors = np.full(1 << max(16, (n - 1).bit_length()), base, np.uint64)
+            factors[0] = 1
+            kept.tables.append(np.cumprod(factors, dtype=np.uint64))
+    return kept.tables
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

@@ -87,12 +87,11 @@ def test_language_on_held_out_rows(spark, corpus):
     got = langid.identify(docs).collect()
     assert len(got) == len(rows) + len(odd)
     by = {r["doc_id"]: r for r in got}
-    truth = {i: next(k for k, s in SYLLABLES.items() if t[:2] in {x[:2] for x in s} or t[:3] in s) for i, t, _, _ in rows}
     held = [i for i, *_ in rows if crc(i, 3) == 1]
     assert all(by[i]["held_out"] for i in held) and sum(r["held_out"] for r in got) >= len(held)
     named = [i for i, _, lang, _ in rows if crc(i, 3) == 1 and lang]
     right = {i: lang for i, _, lang, _ in rows}
-    assert np.mean([by[i]["lang_pred"] == right[i] for i in named]) > 0.97 and truth
+    assert np.mean([by[i]["lang_pred"] == right[i] for i in named]) > 0.97
     assert {by[i]["lang_pred"] for i in (3000, 3001, 3002)} == {"und"} and {by[i]["score"] for i in (3000, 3001, 3002)} == {0.0}
     assert by[3003]["lang_pred"] in SYLLABLES and by[None]["lang_pred"] == "bb"
     assert all(0 <= r["score"] <= 1 for r in got)
@@ -105,7 +104,8 @@ def test_language_without_learning_rows(spark):
 
 
 def test_more_languages_than_bits(spark):
-    rows = [(i, f"lang{k:02d}x lang{k:02d}y " * 6, f"l{k:02d}") for i, k in enumerate([*range(70)] * 4)]
+    letters = lambda k: chr(97 + k // 26) * 2 + chr(97 + k % 26) * 2
+    rows = [(i, f"{letters(k)}x y{letters(k)} " * 6, f"l{k:02d}") for i, k in enumerate([*range(70)] * 6)]
     got = langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
     assert np.mean([r["lang_pred"] == rows[r["doc_id"]][2] for r in got]) > 0.95
 
@@ -113,9 +113,7 @@ def test_more_languages_than_bits(spark):
 def test_grams_stay_within_rows_and_words():
     value, row = langid.grams(pa.array(["Ab", "", None, "a1b", "xyz"]))
     as_text = [(int(r), int(v).to_bytes(4, "big")) for v, r in zip(value, row)]
-    assert as_text == [(0, b" ab "), (4, b" xyz"), (4, b"xyz ")]
-    # "a1b" is two words of one letter each, which no window of four bytes fits
-    assert (3, b" a b") not in as_text or True
+    assert as_text == [(0, b" ab "), (3, b" a b"), (3, b"a b "), (4, b" xyz"), (4, b"xyz ")]
 
 
 def test_false_positives_are_taken_off():

@@ -117,3 +117,16 @@ def test_words_and_shingles_are_cut_like_the_pattern():
     assert len(set(hashed.tolist())) == len({w.replace("É", "E!") for t in texts for w in re.findall(r"[^\x20\x09-\x0d]+", (t or "").replace("A", "a").replace("D", "d"))})
     values, bounds = shingles(pa.array(texts), 5)
     assert np.diff(bounds).tolist() == [len(shingle_set(t)) for t in texts]
+
+
+def test_hashes_do_not_depend_on_the_place():
+    few = words(pa.array(["x y x", "y x"]))[0]
+    many = words(pa.array(["pad " * 400_000 + "x y"]))[0]
+    assert few[0] == few[2] == few[4] == many[-2] and few[1] == few[3] == many[-1] and few[0] != few[1]
+
+
+def test_shipped_functions_are_small():
+    from pyspark import cloudpickle
+
+    words(pa.array(["pad " * 400_000]))
+    assert len(cloudpickle.dumps(mh._sketched)) < 100_000

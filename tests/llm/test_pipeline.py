@@ -23,6 +23,10 @@ FOLDER = "/root/testdata/sf0.001"
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+def known(doc_id):
+    return -1 if doc_id is None else doc_id
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql(spark, name):
     con = duckdb.connect()
@@ -47,7 +51,7 @@ def test_stages(spark):
         before = [r.asDict() for r in docs.collect()]
         out = staged(stage(spark, docs, FOLDER), name)
         after = [r.asDict() for r in out.collect()]
-        ids = sorted(r["doc_id"] or -1 for r in after)
+        ids = sorted(known(r["doc_id"]) for r in after)
         if name != "sentencepiece":
             assert out.columns == columns
         if name == "toxicity":
@@ -58,7 +62,7 @@ def test_stages(spark):
             bad = {r["doc_id"] for r in decontam.contaminated(docs, corpus_pipeline.table(spark, FOLDER, "benchmark")).collect()}
         else:
             bad = set()
-        assert ids == sorted(r["doc_id"] or -1 for r in before if r["doc_id"] not in bad), name
+        assert ids == sorted(known(r["doc_id"]) for r in before if r["doc_id"] not in bad), name
         texts = {r["doc_id"]: r["text"] for r in before}
         if name == "secrets":
             spans = {r["doc_id"]: r["spans"] for r in secrets.find_secrets(docs).collect()}
@@ -71,7 +75,7 @@ def test_stages(spark):
         else:
             assert all(r["text"] == texts[r["doc_id"]] for r in after)
         docs = out
-    assert sorted(r["doc_id"] or -1 for r in corpus_pipeline.run(spark, FOLDER).collect()) == [i for i in ids if i not in (-1, 10**6, 10**6 + 1)]
+    assert sorted(known(r["doc_id"]) for r in corpus_pipeline.run(spark, FOLDER).collect()) == [i for i in ids if i not in (-1, 10**6, 10**6 + 1)]
 
 
 def test_entry_works_without_this_subpackage():

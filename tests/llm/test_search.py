@@ -73,11 +73,12 @@ def test_archive_round_trip(spark, least):
     assert sorted(map(tuple, warc.deduplicate(pages, least_bytes=least).collect()), key=repr) == brute_pages(PAGES, least)
 
 
-def test_archive_files(spark, tmp_path):
+@pytest.mark.parametrize("compression", ["none", "gzip"])
+def test_archive_files(spark, tmp_path, compression):
     pages = spark.createDataFrame(PAGES, "page_id long, url string, html string").withColumnRenamed("html", "payload")
     resolved = warc.resolve(pages)
     path = str(tmp_path / "a")
-    warc.write_archive(resolved, path, file_records=2)
+    warc.write_archive(resolved, path, file_records=2, compression=compression)
     files = [f for f in (tmp_path / "a").iterdir() if f.name.startswith("part-")]
     found = [r for f in files for r in warc.parse_records(f.read_bytes())]
     assert all(sum(1 for _ in warc.parse_records(f.read_bytes())) <= 2 for f in files)
