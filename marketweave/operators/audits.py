@@ -381,7 +381,10 @@ def calendar_quality(calendar: DataFrame, target: date) -> DataFrame:
         F.count_if(kr & (day == goal)).alias("xkrx_today_rows"), F.count_if(kr & F.col("is_open") & day.between(F.date_sub(goal, 30), goal)).alias("recent_30d_open_days"),
         F.count_if(kr & F.col("is_open") & day.between(goal, F.date_add(goal, 30))).alias("next_30d_open_days"), F.count_if(kr & this & (F.col("reason") == "holiday")).alias("xkrx_weekday_holidays"),
         F.count_if(us & this & (F.col("reason") == "holiday")).alias("xnys_weekday_holidays"), F.count_if(manual).alias("manual_override_rows"),
-        F.max(F.when(kr & F.col("is_open") & (day < goal), day)).alias("xkrx_previous"), F.min(F.when(kr & F.col("is_open") & (day > goal), day)).alias("xkrx_next"))
+        F.count_if(manual & day.between(F.date_sub(goal, 30), F.date_add(goal, 30))).alias("recent_override_rows"), F.count_if(us & (day == goal)).alias("xnys_today_rows"),
+        *[out for name, here in (("xkrx", kr), ("xnys", us)) for out in (
+            F.max(F.when(here & F.col("is_open") & (day < goal), day)).alias(f"{name}_previous"), F.min(F.when(here & F.col("is_open") & (day > goal), day)).alias(f"{name}_next"),
+            F.min(F.when(here & (this | following), day)).alias(f"{name}_first"), F.max(F.when(here & (this | following), day)).alias(f"{name}_last"))])
     return counts.withColumn("status", ladder([
         (F.col("xkrx_rows") < 300, "WARN_MARKET_CALENDAR_INCOMPLETE"), (F.col("xkrx_next_rows") < 300, "WARN_NEXT_YEAR_CALENDAR_INCOMPLETE"), (F.col("xnys_rows") < 300, "WARN_MARKET_CALENDAR_MISSING_XNYS"),
         (F.col("xnys_next_rows") < 300, "WARN_NEXT_YEAR_CALENDAR_INCOMPLETE_XNYS"), (F.col("xkrx_today_rows") == 0, "WARN_TODAY_CALENDAR_MISSING"), (F.col("xkrx_next").isNull(), "WARN_NEXT_TRADING_DAY_MISSING"),

@@ -220,10 +220,13 @@ WITH x AS (SELECT count(*) FILTER (WHERE exchange_code = 'XKRX' AND year(calenda
  count(*) FILTER (WHERE exchange_code = 'XNYS' AND year(calendar_date) = 2001) AS xnys_rows, count(*) FILTER (WHERE exchange_code = 'XNYS' AND year(calendar_date) = 2002) AS xnys_next_rows, count(*) FILTER (WHERE exchange_code = 'XKRX' AND calendar_date = $T) AS xkrx_today_rows,
  count(*) FILTER (WHERE exchange_code = 'XKRX' AND is_open AND calendar_date BETWEEN $T - 30 AND $T) AS recent_30d_open_days, count(*) FILTER (WHERE exchange_code = 'XKRX' AND is_open AND calendar_date BETWEEN $T AND $T + 30) AS next_30d_open_days,
  count(*) FILTER (WHERE exchange_code = 'XKRX' AND year(calendar_date) = 2001 AND reason = 'holiday') AS xkrx_weekday_holidays, count(*) FILTER (WHERE exchange_code = 'XNYS' AND year(calendar_date) = 2001 AND reason = 'holiday') AS xnys_weekday_holidays,
- count(*) FILTER (WHERE source = 'manual_override' AND year(calendar_date) IN (2001, 2002)) AS manual_override_rows, max(calendar_date) FILTER (WHERE exchange_code = 'XKRX' AND is_open AND calendar_date < $T) AS xkrx_previous,
- min(calendar_date) FILTER (WHERE exchange_code = 'XKRX' AND is_open AND calendar_date > $T) AS xkrx_next FROM calendar)
+ count(*) FILTER (WHERE source = 'manual_override' AND year(calendar_date) IN (2001, 2002)) AS manual_override_rows,
+ count(*) FILTER (WHERE source = 'manual_override' AND calendar_date BETWEEN $T - 30 AND $T + 30) AS recent_override_rows, count(*) FILTER (WHERE exchange_code = 'XNYS' AND calendar_date = $T) AS xnys_today_rows,
+""" + ", ".join(f"""max(calendar_date) FILTER (WHERE exchange_code = '{x}' AND is_open AND calendar_date < $T) AS {x.lower()}_previous, min(calendar_date) FILTER (WHERE exchange_code = '{x}' AND is_open AND calendar_date > $T) AS {x.lower()}_next,
+ min(calendar_date) FILTER (WHERE exchange_code = '{x}' AND year(calendar_date) IN (2001, 2002)) AS {x.lower()}_first, max(calendar_date) FILTER (WHERE exchange_code = '{x}' AND year(calendar_date) IN (2001, 2002)) AS {x.lower()}_last""" for x in ("XKRX", "XNYS")) + """
+ FROM calendar)
 SELECT *, CASE WHEN xkrx_rows < 300 THEN 'WARN_MARKET_CALENDAR_INCOMPLETE' WHEN xkrx_next_rows < 300 THEN 'WARN_NEXT_YEAR_CALENDAR_INCOMPLETE' WHEN xnys_rows < 300 THEN 'WARN_MARKET_CALENDAR_MISSING_XNYS' WHEN xnys_next_rows < 300 THEN 'WARN_NEXT_YEAR_CALENDAR_INCOMPLETE_XNYS'
- WHEN xkrx_today_rows = 0 THEN 'WARN_TODAY_CALENDAR_MISSING' WHEN xkrx_next IS NULL THEN 'WARN_NEXT_TRADING_DAY_MISSING' ELSE 'SUCCESS' END AS status FROM x""", "xkrx_previous xkrx_next")
+ WHEN xkrx_today_rows = 0 THEN 'WARN_TODAY_CALENDAR_MISSING' WHEN xkrx_next IS NULL THEN 'WARN_NEXT_TRADING_DAY_MISSING' ELSE 'SUCCESS' END AS status FROM x""", " ".join(f"{x}_{n}" for x in ("xkrx", "xnys") for n in ("previous", "next", "first", "last")))
 def dq_calendar(L):
     return au.calendar_quality(L.calendar, TARGET)
 
