@@ -58,10 +58,6 @@ def with_market(df: DataFrame, master: DataFrame) -> DataFrame:
     return px.canonical(df).join(listed, "symbol", "left")
 
 
-def names(cond: Column, col: str = "symbol") -> Column:
-    return F.array_join(F.array_sort(F.collect_set(F.when(cond, F.col(col)))), ",")
-
-
 # ---- freshness and price tables ---------------------------------------------
 
 
@@ -426,16 +422,26 @@ def invalid_prices(prices, master, calendar, target: date, lookback_days: int =
     return counts.withColumn("duplicate_weekend_carry_rows", carried).withColumn("status", ladder([(F.col("recent_invalid_rows") > 0, "FAIL_INVALID_PRICE_ROWS"), (F.col("invalid_rows") > 0, "WARN_INVALID_PRICE_ROWS")]))
 
 
-def feature_without_price(features, prices, target) -> DataFrame:
-    """Feature symbols of the date without a valid price among its broker-detail symbols."""
+def _priced_features(features, prices, target) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Feature rows of the date, its symbols with a valid price (of broker detail, if it has any), and the stock symbols of the rows, ``good`` where priced."""
     goal = F.col("base_date") == lit_date(target)
     today = px.canonical(prices.where(goal))
     per = today.groupBy("symbol").agg(F.max(F.col("source") == "KIS_DETAIL").alias("in_detail"), F.max(px.valid_row()).alias("is_valid"))
     any_detail = one(today, _any(F.col("source") == "KIS_DETAIL"))
     good = per.where(F.col("is_valid") & (F.coalesce("in_detail", F.lit(False)) | ~any_detail)).select("symbol", F.lit(1).alias("good"))
     rows = features.where(goal)
-    stock = px.canonical(rows.where(F.col("symbol") != "GLOBAL")).select("symbol").distinct().join(good, "symbol", "left")
-    lists = stock.agg(F.count(F.lit(1)).alias("stock_feature_symbols"), F.count_if(F.col("good").isNull()).alias("without_price_count"), names(F.col("good").isNull()).alias("without_valid_price"))
+    return rows, good, px.canonical(rows.where(F.col("symbol") != "GLOBAL")).select("symbol").distinct().join(good, "symbol", "left")
+
+
+def features_without_price(features, prices, target) -> DataFrame:
+    """The feature symbols of the date without a valid price, a row each."""
+    return _priced_features(features, prices, target)[2].where("good is null").select("symbol")
+
+
+def feature_without_price(features, prices, target) -> DataFrame:
+    """How many feature symbols of the date have no valid price among its broker-detail symbols."""
+    rows, good, stock = _priced_features(features, prices, target)
+    lists = stock.agg(F.count(F.lit(1)).alias("stock_feature_symbols"), F.count_if(F.col("good").isNull()).alias("without_price_count"))
     sums = rows.agg(F.count(F.lit(1)).alias("feature_total_rows"), F.count_if(F.col("symbol") == "GLOBAL").alias("global_feature_rows"))
     return jn.beside(sums, lists).withColumn("detail_valid_price_rows", size(good)).withColumn("status", ladder([
         ((F.col("stock_feature_symbols") == 0) | (F.col("without_price_count") == 0), "SUCCESS"), (F.col("without_price_count") < F.col("stock_feature_symbols"), "WARN_FEATURE_PARTIAL_PRICE_MATCH"),
@@ -507,7 +513,7 @@ def report_source(watch, views, macro_row, fields: dict[str, str]) -> DataFrame:
     suspicious = F.array_join(sn.macro_suspicious({k: F.col(v) for k, v in fields.items()}), ",").alias("macro_suspicious")
     w = watch.agg(
         F.count(F.lit(1)).alias("symbols_checked"), F.count_if(F.coalesce("stale_days", F.lit(0)) > 3).alias("stale_watch_symbols"), F.count_if("source_mixed").alias("source_mixed_symbols"),
-        names(F.col("price_scale_warning") != "").alias("scale_warning_symbols"))
+        F.count_if(F.col("price_scale_warning") != "").alias("scale_warning_symbols"))
     joined = jn.beside(jn.beside(w, views.select("stale_sector_etf", "future_date_rows")), macro_row.select(suspicious))
     return joined.withColumn("status", ladder([
         (F.col("future_date_rows") > 0, "FAIL_REPORT_SOURCE_QUALITY"), (F.col("source_mixed_symbols") > 0, "WARN_FEATURE_SOURCE_MIXED"),

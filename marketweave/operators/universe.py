@@ -133,42 +133,47 @@ def source_counts(universe: DataFrame, categories: tuple = ("static", "manual",
     return universe.agg(*[F.count_if(_has(c)).alias(c) for c in categories])
 
 
-def alignment(static_universe, snapshots, prices, features, report_rows, rankings, target) -> DataFrame:
-    """Watchlist against detail, price, feature, report and rank symbols, with a status.
-
-    The watchlist is flagged in one join chain; the missing lists only ever name
-    watchlist symbols.
-    """
+def _sources(snapshots, prices, features, rankings, target) -> dict[str, DataFrame]:
+    """Distinct symbols of the date by where they come from."""
     day = F.col("base_date") == F.lit(target).cast("date")
     symbols = lambda df: px.canonical(df).select("symbol").where(F.col("symbol") != "").distinct()
-    detail = symbols(snapshots.where(day & (F.col("source") == "KIS_DETAIL")))
-    detail_price = symbols(prices.where(day & (F.col("source") == "KIS_DETAIL")))
-    featured = symbols(features.where(day & (F.col("symbol") != "GLOBAL")))
-    reported = report_rows.select("symbol", "data_status").distinct()
-    volume = symbols(rankings.where(day & (F.col("source") == "KIS") & (F.col("rank_type") == "volume")))
-    watch = static_universe.where("enabled").select(normalize_symbol(F.col("symbol")).alias("symbol"))
-    flag = lambda df, name: df.withColumn(name, F.lit(1))
-    marked = (
-        watch.join(flag(detail, "in_detail"), "symbol", "left").join(flag(featured, "in_feature"), "symbol", "left").join(flag(reported, "in_report"), "symbol", "left")
-    )
-    listing = lambda cond: F.array_join(F.array_sort(F.collect_set(F.when(cond, F.col("symbol")))), ",")
-    stale = F.col("data_status").startswith("STALE")
-    own = marked.agg(
-        F.count_distinct("symbol").alias("static_enabled_count"),
-        listing(F.col("in_detail").isNull()).alias("missing_in_detail"), listing(F.col("in_feature").isNull()).alias("missing_in_feature"),
-        listing(F.col("in_report").isNull()).alias("missing_in_report_view"), listing(stale).alias("stale_in_report_view"),
-    )
+    return {
+        "detail": symbols(snapshots.where(day & (F.col("source") == "KIS_DETAIL"))), "price": symbols(prices.where(day & (F.col("source") == "KIS_DETAIL"))),
+        "feature": symbols(features.where(day & (F.col("symbol") != "GLOBAL"))), "volume": symbols(rankings.where(day & (F.col("source") == "KIS") & (F.col("rank_type") == "volume"))),
+    }
+
+
+def misaligned(static_universe, report_rows, sources: dict[str, DataFrame]) -> DataFrame:
+    """(symbol, problem): every enabled watchlist symbol that detail, features or report lack, or that the report holds stale."""
+    watch = static_universe.where("enabled").select(normalize_symbol(F.col("symbol")).alias("symbol")).distinct()
+    reported = report_rows.groupBy("symbol").agg(F.max(F.col("data_status").startswith("STALE")).alias("stale"), F.lit(1).alias("in_report"))
+    flag = lambda name: sources[name].withColumn(f"in_{name}", F.lit(1))
+    marked = watch.join(flag("detail"), "symbol", "left").join(flag("feature"), "symbol", "left").join(reported, "symbol", "left")
+    lacks = lambda name, label: F.when(F.col(f"in_{name}").isNull(), label)
+    problems = F.array_compact(F.array(lacks("detail", "missing_in_detail"), lacks("feature", "missing_in_feature"), lacks("report", "missing_in_report_view"), F.when(F.col("stale"), "stale_in_report_view")))
+    return marked.select("symbol", F.explode(problems).alias("problem"))
+
+
+def alignment(static_universe, snapshots, prices, features, report_rows, rankings, target) -> DataFrame:
+    """Watchlist against detail, price, feature, report and rank symbols in counts, with a status; :func:`misaligned` has the symbols."""
+    sources = _sources(snapshots, prices, features, rankings, target)
     size = lambda df: df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return own.select(
-        "static_enabled_count", size(detail).alias("detail_universe_count"), size(detail_price).alias("detail_price_symbols_count"),
-        size(featured).alias("feature_symbol_count"), size(reported.select("symbol").distinct()).alias("report_watchlist_count"), size(volume).alias("volume_symbol_count"),
-        "missing_in_detail", "missing_in_feature", "missing_in_report_view", "stale_in_report_view",
-        F.when(F.col("missing_in_detail") != "", "FAIL_STATIC_WATCHLIST_MISSING")
-        .when((F.col("missing_in_feature") != "") | (F.col("missing_in_report_view") != "") | (F.col("stale_in_report_view") != ""), "WARN_UNIVERSE_MISMATCH")
+    problems = ("missing_in_detail", "missing_in_feature", "missing_in_report_view", "stale_in_report_view")
+    found = misaligned(static_universe, report_rows, sources).agg(*[F.count_if(F.col("problem") == p).alias(p) for p in problems])
+    return found.select(
+        size(static_universe.where("enabled").select(normalize_symbol(F.col("symbol"))).distinct()).alias("static_enabled_count"), size(sources["detail"]).alias("detail_universe_count"),
+        size(sources["price"]).alias("detail_price_symbols_count"), size(sources["feature"]).alias("feature_symbol_count"),
+        size(report_rows.select("symbol").distinct()).alias("report_watchlist_count"), size(sources["volume"]).alias("volume_symbol_count"), *problems,
+        F.when(F.col("missing_in_detail") > 0, "FAIL_STATIC_WATCHLIST_MISSING")
+        .when((F.col("missing_in_feature") > 0) | (F.col("missing_in_report_view") > 0) | (F.col("stale_in_report_view") > 0), "WARN_UNIVERSE_MISMATCH")
         .otherwise("SUCCESS").alias("status"),
     )
 
 
+def alignment_symbols(static_universe, snapshots, prices, features, report_rows, rankings, target) -> DataFrame:
+    return misaligned(static_universe, report_rows, _sources(snapshots, prices, features, rankings, target))
+
+
 # ---- stock master -----------------------------------------------------------
 
 

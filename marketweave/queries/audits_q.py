@@ -260,12 +260,19 @@ def dq_invalid_prices(L):
 WITH d AS (SELECT DISTINCT symbol FROM prices WHERE base_date = $T AND source = 'KIS_DETAIL'), g AS (SELECT DISTINCT symbol FROM prices WHERE base_date = $T AND {valid()} AND ((SELECT count(*) FROM d) = 0 OR symbol IN (SELECT symbol FROM d))),
 f AS (SELECT * FROM features WHERE base_date = $T), s AS (SELECT DISTINCT {_Q} AS symbol FROM f WHERE symbol <> 'GLOBAL'),
 x AS (SELECT (SELECT count(*) FROM f) AS feature_total_rows, (SELECT count(*) FROM f WHERE symbol = 'GLOBAL') AS global_feature_rows, count(*) AS stock_feature_symbols, count(*) FILTER (WHERE symbol NOT IN (SELECT symbol FROM g)) AS without_price_count,
- coalesce(string_agg(symbol, ',' ORDER BY symbol) FILTER (WHERE symbol NOT IN (SELECT symbol FROM g)), '') AS without_valid_price, (SELECT count(*) FROM g) AS detail_valid_price_rows FROM s)
+ (SELECT count(*) FROM g) AS detail_valid_price_rows FROM s)
 SELECT *, CASE WHEN stock_feature_symbols = 0 OR without_price_count = 0 THEN 'SUCCESS' WHEN without_price_count < stock_feature_symbols THEN 'WARN_FEATURE_PARTIAL_PRICE_MATCH' ELSE 'WARN_FEATURE_WITHOUT_VALID_PRICE' END AS status FROM x""")
 def dq_feature_without_price(L):
     return au.feature_without_price(L.features, L.prices_raw, TARGET)
 
 
+@query("dq_features_without_price", f"""
+WITH d AS (SELECT DISTINCT symbol FROM prices WHERE base_date = $T AND source = 'KIS_DETAIL'), g AS (SELECT DISTINCT symbol FROM prices WHERE base_date = $T AND {valid()} AND ((SELECT count(*) FROM d) = 0 OR symbol IN (SELECT symbol FROM d)))
+SELECT DISTINCT {_Q} AS symbol FROM features WHERE base_date = $T AND symbol <> 'GLOBAL' AND {_Q} NOT IN (SELECT symbol FROM g)""")
+def dq_features_without_price(L):
+    return au.features_without_price(L.features, L.prices_raw, TARGET)
+
+
 @query("dq_detail_universe_size", f"""WITH {_DETAIL}, x AS (SELECT (SELECT count(*) FROM static_universe WHERE enabled) AS static_enabled, (SELECT count(DISTINCT {_Q}) FROM rankings WHERE base_date = (SELECT max(base_date) FROM rankings)) AS ranking_symbols,
  (SELECT count(*) FROM master WHERE is_active) AS active_master, (SELECT count(*) FROM combined) AS detail_universe)
 SELECT *, CASE WHEN detail_universe > 500 THEN 'FAIL_DETAIL_UNIVERSE_TOO_LARGE' WHEN active_master > 50 THEN 'WARN_MASTER_ACTIVE_TOO_BROAD' WHEN ranking_symbols = 0 THEN 'WARN_RANKING_UNIVERSE_EMPTY' ELSE 'SUCCESS' END AS status FROM x""")
@@ -318,7 +325,7 @@ def dq_report_views(L):
 
 
 @query("dq_report_source", f"""WITH {_WATCH}, {_VIEWS}, x AS (SELECT count(*) AS symbols_checked, count(*) FILTER (WHERE coalesce(stale_days, 0) > 3) AS stale_watch_symbols, count(*) FILTER (WHERE source_mixed) AS source_mixed_symbols,
- coalesce(string_agg(symbol, ',' ORDER BY symbol) FILTER (WHERE price_scale_warning <> ''), '') AS scale_warning_symbols FROM ws),
+ count(*) FILTER (WHERE price_scale_warning <> '') AS scale_warning_symbols FROM ws),
 m AS (SELECT concat_ws(',', CASE WHEN NOT wti BETWEEN 20 AND 200 THEN 'wti' END, CASE WHEN NOT us10y BETWEEN 0 AND 10 THEN 'us10y' END) AS macro_suspicious FROM global_macro WHERE base_date = (SELECT max(base_date) FROM global_macro WHERE base_date <= $T))
 SELECT x.*, stale_sector_etf, future_date_rows, macro_suspicious, CASE WHEN future_date_rows > 0 THEN 'FAIL_REPORT_SOURCE_QUALITY' WHEN source_mixed_symbols > 0 THEN 'WARN_FEATURE_SOURCE_MIXED' WHEN stale_watch_symbols > 0 OR stale_sector_etf > 0 THEN 'WARN_REPORT_SOURCE_STALE'
  WHEN macro_suspicious <> '' THEN 'WARN_PRICE_SCALE_ANOMALY' ELSE 'SUCCESS' END AS status FROM x, vx, m""")

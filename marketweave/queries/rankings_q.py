@@ -254,21 +254,28 @@ wv AS (SELECT u.symbol, p.base_date, CASE WHEN p.base_date IS NULL THEN 'MISSING
  FROM static_universe u LEFT JOIN (SELECT symbol, max(base_date) AS base_date, arg_max(close_price, base_date) AS close_price FROM panel WHERE base_date <= $T GROUP BY 1) p ON p.symbol = u.symbol WHERE enabled)"""
 
 
-@query("universe_alignment", f"""WITH {_REPORT_VIEW},
+_ALIGN = f"""{_REPORT_VIEW},
 w AS (SELECT symbol FROM static_universe WHERE enabled), det AS (SELECT symbol FROM snapshots WHERE base_date = $T AND source = 'KIS_DETAIL'),
 dp AS (SELECT DISTINCT symbol FROM prices WHERE base_date = $T AND source = 'KIS_DETAIL'), ft AS (SELECT DISTINCT {_Q} AS symbol FROM features WHERE base_date = $T AND symbol <> 'GLOBAL'),
 vr AS (SELECT DISTINCT {_Q} AS symbol FROM rankings WHERE base_date = $T AND source = 'KIS' AND rank_type = 'volume'),
+bad AS (SELECT symbol, 'missing_in_detail' AS problem FROM w WHERE symbol NOT IN (SELECT symbol FROM det) UNION ALL SELECT symbol, 'missing_in_feature' FROM w WHERE symbol NOT IN (SELECT symbol FROM ft)
+ UNION ALL SELECT symbol, 'missing_in_report_view' FROM w WHERE symbol NOT IN (SELECT symbol FROM wv) UNION ALL SELECT DISTINCT symbol, 'stale_in_report_view' FROM wv WHERE data_status LIKE 'STALE%' AND symbol IN (SELECT symbol FROM w))"""
+
+
+@query("universe_alignment", f"""WITH {_ALIGN},
 r AS (SELECT (SELECT count(*) FROM w) AS static_enabled_count, (SELECT count(*) FROM det) AS detail_universe_count, (SELECT count(*) FROM dp) AS detail_price_symbols_count, (SELECT count(*) FROM ft) AS feature_symbol_count,
- (SELECT count(*) FROM wv) AS report_watchlist_count, (SELECT count(*) FROM vr) AS volume_symbol_count,
- coalesce((SELECT string_agg(symbol, ',' ORDER BY symbol) FROM w WHERE symbol NOT IN (SELECT symbol FROM det)), '') AS missing_in_detail,
- coalesce((SELECT string_agg(symbol, ',' ORDER BY symbol) FROM w WHERE symbol NOT IN (SELECT symbol FROM ft)), '') AS missing_in_feature,
- coalesce((SELECT string_agg(symbol, ',' ORDER BY symbol) FROM w WHERE symbol NOT IN (SELECT symbol FROM wv)), '') AS missing_in_report_view,
- coalesce((SELECT string_agg(symbol, ',' ORDER BY symbol) FROM wv WHERE data_status LIKE 'STALE%'), '') AS stale_in_report_view)
-SELECT *, CASE WHEN missing_in_detail <> '' THEN 'FAIL_STATIC_WATCHLIST_MISSING' WHEN missing_in_feature <> '' OR missing_in_report_view <> '' OR stale_in_report_view <> '' THEN 'WARN_UNIVERSE_MISMATCH' ELSE 'SUCCESS' END AS status FROM r""")
+ (SELECT count(DISTINCT symbol) FROM wv) AS report_watchlist_count, (SELECT count(*) FROM vr) AS volume_symbol_count, """ + ", ".join(
+    f"(SELECT count(*) FROM bad WHERE problem = '{p}') AS {p}" for p in ("missing_in_detail", "missing_in_feature", "missing_in_report_view", "stale_in_report_view")) + """)
+SELECT *, CASE WHEN missing_in_detail > 0 THEN 'FAIL_STATIC_WATCHLIST_MISSING' WHEN missing_in_feature + missing_in_report_view + stale_in_report_view > 0 THEN 'WARN_UNIVERSE_MISMATCH' ELSE 'SUCCESS' END AS status FROM r""")
 def universe_alignment(L):
     return un.alignment(L.static_universe, L.snapshots, L.prices_raw, L.features, report_rows(L), L.rankings, TARGET)
 
 
+@query("universe_alignment_symbols", f"WITH {_ALIGN} SELECT symbol, problem FROM bad")
+def universe_alignment_symbols(L):
+    return un.alignment_symbols(L.static_universe, L.snapshots, L.prices_raw, L.features, report_rows(L), L.rankings, TARGET)
+
+
 # ---- master -----------------------------------------------------------------
 
 
