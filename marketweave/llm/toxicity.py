@@ -143,13 +143,13 @@ def _featured(model: tuple[bytes, bytes]):
     return run
 
 
-def _scored(contents: tuple[bytes, bytes], weights: np.ndarray, base: float, columns: list[str]):
+def _scored(contents: tuple[bytes, bytes], weights: np.ndarray, base: float, columns: list[str], name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         comparer = Comparer(*contents)
         for batch in batches:
             for piece in pieces(batch, "text"):
                 z = np.array([comparer.features(t) for t in large_text(piece.column("text")).to_pylist()]) @ weights + base
-                yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in columns), pa.array(1.0 / (1.0 + np.exp(-np.clip(z, -500, 500))))], [*columns, "score"])
+                yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in columns), pa.array(1.0 / (1.0 + np.exp(-np.clip(z, -500, 500))))], [*columns, name])
 
     return run
 
@@ -183,11 +183,11 @@ def learn(docs: DataFrame, labels: DataFrame) -> tuple[tuple[bytes, bytes], np.n
     return contents, fitted.coefficients.toArray(), float(fitted.intercept)
 
 
-def score(docs: DataFrame, model: tuple[tuple[bytes, bytes], np.ndarray, float]) -> DataFrame:
-    """``docs`` with a score for each row; only its text is looked at. A column named score is replaced."""
-    docs = docs.drop("score")
+def score(docs: DataFrame, model: tuple[tuple[bytes, bytes], np.ndarray, float], name: str = "score") -> DataFrame:
+    """``docs`` with a score for each row; only its text is looked at. A column of that name is replaced."""
+    docs = docs.drop(name)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(_scored(*model, docs.columns), f"{fields}, score double")
+    return docs.mapInArrow(_scored(*model, docs.columns, name), f"{fields}, `{name}` double")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -198,5 +198,6 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without those that are predicted to be toxic."""
-    return score(docs, learn(docs, labels)).where("score < 0.5").select(docs.columns)
+    """``docs`` without those that are predicted to be toxic; all their columns stay as they are."""
+    name = max(docs.columns, key=len) + "_score"
+    return score(docs, learn(docs, labels), name).where(F.col(f"`{name}`") < 0.5).select(docs.columns)

@@ -56,8 +56,9 @@ def test_toxicity_on_held_out_rows(spark, corpus):
     turned = [(i, q, (1 - t if t is not None else None) if crc(i, 5) == 0 else t) for i, q, t in marks]
     again = toxicity.toxicity(docs.withColumn("lang", docs.source).withColumn("score", docs.doc_id), spark.createDataFrame([*turned, (7, 0, 0), (99999, 0, 1), (None, 0, 1)], "doc_id long, quality int, toxic int"))
     assert {(r["doc_id"], r["score"]) for r in again.collect()} == {(r["doc_id"], r["score"]) for r in got}
+    docs = docs.withColumn("score", docs.doc_id * 2)
     kept = toxicity.keep_clean(docs, labels)
-    assert kept.columns == docs.columns
+    assert kept.columns == docs.columns and all(r["score"] == (r["doc_id"] and r["doc_id"] * 2) for r in kept.collect())
     assert sorted(r["doc_id"] or -1 for r in kept.collect()) == sorted(r["doc_id"] or -1 for r in got if not r["predicted"])
 
 
