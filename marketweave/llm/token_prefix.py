@@ -71,7 +71,7 @@ class PrefixCounter:
             raise ValueError("only byte-level BPE with plain added tokens is supported")
         self.library = Tokenizer.from_str(content)
         self.model, self.split_library = self.library.model, self.library.pre_tokenizer.pre_tokenize_str
-        self.vocabulary = frozenset(spec["model"]["vocab"])
+        self.vocabulary = {t: t for t in spec["model"]["vocab"]}  # one string for each token, however often it is met
         self.table = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
         self.longest: dict[str, int] = {}  # of the tokens that end in these three letters
         for t in self.vocabulary:
@@ -102,14 +102,14 @@ class PrefixCounter:
 
     def _extend(self, letters: str, last: list[str], counts: list[int]) -> None:
         """The last token and the count of every prefix of a piece, given in byte letters; the lists hold those of its shorter prefixes already."""
-        vocabulary, known, longest = self.vocabulary, self.pairs.get, self.longest.get
+        vocabulary, known, longest = self.vocabulary.get, self.pairs.get, self.longest.get
         for i in range(len(last), len(letters) + 1):
             token = last[-1] + letters[i - 1]  # most often the token before grows
             start = i - len(token)
             size = None
             while True:
-                if token in vocabulary:
-                    key = last[start], token
+                if (own := vocabulary(token)) is not None:
+                    key = last[start], own
                     apart = known(key)
                     if apart or apart is None and self._apart(key):
                         break
@@ -118,7 +118,7 @@ class PrefixCounter:
                     raise ValueError("the vocabulary lacks a byte")
                 start = i - size
                 token = letters[start:i]
-            last.append(token)
+            last.append(own)
             counts.append(counts[start] + 1)
 
     def _letters(self, piece: str) -> str:
