@@ -124,12 +124,13 @@ def _rare_pairs(placed: DataFrame, texts: DataFrame, n: int, percent: int) -> Da
     """Pairs (a, b) of different components of ``placed`` (doc_id, component) whose rarest shingles meet as similar sets' must."""
     held = texts.join(placed, "doc_id").select("doc_id", "component", "text").mapInArrow(partial(_exploded, n), "doc_id long, component long, text_key long, n long, shingle long")
     held = staged(held, "held")
-    seen = held.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
+    seen = staged(held.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1"), "seen")
     own = Window.partitionBy("doc_id", "text_key")
     ranked = held.join(seen, "shingle").withColumns({"rank": F.row_number().over(own.orderBy("df", "shingle")), "common": F.count("*").over(own)})
     reach = ranked.withColumn("most", F.expr(f"(common - rank + 1) * {100 + percent} div {percent} - n")).where(f"most * 100 >= n * {percent}")
     rare = reach.select("shingle", "doc_id", "component", "n", "most")
-    mixed = rare.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("shingle")
+    rare = staged(rare, "rare")
+    mixed = staged(rare.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("shingle"), "mixed")
     rare = staged(rare.join(mixed, "shingle", "left_semi"), "rare")
     x, y = (rare.select("shingle", *(F.col(c).alias(f"{c}_{k}") for c in ("doc_id", "component", "n", "most"))) for k in "xy")
     met = x.join(y, "shingle").where("component_x < component_y and n_y <= most_x and n_x <= most_y")
@@ -161,9 +162,10 @@ def components(edges: DataFrame) -> DataFrame:
     before = None
     while True:
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = staged(large, "large")
+        least = staged(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(least.select("u", F.col("m").alias("v")))
         edges = staged(small.distinct(), "edges")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -178,15 +180,16 @@ def near_copies(docs: DataFrame, n: int = 5, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id linked directly or through others), kept (doc_id = component_id) for each row of ``docs`` (doc_id, text)."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketched = staged(texts.mapInArrow(partial(_sketched, n), "doc_id long, n_shingles long, set_key binary, bands array<long>"), "sketches")
-    firsts = sketched.where("set_key is not null and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("first"))
+    # what is joined back to its groups is staged, so that the join's own stage can split a group of a third of all rows
+    firsts = staged(sketched.where("set_key is not null and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("first")), "firsts")
     ranked = staged(sketched.select("doc_id", "n_shingles", "set_key").join(firsts, "set_key", "left").select("doc_id", "n_shingles", "first"), "classes")
 
     unique = sketched.join(firsts, "set_key").where("doc_id = first").select("doc_id", "n_shingles", F.explode("bands").alias("bucket"))
-    busy = unique.groupBy("bucket").agg(F.count("*").alias("held"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("bucket", "held")
+    busy = staged(unique.groupBy("bucket").agg(F.count("*").alias("held"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("bucket", "held"), "busy")
     members = staged(unique.join(busy, "bucket").distinct(), "members")
 
     reach = members.groupBy("doc_id").agg(F.sum("held").alias("reach"))
-    centres = members.join(reach, "doc_id").groupBy("bucket").agg(F.max_by(F.struct("doc_id", "n_shingles"), F.struct("reach", -F.col("doc_id"))).alias("c"))
+    centres = staged(members.join(reach, "doc_id").groupBy("bucket").agg(F.max_by(F.struct("doc_id", "n_shingles"), F.struct("reach", -F.col("doc_id"))).alias("c")), "centres")
     pairs = (
         members.join(centres, "bucket").select(F.col("doc_id").alias("x"), F.col("c.doc_id").alias("y"), F.col("n_shingles").alias("n_a"), F.col("c.n_shingles").alias("n_b"))
         .where(F.col("x") != F.col("y")).where(_size_fits(percent)).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
@@ -199,7 +202,7 @@ def near_copies(docs: DataFrame, n: int = 5, percent: int = 85) -> DataFrame:
 
     placed = members.join(joined, members.doc_id == joined.node, "left").select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("component"))
     placed = staged(placed, "placed")
-    mixed = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("bucket")
+    mixed = staged(placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("bucket"), "mixed")
     placed = placed.join(mixed, "bucket", "left_semi").select("doc_id", "component").distinct()
     rest = _rare_pairs(placed, texts, n, percent).join(pairs, ["a", "b"], "left_anti")
     more = staged(_links(staged(rest, "rest"), texts, n, percent), "links")
