@@ -12,7 +12,7 @@
 
 Where no piece holds the marker after another character, a text falls into
 stretches that begin with markers and are encoded each for itself: the ids of
-a text are those of its stretches, one after another. Each worker keeps the
+a text are those of its stretches, one after another. Each task keeps the
 ids of the stretches it has seen; new ones are encoded as one batch, on the
 library's threads. Where a piece spans words, whole texts are the stretches.
 
@@ -27,10 +27,9 @@ are encoded each for itself. An empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 import struct
-import sys
-import types
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -46,8 +45,10 @@ MARKER = "▁"
 #: Kinds of pieces and of models in the protobuf.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-#: Stretches that a worker keeps, beyond which they are begun anew, and bytes of text whose new stretches are encoded together.
-ENTRIES, TOGETHER = 900_000, 4 << 20
+#: Stretches that a task keeps, beyond which they are begun anew, and bytes of text whose new stretches are encoded together.
+ENTRIES, TOGETHER = 150_000, 1 << 18
+#: Threads of the library in a worker, unless the cluster sets another number.
+THREADS = "2"
 
 
 @dataclass
@@ -119,6 +120,7 @@ def _merges(model: Model) -> list[tuple[str, str]]:
 
 def rebuild(model: Model):
     """The tokenizer of a parsed model, without pre-tokenizer: it takes whole texts."""
+    os.environ.setdefault("RAYON_NUM_THREADS", THREADS)
     from tokenizers import AddedToken, Regex, Tokenizer, decoders, models, normalizers
 
     unknown = next((i for i, p in enumerate(model.pieces) if p[2] == UNKNOWN), None)
@@ -158,8 +160,8 @@ class Codec:
         self.inner.decoder = decoders.Sequence([decoders.Replace(MARKER, " "), decoders.ByteFallback(), decoders.Fuse()])
         used = [(p, kind) for p, _, kind in model.pieces if kind in (NORMAL, USER_DEFINED)]
         apart = model.escape_spaces and not model.fold_spaces and not any(MARKER in p.lstrip(MARKER) or kind == USER_DEFINED for p, kind in used)
-        #: A stretch: markers and what follows them. Unigram scores are sums over a text, so they split alike.
-        self.split = re.compile(f"{MARKER}+[^{MARKER}]*|[^{MARKER}]+").findall if apart else None
+        #: A stretch: spaces, which become markers, and what follows them. Unigram scores are sums over a text, so they split alike.
+        self.split = re.compile(f"[ {MARKER}]+[^ {MARKER}]*|[^ {MARKER}]+").findall if apart else None
         self._forget()
 
     def _forget(self) -> None:
@@ -168,23 +170,23 @@ class Codec:
         self.changed: set[str] = set()
 
     def normalise(self, text: str) -> str:
-        if self.model.charsmap or self.model.fold_spaces:
-            return self.tokenizer.normalizer.normalize_str(text)
-        return ((" " if self.model.dummy_prefix else "") + text).replace(" ", MARKER)
+        """The text as the model sees it, markers still written as spaces."""
+        if self.model.charsmap:
+            return self.tokenizer.normalizer.normalize_str(text).replace(MARKER, " ")
+        return " " + text if self.model.dummy_prefix else text
 
     def learn(self, new: list[str]) -> None:
         """Encodes new stretches as a batch on the library's threads, holds the ids against sentencepiece's, and decodes them."""
-        found = [e.ids for e in self.inner.encode_batch_fast(new, add_special_tokens=False)]
+        found = [e.ids for e in self.inner.encode_batch_fast([s.replace(" ", MARKER) for s in new], add_special_tokens=False)]
         cut = int(self.model.dummy_prefix)  # sentencepiece puts a marker first by itself, except before an empty text
-        plain = [s.replace(MARKER, " ") for s in new]
-        right = self.original.encode([s[cut:] for s in plain] if cut else plain, num_threads=1)
-        if cut and " " in plain:
-            right[plain.index(" ")] = self.original.encode("a ")[len(self.original.encode("a")) :]
+        right = self.original.encode([s[cut:] for s in new] if cut else new, num_threads=1)
+        for k in (k for k, s in enumerate(new) if cut and len(s) == 1 and s in (" ", MARKER)):
+            right[k] = self.original.encode("a ")[len(self.original.encode("a")) :]
         if found != right:
             self.differs.update(s for s, x, y in zip(new, found, right, strict=True) if x != y)
         back = self.inner.decode_batch(right, skip_special_tokens=False)
-        if back != plain:
-            self.changed.update(s for s, x, y in zip(new, back, plain, strict=True) if x != y)
+        if back != new:
+            self.changed.update(s for s, x in zip(new, back, strict=True) if x != s)
         self.ids_of.update(zip(new, [array("i", ids).tobytes() for ids in right], strict=True))
 
     def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, bool, bool]]:
@@ -198,10 +200,9 @@ class Codec:
         new = list({s for own in split for s in own if s not in self.ids_of})
         if new:
             self.learn(new)
-        cut = int(self.model.dummy_prefix)
         for text, own in zip(texts, split, strict=True):
             ids = np.frombuffer(b"".join(map(self.ids_of.__getitem__, own)), np.int32)
-            back = (not self.changed or self.changed.isdisjoint(own)) and "".join(own).replace(MARKER, " ")[cut:] == text
+            back = (not self.changed or self.changed.isdisjoint(own)) and (not self.model.charsmap or "".join(own)[int(self.model.dummy_prefix) :] == text)
             yield ids, not self.differs or self.differs.isdisjoint(own), back
 
     def _whole(self, texts: list[str]) -> Iterator[tuple[np.ndarray, bool, bool]]:
@@ -214,26 +215,18 @@ class Codec:
         return self.tokenizer.decode(ids, skip_special_tokens=False)
 
 
-def _codec(content: bytes) -> Codec:
-    """One codec for a Python worker and model, kept between its tasks."""
-    kept = sys.modules.setdefault("_marketweave_sentencepiece", types.ModuleType("_marketweave_sentencepiece"))
-    if getattr(kept, "content", None) != content:
-        kept.content, kept.codec = content, Codec(content)
-    return kept.codec
-
-
 def _content(docs: DataFrame, path: str):
     with open(path, "rb") as f:
         return docs.sparkSession.sparkContext.broadcast(f.read())
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
-    """``docs`` (doc_id, text and any others) with input_ids, n_tokens and parity."""
+    """``docs`` (doc_id, text and any others) with input_ids, n_tokens and parity, which replace columns of these names."""
     content = _content(docs, path)
     rest = [c for c in docs.columns if c not in ("input_ids", "n_tokens", "parity")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(content.value)
+        codec = Codec(content.value)  # of this task alone: a worker that goes on to other work shall not hold it
         for batch in batches:
             for piece in pieces(batch, "text", TOGETHER):
                 done = list(codec.encode(large_text(piece.column("text")).to_pylist()))
@@ -250,7 +243,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     content = _content(encoded, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(content.value)
+        codec = Codec(content.value)  # of this task alone: a worker that goes on to other work shall not hold it
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([codec.decode(ids or []) for ids in batch.column("input_ids").to_pylist()], pa.string())], ["doc_id", "text"])
 
@@ -262,7 +255,7 @@ def checked(docs: DataFrame, path: str) -> DataFrame:
     content = _content(docs, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(content.value)
+        codec = Codec(content.value)  # of this task alone: a worker that goes on to other work shall not hold it
         for batch in batches:
             for piece in pieces(batch, "text", TOGETHER):
                 texts = large_text(piece.column("text")).to_pylist()

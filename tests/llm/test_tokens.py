@@ -145,3 +145,11 @@ def test_frames(spark):
     assert all(r["input_ids"] == original.encode(r["text"] or "") for r in encoded.collect())
     assert sorted(map(tuple, spiece.decode(encoded, PIECES).collect()), key=repr) == sorted(((d, t or "") for d, t in ROWS), key=repr)
     assert spiece.checked(docs.limit(0), PIECES).count() == spiece.encode(docs.limit(0), PIECES).count() == 0
+
+
+def test_a_codec_begins_anew(monkeypatch):
+    monkeypatch.setattr(spiece, "ENTRIES", 3)
+    codec, original = spiece.Codec(open(PIECES, "rb").read()), sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    for text in ("one two three four five", "six seven", "one two"):
+        assert next(codec.encode([text]))[0].tolist() == original.encode(text)
+        assert len(codec.ids_of) <= 8
