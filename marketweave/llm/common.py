@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import sys
 import types
 import uuid
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 from marketweave.session import shared_dir
 
 #: Bytes of text that a Python worker expands into arrays at a time; a longer text is a piece of its own.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 
 _MIX1, _MIX2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0x5851F42D4C957F2D  # odd and 5 modulo 8: its powers modulo 2**64 have a full cycle
@@ -46,6 +48,14 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES) -> Iter
         to = max(at + 1, int(np.searchsorted(ends, before + limit, "right")))
         yield batch.slice(at, to - at)
         at = to
+    _release()
+
+
+def _release() -> None:
+    """Gives memory that this worker has done with back to the system: workers live on from stage to stage, next to one another."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def large_text(column: pa.Array) -> pa.Array:
