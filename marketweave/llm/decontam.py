@@ -1,10 +1,12 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Words are runs of letters and digits, A-Z lowered, whatever stands between
-them. First all documents are read to count in how many of them each n-gram of
-the benchmark occurs. Seeds are the rarest n-grams of each item, one from every
-``STRETCH`` neighbouring places, so that any longer part of an item holds
-seeds, and an item that the corpus repeats throughout keeps its own. Where a
+them. Seeds are all 3-grams of each item, and three of any four neighbouring
+words (``SHAPES``); documents are searched for the same. So a copy holds a
+seed unless half of the words around each place differ: an item of seven words
+or more loses no copy whose changed words leave it the least score, wherever
+they stand. How often the corpus holds a seed plays no part, since a seed that
+the edits have broken is the rarest of all. Where a
 seed meets a document, the words around it that the item would cover are a
 window; hits on about the same diagonal share one. A window goes on only if it
 holds as many of the item's words as the least score needs. Then item and
@@ -35,31 +37,41 @@ from pyspark.sql import functions as F
 
 from marketweave.llm.common import mix, pieces, seeds, staged, words
 
-GRAM, STRETCH = 3, 3
+GRAM = 3
+#: Places of the words of a seed: side by side, or with one other word between.
+SHAPES = ((0, 1, 2), (0, 1, 3), (0, 2, 3))
 ITEMS = 10_000
 MATCH, OTHER, GAP = 2, -1, -1
 #: Of the item's own score; from here on a document counts as contaminated.
 LEAST = 0.45
 
+#: Seed hits, and cells of a row of the alignment, that a worker holds at a time.
+HITS, CELLS = 1 << 20, 1 << 18
+
 #: Bytes that part words: ASCII without letters and digits.
 _PARTS = np.zeros(256, bool)
 _PARTS[[b for b in range(128) if not chr(b).isalnum()]] = True
 
 
 def gram_hashes(hashed: np.ndarray, row: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, place) of the ``n``-word grams within rows."""
-    if len(hashed) < n:
+    """(hash, place of the first word) of the seeds of ``n`` words within rows; of ``GRAM`` words, in all ``SHAPES``."""
+    factors, found = seeds(n, 83), []
+    for shape in SHAPES if n == GRAM else (tuple(range(n)),):
+        count = len(hashed) - shape[-1]
+        if count <= 0:
+            continue
+        at = np.flatnonzero(row[:count] == row[shape[-1] :])
+        rolled = hashed[at] * factors[0]
+        for factor, j in zip(factors[1:], shape[1:], strict=True):
+            rolled = rolled + hashed[at + j] * factor
+        found.append((mix(rolled), at))
+    if not found:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    factors = seeds(n, 83)
-    rolled = hashed[: len(hashed) - n + 1] * factors[0]
-    for j in range(1, n):
-        rolled = rolled + hashed[j : len(hashed) - n + 1 + j] * factors[j]
-    at = np.flatnonzero(row[: len(rolled)] == row[n - 1 :])
-    return mix(rolled[at]), at
+    return np.concatenate([g for g, _ in found]), np.concatenate([at for _, at in found])
 
 
 class Items:
-    """A block of benchmark items as word hashes, with their grams."""
+    """A block of benchmark items as word hashes, with their seeds in order of their hashes."""
 
     def __init__(self, ids: np.ndarray, texts: pa.Array, n: int = GRAM):
         hashed, row, _, _ = words(texts, _PARTS)
@@ -75,40 +87,13 @@ class Items:
             item.append(np.full(len(at), k))
             place.append(at)
         join = lambda x, kind: np.concatenate(x) if x else np.empty(0, kind)
-        self.gram, self.item, self.place = join(grams, np.uint64), join(item, np.int64), join(place, np.int64)
+        gram, item, place = join(grams, np.uint64), join(item, np.int64), join(place, np.int64)
+        order = np.argsort(gram, kind="stable")
+        self.gram, self.item, self.place = gram[order], item[order], place[order]
 
     def sizes(self) -> list[int]:
         return sorted(set(self.n.tolist()))
 
-    def rare(self, documents_with: dict[int, int]) -> None:
-        """Keeps the rarest gram of every ``STRETCH`` neighbours."""
-        held = np.array([documents_with.get(int(g), 0) for g in self.gram.view(np.int64)])
-        order = np.lexsort((self.place, held, self.place // STRETCH, self.item))
-        block = np.stack((self.item, self.place // STRETCH))[:, order]
-        first = np.ones(len(order), bool)
-        first[1:] = (block[:, 1:] != block[:, :-1]).any(axis=0)
-        chosen = order[first]
-        chosen = chosen[np.argsort(self.gram[chosen], kind="stable")]
-        self.gram, self.item, self.place = self.gram[chosen], self.item[chosen], self.place[chosen]
-
-
-def _counted(sizes: list[int], wanted: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(wanted), np.int64)
-        for batch in batches:
-            for piece in pieces(batch, "text"):
-                hashed, row, _, _ = words(piece.column("text"), _PARTS)
-                for n in sizes:
-                    gram, at = gram_hashes(hashed, row, n)
-                    to = np.searchsorted(wanted, gram)
-                    hit = np.flatnonzero(wanted[np.minimum(to, len(wanted) - 1)] == gram)
-                    own = np.unique(row[at[hit]] * len(wanted) + to[hit])  # a document counts once
-                    total += np.bincount(own % len(wanted), minlength=len(wanted))
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(wanted[seen].view(np.int64)), pa.array(total[seen])], ["gram", "documents"])
-
-    return run
-
 
 def align(item: np.ndarray, windows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """The best local score of ``item`` in each window, and the window's word after which it is reached."""
@@ -131,10 +116,46 @@ def align(item: np.ndarray, windows: list[np.ndarray]) -> tuple[np.ndarray, np.n
     return best, end
 
 
+def _hits(items: Items, hashed: np.ndarray, row: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(item, word where it would begin, row) of all seeds that rows hold, by ranges of items with about ``HITS`` at most."""
+    unique, first, counts = np.unique(items.gram, return_index=True, return_counts=True)
+    met = []
+    for n in items.sizes():
+        gram, at = gram_hashes(hashed, row, n)
+        to = np.minimum(np.searchsorted(unique, gram), len(unique) - 1)
+        hit = np.flatnonzero(unique[to] == gram)
+        met.append((n, to[hit], at[hit]))
+    times = sum(np.bincount(to, minlength=len(unique)) for _, to, _ in met)
+    in_all = np.cumsum(np.bincount(items.item, np.repeat(times, counts), len(items.words)))
+    part = in_all // HITS  # of each item
+    for p in np.unique(part[np.bincount(items.item, np.repeat(times, counts), len(items.words)) > 0]):
+        held = part[items.item] == p
+        before = np.concatenate(([0], np.cumsum(held)))
+        lo, many = before[first], before[first + counts] - before[first]
+        seed_item, seed_place = items.item[held], items.place[held]
+        found = []
+        for n, to, at in met:
+            size = many[to]
+            which = np.repeat(lo[to], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            right = items.n[seed_item[which]] == n
+            found.append((seed_item[which][right], (np.repeat(at, size) - seed_place[which])[right], np.repeat(row[at], size)[right]))
+        yield tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def _batched(spans: list[tuple[int, int, int]]) -> Iterator[list[tuple[int, int, int]]]:
+    """``spans`` (document, first, end) by like widths, as many at a time as ``CELLS`` allow, or one."""
+    part: list[tuple[int, int, int]] = []
+    for span in sorted(spans, key=lambda s: s[2] - s[1]):
+        if part and (len(part) + 1) * (span[2] - span[1]) > CELLS:
+            yield part
+            part = []
+        part.append(span)
+    if part:
+        yield part
+
+
 def _aligned(items: Items, least: float):
     known = [np.unique(w) for w in items.words]
-    unique, first = np.unique(items.gram, return_index=True)
-    first = np.append(first, len(items.gram))
     lengths = np.array([len(w) for w in items.words])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,45 +163,33 @@ def _aligned(items: Items, least: float):
             for piece in pieces(batch, "text"):
                 hashed, row, _, _ = words(piece.column("text"), _PARTS)
                 begin = np.searchsorted(row, np.arange(piece.num_rows + 1))
-                hits: list[list[np.ndarray]] = []
-                for n in items.sizes():
-                    gram, at = gram_hashes(hashed, row, n)
-                    to = np.minimum(np.searchsorted(unique, gram), len(unique) - 1)
-                    hit = np.flatnonzero(unique[to] == gram)
-                    counts = first[to[hit] + 1] - first[to[hit]]
-                    which = np.repeat(first[to[hit]], counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-                    right = items.n[items.item[which]] == n
-                    hits.append([items.item[which][right], (np.repeat(at[hit], counts) - items.place[which])[right], np.repeat(row[at[hit]], counts)[right]])
-                item, start, doc = (np.concatenate(x) for x in zip(*hits, strict=True))
-                if not len(item):
-                    continue
-                order = np.lexsort((start, item, doc))
-                item, start, doc = item[order], start[order], doc[order]
-                slack = lengths[item] // 4 + 2
-                new = np.ones(len(item), bool)
-                new[1:] = (item[1:] != item[:-1]) | (doc[1:] != doc[:-1]) | (start[1:] - start[:-1] > slack[1:])
-                at = np.flatnonzero(new)
-                last = np.append(at[1:], len(item)) - 1
-                found: dict[int, list[tuple[int, int, int]]] = {}
-                for a, b in zip(at, last, strict=True):
-                    k, d = int(item[a]), int(doc[a])
-                    lo, hi = max(start[a] - slack[a], begin[d]), min(start[b] + lengths[k] + slack[b], begin[d + 1])
-                    if MATCH * np.isin(hashed[lo:hi], known[k]).sum() >= least * MATCH * lengths[k]:
-                        found.setdefault(k, []).append((d, int(lo), int(hi)))
                 out = []
-                for k, spans in found.items():
-                    for i in range(0, len(spans), 256):
-                        part = spans[i : i + 256]
-                        best, end = align(items.words[k], [hashed[lo:hi] for _, lo, hi in part])
-                        good = np.flatnonzero(best >= least * MATCH * lengths[k])
-                        if not len(good):
-                            continue
-                        back = [hashed[part[g][1] : part[g][1] + end[g]][::-1] for g in good]
-                        size = align(items.words[k][::-1], back)[1]  # the same alignment from its end
-                        for g, s in zip(good, size, strict=True):
-                            d, lo, _ = part[g]
-                            stop = lo + int(end[g])
-                            out.append((d, int(items.ids[k]), float(best[g]) / (MATCH * lengths[k]), stop - int(s) - int(begin[d]), stop - int(begin[d])))
+                for item, start, doc in _hits(items, hashed, row):
+                    order = np.lexsort((start, item, doc))
+                    item, start, doc = item[order], start[order], doc[order]
+                    slack = lengths[item] // 4 + 2
+                    new = np.ones(len(item), bool)
+                    new[1:] = (item[1:] != item[:-1]) | (doc[1:] != doc[:-1]) | (start[1:] - start[:-1] > slack[1:])
+                    at = np.flatnonzero(new)
+                    last = np.append(at[1:], len(item)) - 1
+                    found: dict[int, list[tuple[int, int, int]]] = {}
+                    for a, b in zip(at, last, strict=True):
+                        k, d = int(item[a]), int(doc[a])
+                        lo, hi = max(start[a] - slack[a], begin[d]), min(start[b] + lengths[k] + slack[b], begin[d + 1])
+                        if MATCH * np.isin(hashed[lo:hi], known[k]).sum() >= least * MATCH * lengths[k]:
+                            found.setdefault(k, []).append((d, int(lo), int(hi)))
+                    for k, spans in found.items():
+                        for part in _batched(spans):
+                            best, end = align(items.words[k], [hashed[lo:hi] for _, lo, hi in part])
+                            good = np.flatnonzero(best >= least * MATCH * lengths[k])
+                            if not len(good):
+                                continue
+                            back = [hashed[part[g][1] : part[g][1] + end[g]][::-1] for g in good]
+                            size = align(items.words[k][::-1], back)[1]  # the same alignment from its end
+                            for g, s in zip(good, size, strict=True):
+                                d, lo, _ = part[g]
+                                stop = lo + int(end[g])
+                                out.append((d, int(items.ids[k]), float(best[g]) / (MATCH * lengths[k]), stop - int(s) - int(begin[d]), stop - int(begin[d])))
                 if out:
                     d, ids, score, a, b = zip(*out, strict=True)
                     yield pa.RecordBatch.from_arrays(
@@ -206,8 +215,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) ->
         items = Items(rows.column("item_id").to_numpy(), rows.column("text").combine_chunks())
         if not len(items.gram):
             continue
-        counts = texts.mapInArrow(_counted(items.sizes(), np.unique(items.gram)), "gram long, documents long").groupBy("gram").agg(F.sum("documents").alias("documents"))
-        items.rare({r["gram"]: r["documents"] for r in counts.collect()})  # one row for each of the block's grams at most
         met = texts.mapInArrow(_aligned(items, least), "doc_id long, item_id long, score double, first_word long, end_word long")
         found.append(staged(met, "aligned") if blocks > 1 else met)
     if not found:

@@ -163,3 +163,58 @@ def test_seeds_of_an_item_that_is_everywhere(spark):
     assert {tuple(r) for r in decontam.contaminated(docs, bench).select("doc_id", "item_id", "score").collect()} == {(i, 1, 1.0) for i in range(200)}
     assert decontam.contaminated(docs, bench.limit(0)).count() == decontam.contaminated(docs.limit(0), bench).count() == 0
     assert decontam.keep_clean(docs, bench.limit(0)).count() == 201
+
+
+def every(k):
+    """Places of every k-th word."""
+    return lambda rng, n: range(k - 1, n, k)
+
+
+def some(share):
+    """Places of a share of the words, anywhere."""
+    return lambda rng, n: rng.sample(range(n), int(share * n))
+
+
+@pytest.mark.parametrize("places", [every(3), every(4), every(5), some(0.2), some(0.3)])
+def test_copies_with_many_edits_are_found(spark, places):
+    rng = random.Random(4)
+    items = [[f"i{rng.randrange(10**6)}" for _ in range(rng.randrange(15, 40))] for _ in range(40)]
+    docs, planted = [], set()
+    for d in range(240):
+        k, own = d % 40, [f"d{rng.randrange(10**6)}" for _ in range(60)]
+        copy = list(items[k])
+        if d >= 40 and d % 3 == 0:  # else: other copies of the item are whole or missing
+            for i in places(rng, len(copy)):
+                copy[i] = f"x{rng.randrange(10**6)}"
+        elif d % 3 == 1:
+            copy = own[:5]
+        own[30:30] = copy
+        docs.append((d, " ".join(own)))
+        if plain_alignment(items[k], own) >= decontam.LEAST * 2 * len(items[k]):
+            planted.add((d, k))
+    got = decontam.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == planted
+
+
+def test_changed_words_break_no_seven_words():
+    for n in range(7, 15):
+        for bits in range(1 << n):
+            kept = [bits >> i & 1 for i in range(n)]
+            if 3 * sum(kept) - n < decontam.LEAST * 2 * n:
+                continue
+            assert any(all(kept[i + j] for j in shape) for shape in decontam.SHAPES for i in range(n - shape[-1])), (n, bits)
+
+
+@pytest.mark.parametrize("hits,cells", [(7, 1), (100, 300)])
+def test_bounded_parts_find_the_same(monkeypatch, hits, cells):
+    import pyarrow as pa
+
+    rng = random.Random(6)
+    text = lambda n: " ".join(f"w{rng.randrange(12)}" for _ in range(n))
+    items = decontam.Items(np.arange(20), pa.array([text(rng.randrange(1, 20)) for _ in range(20)]))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(15)), pa.array([text(rng.randrange(0, 60)) for _ in range(15)])], ["doc_id", "text"])
+    rows = lambda: sorted(tuple(r.values()) for out in decontam._aligned(items, decontam.LEAST)(iter([batch])) for r in out.to_pylist())
+    whole = rows()
+    monkeypatch.setattr(decontam, "HITS", hits)
+    monkeypatch.setattr(decontam, "CELLS", cells)
+    assert whole and rows() == whole
