@@ -18,7 +18,10 @@ ordinary ones are the text, the most telling last.
 
 Learning takes at most ``TOXIC`` toxic and ``ORDINARY`` ordinary labelled
 documents, those with the smallest hash of doc_id; two thirds of them for the
-dictionaries, a third for the curve. Whole texts are learnt from and scored.
+dictionaries, a third for the curve. Where a class has more, the constant of
+the curve is moved to the odds of all labelled learning documents, so that one
+half means the same on a table of any size. Whole texts are learnt from and
+scored.
 
 Null and empty texts have no windows and get the score that the curve gives
 to nothing found. Labels without toxic mark teach nothing; of several labels
@@ -154,33 +157,35 @@ def _scored(contents: tuple[bytes, bytes], weights: np.ndarray, base: float, col
     return run
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, text and toxic (0 or 1) of labelled learning documents, a bounded number of each class."""
+def labelled(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int, int]]:
+    """doc_id, text and toxic (0 or 1) of labelled learning documents, a bounded number of each class; and how many documents each class has in all."""
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("toxic") > 0).cast("int").alias("toxic")).where("doc_id is not null and toxic is not null")
     marks = marks.where(crc_remainder("doc_id", 5) != 0).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    marks = marks.join(docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    marks = staged(marks.join(docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "doc_id", "left_semi"), "marks")
+    totals = {r[0]: r[1] for r in marks.groupBy("toxic").count().collect()}
     place = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = marks.where("toxic = 1").orderBy(*place).limit(TOXIC).unionAll(marks.where("toxic = 0").orderBy(*place).limit(ORDINARY))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.join(F.broadcast(chosen), "doc_id")  # at most TOXIC + ORDINARY rows
+    return texts.join(F.broadcast(chosen), "doc_id"), totals  # at most TOXIC + ORDINARY rows
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> tuple[tuple[bytes, bytes], np.ndarray, float]:
     """Dictionaries, weights and constant of the curve."""
-    rows = staged(labelled(docs, labels), "labelled")
+    rows, totals = labelled(docs, labels)
+    rows = staged(rows, "labelled")
     for_curve = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(1)), F.lit(3)) == 0
     width = len(Comparer(b"", b"").features(""))
-    counts = {r[0]: r[1] for r in rows.groupBy("toxic").count().collect()}
-    if len(counts) < 2:
-        return (b"", b""), np.zeros(width), 500.0 if counts.get(1) else -500.0
+    if len(totals) < 2:
+        return (b"", b""), np.zeros(width), 500.0 if totals.get(1) else -500.0
     contents = dictionaries(rows.where(~for_curve))
     found = rows.where(for_curve).select("doc_id", "text", "toxic").mapInArrow(_featured(contents), "doc_id long, toxic int, features array<double>")
     found = staged(found.select(F.col("toxic").cast("double").alias("label"), array_to_vector("features").alias("vector"), "doc_id"), "features")
     shares = {r[0]: r[1] for r in found.groupBy("label").count().collect()}
     if len(shares) < 2:
-        return contents, np.zeros(width), math.log(counts[1] / counts[0])
+        return contents, np.zeros(width), math.log(totals[1] / totals[0])
     fitted = LogisticRegression(maxIter=60, regParam=1e-3, featuresCol="vector").fit(found)
-    return contents, fitted.coefficients.toArray(), float(fitted.intercept)
+    beyond = math.log(max(1, totals[1] / TOXIC) / max(1, totals[0] / ORDINARY))  # a class that is cut to a part weighs as all of it
+    return contents, fitted.coefficients.toArray(), float(fitted.intercept) + beyond
 
 
 def score(docs: DataFrame, model: tuple[tuple[bytes, bytes], np.ndarray, float], name: str = "score") -> DataFrame:

@@ -69,6 +69,17 @@ def test_toxicity_with_one_class_or_none(spark, marks, score):
     assert {round(r["score"], 6) for r in got} == {score}
 
 
+@pytest.mark.parametrize("caps", [(4000, 8000), (100, 200), (100, 8000)])
+def test_the_bounded_sample_keeps_the_odds_of_all_labels(spark, monkeypatch, caps):
+    monkeypatch.setattr(toxicity, "TOXIC", caps[0])
+    monkeypatch.setattr(toxicity, "ORDINARY", caps[1])
+    rng = random.Random(3)
+    rows = [(i, text(rng, "aa", 12), int(rng.random() < 0.1)) for i in range(4000)]  # texts tell nothing, so every score is the share of toxic ones
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    got = toxicity.toxicity(frame.select("doc_id", "text"), frame.select("doc_id", "toxic")).collect()
+    assert abs(np.mean([r["score"] for r in got]) - 0.1) < 0.05
+
+
 def test_toxicity_of_an_empty_table(spark, corpus):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert toxicity.toxicity(docs, spark.createDataFrame(corpus[1], "doc_id long, quality int, toxic int")).count() == 0
