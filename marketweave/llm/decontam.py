@@ -193,17 +193,20 @@ def _aligned(items: Items, least: float):
                 if out:
                     d, ids, score, a, b = zip(*out, strict=True)
                     yield pa.RecordBatch.from_arrays(
-                        [piece.column("doc_id").take(pa.array(d)), pa.array(ids, pa.int64()), pa.array(score), pa.array(a, pa.int64()), pa.array(b, pa.int64())],
-                        ["doc_id", "item_id", "score", "first_word", "end_word"],
+                        [*(piece.column(c).take(pa.array(d)) for c in ("doc_id", "text_key")), pa.array(ids, pa.int64()), pa.array(score), pa.array(a, pa.int64()), pa.array(b, pa.int64())],
+                        ["doc_id", "text_key", "item_id", "score", "first_word", "end_word"],
                     )
 
     return run
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFrame:
-    """doc_id, item_id, score, first_word, end_word: for each document and item the best alignment that reaches ``least``."""
+_MET = "doc_id long, text_key long, item_id long, score double, first_word long, end_word long"
+
+
+def _met(docs: DataFrame, benchmark: DataFrame, least: float) -> DataFrame:
+    """Alignments of each row's text, with the hash of the text."""
     spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), _text_key().alias("text_key"))
     wanted = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null and text is not null")
     blocks = -(-wanted.count() // ITEMS)
     wanted = wanted.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(2 * blocks))) if blocks > 1 else wanted.withColumn("block", F.lit(0))
@@ -215,15 +218,23 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) ->
         items = Items(rows.column("item_id").to_numpy(), rows.column("text").combine_chunks())
         if not len(items.gram):
             continue
-        met = texts.mapInArrow(_aligned(items, least), "doc_id long, item_id long, score double, first_word long, end_word long")
+        met = texts.mapInArrow(_aligned(items, least), _MET)
         found.append(staged(met, "aligned") if blocks > 1 else met)
-    if not found:
-        return spark.createDataFrame([], "doc_id long, item_id long, score double, first_word long, end_word long")
-    best = reduce(DataFrame.unionAll, found).groupBy("doc_id", "item_id").agg(F.max_by(F.struct("score", "first_word", "end_word"), F.struct("score", -F.col("first_word"), -F.col("end_word"))).alias("best"))
+    return reduce(DataFrame.unionAll, found) if found else spark.createDataFrame([], _MET)
+
+
+def _text_key():
+    return F.xxhash64(F.col("text").cast("string"))
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFrame:
+    """doc_id, item_id, score, first_word, end_word: for each document and item the best alignment that reaches ``least``."""
+    best = _met(docs, benchmark, least).groupBy("doc_id", "item_id").agg(F.max_by(F.struct("score", "first_word", "end_word"), F.struct("score", -F.col("first_word"), -F.col("end_word"))).alias("best"))
     return best.select("doc_id", "item_id", "best.*")
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFrame:
-    """``docs`` without documents that hold a benchmark item. Documents without a doc_id stay only if none of them does."""
-    bad = contaminated(docs, benchmark, least).select(F.col("doc_id").alias("bad_doc_id")).distinct()
-    return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("bad_doc_id")), "left_anti")
+    """``docs`` without rows whose text holds a benchmark item, whatever other rows share their doc_id or have none."""
+    bad = _met(docs, benchmark, least).select(F.coalesce("doc_id", F.lit(0)).alias("bad_doc_id"), F.col("text_key").alias("bad_text_key")).distinct()
+    same = (F.coalesce(F.col("doc_id").cast("long"), F.lit(0)) == F.col("bad_doc_id")) & (_text_key() == F.col("bad_text_key"))
+    return docs.join(bad, same, "left_anti")

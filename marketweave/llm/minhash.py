@@ -214,8 +214,16 @@ def near_copies(docs: DataFrame, n: int = 5, percent: int = 85) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 85) -> DataFrame:
-    """``docs`` with one row of each component: that of the smallest doc_id, and of rows that share it the first by their columns. Rows without a doc_id all stay."""
-    kept = near_copies(docs, n, percent).where("kept and doc_id is not null").select(F.col("doc_id").alias("kept_doc_id")).distinct()
-    first = Window.partitionBy("doc_id").orderBy(*docs.columns)
-    rows = docs.join(kept, F.col("doc_id") == F.col("kept_doc_id"), "left_semi").withColumn("kept_rank", F.row_number().over(first)).where("kept_rank = 1")
+    """``docs`` with one row of each component of rows, that of the smallest doc_id and of rows that share it the first by the hash of its text, or of equal texts by their columns.
+
+    Each row is linked by its own text, so unlike texts under one doc_id both stay. Rows without a doc_id all stay.
+    """
+    keyed = docs.where("doc_id is not null").withColumn("kept_key", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+    copies = near_copies(keyed.select(F.col("kept_key").alias("doc_id"), "text"), n, percent).select(F.col("doc_id").alias("of_key"), "component_id").distinct()
+    copies = staged(copies, "copies")
+    # ids move here, texts only below
+    ids = keyed.select("kept_key", F.col("doc_id").cast("long").alias("id")).distinct().join(copies, F.col("kept_key") == F.col("of_key"))
+    kept = staged(ids.groupBy("component_id").agg(F.min_by("kept_key", F.struct("id", "kept_key")).alias("chosen")).select("chosen"), "chosen")
+    first = Window.partitionBy("kept_key").orderBy(*docs.columns)
+    rows = keyed.join(kept, F.col("kept_key") == F.col("chosen"), "left_semi").withColumn("kept_rank", F.row_number().over(first)).where("kept_rank = 1")
     return rows.select(docs.columns).unionAll(docs.where("doc_id is null"))

@@ -91,6 +91,11 @@ def test_keep_one_keeps_one_row_of_repeated_rows(spark):
     assert sorted((r[0] or -1) for r in mh.keep_one(rows).collect()) == [-1, 1, 4]
 
 
+def test_keep_one_keeps_unlike_texts_of_one_id(spark):
+    rows = spark.createDataFrame([(5, "a b c d e f", 1), (5, "p q r s t u", 2), (3, "p q r s t u", 3), (9, "a b c d e f", 4), (5, "k l m n o p", 5), (5, "k l m n o p", 5), (5, None, 6)], SCHEMA + ", n int")
+    assert sorted(r["n"] for r in mh.keep_one(rows).collect()) == [1, 3, 5, 6]
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (7, 7)], "a long, b long")
     got = {r["node"]: r["component"] for r in mh.components(edges).collect()}

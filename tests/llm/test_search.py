@@ -213,8 +213,16 @@ def test_bounded_parts_find_the_same(monkeypatch, hits, cells):
     text = lambda n: " ".join(f"w{rng.randrange(12)}" for _ in range(n))
     items = decontam.Items(np.arange(20), pa.array([text(rng.randrange(1, 20)) for _ in range(20)]))
     batch = pa.RecordBatch.from_arrays([pa.array(range(15)), pa.array([text(rng.randrange(0, 60)) for _ in range(15)])], ["doc_id", "text"])
+    batch = batch.append_column("text_key", batch.column("doc_id"))
     rows = lambda: sorted(tuple(r.values()) for out in decontam._aligned(items, decontam.LEAST)(iter([batch])) for r in out.to_pylist())
     whole = rows()
     monkeypatch.setattr(decontam, "HITS", hits)
     monkeypatch.setattr(decontam, "CELLS", cells)
     assert whole and rows() == whole
+
+
+def test_clean_rows_stay_beside_others_of_their_id(spark):
+    item = " ".join(f"i{i}" for i in range(20))
+    docs = spark.createDataFrame([(None, "clean one"), (None, f"x {item}"), (None, None), (None, "clean two"), (1, item), (1, "clean three"), (0, "clean one")], "doc_id long, text string")
+    kept = decontam.keep_clean(docs, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, [(None, "clean one"), (None, None), (None, "clean two"), (1, "clean three"), (0, "clean one")]))
