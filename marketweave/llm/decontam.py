@@ -21,7 +21,8 @@ what is sent.
 Null texts and texts without words meet nothing. Items of fewer than n words
 are seeds as a whole. Documents that share a doc_id, and items that share an
 item_id, are aligned each and reported once, with the best score; rows without
-a doc_id share the null one. Empty tables give no rows. Columns beyond ids and
+a doc_id share the null one, and items without an item_id are searched for and
+reported under the null one. Empty tables give no rows. Columns beyond ids and
 texts play no part.
 """
 
@@ -189,7 +190,7 @@ def _aligned(items: Items, least: float):
                             for g, s in zip(good, size, strict=True):
                                 d, lo, _ = part[g]
                                 stop = lo + int(end[g])
-                                out.append((d, int(items.ids[k]), float(best[g]) / (MATCH * lengths[k]), stop - int(s) - int(begin[d]), stop - int(begin[d])))
+                                out.append((d, items.ids[k], float(best[g]) / (MATCH * lengths[k]), stop - int(s) - int(begin[d]), stop - int(begin[d])))
                 if out:
                     d, ids, score, a, b = zip(*out, strict=True)
                     yield pa.RecordBatch.from_arrays(
@@ -207,7 +208,7 @@ def _met(docs: DataFrame, benchmark: DataFrame, least: float) -> DataFrame:
     """Alignments of each row's text, with the hash of the text."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), _text_key().alias("text_key"))
-    wanted = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null and text is not null")
+    wanted = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     blocks = -(-wanted.count() // ITEMS)
     wanted = wanted.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(2 * blocks))) if blocks > 1 else wanted.withColumn("block", F.lit(0))
     found = []
@@ -215,7 +216,7 @@ def _met(docs: DataFrame, benchmark: DataFrame, least: float) -> DataFrame:
         rows = wanted.where(F.col("block") == block).orderBy("item_id", "text").toArrow().combine_chunks()
         if not rows.num_rows:
             continue
-        items = Items(rows.column("item_id").to_numpy(), rows.column("text").combine_chunks())
+        items = Items(np.array(rows.column("item_id").to_pylist(), object), rows.column("text").combine_chunks())
         if not len(items.gram):
             continue
         met = texts.mapInArrow(_aligned(items, least), _MET)

@@ -226,3 +226,11 @@ def test_clean_rows_stay_beside_others_of_their_id(spark):
     docs = spark.createDataFrame([(None, "clean one"), (None, f"x {item}"), (None, None), (None, "clean two"), (1, item), (1, "clean three"), (0, "clean one")], "doc_id long, text string")
     kept = decontam.keep_clean(docs, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
     assert sorted(map(str, map(tuple, kept))) == sorted(map(str, [(None, "clean one"), (None, None), (None, "clean two"), (1, "clean three"), (0, "clean one")]))
+
+
+def test_items_without_an_id_are_searched_for(spark):
+    items = [" ".join(f"{c}{i}" for i in range(20)) for c in "pq"]
+    docs = spark.createDataFrame([(1, f"x {items[0]}"), (2, f"y {items[1]}"), (3, "z")], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, items[0]), (7, items[1]), (None, None)], "item_id long, text string")
+    assert {tuple(r) for r in decontam.contaminated(docs, bench).select("doc_id", "item_id", "score").collect()} == {(1, None, 1.0), (2, 7, 1.0)}
+    assert [r["doc_id"] for r in decontam.keep_clean(docs, bench).collect()] == [3]
