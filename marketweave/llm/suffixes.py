@@ -23,8 +23,8 @@ smaller doc_id. Matches never cross documents.
   in common, to the right and (sorted again by the bytes before the anchor) to
   the left, tells which strings can occur in two different suffixes; only
   these are compared, byte by byte.
-* Removed stretches return to their documents in packed form, and texts move
-  once, to be joined with them.
+* Removed stretches return, in packed form, to the groups of texts that the
+  suffixes came from; texts move once, to be joined with them.
 
 Null texts count as empty. Rows without a doc_id lose nothing and cost others
 nothing. Rows that share a doc_id are answered each by its own text, and none
@@ -38,6 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,8 +51,8 @@ BEFORE = LENGTH - TOKEN
 _WIDTH = 96
 #: Strings whose anchor lies up to here are the first class of a hot token.
 _PART = 21
-#: Windows that are placed at a time, bytes of text that a map task packs together, and that a bucket and a group of answers get.
-WINDOWS, GROUP, BUCKET, ANSWERS = 1 << 19, 12 << 20, 12 << 20, 16 << 20
+#: Windows that are placed at a time, bytes of text that a map task packs together, and that a bucket gets.
+WINDOWS, GROUP, BUCKET = 1 << 19, 8 << 20, 8 << 20
 #: One of so many regions of ``_REGION`` bytes is sampled, and of its suffixes one of so many.
 REGIONS, SUFFIXES, _REGION = 128, 64, 4096
 
@@ -120,12 +121,12 @@ def same_rows(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Occurrences:
-    """Where suffixes occur: row of the suffix, doc_id, hash of the text, place of the anchor."""
+    """Where suffixes occur: row of the suffix, doc_id, number of the text, place of the anchor."""
 
-    FIELDS = ("kind", "doc", "key", "at")
+    FIELDS = ("kind", "doc", "text", "at")
 
-    def __init__(self, kind, doc, key, at):
-        self.kind, self.doc, self.key, self.at = kind, doc, key, at
+    def __init__(self, kind, doc, text, at):
+        self.kind, self.doc, self.text, self.at = kind, doc, text, at
 
     def __getitem__(self, which) -> Occurrences:
         return Occurrences(*(getattr(self, f)[which] for f in self.FIELDS))
@@ -135,30 +136,22 @@ class Occurrences:
         return Occurrences(*(np.concatenate([getattr(p, f) for p in parts]) for f in Occurrences.FIELDS))
 
 
-_SPANS = ("doc", "key", "start", "end")
-
-
 def _covered(rows: np.ndarray, own: Occurrences) -> np.ndarray:
-    """(doc, key, start, end) of what all strings of occurrences cover."""
+    """(text, start, end) of what all strings of occurrences cover."""
     low, high = (rows[own.kind, BEFORE + LENGTH + k].astype(np.int64) for k in (0, 1))
-    return np.stack((own.doc, own.key, own.at - high, own.at + LENGTH - low), 1)
+    return np.stack((own.text, own.at - high, own.at + LENGTH - low), 1)
 
 
 def combined(rows: np.ndarray, own: Occurrences) -> tuple[np.ndarray, Occurrences, np.ndarray]:
     """Equal suffixes as one with the occurrences in its smallest document, and what larger documents lose by that."""
     first, kind = same_rows(rows)
-    own = Occurrences(kind[own.kind], own.doc, own.key, own.at)
+    own = Occurrences(kind[own.kind], own.doc, own.text, own.at)
     least = np.full(len(first), np.iinfo(np.int64).max)
     np.minimum.at(least, own.kind, own.doc)
     stays = own.doc == least[own.kind]
     rows = rows[first]
     lost = _covered(rows, own[~stays])
     own = own[stays]
-    order = np.lexsort((own.at, own.key, own.kind))
-    own = own[order]
-    if len(order):
-        new = np.concatenate(([True], (own.kind[1:] != own.kind[:-1]) | (own.key[1:] != own.key[:-1]) | (own.at[1:] != own.at[:-1])))
-        own = own[new]
     return rows, own, lost
 
 
@@ -169,7 +162,7 @@ def _limited(rows: np.ndarray, own: Occurrences, low: int, high: int) -> tuple[n
     keep = a <= b
     number = np.cumsum(keep) - 1
     own = own[keep[own.kind]]
-    return masked(rows[keep].copy(), a[keep], b[keep]), Occurrences(number[own.kind], own.doc, own.key, own.at)
+    return masked(rows[keep].copy(), a[keep], b[keep]), Occurrences(number[own.kind], own.doc, own.text, own.at)
 
 
 def leading(rows: np.ndarray) -> np.ndarray:
@@ -226,12 +219,14 @@ class Routes:
 def _some(rows: np.ndarray, own: Occurrences, keep: np.ndarray) -> tuple[np.ndarray, Occurrences]:
     number = np.cumsum(keep) - 1
     own = own[keep[own.kind]]
-    return rows[keep], Occurrences(number[own.kind], own.doc, own.key, own.at)
+    return rows[keep], Occurrences(number[own.kind], own.doc, own.text, own.at)
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
+    """Arrays as one compressed blob; whole numbers byte plane by byte plane, as their high bytes are mostly alike."""
     head = np.array([len(arrays), *(a.nbytes for a in arrays)], np.int64)
-    return zstandard.ZstdCompressor(level=3).compress(head.tobytes() + b"".join(np.ascontiguousarray(a).tobytes() for a in arrays))
+    planes = (a if a.itemsize == 1 else np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.itemsize).T for a in arrays)
+    return zstandard.ZstdCompressor(level=4).compress(head.tobytes() + b"".join(p.tobytes() for p in planes))
 
 
 def _unpack(blob: bytes, *kinds) -> list[np.ndarray]:
@@ -239,25 +234,35 @@ def _unpack(blob: bytes, *kinds) -> list[np.ndarray]:
     sizes = np.frombuffer(raw, np.int64, int(np.frombuffer(raw, np.int64, 1)[0]), 8)
     at, out = 8 * (1 + len(sizes)), []
     for size, kind in zip(sizes, kinds, strict=True):
-        out.append(np.frombuffer(raw, kind, int(size) // np.dtype(kind).itemsize, at))
+        part, width = np.frombuffer(raw, np.uint8, int(size), at), np.dtype(kind).itemsize
+        out.append(part if width == 1 else np.ascontiguousarray(part.reshape(width, -1).T).view(kind).ravel())
         at += int(size)
     return out
 
 
 def _packed_suffixes(rows: np.ndarray, own: Occurrences) -> bytes:
-    """Suffixes and their occurrences; ids as differences, which pack well."""
-    docs, of = np.unique(np.stack((own.doc, own.key), 1), axis=0, return_inverse=True)
-    return _pack(rows, np.diff(docs[:, 0], prepend=0), docs[:, 1].copy(), np.bincount(own.kind, minlength=len(rows)).astype(np.int32), of.ravel().astype(np.int32), own.at)
+    """Suffixes and their occurrences, which come in the suffixes' order; numbers as differences."""
+    texts, of = np.unique(own.text, return_inverse=True)
+    docs = np.zeros(len(texts), np.int64)
+    docs[of] = own.doc
+    step = lambda x: np.diff(x, prepend=0)
+    return _pack(rows, step(texts), step(docs), np.bincount(own.kind, minlength=len(rows)), step(of.ravel()), step(own.at))
 
 
 def _unpacked_suffixes(blob: bytes) -> tuple[np.ndarray, Occurrences]:
-    rows, doc, key, times, of, at = _unpack(blob, np.uint8, np.int64, np.int64, np.int32, np.int32, np.int64)
-    return rows.reshape(-1, _WIDTH), Occurrences(np.repeat(np.arange(len(times)), times), np.cumsum(doc)[of], key[of], at)
+    rows, texts, docs, times, of, at = _unpack(blob, np.uint8, *[np.int64] * 5)
+    of = np.cumsum(of)
+    return rows.reshape(-1, _WIDTH), Occurrences(np.repeat(np.arange(len(times)), times), np.cumsum(docs)[of], np.cumsum(texts)[of], np.cumsum(at))
+
 
+def _answer(columns: dict[str, str], rows: list[tuple]) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "binary": pa.binary()}
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kinds[kind]) for k, kind in enumerate(columns.values())], list(columns))
 
-def _batch(schema: list[str], numbers: list[int], blobs: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*blobs, strict=True)) if blobs else [()] * (len(schema) - 1)
-    return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), *(pa.array(c, pa.binary()) for c in columns)], schema)
+
+#: What travels: suffixes for a bucket, or stretches that are known to go, or the texts of a group, which the bucket hands on.
+_DEALT = {"bucket": "long", "group": "long", "suffixes": "binary", "lost": "binary", "texts": "binary"}
+_LOST = {"group": "long", "lost": "binary", "texts": "binary"}
 
 
 def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
@@ -277,41 +282,52 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]
 def _emitted(routes: Routes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _grouped(batches):
-            rows, own, lost, count = [], [], [], 0
+            # texts of the group by number; what repeats under one id is one text
+            both = np.stack([np.concatenate([p.column(c).to_numpy() for p in group]) for c in ("doc_id", "key")], 1)
+            texts, number = np.unique(both, axis=0, return_inverse=True)
+            number = number.ravel()
+            name = int(row_hashes(row_hashes(texts.view(np.uint8).reshape(len(texts), 16))[None, :].view(np.uint8))[0].view(np.int64))
+            rows, own, lost, count, base = [], [], [], 0, 0
             for piece in group:
                 data, offsets = text_bytes(piece.column("text"))
                 row, anchor, first, last = anchors(data, offsets)
-                doc, key = (piece.column(c).to_numpy()[row] for c in ("doc_id", "key"))
-                kinds, whose, gone = combined(suffix_rows(data, anchor, first, last), Occurrences(np.arange(len(anchor)), doc, key, anchor - offsets[row]))
+                text = number[base + row]
+                base += piece.num_rows
+                kinds, whose, gone = combined(suffix_rows(data, anchor, first, last), Occurrences(np.arange(len(anchor)), texts[text, 0], text, anchor - offsets[row]))
                 whose.kind = whose.kind + count
                 count += len(kinds)
                 rows.append(kinds)
                 own.append(whose)
                 lost.append(gone)
-            kinds, whose, gone = combined(np.concatenate(rows), Occurrences.joined(own))
-            del rows, own
+            group.clear()
+            kinds, whose = np.concatenate(rows), Occurrences.joined(own)
+            rows.clear()
+            kinds, whose, gone = combined(kinds, whose)
             lost.append(gone)
-            numbers, blobs = [], []
+            out = []
             for part, of, to in routes.dealt(kinds, whose):
-                if len(part):
-                    order = np.argsort(to, kind="stable")
-                    place = np.empty(len(order), np.int64)
-                    place[order] = np.arange(len(order))
-                    part, to = part[order], to[order]
-                    of = Occurrences(place[of.kind], of.doc, of.key, of.at)
-                    of = of[np.argsort(of.kind, kind="stable")]
-                    begin = np.flatnonzero(np.concatenate(([True], to[1:] != to[:-1])))
-                    cuts = np.searchsorted(of.kind, np.append(begin, len(to)))
-                    for k, (a, b) in enumerate(zip(begin, np.append(begin[1:], len(to)), strict=True)):
-                        mine = of[cuts[k] : cuts[k + 1]]
-                        mine.kind = mine.kind - a
-                        numbers.append(int(to[a]))
-                        blobs.append((_packed_suffixes(part[a:b], mine), None))
+                if not len(part):
+                    continue
+                # by bucket, then as in the texts, so that neighbours are alike and numbers ascend
+                of = of[np.lexsort((of.at, of.text, to[of.kind]))]
+                _, first, kind = np.unique(of.kind, return_index=True, return_inverse=True)
+                order = np.argsort(first, kind="stable")
+                rank = np.empty(len(order), np.int64)
+                rank[order] = np.arange(len(order))
+                shown = of.kind[first[order]]  # suffixes in that order
+                of.kind = rank[kind.ravel()]
+                of = of[np.argsort(of.kind, kind="stable")]
+                bucket = to[shown]
+                begin = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
+                ends = np.append(begin[1:], len(bucket))
+                for a, b, low, high in zip(begin, ends, np.searchsorted(of.kind, begin), np.searchsorted(of.kind, ends), strict=True):
+                    mine = of[low:high]
+                    mine.kind = mine.kind - a
+                    out.append((int(bucket[a]), name, _packed_suffixes(part[shown[a:b]], mine), None, None))
+            # texts and what is known to go travel on through any bucket
             lost = merged(np.concatenate(lost))
-            if len(lost):  # what is known to go travels on through any bucket
-                numbers.append(int(mix(lost[:1, 1].view(np.uint64))[0] % np.uint64(routes.buckets)))
-                blobs.append((None, _pack(lost)))
-            yield _batch(["bucket", "suffixes", "lost"], numbers, blobs)
+            out.append((name % routes.buckets, name, None, _pack(lost) if len(lost) else None, _pack(texts)))
+            yield _answer(_DEALT, out)
 
     return run
 
@@ -413,22 +429,22 @@ def shared_strings(rows: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def merged(spans: np.ndarray) -> np.ndarray:
-    """(doc, key, start, end) with spans of a document that meet made one."""
+    """(text, start, end) with spans of a text that meet made one."""
     if not len(spans):
-        return spans.reshape(0, 4)
-    spans = spans[np.lexsort((spans[:, 2], spans[:, 1], spans[:, 0]))]
-    new = np.concatenate(([True], (spans[1:, 0] != spans[:-1, 0]) | (spans[1:, 1] != spans[:-1, 1])))
-    # ends so far, by document: each document's ends lie above those of the documents before
-    lift = np.cumsum(new) * (int(spans[:, 3].max()) + 1)
-    ends = np.maximum.accumulate(spans[:, 3] + lift) - lift
-    opened = np.flatnonzero(new | np.concatenate(([True], spans[1:, 2] > ends[:-1])))
+        return spans.reshape(0, 3)
+    spans = spans[np.lexsort((spans[:, 1], spans[:, 0]))]
+    new = np.concatenate(([True], spans[1:, 0] != spans[:-1, 0]))
+    # ends so far, by text: each text's ends lie above those of the texts before
+    lift = np.cumsum(new) * (int(spans[:, 2].max()) + 1)
+    ends = np.maximum.accumulate(spans[:, 2] + lift) - lift
+    opened = np.flatnonzero(new | np.concatenate(([True], spans[1:, 1] > ends[:-1])))
     out = spans[opened].copy()
-    out[:, 3] = ends[np.append(opened[1:], len(spans)) - 1]
+    out[:, 2] = ends[np.append(opened[1:], len(spans)) - 1]
     return out
 
 
 def bucket_spans(rows: np.ndarray, own: Occurrences) -> np.ndarray:
-    """What documents of a bucket's suffixes lose."""
+    """What the texts of a bucket's suffixes lose."""
     rows, own, lost = combined(rows, own)
     least = np.full(len(rows), np.iinfo(np.int64).max)
     np.minimum.at(least, own.kind, own.doc)  # one document for each suffix is left
@@ -443,45 +459,46 @@ def bucket_spans(rows: np.ndarray, own: Occurrences) -> np.ndarray:
     first, many = np.searchsorted(of, own.kind), np.searchsorted(of, own.kind, "right") - np.searchsorted(of, own.kind)
     who = np.repeat(np.arange(len(own.kind)), many)
     which = np.arange(len(who)) - np.repeat(np.cumsum(many) - many, many) + first[who]
-    partly = np.stack((own.doc[who], own.key[who], own.at[who] - highs[which], own.at[who] + LENGTH - lows[which]), 1)
+    partly = np.stack((own.text[who], own.at[who] - highs[which], own.at[who] + LENGTH - lows[which]), 1)
     return merged(np.concatenate((lost, partly)))
 
 
-def _sorted_bucket(groups: int):
-    def run(table: pa.Table) -> pa.Table:
-        rows, own, lost, count = [], [], [], 0
-        for blob, gone in zip(table.column("suffixes"), table.column("lost"), strict=True):
-            if gone.is_valid:
-                lost.append(_unpack(gone.as_py(), np.int64)[0].reshape(-1, 4))
-            if blob.is_valid:
-                some, whose = _unpacked_suffixes(blob.as_py())
-                whose.kind = whose.kind + count
-                count += len(some)
-                rows.append(some)
-                own.append(whose)
-        if rows:
-            rows, own = np.concatenate(rows), Occurrences.joined(own)
-            lost.append(bucket_spans(rows, own))
-        lost = np.concatenate(lost) if lost else np.empty((0, 4), np.int64)
-        to = (mix(lost[:, 0].astype(np.uint64) ^ mix(lost[:, 1].astype(np.uint64))) % np.uint64(groups)).astype(np.int64)
-        order = np.argsort(to, kind="stable")
-        lost, to = lost[order], to[order]
-        begin = np.flatnonzero(np.concatenate(([True], to[1:] != to[:-1]))) if len(to) else np.empty(0, np.int64)
-        ends = np.append(begin[1:], len(to))[: len(begin)]
-        return pa.Table.from_batches([_batch(["group", "spans"], [int(to[a]) for a in begin], [(_pack(lost[a:b]),) for a, b in zip(begin, ends, strict=True)])])
-
-    return run
+def _sorted_bucket(table: pa.Table) -> pa.Table:
+    groups, group = np.unique(table.column("group").to_numpy(), return_inverse=True)
+    rows, own, count = [], [], 0
+    for blob, g in zip(table.column("suffixes"), group, strict=True):
+        if blob.is_valid:
+            some, whose = _unpacked_suffixes(blob.as_py())
+            whose.kind, whose.text = whose.kind + count, whose.text + (int(g) << 32)
+            count += len(some)
+            rows.append(some)
+            own.append(whose)
+    out = []
+    if rows:
+        kinds = np.concatenate(rows)
+        rows.clear()
+        lost = bucket_spans(kinds, Occurrences.joined(own))
+        of = lost[:, 0] >> 32
+        lost[:, 0] &= (1 << 32) - 1
+        begin = np.searchsorted(of, np.arange(len(groups) + 1))
+        out += [(int(groups[g]), _pack(lost[begin[g] : begin[g + 1]]), None) for g in np.unique(of)]
+    handed = table.filter(pc.is_valid(table.column("texts")))
+    out += [tuple(r.values()) for r in handed.select(list(_LOST)).to_pylist()]
+    return pa.Table.from_batches([_answer(_LOST, out)])
 
 
 _SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 
 
 def _by_document(table: pa.Table) -> pa.Table:
-    spans = merged(np.concatenate([_unpack(b.as_py(), np.int64)[0].reshape(-1, 4) for b in table.column("spans")]))
-    begin = np.flatnonzero(np.concatenate(([True], (spans[1:, 0] != spans[:-1, 0]) | (spans[1:, 1] != spans[:-1, 1]))))
-    items = pa.StructArray.from_arrays([pa.array(spans[:, 2]), pa.array(spans[:, 3])], fields=list(_SPAN))
+    """Spans by doc_id and key. A group that repeats has the same texts, so that either's answers hold."""
+    texts = _unpack(next(b.as_py() for b in table.column("texts") if b.is_valid), np.int64)[0].reshape(-1, 2)
+    spans = merged(np.concatenate([_unpack(b.as_py(), np.int64)[0].reshape(-1, 3) for b in table.column("lost") if b.is_valid] or [np.empty((0, 3), np.int64)]))
+    begin = np.flatnonzero(np.concatenate(([True], spans[1:, 0] != spans[:-1, 0]))) if len(spans) else np.empty(0, np.int64)
+    items = pa.StructArray.from_arrays([pa.array(spans[:, 1]), pa.array(spans[:, 2])], fields=list(_SPAN))
     lists = pa.ListArray.from_arrays(pa.array(np.append(begin, len(spans)), pa.int32()), items)
-    return pa.table([pa.array(spans[begin, 0]), pa.array(spans[begin, 1]), lists], ["doc_id", "key", "spans"])
+    found = texts[spans[begin, 0]]
+    return pa.table([pa.array(found[:, 0]), pa.array(found[:, 1]), lists], ["doc_id", "key", "spans"])
 
 
 def repeats(docs: DataFrame) -> DataFrame:
@@ -491,9 +508,17 @@ def repeats(docs: DataFrame) -> DataFrame:
     buckets = max(1, -(-size // BUCKET))
     sample = texts.mapInArrow(_sampled, "token long, early long, late long").toArrow() if buckets > 1 else None
     routes = Routes(buckets, sample)
-    dealt = texts.mapInArrow(_emitted(routes), "bucket long, suffixes binary, lost binary")
-    lost = dealt.groupBy("bucket").applyInArrow(_sorted_bucket(max(1, -(-size // ANSWERS))), "group long, spans binary")
-    return lost.groupBy("group").applyInArrow(_by_document, "doc_id long, key long, spans array<struct<start:bigint,end:bigint>>")
+    dealt = texts.mapInArrow(_emitted(routes), _ddl(_DEALT))
+    lost = dealt.groupBy("bucket").applyInArrow(_sorted_bucket, _ddl(_LOST))
+    found = lost.groupBy("group").applyInArrow(_by_document, f"doc_id long, key long, spans {_SPANS}")
+    return found.groupBy("doc_id", "key").agg(F.first("spans").alias("spans"))  # a text that stands in several groups has the same spans in each
+
+
+_SPANS = "array<struct<start:bigint,end:bigint>>"
+
+
+def _ddl(columns: dict[str, str]) -> str:
+    return ", ".join(f"{c} {kind}" for c, kind in columns.items())
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -520,4 +545,4 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def without_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, spans (start, end; null if none) and kept (the bytes that are left) for each row of ``docs`` (doc_id, text)."""
     found = _texts(docs).join(repeats(docs), ["doc_id", "key"], "left").select("doc_id", "text", "spans")
-    return found.mapInArrow(_cut, "doc_id long, n_bytes long, spans array<struct<start:bigint,end:bigint>>, kept binary")
+    return found.mapInArrow(_cut, f"doc_id long, n_bytes long, spans {_SPANS}, kept binary")
