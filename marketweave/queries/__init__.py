@@ -8,6 +8,7 @@ from . import (  # noqa: F401
     normalize_q,
     rankings_q,
     scalars_q,
+    status_q,
     tables_q,
     windows_q,
 )

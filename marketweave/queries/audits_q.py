@@ -413,20 +413,6 @@ def dq_consumer_readiness(L):
     return readiness(L)
 
 
-@query("dq_status_document", f"""
-WITH px AS (SELECT max(base_date) AS d, {_PRICE_PANEL} FROM prices_raw WHERE base_date = (SELECT max(base_date) FROM prices_raw)), u AS (SELECT count(*) FILTER (WHERE is_active) AS a, count(*) FILTER (WHERE NOT is_active) AS i FROM master),
-h AS (SELECT string_agg('{{"target_date":"' || target_date || '","job_name":"' || job_name || '","status":"' || status || '","occurrences":' || n || '}}', ',' ORDER BY target_date DESC, job_name DESC, status DESC) AS t
- FROM (SELECT target_date, job_name, status, count(*) AS n FROM run_logs WHERE target_date BETWEEN $T - 7 AND $T GROUP BY 1, 2, 3))
-SELECT '{{"price_table_quality":{{"latest_price_date":"' || d || '","latest_total_rows":' || latest_total_rows || ',"valid_price_rows":' || valid_price_rows || ',"status":"' || ({_PRICE_STATUS}) || '"}},"universe_summary":{{"active_count":' || a || ',"inactive_count":' || i || '}},"pipeline_health":[' || t || ']}}' AS document FROM px, u, h""")
-def dq_status_document(L):
-    panel_ = au.price_table(L.prices_raw).select(F.struct("latest_price_date", "latest_total_rows", "valid_price_rows", "status").alias("price_table_quality"))
-    universe = L.master.agg(F.struct(F.count_if("is_active").alias("active_count"), F.count_if(~c("is_active")).alias("inactive_count")).alias("universe_summary"))
-    item = F.struct("target_date", "job_name", "status", "occurrences")
-    health = agg.pipeline_health(L.run_logs, TARGET).agg(F.sort_array(F.collect_list(item), asc=False).alias("pipeline_health"))
-
-    return jn.beside(jn.beside(panel_, universe), health).select(F.to_json(F.struct("price_table_quality", "universe_summary", "pipeline_health")).alias("document"))
-
-
 @query("dq_macro_inspect", """
 SELECT 'macro' AS slice, base_date::VARCHAR AS at, 'usdkrw' AS item, usdkrw AS value FROM global_macro WHERE base_date BETWEEN $T - 7 AND $T
 UNION ALL SELECT 'series', base_date::VARCHAR, series_id, value FROM macro_series WHERE series_id IN ('USDKRW', 'DEXKOUS', 'KRW=X') AND base_date <= $T

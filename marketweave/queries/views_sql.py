@@ -113,4 +113,20 @@ SELECT * EXCLUDE (rn, pr) FROM (SELECT *, row_number() OVER (PARTITION BY symbol
 WHERE rn = 1""",
     "joined_panel": """
 SELECT p.*, coalesce(s.foreign_net_buy, 0) AS foreign_net_buy FROM panel p LEFT JOIN supply s ON s.symbol = p.symbol AND s.base_date = p.base_date""",
+    "listing_updates": "SELECT code AS symbol, max(base_date) AS base_date FROM lines WHERE l_linenumber = 7 GROUP BY 1",
+    "static_updates": "SELECT * FROM listing_updates WHERE symbol IN (SELECT symbol FROM static_universe)",
+    "series_updates": "SELECT o_orderpriority AS series_id, max(o_orderdate::DATE) AS base_date FROM orders WHERE o_orderstatus = 'P' GROUP BY 1",
+    "statements": "SELECT symbol, base_date, val AS revenue, -vol AS operating_income, shares AS total_assets, p AS total_equity FROM day_bars WHERE dc <> 10",
+    "raw_supply": "SELECT code AS symbol, base_date, source, qty FROM lines WHERE l_linestatus = 'O'",
+    "raw_shorts": "SELECT code AS symbol, base_date, source, qty FROM lines WHERE l_linestatus = 'F' AND tax_pct < 7",
+    "raw_rankings": "SELECT * FROM rankings WHERE source = 'KIS'",
+    "raw_ecos": "SELECT o_orderpriority AS series_id, o_orderdate::DATE AS base_date, o_totalprice AS value FROM orders WHERE o_orderstatus <> 'P'",
+    "breadth": """
+SELECT base_date, count(*) FILTER (WHERE l_returnflag = 'A') AS advances, count(*) FILTER (WHERE l_returnflag = 'R') AS declines, count(*) FILTER (WHERE l_returnflag = 'N') AS unchanged,
+  coalesce(sum(qty) FILTER (WHERE l_returnflag = 'A'), 0)::BIGINT AS advancing_volume, coalesce(sum(qty) FILTER (WHERE l_returnflag = 'R'), 0)::BIGINT AS declining_volume FROM lines GROUP BY 1""",
+    "derivatives": """
+SELECT base_date, max(cents)::DOUBLE / 100 AS kospi200_futures, (max(cents) - min(cents))::DOUBLE / 100 AS futures_basis, count(*) AS open_interest, day(base_date) = 14 AS expiration_flag
+FROM (SELECT o_orderdate::DATE AS base_date, round(o_totalprice * 100)::BIGINT AS cents FROM orders) GROUP BY 1""",
+    "disclosures": "SELECT ts::DATE AS base_date, CASE WHEN event_type = 'click' THEN 'NaverNews' ELSE 'OpenDart' END AS source, event_id FROM events",
+    "stock_events": "SELECT ts::DATE AS base_date, printf('%06d', user_id) AS symbol, event_id FROM events WHERE event_type IN ('purchase', 'signup')",
 }

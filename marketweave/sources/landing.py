@@ -338,3 +338,77 @@ class Landing:
             F.format_string("%06d", c("user_id")).alias("symbol"),
             F.when(c("event_type") == "error", F.lit("not a date")).otherwise(stamp).alias("pub_date"),
         )
+
+    # ---- what the health panels look at besides ----------------------------
+
+    @cached_property
+    def listing_updates(self) -> DataFrame:
+        """When the master's rows were last written."""
+        c = F.col
+        return self._lines.where(c("l_linenumber") == 7).groupBy(c("code").alias("symbol")).agg(F.max("base_date").alias("base_date"))
+
+    @cached_property
+    def static_updates(self) -> DataFrame:
+        return self.listing_updates.join(self.static_universe.select("symbol"), "symbol", "left_semi")
+
+    @cached_property
+    def series_updates(self) -> DataFrame:
+        c = F.col
+        return self.table("orders").where(c("o_orderstatus") == "P").groupBy(pick(c("o_orderpriority"), SERIES_BY_PRIORITY).alias("series_id")).agg(F.max(c("o_orderdate").cast("date")).alias("base_date"))
+
+    @cached_property
+    def statements(self) -> DataFrame:
+        c = F.col
+        return self.day_bars.where("dc <> 10").select(
+            "symbol", "base_date", c("val").alias("revenue"), (-c("vol")).alias("operating_income"), c("shares").alias("total_assets"), c("p").alias("total_equity"))
+
+    @cached_property
+    def raw_supply(self) -> DataFrame:
+        c = F.col
+        return self._lines.where(c("l_linestatus") == "O").select(c("code").alias("symbol"), "base_date", "source", "qty")
+
+    @cached_property
+    def raw_shorts(self) -> DataFrame:
+        c = F.col
+        return self._lines.where((c("l_linestatus") == "F") & (c("tax_pct") < 7)).select(c("code").alias("symbol"), "base_date", "source", "qty")
+
+    @cached_property
+    def raw_rankings(self) -> DataFrame:
+        return self.rankings.where("source = 'KIS'")
+
+    @cached_property
+    def raw_ecos(self) -> DataFrame:
+        c = F.col
+        return self.table("orders").where(c("o_orderstatus") != "P").select(
+            pick(c("o_orderpriority"), SERIES_BY_PRIORITY).alias("series_id"), c("o_orderdate").cast("date").alias("base_date"), c("o_totalprice").alias("value"))
+
+    @cached_property
+    def breadth(self) -> DataFrame:
+        """Stored market breadth, one row a day."""
+        c = F.col
+        of = lambda flag: F.count_if(c("l_returnflag") == flag)
+        volume = lambda flag: F.sum(F.when(c("l_returnflag") == flag, c("qty")).otherwise(0))
+        return self._lines.groupBy("base_date").agg(
+            of("A").alias("advances"), of("R").alias("declines"), of("N").alias("unchanged"), volume("A").alias("advancing_volume"), volume("R").alias("declining_volume"))
+
+    @cached_property
+    def derivatives(self) -> DataFrame:
+        """Stored index futures, one row a day."""
+        c = F.col
+        cents = hundredths(c("o_totalprice"))
+        day = c("o_orderdate").cast("date")
+        return self.table("orders").groupBy(day.alias("base_date")).agg(
+            (F.max(cents).cast("double") / 100).alias("kospi200_futures"), ((F.max(cents) - F.min(cents)).cast("double") / 100).alias("futures_basis"),
+            F.count(F.lit(1)).alias("open_interest"), (F.dayofmonth(day) == 14).alias("expiration_flag"))
+
+    @cached_property
+    def disclosures(self) -> DataFrame:
+        """Landed notices and news by day and source."""
+        c = F.col
+        return self.table("events").select(c("ts").cast("date").alias("base_date"), F.when(c("event_type") == "click", "NaverNews").otherwise("OpenDart").alias("source"), "event_id")
+
+    @cached_property
+    def stock_events(self) -> DataFrame:
+        """Notices that became events of a symbol."""
+        c = F.col
+        return self.table("events").where(c("event_type").isin("purchase", "signup")).select(c("ts").cast("date").alias("base_date"), F.format_string("%06d", "user_id").alias("symbol"), "event_id")
