@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, timedelta
 
 from pyspark.sql import functions as F, types as T
 
 from ..operators import aggregates as agg, maintenance as mt, prices as px
+from ..session import landing_dir, shared_dir
 from ..sources.landing import SERIES_BY_EVENT, pick
 from ..streaming import intraday as st
 from .normalize_q import c
@@ -185,8 +187,11 @@ def shown(out):
 
 @query("stream_intraday_ingest", f"WITH last AS (SELECT observed_at, series_id, {_LASTS.replace('%s', 'event_id')} FROM intraday GROUP BY 1, 2), {_RECORD} SELECT observed_at, series_id, {_SHOWN} FROM flagged", "observed_at")
 def stream_intraday_ingest(L):
-    out = st.ingest(bar_stream(L))
-    return shown(st.written(L.spark, st.run_available(out, "update"), out.schema, ["observed_at", "series_id"]))
+    """Bars merged into the stored table, and the records of what it holds."""
+    folder = shared_dir(L.spark, "streams", uuid.uuid4().hex)
+    sink = st.bar_sink(L.spark, f"{folder}/bars")
+    st.merge_bars(bar_stream(L), sink, f"{folder}/state")
+    return shown(st.ingest(sink.read()))
 
 
 @query("stream_source_resolve", f"""
@@ -197,16 +202,38 @@ def stream_source_resolve(L):
     return shown(st.written(L.spark, st.run_available(out, "update"), out.schema, ["window_start", "series_id"]))
 
 
-@query("stream_stale_alarm", """
-WITH g AS (SELECT *, CASE WHEN observed_at - lag(observed_at) OVER w >= INTERVAL 90 MINUTE OR lag(observed_at) OVER w IS NULL THEN 1 ELSE 0 END AS starts FROM intraday WINDOW w AS (PARTITION BY series_id ORDER BY observed_at)),
-s AS (SELECT *, sum(starts) OVER (PARTITION BY series_id ORDER BY observed_at) AS n FROM g),
-x AS (SELECT series_id, min(observed_at) AS first_observed_at, max(observed_at) + INTERVAL 90 MINUTE AS alarm_at, count(*) AS bars FROM s GROUP BY series_id, n)
-SELECT * FROM x WHERE alarm_at <= (SELECT max(observed_at) - INTERVAL 2 HOUR FROM intraday)""", "first_observed_at alarm_at")
+_SESSIONS = """g AS (SELECT *, CASE WHEN observed_at - lag(observed_at) OVER w >= INTERVAL 90 MINUTE OR lag(observed_at) OVER w IS NULL THEN 1 ELSE 0 END AS starts FROM intraday WINDOW w AS (PARTITION BY series_id ORDER BY observed_at)),
+s AS (SELECT *, sum(starts) OVER (PARTITION BY series_id ORDER BY observed_at) AS n FROM g)"""
+
+
+def ticks(L):
+    """A clock that goes on after the last bar: a stream of one instant a day later."""
+    folder = landing_dir(L.spark, "streams", uuid.uuid4().hex, "clock")
+    L.intraday.agg((F.max("observed_at") + F.expr("INTERVAL 1 DAY")).cast("timestamp").alias("tick")).write.parquet(folder)
+    return L.spark.readStream.schema("tick timestamp").parquet(folder)
+
+
+@query("stream_stale_alarm", f"WITH {_SESSIONS} SELECT series_id, min(observed_at) AS first_observed_at, max(observed_at) + INTERVAL 90 MINUTE AS alarm_at, count(*) AS bars FROM s GROUP BY series_id, n", "first_observed_at alarm_at")
 def stream_stale_alarm(L):
-    out = st.stale_alarms(bar_stream(L))
+    out = st.stale_alarms(bar_stream(L), ticks(L))
     return st.written(L.spark, st.run_available(out), out.schema, ["series_id", "first_observed_at"])
 
 
+@query("stream_silent_series", """
+SELECT series_id, max(observed_at) AS last_observed_at, max(max(observed_at)) OVER () + INTERVAL 1 DAY AS noticed_at,
+ (epoch(max(max(observed_at)) OVER () + INTERVAL 1 DAY)::BIGINT - epoch(max(observed_at))::BIGINT) // 60 AS stale_minutes FROM (SELECT * REPLACE (date_trunc('second', observed_at) AS observed_at) FROM intraday) GROUP BY series_id
+UNION ALL SELECT 'GOLD', NULL, (SELECT date_trunc('second', max(observed_at)) + INTERVAL 1 DAY FROM intraday), NULL""", "last_observed_at noticed_at")
+def stream_silent_series(L):
+    """Silent series at a tick after the last bar, one that never sent among them."""
+    folder = shared_dir(L.spark, "streams", uuid.uuid4().hex)
+    sink = st.bar_sink(L.spark, f"{folder}/bars")
+    st.merge_bars(bar_stream(L), sink, f"{folder}/state")
+    expected = L.intraday.select("series_id").distinct().unionByName(L.spark.range(1).select(F.lit("GOLD").alias("series_id")))
+    st.alarm_on_ticks(ticks(L), sink, expected, f"{folder}/alarms", f"{folder}/clock_state")
+    found = L.spark.read.schema(st.ALARMS).parquet(f"{folder}/alarms")
+    return found.select("series_id", F.date_trunc("second", "last_observed_at").alias("last_observed_at"), F.date_trunc("second", "noticed_at").alias("noticed_at"), "stale_minutes")
+
+
 @query("stream_news_freshness", """
 SELECT event_id, printf('%06d', user_id) AS symbol, date_trunc('second', ts) - INTERVAL 9 HOUR AS published_at FROM events WHERE event_type <> 'error' AND date_trunc('second', ts) - INTERVAL 9 HOUR >= TIMESTAMP '2024-01-30 09:00:00' - INTERVAL 12 HOUR""", "published_at")
 def stream_news_freshness(L):

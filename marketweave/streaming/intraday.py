@@ -1,8 +1,9 @@
 """Structured Streaming jobs for intraday snapshots and news.
 
-State is bounded by the watermark. Every batch is written under its own batch
-id, so a batch that runs again after a failure overwrites itself; readers take
-the last batch per key.
+Bars are merged into a stored table by key (``sink.py``), without state, so that
+late corrections count. The other jobs have state bounded by the watermark;
+each of their batches is written under its own batch id, so a batch that runs
+again after a failure overwrites itself, and readers take the last batch per key.
 """
 
 from __future__ import annotations
@@ -14,7 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from ..functions.sanity import classify_index_quality, intraday_out_of_bounds
 from ..operators.normalize import published_at
 from ..session import landing_dir, shared_dir
+from ..sources import tables as tb
 from ..sources.tables import dedupe_last
+from .sink import KeyedSink
 
 INTRADAY_DELAY = "2 hours"
 NEWS_DELAY = "12 hours"
@@ -77,10 +80,74 @@ def resolve(bars: DataFrame, width: str = "10 minutes") -> DataFrame:
     return windows.select(F.col("w.start").alias("window_start"), "series_id", *[c.alias(n) for n, c in _record().items()], "bars")
 
 
-def stale_alarms(bars: DataFrame) -> DataFrame:
-    """Instants at which a series had been silent for the stale gap: the ends of its sessions."""
-    sessions = bars.withWatermark("observed_at", INTRADAY_DELAY).groupBy(F.session_window("observed_at", STALE_GAP).alias("s"), "series_id").agg(F.count(F.lit(1)).alias("bars"))
-    return sessions.select("series_id", F.col("s.start").alias("first_observed_at"), F.col("s.end").alias("alarm_at"), "bars")
+BARS = T.StructType([
+    T.StructField("observed_at", T.TimestampType()), T.StructField("base_date", T.DateType()), T.StructField("series_id", T.StringType()), T.StructField("source", T.StringType()),
+    T.StructField("value", T.DoubleType()), T.StructField("change_rate", T.DoubleType()), T.StructField("seq", T.LongType()),
+])
+
+
+def bar_sink(spark: SparkSession, root: str, every: int = 20) -> KeyedSink:
+    """The stored bars, one for each (observed_at, series_id, source): the last one by ``seq`` that has a value, if any has."""
+    return KeyedSink(spark, root, BARS, ["observed_at", "series_id", "source"], [F.col("value").isNull().asc(), F.desc("seq")], every=every)
+
+
+def merge_bars(bars: DataFrame, sink: KeyedSink, checkpoint: str) -> None:
+    """Merge what has arrived into the stored bars and stop. ``ingest`` of ``sink.read()`` gives their records."""
+    dated = bars.withColumn("base_date", F.to_date("observed_at"))
+    query = dated.writeStream.foreachBatch(sink.write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+
+
+def stale_alarms(bars: DataFrame, clock: DataFrame | None = None) -> DataFrame:
+    """Instants at which a series had been silent for the stale gap: the ends of its sessions.
+
+    ``clock`` is a stream of instants (``tick``), such as a rate source's. It moves the
+    watermark as bars do, so a session also ends when no series sends anything any more.
+    """
+    named = bars.select("observed_at", "series_id", F.lit(1).alias("bar"))
+    if clock is not None:
+        named = named.unionByName(clock.select(F.col("tick").cast("timestamp").alias("observed_at"), F.lit(None).cast("string").alias("series_id"), F.lit(None).cast("int").alias("bar")))
+    sessions = named.withWatermark("observed_at", INTRADAY_DELAY).groupBy(F.session_window("observed_at", STALE_GAP).alias("s"), "series_id").agg(F.count("bar").alias("bars"))
+    # the clock's own session goes only here: a filter on its rows would move below the watermark
+    return sessions.where("bars > 0").select("series_id", F.col("s.start").alias("first_observed_at"), F.col("s.end").alias("alarm_at"), "bars")
+
+
+def silent_series(bars: DataFrame, expected: DataFrame, now: Column, gap: str = STALE_GAP, days: int = 7) -> DataFrame:
+    """The expected series without a bar in the gap before ``now``, with their last bar of the days before; those that never sent have none.
+
+    Only the days looked at are read. A bar of the future is no bar yet.
+    """
+    recent = bars.where((F.col("base_date") >= F.date_sub(F.to_date(now), days)) & (F.col("observed_at") <= now))
+    last = recent.groupBy("series_id").agg(F.max("observed_at").alias("last_observed_at"))
+    held = expected.select("series_id").distinct().join(last, "series_id", "left")
+    silent = F.col("last_observed_at").isNull() | (F.col("last_observed_at") + F.expr(f"INTERVAL {gap}") < now)
+    return held.where(silent).select("series_id", "last_observed_at", now.alias("noticed_at"), F.floor((F.unix_seconds(now) - F.unix_seconds("last_observed_at")) / 60).cast("long").alias("stale_minutes"))
+
+
+ALARMS = T.StructType([
+    T.StructField("series_id", T.StringType()), T.StructField("last_observed_at", T.TimestampType()), T.StructField("noticed_at", T.TimestampType()), T.StructField("stale_minutes", T.LongType()),
+    T.StructField("alarm_day", T.DateType()),
+])
+
+
+def alarm_on_ticks(clock: DataFrame, sink: KeyedSink, expected: DataFrame, path: str, checkpoint: str, days: int = 7) -> None:
+    """At every tick that has arrived: alarms of series that are silent by then, one for each silence, however many ticks find it.
+
+    Nothing need arrive but the clock. Ticks are handled in order; one that is handled again finds its alarms there.
+    """
+    spark = clock.sparkSession
+
+    def at_ticks(batch: DataFrame, batch_id: int) -> None:
+        for (tick,) in batch.select(F.col("tick").cast("timestamp")).distinct().orderBy("tick").collect():  # the clock's instants, a few for each batch
+            sink.refresh()
+            recent = sink.read(F.col("base_date") >= F.date_sub(F.to_date(F.lit(tick)), days))
+            found = silent_series(recent, expected, F.lit(tick), days=days).withColumn("alarm_day", F.to_date(F.coalesce("last_observed_at", F.lit("1970-01-01").cast("timestamp"))))
+            known = tb.read(spark, path, ALARMS).select("series_id", "last_observed_at")
+            again = found["series_id"].eqNullSafe(known["series_id"]) & found["last_observed_at"].eqNullSafe(known["last_observed_at"])
+            found.join(known, again, "left_anti").write.mode("append").partitionBy("alarm_day").parquet(path)
+
+    query = clock.writeStream.foreachBatch(at_ticks).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
 
 
 def fresh_news(news: DataFrame, now) -> DataFrame:
