@@ -7,10 +7,11 @@ length of the calendar, however many raw rows a symbol had.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.sanity import JUMP_DOWN, JUMP_MIN_HISTORY, JUMP_UP, price_scale_warning
-from ..session import staged
 
 def by_symbol():
     return Window.partitionBy("symbol").orderBy("base_date")
@@ -112,13 +113,85 @@ def lag_change_series(df: DataFrame, key: str = "series_id", value: str = "value
     })
 
 
-def in_blocks(df: DataFrame, by: list[str], order: str) -> DataFrame:
-    """``df`` with ``block``: the number of its range of (keys, order), ranges being of about equal size whatever the keys hold.
+#: Rows of a block, about; and cuts that are compared one by one when a row is placed.
+BLOCK_ROWS = 1_000_000
+_STRIDE = 64
+
+
+def _whole(df: DataFrame, name: str) -> Column:
+    """A column as whole numbers of the same order."""
+    kind = df.select(name).schema[0].dataType.simpleString()
+    col = F.col(name)
+    if kind.startswith("timestamp"):
+        return F.unix_micros(col.cast("timestamp"))
+    return F.unix_date(col).cast("long") if kind == "date" else col.cast("long")
+
 
-    The bounds are sampled, so the numbers are kept: every later use must see the same.
+def _alike(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
+    conds = [left[n].eqNullSafe(right[f"of_{n}"]) for n in names]
+    return reduce(lambda a, b: a & b, conds)
+
+
+def _cuts(df: DataFrame, by: list[str], value: str, target: int) -> DataFrame | None:
+    """For each group of more than ``target`` rows the values that cut it into even parts, from a mergeable quantile sketch; None if there is no such group.
+
+    The cuts come to the driver, at most one for ``target`` rows of the table, and go on
+    as literals: sketches differ from run to run, and every use must see the same cuts.
+    """
+    heavy = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > target).collect()
+    if not heavy:
+        return None
+    spark = df.sparkSession
+    names = T.StructType([T.StructField(f"of_{f.name}", f.dataType) for f in df.select(*by).schema.fields])
+    # the greatest group says how fine the sketch must be: errors of about two in its size
+    most = -(-max(r["n"] for r in heavy) // target)
+    fine, grid = min(65_535, max(200, 16 * most)), min(20_000, 4 * most)
+    groups = spark.createDataFrame([tuple(r)[:-1] for r in heavy], names)
+    rows = df.join(F.broadcast(groups), _alike(df, groups, by), "left_semi")
+    sketched = rows.groupBy(*by).agg(F.kll_sketch_agg_bigint(value, F.lit(fine)).alias("s"))
+    parts = F.ceil(F.kll_sketch_get_n_bigint("s") / target)
+    even = F.kll_sketch_get_quantile_bigint("s", F.array(*[F.lit(i / grid) for i in range(1, grid)]))
+    picked = sketched.select(*by, even.alias("even"), parts.cast("long").alias("parts"))
+    places = F.transform(F.sequence(F.lit(1).cast("long"), F.col("parts") - 1), lambda i: F.element_at("even", F.least(F.ceil(i * grid / F.col("parts")), F.lit(grid - 1)).cast("int")))
+    found = picked.where("parts > 1").select(*by, F.explode(places).alias("cut"))
+    per = found.groupBy(*by, "cut").agg(F.count(F.lit(1)).alias("times")).groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("cut", "times"))).alias("cuts"))
+    listed = []
+    for r in per.collect():
+        cuts = [c["cut"] for c in r["cuts"]]
+        listed.append((*tuple(r)[:-1], cuts, cuts[::_STRIDE], [c["cut"] for c in r["cuts"] if c["times"] > 1]))
+    longs = T.ArrayType(T.LongType())
+    return spark.createDataFrame(listed, T.StructType([*names.fields, *(T.StructField(n, longs) for n in ("cuts", "coarse", "hot"))]))
+
+
+def in_blocks(df: DataFrame, by: list[str], order: str, target: int | None = None) -> DataFrame:
+    """``df`` with ``block``: the place of its range of (keys, order), each range having about ``target`` rows, or a whole key of fewer.
+
+    ``order`` is a whole number, a date, an instant, or a struct of such. A value that holds
+    more than one cut is a block for itself, cut on by the struct's next field. Nothing is
+    written, and the number of blocks follows the rows alone.
     """
-    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return staged(df.repartitionByRange(ranges, *by, order).withColumn("block", F.spark_partition_id()), "blocks")
+    target = target or BLOCK_ROWS
+    kind = df.select(order).schema[0].dataType
+    fields = [f"{order}.{f.name}" for f in kind.fields] if isinstance(kind, T.StructType) else [order]
+    rows, fixed, places, columns = df, list(by), [], df.columns
+    for level, field in enumerate(fields):
+        value, place = f"value_{level}", f"place_{level}"
+        rows = rows.withColumn(value, _whole(df, field))
+        # below the first field, only rows of a hot value are cut on
+        wanted = rows if not level else rows.where(f"on_{level - 1}")
+        cuts = _cuts(wanted, fixed, value, target)
+        if cuts is None:
+            break
+        joined = rows.join(F.broadcast(cuts), _alike(rows, cuts, fixed) & (F.col(f"on_{level - 1}") if level else F.lit(True)), "left")
+        v, coarse = F.col(value), F.size(F.filter("coarse", lambda x: x < F.col(value)))
+        start = F.greatest(coarse - 1, F.lit(0)) * _STRIDE
+        below = start + F.size(F.filter(F.slice("cuts", start + 1, F.lit(_STRIDE)), lambda x: x < F.col(value)))
+        hot = F.coalesce(F.array_contains("hot", v), F.lit(False))
+        number = F.when(F.col("cuts").isNull(), 0).otherwise(2 * below + hot.cast("int"))
+        rows = joined.withColumns({place: number, f"on_{level}": hot}).drop(*cuts.columns)
+        places.append(place)
+        fixed = [*fixed, value]
+    return rows.select(*columns, F.struct(*places or [F.lit(0).alias("whole")]).alias("block"))
 
 
 def blocked_lag(df: DataFrame, keys: str | list[str], order: str, value: str) -> DataFrame:
@@ -131,6 +204,8 @@ def blocked_lag(df: DataFrame, keys: str | list[str], order: str, value: str) ->
     inside = Window.partitionBy(*by, "block").orderBy(order)
     blocks = Window.partitionBy(*by).orderBy("block")
     cut = in_blocks(df, by, order)
+    if cut.schema["block"].dataType.fieldNames() == ["whole"]:  # no key is too long
+        return df.withColumn("previous", F.lag(value).over(Window.partitionBy(*by).orderBy(order)))
     tails = cut.groupBy(*by, "block").agg(F.max_by(value, order).alias("tail"))
     carried = tails.select(*by, "block", F.lag("tail").over(blocks).alias("carried"))
     return (

@@ -169,7 +169,9 @@ def skewed(n=3000, seed=7):
     return [(k, i * 37 % n, float(rnd.randrange(1000))) for i, k in enumerate(keys)]
 
 
-def test_blocked_lag_matches_brute_force(spark, collect):
+@pytest.mark.parametrize("rows_of_a_block", [10**6, 97])
+def test_blocked_lag_matches_brute_force(spark, collect, monkeypatch, rows_of_a_block):
+    monkeypatch.setattr(win, "BLOCK_ROWS", rows_of_a_block)
     data = skewed()
     got = collect(win.blocked_lag(spark.createDataFrame(data, "k string, t long, v double"), "k", "t", "v"), "k", "t", "v", "previous")
     want, seen = [], {}
@@ -179,13 +181,39 @@ def test_blocked_lag_matches_brute_force(spark, collect):
     assert got == sorted(want, key=repr)
 
 
-def test_blocks_split_one_hour_of_one_key(spark):
-    rows = [("hot", 3600 * 5 + i * 3599 // 4000) for i in range(4000)] + [(f"k{i % 9}", 3600 * i) for i in range(400)]
-    sizes = [r["count"] for r in win.in_blocks(spark.createDataFrame(rows, "k string, t long"), ["k"], "t").groupBy("k", "block").count().collect()]
-    assert max(sizes) < 2200  # of four ranges
-
-
-def test_asof_many_matches_brute_force(spark, collect):
+@pytest.mark.parametrize("rows,partitions", [(4000, 2), (4000, 16), (40_000, 2), (40_000, 16)])
+def test_blocks_are_even_at_any_size(spark, tmp_path, rows, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        hot = spark.range(rows).select(F.lit("hot").alias("k"), (3600 * 5 + F.col("id") * 3599 % 7919).alias("t"))
+        table = hot.unionByName(spark.range(400).select(F.concat(F.lit("k"), (F.col("id") % 9).cast("string")).alias("k"), F.col("id").alias("t")))
+        table.write.parquet(str(tmp_path / "t"))
+        cut = win.in_blocks(spark.read.parquet(str(tmp_path / "t")), ["k"], "t", target=500)
+        sizes = [r["count"] for r in cut.where("k = 'hot'").groupBy("block").count().collect()]
+        assert max(sizes) <= 1000 and rows / 1000 <= len(sizes) <= rows / 250 and sum(sizes) == rows
+        assert cut.where("k <> 'hot'").select("k", "block").distinct().count() == 9
+        ranges = cut.where("k = 'hot'").groupBy("block").agg(F.min("t").alias("lo"), F.max("t").alias("hi")).orderBy("block").collect()
+        assert all(a["hi"] < b["lo"] for a, b in zip(ranges, ranges[1:]))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_one_instant_of_one_key_is_cut_on(spark):
+    rows = [("hot", 7, i * 31 % 3000) for i in range(3000)] + [("hot", i, i) for i in range(600)] + [(None, 7, i) for i in range(800)]
+    frame = spark.createDataFrame(rows, "k string, t long, seq long").withColumn("at", F.struct("t", "seq"))
+    cut = win.in_blocks(frame, ["k"], "at", target=200)
+    sizes = {(r["k"], r["block"]): r["count"] for r in cut.groupBy("k", "block").count().collect()}
+    assert max(sizes.values()) <= 400 and sum(sizes.values()) == len(rows)
+    spans = cut.groupBy("k", "block").agg(F.min("at").alias("lo"), F.max("at").alias("hi")).where("k = 'hot'").orderBy("block").collect()
+    assert all(a["hi"] <= b["lo"] for a, b in zip(spans, spans[1:]))
+    # within what ties leave open: rows of one (t, seq) stay together
+    assert len(spans) >= 10
+
+
+@pytest.mark.parametrize("rows_of_a_block", [10**6, 83])
+def test_asof_many_matches_brute_force(spark, collect, monkeypatch, rows_of_a_block):
+    monkeypatch.setattr(win, "BLOCK_ROWS", rows_of_a_block)
     data = skewed(2000, 11)
     obs, asks = [r for r in data if r[2] < 500], [r for r in data if r[2] >= 500]
     obs += [(k, t, v + 1000) for k, t, v in obs[::3]]  # a second observation of the same instant is the later one
