@@ -109,7 +109,7 @@ def test_alignment_equals_the_plain_recurrence():
     for _ in range(60):
         item = rng.integers(0, 6, rng.integers(1, 20)).astype(np.uint64)
         windows = [rng.integers(0, 6, rng.integers(0, 30)).astype(np.uint64) for _ in range(5)]
-        best, end = decontam.align(item, windows)
+        best, end = decontam.align([item] * len(windows), windows)
         assert best.tolist() == [plain_alignment(item, w) for w in windows]
         assert all(plain_alignment(item, w[:e]) == s for w, e, s in zip(windows, end, best))
 
@@ -213,7 +213,6 @@ def test_bounded_parts_find_the_same(monkeypatch, hits, cells):
     text = lambda n: " ".join(f"w{rng.randrange(12)}" for _ in range(n))
     items = decontam.Items(np.arange(20), pa.array([text(rng.randrange(1, 20)) for _ in range(20)]))
     batch = pa.RecordBatch.from_arrays([pa.array(range(15)), pa.array([text(rng.randrange(0, 60)) for _ in range(15)])], ["doc_id", "text"])
-    batch = batch.append_column("text_key", batch.column("doc_id"))
     rows = lambda: sorted(tuple(r.values()) for out in decontam._aligned(items, decontam.LEAST)(iter([batch])) for r in out.to_pylist())
     whole = rows()
     monkeypatch.setattr(decontam, "HITS", hits)
@@ -221,6 +220,61 @@ def test_bounded_parts_find_the_same(monkeypatch, hits, cells):
     assert whole and rows() == whole
 
 
+def test_items_of_different_lengths_are_aligned_together():
+    rng = np.random.default_rng(9)
+    items = [rng.integers(0, 6, rng.integers(1, 20)).astype(np.uint64) for _ in range(200)]
+    windows = [rng.integers(0, 6, rng.integers(0, 30)).astype(np.uint64) for _ in items]
+    best, end = decontam.align(items, windows)
+    assert best.tolist() == [plain_alignment(i, w) for i, w in zip(items, windows)]
+    assert all(plain_alignment(i, w[:e]) == s for i, w, s, e in zip(items, windows, best, end))
+
+
+def test_a_phrase_of_all_items_costs_little(spark):
+    import time
+
+    import pyarrow as pa
+
+    rng = random.Random(12)
+    word = lambda: f"w{rng.randrange(30_000)}"
+    texts = [[word() for _ in range(16)] for _ in range(3000)]
+    docs = [[word() for _ in range(110)] for _ in range(150)]
+    for k in range(0, 150, 10):
+        docs[k][40:40] = [w if i % 5 else word() for i, w in enumerate(texts[7 * k])]
+    took, found = {}, {}
+    for hot in (False, True):
+        phrase = "one of the most".split() if hot else []
+        items = decontam.Items(np.arange(len(texts)), pa.array([" ".join(t[:6] + phrase + t[6:]) for t in texts]))
+        column = pa.array([" ".join(d[:20] + phrase + d[20:40] + phrase + d[40:]) for d in docs])
+        started = time.process_time()
+        out = decontam.found_in(items, column, decontam.LEAST)
+        took[hot], found[hot] = time.process_time() - started, set(zip(out[0].tolist(), out[1].tolist()))
+    want = {(k, 7 * k) for k in range(0, 150, 10)}
+    assert found[False] == found[True] == want
+    assert took[True] < 2 * took[False] + 2.0
+
+
+def test_common_seeds_find_what_rare_ones_would(monkeypatch):
+    import pyarrow as pa
+
+    rng = random.Random(13)
+    text = lambda n: " ".join(f"w{rng.randrange(25)}" for _ in range(n))
+    ids, own, docs = np.arange(60), pa.array([text(rng.randrange(1, 20)) for _ in range(60)]), pa.array([text(rng.randrange(0, 90)) for _ in range(40)])
+    rows = lambda: sorted(zip(*(x.tolist() for x in decontam.found_in(decontam.Items(ids, own), docs, decontam.LEAST))))
+    monkeypatch.setattr(decontam, "COMMON", 10**6)
+    whole = rows()
+    for common, bits in ((0, 1024), (0, 64), (3, 1024)):
+        monkeypatch.setattr(decontam, "COMMON", common)
+        monkeypatch.setattr(decontam, "BITS", bits)
+        assert {r[:3] for r in rows()} == {r[:3] for r in whole} and whole
+
+
+def test_columns_named_like_helpers_stay(spark):
+    item = " ".join(f"i{i}" for i in range(20))
+    docs = spark.createDataFrame([(1, f"a {item}", 5, {"k": 1}), (2, "clean", 6, {"k": 2})], "doc_id long, text string, bad_doc_id long, bad map<string,int>")
+    kept = decontam.keep_clean(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == [(2, "clean", 6, {"k": 2})]
+
+
 def test_clean_rows_stay_beside_others_of_their_id(spark):
     item = " ".join(f"i{i}" for i in range(20))
     docs = spark.createDataFrame([(None, "clean one"), (None, f"x {item}"), (None, None), (None, "clean two"), (1, item), (1, "clean three"), (0, "clean one")], "doc_id long, text string")
