@@ -16,9 +16,14 @@ a text are those of its stretches, one after another. Each task keeps the
 ids of the stretches it has seen; new ones are encoded as one batch, on the
 library's threads. Where a piece spans words, whole texts are the stretches.
 
-Parity: every new stretch is also encoded by sentencepiece itself; where the
-two differ, the row is marked and sentencepiece's ids are taken, so ids are
-always the model's own.
+New stretches that begin with a marker and end with another character keep
+apart when written one after another, so they are encoded and decoded as long
+runs, and cut by the lengths of their pieces.
+
+Parity: the ids are those of the rebuilt tokenizer. Every new stretch is also
+encoded by sentencepiece itself; only where the two differ are sentencepiece's
+ids taken instead, and ``n_fallback`` counts these stretches of a row.
+``parity`` says that there are none.
 
 Null texts count as empty and have no ids. Rows that repeat, or lack a doc_id,
 are encoded each for itself. An empty table gives no rows.
@@ -45,8 +50,8 @@ MARKER = "▁"
 #: Kinds of pieces and of models in the protobuf.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-#: Stretches that a task keeps, beyond which they are begun anew, and bytes of text whose new stretches are encoded together.
-ENTRIES, TOGETHER = 150_000, 1 << 18
+#: Stretches that a task learns until those that it has not met since the last time go, bytes of text whose new stretches are encoded together, and stretches of a run.
+ENTRIES, TOGETHER, RUN = 75_000, 1 << 18, 128
 #: Threads of the library in a worker, unless the cluster sets another number.
 THREADS = "2"
 
@@ -162,13 +167,19 @@ class Codec:
         apart = model.escape_spaces and not model.fold_spaces and not any(MARKER in p.lstrip(MARKER) or kind == USER_DEFINED for p, kind in used)
         #: A stretch: spaces, which become markers, and what follows them. Unigram scores are sums over a text, so they split alike.
         self.split = re.compile(f"[ {MARKER}]+[^ {MARKER}]*|[^ {MARKER}]+").findall if apart else None
-        self._forget()
-
-    def _forget(self) -> None:
+        #: Bytes that each id stands for, -1 where that is open.
+        self.widths = np.array([len(p.encode()) if kind in (NORMAL, USER_DEFINED) else 1 if kind == BYTE else -1 for p, _, kind in model.pieces], np.int64)
         self.ids_of: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.differs: set[str] = set()
         self.changed: set[str] = set()
 
+    def _forget(self) -> None:
+        """What has been met since the last time stays, in second place; the rest goes."""
+        self.older, self.ids_of = self.ids_of, {}
+        self.differs &= self.older.keys()
+        self.changed &= self.older.keys()
+
     def normalise(self, text: str) -> str:
         """The text as the model sees it, markers still written as spaces."""
         if self.model.charsmap:
@@ -176,40 +187,78 @@ class Codec:
         return " " + text if self.model.dummy_prefix else text
 
     def learn(self, new: list[str]) -> None:
-        """Encodes new stretches as a batch on the library's threads, holds the ids against sentencepiece's, and decodes them."""
-        found = [e.ids for e in self.inner.encode_batch_fast([s.replace(" ", MARKER) for s in new], add_special_tokens=False)]
+        """Encodes new stretches in runs on the library's threads, holds the ids against sentencepiece's, and decodes them; singly where a run does not come out alike."""
+        marks = (" ", MARKER)
+        plain = [s for s in new if s[0] in marks and s[-1] not in marks]
+        runs = [plain[k : k + RUN] for k in range(0, len(plain), RUN)]
+        texts = ["".join(run).replace(" ", MARKER) for run in runs]
         cut = int(self.model.dummy_prefix)  # sentencepiece puts a marker first by itself, except before an empty text
+        found = [e.ids for e in self.inner.encode_batch_fast(texts, add_special_tokens=False)]
+        right = self.original.encode([t[cut:] for t in texts], num_threads=1)
+        back = self.inner.decode_batch(found, skip_special_tokens=False)
+        singly = [s for s in new if s[0] not in marks or s[-1] in marks]
+        for run, text, ids, own, again in zip(runs, texts, found, right, back, strict=True):
+            if ids != own or again != text.replace(MARKER, " ") or not self._cut(run, ids):
+                singly += run
+        if singly:
+            self._learn_singly(singly)
+
+    def _cut(self, run: list[str], ids: list[int]) -> bool:
+        """The ids of a run given to its stretches; false if they do not end where the stretches do."""
+        ids = np.array(ids, np.int32)
+        widths = self.widths[ids]
+        if (widths < 0).any():
+            return False
+        ends = np.cumsum(widths)
+        wanted = np.cumsum([len(s.replace(" ", MARKER).encode()) for s in run])
+        at = np.searchsorted(ends, wanted)
+        if at[-1] >= len(ends) or (ends[at] != wanted).any() or any(MARKER in s for s in run):
+            return False
+        raw, before = ids.tobytes(), 0
+        for s, end in zip(run, (4 * (at + 1)).tolist(), strict=True):
+            self.ids_of[s] = raw[before:end]
+            before = end
+        return True
+
+    def _learn_singly(self, new: list[str]) -> None:
+        found = [e.ids for e in self.inner.encode_batch_fast([s.replace(" ", MARKER) for s in new], add_special_tokens=False)]
+        cut = int(self.model.dummy_prefix)
         right = self.original.encode([s[cut:] for s in new] if cut else new, num_threads=1)
         for k in (k for k, s in enumerate(new) if cut and len(s) == 1 and s in (" ", MARKER)):
             right[k] = self.original.encode("a ")[len(self.original.encode("a")) :]
-        if found != right:
-            self.differs.update(s for s, x, y in zip(new, found, right, strict=True) if x != y)
+        self.differs.update(s for s, x, y in zip(new, found, right, strict=True) if x != y)
         back = self.inner.decode_batch(right, skip_special_tokens=False)
-        if back != new:
-            self.changed.update(s for s, x in zip(new, back, strict=True) if x != s)
-        self.ids_of.update(zip(new, [array("i", ids).tobytes() for ids in right], strict=True))
+        self.changed.update(s for s, x in zip(new, back, strict=True) if x != s)
+        self.ids_of.update((s, array("i", x if x == y else y).tobytes()) for s, x, y in zip(new, found, right, strict=True))
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, bool, bool]]:
-        """The ids of each text, whether the rebuilt tokenizer gave what sentencepiece gives, and whether decoding gives the text again."""
+    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, int, bool]]:
+        """The ids of each text, in how many of its stretches sentencepiece's ids stand for other ones of the rebuilt tokenizer, and whether decoding gives the text again."""
         if self.split is None:
             yield from self._whole(texts)
             return
         if len(self.ids_of) > ENTRIES:
             self._forget()
         split = [self.split(self.normalise(t)) if t else [] for t in texts]
-        new = list({s for own in split for s in own if s not in self.ids_of})
+        known, older = self.ids_of, self.older
+        new = []
+        for s in set().union(*split):
+            if s not in known:
+                if s in older:
+                    known[s] = older[s]
+                else:
+                    new.append(s)
         if new:
             self.learn(new)
         for text, own in zip(texts, split, strict=True):
-            ids = np.frombuffer(b"".join(map(self.ids_of.__getitem__, own)), np.int32)
+            ids = np.frombuffer(b"".join(map(known.__getitem__, own)), np.int32)
             back = (not self.changed or self.changed.isdisjoint(own)) and (not self.model.charsmap or "".join(own)[int(self.model.dummy_prefix) :] == text)
-            yield ids, not self.differs or self.differs.isdisjoint(own), back
+            yield ids, sum(s in self.differs for s in own) if self.differs and not self.differs.isdisjoint(own) else 0, back
 
-    def _whole(self, texts: list[str]) -> Iterator[tuple[np.ndarray, bool, bool]]:
+    def _whole(self, texts: list[str]) -> Iterator[tuple[np.ndarray, int, bool]]:
         encoded = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         right = self.original.encode(texts, num_threads=1)
         for text, ids, own, back in zip(texts, encoded, right, self.tokenizer.decode_batch(right, skip_special_tokens=False), strict=True):
-            yield np.array(own, np.int32), ids == own, back == text
+            yield np.array(ids if ids == own else own, np.int32), int(ids != own), back == text
 
     def decode(self, ids: list[int]) -> str:
         return self.tokenizer.decode(ids, skip_special_tokens=False)
@@ -221,9 +270,9 @@ def _content(docs: DataFrame, path: str):
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
-    """``docs`` (doc_id, text and any others) with input_ids, n_tokens and parity, which replace columns of these names."""
+    """``docs`` (doc_id, text and any others) with input_ids, n_tokens, parity and n_fallback, which replace columns of these names."""
     content = _content(docs, path)
-    rest = [c for c in docs.columns if c not in ("input_ids", "n_tokens", "parity")]
+    rest = [c for c in docs.columns if c not in ("input_ids", "n_tokens", "parity", "n_fallback")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(content.value)  # of this task alone: a worker that goes on to other work shall not hold it
@@ -232,10 +281,10 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                 done = list(codec.encode(large_text(piece.column("text")).to_pylist()))
                 sizes = [len(ids) for ids, _, _ in done]
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(np.concatenate([ids for ids, _, _ in done])))
-                yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in rest), lists, pa.array(sizes, pa.int64()), pa.array([same for _, same, _ in done])], [*rest, "input_ids", "n_tokens", "parity"])
+                yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in rest), lists, pa.array(sizes, pa.int64()), pa.array([not n for _, n, _ in done]), pa.array([n for _, n, _ in done], pa.int64())], [*rest, "input_ids", "n_tokens", "parity", "n_fallback"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(rest).schema)
-    return docs.select(rest).mapInArrow(run, f"{fields}, input_ids array<int>, n_tokens long, parity boolean")
+    return docs.select(rest).mapInArrow(run, f"{fields}, input_ids array<int>, n_tokens long, parity boolean, n_fallback long")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -251,7 +300,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
 
 def checked(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_bytes, n_tokens, ids_sha256 (of the ids as 32-bit little-endian numbers), parity, round_trip (decoding gives the text) for each row of ``docs``."""
+    """doc_id, n_bytes, n_tokens, ids_sha256 (of the ids as 32-bit little-endian numbers), parity, round_trip (decoding gives the text), n_fallback for each row of ``docs``."""
     content = _content(docs, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,10 +309,10 @@ def checked(docs: DataFrame, path: str) -> DataFrame:
             for piece in pieces(batch, "text", TOGETHER):
                 texts = large_text(piece.column("text")).to_pylist()
                 rows = []
-                for text, (ids, same, back) in zip(texts, codec.encode(texts), strict=True):
-                    rows.append((len(text.encode()), len(ids), hashlib.sha256(ids.astype("<i4").tobytes()).hexdigest(), same, back))
+                for text, (ids, fallbacks, back) in zip(texts, codec.encode(texts), strict=True):
+                    rows.append((len(text.encode()), len(ids), hashlib.sha256(ids.astype("<i4").tobytes()).hexdigest(), not fallbacks, back, fallbacks))
                 columns = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), *map(pa.array, columns)], ["doc_id", "n_bytes", "n_tokens", "ids_sha256", "parity", "round_trip"])
+                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), *map(pa.array, columns)], ["doc_id", "n_bytes", "n_tokens", "ids_sha256", "parity", "round_trip", "n_fallback"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, ids_sha256 string, parity boolean, round_trip boolean")
+    return texts.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, ids_sha256 string, parity boolean, round_trip boolean, n_fallback long")
