@@ -34,6 +34,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(columns: list[str], name: str) -> str:
+    """``name``, made longer until no column bears it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def crc_remainder(column: str, modulus: int):
     """crc32 of the id as text, modulo ``modulus``: the fixed split into learning and held-out rows."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus

@@ -41,9 +41,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketweave.llm.common import mix, pieces, seeds, shingles, staged
+from marketweave.llm.common import mix, pieces, seeds, shingles, staged, unused
 
 BANDS, ROWS = 32, 5
+#: Pairs of one document that a task confirms; of a document with more, the pairs are dealt to several and its text goes to each.
+DEALT = 128
 _BINS = BANDS * ROWS
 _EMPTY = np.uint64(2**64 - 1)
 
@@ -142,12 +144,25 @@ def _one_text_per_id(piece: pa.RecordBatch, column: str, ids: np.ndarray) -> boo
     return len(pa.Table.from_arrays([pa.array(ids), piece.column(column)], ["id", "text"]).group_by(["id", "text"]).aggregate([])) == len(np.unique(ids))
 
 
+def _with_text(pairs: DataFrame, texts: DataFrame, side: str, other: str) -> DataFrame:
+    """``pairs`` with the text of ``side``, the pairs of a document that is in many dealt by their other side."""
+    # at most one row for DEALT pairs
+    busy = pairs.groupBy(side).agg(F.count("*").alias("n")).where(F.col("n") > DEALT).select(side, F.ceil(F.col("n") / DEALT).cast("int").alias("parts"))
+    busy = staged(busy, "busy")
+    own = texts.select(F.col("doc_id").alias(side), F.col("text").alias(f"text_{side}"))
+    if busy.isEmpty():
+        return pairs.join(own, side)
+    parts = F.coalesce("parts", F.lit(1))
+    dealt = pairs.join(busy, side, "left").withColumn("part", F.pmod(F.xxhash64(other), parts).cast("int")).drop("parts")
+    copies = own.join(busy, side, "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
+    return dealt.join(copies, [side, "part"]).drop("part")
+
+
 def _links(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
     needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     texts = texts.join(needed, "doc_id", "left_semi")
-    both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    both = both.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b").select("a", "b", "text_a", "text_b")
+    both = _with_text(_with_text(pairs, texts, "a", "b"), texts, "b", "a").select("a", "b", "text_a", "text_b")
     return both.mapInArrow(partial(_confirmed, n, percent), "a long, b long")
 
 
@@ -214,16 +229,18 @@ def near_copies(docs: DataFrame, n: int = 5, percent: int = 85) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 85) -> DataFrame:
-    """``docs`` with one row of each component of rows, that of the smallest doc_id and of rows that share it the first by the hash of its text, or of equal texts by their columns.
+    """``docs`` with one row of each component of rows, that of the smallest doc_id and of rows that share it the first by the hash of its text, or of equal texts by their other columns, written as JSON.
 
     Each row is linked by its own text, so unlike texts under one doc_id both stay. Rows without a doc_id all stay.
     """
-    keyed = docs.where("doc_id is not null").withColumn("kept_key", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
-    copies = near_copies(keyed.select(F.col("kept_key").alias("doc_id"), "text"), n, percent).select(F.col("doc_id").alias("of_key"), "component_id").distinct()
+    key, chosen, rank = (unused(docs.columns, c) for c in ("kept_key", "chosen_key", "kept_rank"))
+    keyed = docs.where("doc_id is not null").withColumn(key, F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+    copies = near_copies(keyed.select(F.col(key).alias("doc_id"), "text"), n, percent).select(F.col("doc_id").alias("of_key"), "component_id").distinct()
     copies = staged(copies, "copies")
     # ids move here, texts only below
-    ids = keyed.select("kept_key", F.col("doc_id").cast("long").alias("id")).distinct().join(copies, F.col("kept_key") == F.col("of_key"))
-    kept = staged(ids.groupBy("component_id").agg(F.min_by("kept_key", F.struct("id", "kept_key")).alias("chosen")).select("chosen"), "chosen")
-    first = Window.partitionBy("kept_key").orderBy(*docs.columns)
-    rows = keyed.join(kept, F.col("kept_key") == F.col("chosen"), "left_semi").withColumn("kept_rank", F.row_number().over(first)).where("kept_rank = 1")
+    ids = keyed.select(F.col(key).alias("of_key"), F.col("doc_id").cast("long").alias("id")).distinct().join(copies, "of_key")
+    kept = staged(ids.groupBy("component_id").agg(F.min_by("of_key", F.struct("id", "of_key")).alias(chosen)).select(chosen), "chosen")
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    first = Window.partitionBy(key).orderBy(F.to_json(F.struct(*rest)) if rest else F.lit(0))
+    rows = keyed.join(kept, F.col(key) == F.col(chosen), "left_semi").withColumn(rank, F.row_number().over(first)).where(F.col(rank) == 1)
     return rows.select(docs.columns).unionAll(docs.where("doc_id is null"))

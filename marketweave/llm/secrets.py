@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketweave.llm.common import large_text, pieces, staged
+from marketweave.llm.common import large_text, pieces, staged, unused
 from marketweave.llm.spans import Span, joined, outside, rendered, sha256
 
 #: The base patterns; letters of the key words in either case.
@@ -151,19 +151,20 @@ def masked(text: str, spans: str, mask: str) -> str:
 def redact(docs: DataFrame, reach: int = 400, mask: str = "[SECRET]") -> DataFrame:
     """``docs`` with every secret in their texts replaced; n_chars, if there is one, is that of the new text."""
     columns = docs.columns
+    own_id, own_key, own_spans = (unused(columns, c) for c in ("found_id", "found_key", "found_spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = zip(batch.column("text").to_pylist(), batch.column("found_spans").to_pylist(), strict=True)
+            texts = zip(batch.column("text").to_pylist(), batch.column(own_spans).to_pylist(), strict=True)
             done = pa.array([masked(t, s, mask) if s else t for t, s in texts], pa.string())
             yield pa.RecordBatch.from_arrays([done if c == "text" else batch.column(c) for c in columns], columns)
 
-    found = _found(docs, reach).select("doc_id", "text_key", rendered(KINDS, "base", "linked").alias("found_spans")).where("found_spans <> ''")
-    found = found.select(F.coalesce("doc_id", F.lit(0)).alias("found_id"), F.col("text_key").alias("found_key"), "found_spans").distinct()
-    keyed = docs.select(*docs.columns, F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("found_id"), F.xxhash64(F.col("text").cast("string")).alias("found_key"))
-    joined = keyed.join(found, ["found_id", "found_key"], "left")
-    clean = joined.where("found_spans is null").select(docs.columns)
-    masked_rows = joined.where("found_spans is not null").mapInArrow(run, docs.select(docs.columns).schema)
+    found = _found(docs, reach).select("doc_id", "text_key", rendered(KINDS, "base", "linked").alias(own_spans)).where(F.col(own_spans) != "")
+    found = found.select(F.coalesce("doc_id", F.lit(0)).alias(own_id), F.col("text_key").alias(own_key), own_spans).distinct()
+    keyed = docs.withColumns({own_id: F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), own_key: F.xxhash64(F.col("text").cast("string"))})
+    joined = keyed.join(found, [own_id, own_key], "left")
+    clean = joined.where(F.col(own_spans).isNull()).select(docs.columns)
+    masked_rows = joined.where(F.col(own_spans).isNotNull()).mapInArrow(run, docs.schema)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         masked_rows = masked_rows.withColumn("n_chars", F.length("text").cast(kind))

@@ -135,3 +135,17 @@ def test_shipped_functions_are_small():
 
     words(pa.array(["pad " * 400_000]))
     assert len(cloudpickle.dumps(mh._sketched)) < 100_000
+
+
+@pytest.mark.parametrize("dealt", [1, 3])
+def test_pairs_of_a_busy_document_are_dealt(spark, monkeypatch, dealt):
+    monkeypatch.setattr(mh, "DEALT", dealt)
+    rng = random.Random(21)
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(edited(rng, base, rng.randrange(0, 2)))) for i in range(25)] + [(100 + i, " ".join(f"u{rng.randrange(900)}" for _ in range(30))) for i in range(10)] + [(3, "another text under this id")]
+    plain = [r for r in run(spark, rows[:-1])]
+    assert plain == brute(rows[:-1])
+    monkeypatch.setattr(mh, "DEALT", 10**6)
+    many = run(spark, rows)
+    monkeypatch.setattr(mh, "DEALT", dealt)
+    assert run(spark, rows) == many
