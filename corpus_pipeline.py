@@ -18,8 +18,8 @@ def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies stays."""
-    return minhash.keep_one(docs)
+    """One document of each component of near copies, similar by 0.8 or more, stays."""
+    return minhash.keep_one(docs, percent=80)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
