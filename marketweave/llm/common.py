@@ -34,6 +34,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Removes the folders of staged tables whose last reader has been written; other files that the frames read stay."""
+    for df in frames:
+        spark = df.sparkSession
+        root = shared_dir(spark, "marketweave-llm")
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if f"{root.split('://')[-1].rstrip('/')}/" in folder:
+                at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def unused(columns: list[str], name: str) -> str:
     """``name``, made longer until no column bears it."""
     taken = {c.lower() for c in columns}

@@ -41,11 +41,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketweave.llm.common import mix, pieces, seeds, shingles, staged, unused
+from marketweave.llm.common import discard, mix, pieces, seeds, shingles, staged, unused
 
 BANDS, ROWS = 32, 5
 #: Pairs of one document that a task confirms; of a document with more, the pairs are dealt to several and its text goes to each.
-DEALT = 128
+DEALT = 512
 _BINS = BANDS * ROWS
 _EMPTY = np.uint64(2**64 - 1)
 
@@ -132,6 +132,7 @@ def _rare_pairs(placed: DataFrame, texts: DataFrame, n: int, percent: int) -> Da
     reach = ranked.withColumn("most", F.expr(f"(common - rank + 1) * {100 + percent} div {percent} - n")).where(f"most * 100 >= n * {percent}")
     rare = reach.select("shingle", "doc_id", "component", "n", "most")
     rare = staged(rare, "rare")
+    discard(held, seen)
     mixed = staged(rare.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("shingle"), "mixed")
     rare = staged(rare.join(mixed, "shingle", "left_semi"), "rare")
     x, y = (rare.select("shingle", *(F.col(c).alias(f"{c}_{k}") for c in ("doc_id", "component", "n", "most"))) for k in "xy")
@@ -179,10 +180,12 @@ def components(edges: DataFrame) -> DataFrame:
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        large = staged(large, "large")
+        wide, large = least, staged(large, "large")
+        discard(wide)
         least = staged(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(least.select("u", F.col("m").alias("v")))
-        edges = staged(small.distinct(), "edges")
+        before_edges, edges = edges, staged(small.distinct(), "edges")
+        discard(before_edges, large, least)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break
@@ -210,6 +213,7 @@ def near_copies(docs: DataFrame, n: int = 5, percent: int = 85) -> DataFrame:
         .where(F.col("x") != F.col("y")).where(_size_fits(percent)).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     )
     pairs = staged(pairs, "pairs")
+    discard(busy, centres)
     shared = ranked.where("first is not null").groupBy("doc_id").agg(F.min("first").alias("a"), F.max("first").alias("b")).where("a < b").select("doc_id")
     shared = ranked.join(shared, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
     links = staged(_links(pairs, texts, n, percent).unionAll(shared), "links")
@@ -217,6 +221,7 @@ def near_copies(docs: DataFrame, n: int = 5, percent: int = 85) -> DataFrame:
 
     placed = members.join(joined, members.doc_id == joined.node, "left").select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("component"))
     placed = staged(placed, "placed")
+    discard(members, joined)
     mixed = staged(placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("bucket"), "mixed")
     placed = placed.join(mixed, "bucket", "left_semi").select("doc_id", "component").distinct()
     rest = _rare_pairs(placed, texts, n, percent).join(pairs, ["a", "b"], "left_anti")
