@@ -8,13 +8,12 @@ KST = "Asia/Seoul"
 
 
 def available_at(base_date: Column, hour: int = 16, minute: int = 0) -> Column:
-    """UTC instant of a KST wall-clock time on ``base_date``."""
-    wall = F.concat(base_date.cast("string"), F.lit(f" {hour:02d}:{minute:02d}:00")).cast("timestamp")
-    return F.to_utc_timestamp(wall, KST)
+    """Instant of a KST wall-clock time on ``base_date``, whatever the session's zone."""
+    return F.concat(base_date.cast("string"), F.lit(f" {hour:02d}:{minute:02d}:00 {KST}")).cast("timestamp")
 
 
 def kst_date(instant: Column) -> Column:
-    return F.to_date(F.from_utc_timestamp(instant.cast("timestamp"), KST))
+    return F.to_date(F.convert_timezone(None, F.lit(KST), instant.cast("timestamp").cast("timestamp_ntz")))
 
 
 def expiration_flag(day: Column) -> Column:

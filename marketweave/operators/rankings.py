@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.markets import ETP_MARKETS, MASTER_MARKETS, STOCK_MARKETS
+from ..functions.times import available_at
 from . import prices as px, windows as win
 
 # Sizes of the daily rankings and their readiness thresholds.
@@ -14,6 +15,8 @@ VOLUME_THRESHOLDS = {"KOSPI": 20, "KOSDAQ": 20, "ETF": 10, "ETN": 5}
 RANKING_LIMITS = {"KOSPI": 30, "KOSDAQ": 30, "ETF": 20, "ETN": 20}
 READY_THRESHOLDS = {"KOSPI": 700, "KOSDAQ": 1200}
 RANK_TYPES = ("volume", "trading_value", "market_cap")
+# Fixed value: why an ETF/ETN volume ranking comes from prices.
+SPARSE_BROKER = "kis_volume_sparse"
 
 
 def _counts_text(markets: tuple = MASTER_MARKETS) -> Column:
@@ -59,7 +62,16 @@ def classify_volume(broker_rows: DataFrame, master: DataFrame) -> DataFrame:
         F.col("market").isin(*ETP_MARKETS) & (F.col("asset_type") == F.col("market"))
     )
     listed = master.where(fits).select("symbol", "market", "asset_type", "name")
-    return px.canonical(broker_rows).join(listed, "symbol")
+    landed = px.canonical(broker_rows).drop("market", "asset_type")
+    if "name" not in landed.columns:
+        return landed.join(listed, "symbol")
+    named = landed.withColumnRenamed("name", "landed_name").join(listed, "symbol")
+    return named.withColumn("name", _named("name", "landed_name")).drop("landed_name")
+
+
+def _named(*columns: str) -> Column:
+    """The first name that isn't blank."""
+    return F.coalesce(*[F.when(F.col(c) != "", F.col(c)) for c in columns])
 
 
 def _ordered(first: str, second: str) -> list[Column]:
@@ -76,10 +88,11 @@ def top_broker(classified: DataFrame, metric: str = "volume", limits: dict | Non
 def price_candidates(prices: DataFrame, master: DataFrame, start, end) -> DataFrame:
     """Valid rows of listed markets, one row per metric that has a value."""
     rows = px.canonical(prices.where(F.col("base_date").between(F.lit(start), F.lit(end)) & px.valid_row()))
-    listed = master.where(F.col("market").isin(*MASTER_MARKETS)).select("symbol", "market", "name")
+    asset_type = F.col("asset_type") if "asset_type" in master.columns else F.lit(None).cast("string")
+    listed = master.where(F.col("market").isin(*MASTER_MARKETS)).select("symbol", "market", asset_type.alias("asset_type"), "name")
     metrics = F.array(*[F.struct(F.lit(t).alias("rank_type"), F.col(t).cast("double").alias("metric_value")) for t in RANK_TYPES])
     return rows.join(listed, "symbol").select(
-        "symbol", "base_date", "market", "name", "volume", "trading_value", "market_cap", F.inline(metrics)
+        "symbol", "base_date", "market", "asset_type", "name", "volume", "trading_value", "market_cap", F.inline(metrics)
     ).where(F.col("metric_value").isNotNull())
 
 
@@ -105,23 +118,37 @@ def price_based(
     })
 
 
-_OUT = ("base_date", "market", "rank_type", "rank", "symbol", "name", "volume", "trading_value", "market_cap", "metric_value", "source", "source_base_date")
+_OUT = ("base_date", "market", "rank_type", "rank", "symbol", "name", "volume", "trading_value", "market_cap", "change_rate", "metric_value", "source", "source_base_date")
+_DETAIL = ("asset_type", "response_row")
+_LANDED = ("symbol", "volume", "trading_value", "change_rate")
+
+
+def _response(rows: DataFrame) -> Column:
+    """JSON text of the landed row: the column ``response_row`` (JSON text or a nested value), else the row's own figures."""
+    if "response_row" not in rows.columns:
+        return F.to_json(F.struct(*_LANDED))
+    given = F.col("response_row")
+    return given if isinstance(rows.schema["response_row"].dataType, T.StringType) else F.to_json(given)
 
 
 def broker_rankings(classified: DataFrame, target: date, limits: dict, need: dict) -> DataFrame:
     """Broker rows of the date ranked by volume, and for stock markets by value, in one scan.
 
-    Kept down to the larger of limit and density threshold.
+    Kept down to the larger of limit and density threshold. ``change_rate`` and
+    ``response_row`` are optional in ``classified``; a broker row has no market_cap.
     """
     today = classified.where(F.col("base_date") == F.lit(target))
+    rate = F.col("change_rate") if "change_rate" in today.columns else F.lit(None)
+    today = today.withColumns({"change_rate": rate.cast("double"), "market_cap": F.lit(None).cast("double")})
+    given = [c for c in ("response_row",) if c in today.columns]
     by_value = F.when(F.col("market").isin(*STOCK_MARKETS), F.col("trading_value"))
     kinds = F.array(*[F.struct(F.lit(t).alias("rank_type"), v.alias("metric_value"), o.alias("second")) for t, v, o in (
         ("volume", F.col("volume"), F.col("trading_value")), ("trading_value", by_value, F.col("volume")))])
-    rows = today.select("base_date", "market", "symbol", "name", "volume", "trading_value", "market_cap", F.inline(kinds))
+    rows = today.select("base_date", "market", "asset_type", "symbol", "name", "volume", "trading_value", "market_cap", "change_rate", *given, F.inline(kinds))
     rows = rows.where((F.col("rank_type") == "volume") | F.col("metric_value").isNotNull())
     depth = {m: max(limits[m], need[m]) for m in limits}
     ranked = win.rank_by(rows, ["market", "rank_type"], _ordered("metric_value", "second"), depth)
-    return ranked.withColumns({"source": F.lit("KIS"), "source_base_date": F.lit(target)}).select(*_OUT)
+    return ranked.withColumns({"source": F.lit("KIS"), "source_base_date": F.lit(target), "response_row": _response(ranked)}).select(*_OUT, *_DETAIL)
 
 
 def _by_market(values: dict) -> Column:
@@ -136,15 +163,21 @@ def choose(broker: DataFrame, priced: DataFrame, limits: dict, need: dict) -> Da
 
     Volume: stock markets keep broker rows; an ETF/ETN market below its threshold
     takes price rows if it has any. Value: broker rows for stock markets, price rows
-    for ETF/ETN. Cap: price rows.
+    for ETF/ETN. Cap: price rows. ``original_kis_count`` is the number of broker rows that
+    a sparse market had.
     """
-    both = broker.withColumn("priced", F.lit(False)).unionByName(priced.select(*_OUT).withColumn("priced", F.lit(True)))
+    absent = {"change_rate": F.lit(None).cast("double"), "response_row": F.lit(None).cast("string")}
+    both = broker.withColumn("priced", F.lit(False)).unionByName(priced.withColumns(absent).select(*_OUT, *_DETAIL).withColumn("priced", F.lit(True)))
     market, volume = Window.partitionBy("market"), F.col("rank_type") == "volume"
-    dense = F.coalesce(F.max(F.when(volume & ~F.col("priced"), F.col("rank"))).over(market) >= _by_market(need), F.lit(False))
+    landed = F.coalesce(F.max(F.when(volume & ~F.col("priced"), F.col("rank"))).over(market), F.lit(0))
+    dense = F.coalesce(landed >= _by_market(need), F.lit(False))
     has_price = F.max(volume & F.col("priced")).over(market)
     stock = F.col("market").isin(*STOCK_MARKETS)
     use_price = F.when(volume, ~stock & ~dense & has_price).when(F.col("rank_type") == "trading_value", ~stock).otherwise(F.lit(True))
-    return both.withColumn("use_price", use_price).where((F.col("priced") == F.col("use_price")) & (F.col("rank") <= _by_market(limits))).drop("priced", "use_price")
+    fallen = volume & F.col("priced")
+    marked = both.withColumns({
+        "use_price": use_price, "fallback_reason": F.when(fallen, SPARSE_BROKER), "original_kis_count": F.when(fallen, landed)})
+    return marked.where((F.col("priced") == F.col("use_price")) & (F.col("rank") <= _by_market(limits))).drop("use_price")
 
 
 def select_volume(classified: DataFrame, fallback: DataFrame, target: date, thresholds: dict | None = None, limits: dict | None = None) -> DataFrame:
@@ -175,16 +208,38 @@ def build_daily(
     prices: DataFrame, broker_rows: DataFrame, master: DataFrame, global_date: DataFrame, target: date,
     thresholds: dict | None = None, limits: dict | None = None, ready_thresholds: dict | None = None,
 ) -> DataFrame:
-    """All rankings of a date: four markets by volume, value and capitalisation."""
+    """All rankings of a date: four markets by volume, value and capitalisation.
+
+    ``raw_data`` is the JSON detail of a row: the landed row of a broker ranking; the
+    price date, and what made it fall back, of a price ranking.
+    """
     need, top = thresholds or VOLUME_THRESHOLDS, limits or RANKING_LIMITS
     broker = broker_rankings(classify_volume(broker_rows, master), target, top, need)
     chosen = choose(broker, price_based(prices, master, global_date, target, top), top, need)
     gate = F.broadcast(market_ready(prices, master, target, ready_thresholds).select("market", "ready"))  # two rows
     stock_ok = F.coalesce("ready", F.lit(False)) & (F.col("source_base_date") == F.lit(target))
     cap_ok = (F.col("rank_type") != "market_cap") | F.col("market").isin(*ETP_MARKETS) | stock_ok
-    rows = chosen.join(gate, "market", "left").where(cap_ok).select(*_OUT)
-    payload = F.to_json(F.struct("source_base_date", F.col("base_date").alias("ranking_base_date"), F.col("market").alias("master_market")))
-    return rows.withColumn("raw_data", payload)
+    rows = chosen.join(gate, "market", "left").where(cap_ok)
+    return rows.select(
+        *[_named("name", "symbol").alias("name") if c == "name" else F.col(c) for c in _OUT],
+        available_at(F.col("base_date")).alias("available_at"), _detail().alias("raw_data"),
+    )
+
+
+def _detail() -> Column:
+    shared = [
+        F.col("market").alias("master_market"), F.col("asset_type").alias("master_asset_type"),
+        "source_base_date", F.col("base_date").alias("ranking_base_date"),
+    ]
+    landed = F.struct(F.try_parse_json(F.col("response_row")).alias("response_row"), *shared)
+    priced = F.struct(F.col("source_base_date").alias("price_base_date"), "fallback_reason", "original_kis_count", *shared)
+    text = lambda row: F.to_json(row, {"ignoreNullFields": "false"})  # noqa: E731  absent values are written as null
+    return F.when(F.col("priced"), text(priced)).otherwise(text(landed))
+
+
+def raw_rankings(rows: DataFrame) -> DataFrame:
+    """The rows of :func:`build_daily` as raw rankings: the JSON detail under the rank that it was given."""
+    return rows.select("source", "base_date", "market", "rank_type", "symbol", "name", F.col("rank").cast("long").alias("raw_rank"), "raw_data", "available_at")
 
 
 def simple_fallback(prices: DataFrame, master: DataFrame, market: str, metric: str, limit: int) -> DataFrame:

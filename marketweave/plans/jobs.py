@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators import calendar as cal, features as feat, macro as mc, rankings as rk
 from ..schemas import KEYS, SCHEMAS
@@ -33,6 +33,11 @@ class Store:
     def overwrite(self, table: str, rows: DataFrame, partition: str = "base_date") -> None:
         tb.store(tb.align_schema(rows, SCHEMAS[table]), self.path(table), partition)
 
+    def overwrite_counted(self, table: str, rows: DataFrame, flag: str, partition: str = "base_date") -> int:
+        """Overwrites as above; the number of written rows where the extra column ``flag`` is true."""
+        typed = tb.align_schema(rows, T.StructType([*SCHEMAS[table].fields, T.StructField(flag, T.BooleanType())]))
+        return tb.store_counted(typed, flag, self.path(table), partition)
+
     def log(self, job: str, target: date, status: str, processed: int, message: str = "") -> None:
         rows = self.spark.range(1).select(*tb.run_log(F.lit(job), F.lit(target), F.lit(status), F.lit(processed), F.lit(message)))
         tb.append_run_log(self.spark, self.path("pipeline_run_logs"), rows)
@@ -50,7 +55,10 @@ def open_days(store: Store, start: date, end: date) -> DataFrame:
 
 
 def feature_job(store: Store, universe: DataFrame, master: DataFrame, wide_macro: DataFrame, target: date, minimum: int = 100) -> str:
-    """Features of the target's effective date; the recomputed slice of that date is replaced."""
+    """Features of the target's effective date; the recomputed slice of that date is replaced.
+
+    The log has the rows that this run made, not those that the date held before.
+    """
     skip, _ = market_gate(store, target)
     prices = store.read("normalized_stock_prices_daily")
     ready = feat.readiness_gate(prices, master, target, full_minimum=minimum).first()["status"] == "READY"
@@ -67,9 +75,9 @@ def feature_job(store: Store, universe: DataFrame, master: DataFrame, wide_macro
     rows = feat.union_features(stock, *feat.macro_features(wide_macro, store.read("normalized_macro_series"), target, day))
     old = store.read("feature_store_daily").where(F.col("base_date") == F.lit(day))
     kept = old.where(~((F.col("symbol") != "GLOBAL") & F.col("feature_name").isin(*feat.STOCK_FEATURES)))
-    ready_rows = tb.align_schema(rows, SCHEMAS["feature_store_daily"])
-    store.overwrite("feature_store_daily", tb.upsert(kept, ready_rows, KEYS["feature_store_daily"]))
-    written = store.read("feature_store_daily").where(F.col("base_date") == F.lit(day)).count()
+    made = tb.align_schema(rows, SCHEMAS["feature_store_daily"]).withColumn("made", F.lit(True))
+    merged = tb.upsert(kept.withColumn("made", F.lit(False)), made, KEYS["feature_store_daily"])
+    written = store.overwrite_counted("feature_store_daily", merged, "made")
     status = "SUCCESS" if written else "WARN"
     store.log("daily_feature_generator", target, status, written)
     return status
@@ -87,23 +95,31 @@ def ranking_job(store: Store, broker_rows: DataFrame, master: DataFrame, target:
     prices = store.read("normalized_stock_prices_daily")
     days = open_days(store, target - timedelta(days=60), target)
     valid = rk.latest_valid_price_date(prices, master, days, target, min_valid_rows=min_valid_rows).select("selected_price_base_date")
-    rows = rk.build_daily(prices, broker_rows, master, valid, target, ready_thresholds=ready_thresholds)
-    table = "normalized_market_rankings_daily"
-    own = F.col("market").isin(*rk.MASTER_MARKETS) & F.col("rank_type").isin(*rk.RANK_TYPES)
-    others = store.read(table).where((F.col("base_date") == F.lit(target)) & ~F.coalesce(own, F.lit(False)))
-    merged = others.unionByName(tb.align_schema(rows, SCHEMAS[table])).persist()  # some hundred rows
-    if merged.isEmpty():
-        tb.clear(store.spark, store.path(table), SCHEMAS[table], "base_date", target)
-    else:
-        store.overwrite(table, merged)
-    merged.unpersist()
+    rows = rk.build_daily(prices, broker_rows, master, valid, target, ready_thresholds=ready_thresholds).persist()  # some hundred rows
+    made = _replace_rankings(store, "normalized_market_rankings_daily", rows, target)
+    _replace_rankings(store, "raw_market_rankings", rk.raw_rankings(rows), target)
+    rows.unpersist()
     ready = rk.market_ready(prices, master, target, ready_thresholds).agg(F.min("ready").alias("all_ready")).first()["all_ready"]
     status = "SUCCESS" if ready else "SKIPPED_INSUFFICIENT_PRICE_DATA"
-    written = store.read(table).where(own).where(F.col("base_date") == F.lit(target)).count()
-    store.log("daily_ranking_pipeline", target, status, written)
+    store.log("daily_ranking_pipeline", target, status, made)
     return status
 
 
+def _replace_rankings(store: Store, table: str, rows: DataFrame, target: date) -> int:
+    """Replaces the job's slices of the date in one table; the number of rows it wrote."""
+    own = F.col("market").isin(*rk.MASTER_MARKETS) & F.col("rank_type").isin(*rk.RANK_TYPES)
+    others = store.read(table).where((F.col("base_date") == F.lit(target)) & ~F.coalesce(own, F.lit(False)))
+    fresh = tb.align_schema(rows, SCHEMAS[table]).withColumn("made", F.lit(True))
+    merged = others.withColumn("made", F.lit(False)).unionByName(fresh).persist()
+    try:
+        if merged.isEmpty():
+            tb.clear(store.spark, store.path(table), SCHEMAS[table], "base_date", target)
+            return 0
+        return store.overwrite_counted(table, merged, "made")
+    finally:
+        merged.unpersist()
+
+
 def calendar_job(store: Store, date_range: DataFrame, schedule: DataFrame, overrides: DataFrame, exchanges: list[str]) -> None:
     """Calendar of a period per exchange, manual overrides applied; days outside the period stay."""
     rows = cal.apply_overrides(cal.build(date_range, schedule, exchanges), overrides)

@@ -46,7 +46,7 @@ def valid_day(L):
 def broker(L):
     """Broker volume rows: one per symbol and day of the two broker sources."""
     return px.clean_panel(L.prices_raw.where(F.col("source").isin("KIS", "KIS_DETAIL")), L.open_days).select(
-        "symbol", "base_date", "volume", "trading_value", "market_cap", "source")
+        "symbol", "base_date", "volume", "trading_value", "market_cap", (200 / F.col("close_price")).alias("change_rate"), "source")
 
 
 _BROKER = """broker AS (SELECT * FROM panel WHERE source IN ('KIS', 'KIS_DETAIL')),
@@ -112,15 +112,33 @@ def rank_market_cap_gate(L):
     return rows.select("market", "rank", "symbol", "metric_value", "source_base_date")
 
 
-@query("rank_build_daily", f"""WITH {_PRICED}, {_SELECT}, {_READY}
-SELECT $T AS base_date, * FROM (SELECT * FROM vol
- UNION ALL SELECT 'trading_value', market, rank, symbol, trading_value, 'KIS', $T FROM (SELECT *, row_number() OVER (PARTITION BY market ORDER BY trading_value DESC, volume DESC, symbol) AS rank
-   FROM today WHERE market IN ('KOSPI', 'KOSDAQ')) WHERE rank <= 30
- UNION ALL SELECT 'trading_value', market, rank, symbol, metric_value, source, base_date FROM priced WHERE rank_type = 'trading_value' AND market IN ('ETF', 'ETN')
- UNION ALL SELECT 'market_cap', market, rank, symbol, metric_value, source, base_date FROM caps)""", "base_date source_base_date", "metric_value")
+_DAILY = f"""{_PRICED}, {_SELECT}, {_READY},
+landed AS (SELECT 'volume' AS rank_type, market, rank, symbol, name, volume, trading_value, 200 / close_price AS change_rate, volume AS metric_value FROM brk WHERE market NOT IN (SELECT market FROM repl)
+ UNION ALL SELECT 'trading_value', market, rank, symbol, name, volume, trading_value, 200 / close_price, trading_value FROM (SELECT *, row_number() OVER (PARTITION BY market ORDER BY trading_value DESC, volume DESC, symbol) AS rank
+   FROM today WHERE market IN ('KOSPI', 'KOSDAQ')) WHERE rank <= 30),
+from_prices AS (SELECT *, 'kis_volume_sparse' AS fallback_reason, (SELECT count(*) FROM today t WHERE t.market = p.market) AS original_kis_count FROM priced p WHERE rank_type = 'volume' AND market IN (SELECT market FROM repl)
+ UNION ALL SELECT *, NULL, NULL FROM priced WHERE rank_type = 'trading_value' AND market IN ('ETF', 'ETN') UNION ALL SELECT *, NULL, NULL FROM caps),
+daily AS (SELECT rank_type, market, rank, symbol, name, volume, trading_value, NULL::DOUBLE AS market_cap, change_rate, metric_value, 'KIS' AS source, $T AS source_base_date,
+  NULL AS price_base_date, NULL AS fallback_reason, NULL AS original_kis_count, volume AS response_volume, symbol AS response_symbol FROM landed
+ UNION ALL SELECT rank_type, market, rank, symbol, name, volume, trading_value, market_cap, NULL, metric_value, source, base_date, base_date, fallback_reason, original_kis_count, NULL, NULL FROM from_prices)"""
+
+
+def daily_rankings(L):
+    return rk.build_daily(panel(L), broker(L), L.master, valid_day(L), TARGET, THRESHOLDS, LIMITS, READY)
+
+
+@query("rank_build_daily", f"""WITH {_DAILY}
+SELECT $T AS base_date, d.* EXCLUDE (original_kis_count), CAST(original_kis_count AS VARCHAR) AS original_kis_count, $T + INTERVAL 7 HOUR AS available_at, market AS master_market,
+ CASE WHEN market IN ('ETF', 'ETN') THEN market ELSE 'STOCK' END AS master_asset_type, source_base_date AS raw_source_base_date, $T AS ranking_base_date FROM daily d""",
+       "base_date source_base_date price_base_date raw_source_base_date ranking_base_date available_at", "metric_value change_rate")
 def rank_build_daily(L):
-    rows = rk.build_daily(panel(L), broker(L), L.master, valid_day(L), TARGET, THRESHOLDS, LIMITS, READY)
-    return rows.select("base_date", "rank_type", "market", "rank", "symbol", "metric_value", "source", "source_base_date")
+    """Every column, the JSON detail key by key."""
+    raw = lambda path, name: F.get_json_object("raw_data", f"$.{path}").alias(name)
+    return daily_rankings(L).select(
+        "base_date", "rank_type", "market", "rank", "symbol", "name", "volume", "trading_value", "market_cap", "change_rate", "metric_value", "source", "source_base_date", "available_at",
+        raw("price_base_date", "price_base_date"), raw("fallback_reason", "fallback_reason"), raw("original_kis_count", "original_kis_count"), raw("master_market", "master_market"),
+        raw("master_asset_type", "master_asset_type"), raw("source_base_date", "raw_source_base_date"), raw("ranking_base_date", "ranking_base_date"),
+        raw("response_row.volume", "response_volume").cast("double").alias("response_volume"), raw("response_row.symbol", "response_symbol"))
 
 
 @query("rank_simple_fallback", """

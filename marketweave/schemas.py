@@ -28,6 +28,9 @@ RANKINGS = _struct(
     base_date=_D, market=_S, rank_type=_S, rank=_L, symbol=_S, name=_S, volume=_N, trading_value=_N,
     market_cap=_N, change_rate=_N, metric_value=_N, source=_S, source_base_date=_D, available_at=_TS,
 )
+RAW_RANKINGS = _struct(
+    source=_S, base_date=_D, market=_S, rank_type=_S, symbol=_S, name=_S, raw_rank=_L, raw_data=_S, available_at=_TS,
+)
 MASTER = _struct(symbol=_S, name=_S, market=_S, asset_type=_S, is_active=_B, updated_at=_TS)
 MACRO_SERIES = _struct(series_id=_S, base_date=_D, value=_N, available_at=_TS)
 CALENDAR = _struct(
@@ -44,6 +47,7 @@ SCHEMAS = {
     "normalized_stock_short_selling": SHORTS,
     "feature_store_daily": FEATURES,
     "normalized_market_rankings_daily": RANKINGS,
+    "raw_market_rankings": RAW_RANKINGS,
     "stocks_master": MASTER,
     "normalized_macro_series": MACRO_SERIES,
     "market_trading_calendar": CALENDAR,

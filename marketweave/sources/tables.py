@@ -10,7 +10,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F, types as T
 
 from ..functions.symbols import normalize_symbol
 from ..operators import prices as px
@@ -126,7 +126,22 @@ def store(df: DataFrame, path: str, partition: str = "base_date") -> None:
     Rows of a partition meet in one write task unless they are many: adaptive
     execution splits and joins the tasks by their measured size.
     """
-    df.hint("rebalance", F.col(partition)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    _overwrite(df.hint("rebalance", F.col(partition)), path, partition)
+
+
+def _overwrite(df: DataFrame, path: str, partition: str) -> None:
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+
+
+def store_counted(df: DataFrame, flag: str, path: str, partition: str = "base_date") -> int:
+    """As :func:`store`, without the column ``flag``; the number of written rows where it is true.
+
+    The write counts them itself, in its last stage, where a repeated task counts once.
+    """
+    seen = Observation()
+    rows = df.hint("rebalance", F.col(partition)).observe(seen, F.count_if(F.col(flag)).alias("n")).drop(flag)
+    _overwrite(rows, path, partition)
+    return seen.get["n"]
 
 
 def clear(spark: SparkSession, path: str, schema: T.StructType, partition: str, value) -> None:

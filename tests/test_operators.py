@@ -1,12 +1,14 @@
 """Literal cases of windows, calendar, rankings, macro, signals, and brute-force checks on skewed data."""
 
 import datetime as dt
+import json
 import random
 
 import pytest
 
 from pyspark.sql import functions as F
 
+from marketweave.functions import times as tm
 from marketweave.operators import audits as au, calendar as cal, features as feat, joins as jn, macro as mc, maintenance as mt, normalize as nz, rankings as rk, signals as sg, universe as un, windows as win
 from marketweave.sources import payloads as pl
 
@@ -104,6 +106,45 @@ def test_rankings_follow_each_market(spark):
     assert blocked.count() == 0
 
 
+def test_rankings_carry_their_detail(spark):
+    target = D(2026, 5, 4)
+    prices = spark.createDataFrame([(f"06950{i}", D(2026, 4, 30), 10.0, 5.0 + i, 50.0, 9.0, "KRX") for i in range(3)] + [("000001", target, 10.0, 7.0, 70.0, 9.0, "KRX")], PRICE)
+    master = spark.createDataFrame([("000001", "KOSPI", "STOCK", "")] + [(f"06950{i}", "ETF", "ETF", f"E{i}") for i in range(3)], "symbol string, market string, asset_type string, name string")
+    broker = spark.createDataFrame(
+        [("1", target, 20.0, 200.0, 5.0, -1.5, "landed", '{"acml_vol": "20", "prdy_ctrt": "-1.5"}'), ("069500", target, 3.0, 30.0, None, 0.5, None, "no json")],
+        "symbol string, base_date date, volume double, trading_value double, market_cap double, change_rate double, name string, response_row string")
+    day = spark.createDataFrame([(D(2026, 4, 30),)], "d date")
+    rows = rk.build_daily(prices, broker, master, day, target, thresholds={"KOSPI": 5, "KOSDAQ": 5, "ETF": 2, "ETN": 2})
+    got = {(r["market"], r["rank_type"], r["rank"]): r for r in rows.collect()}
+    stock, fund = got["KOSPI", "volume", 1], got["ETF", "volume", 1]
+    assert (stock["name"], stock["change_rate"], stock["market_cap"], stock["available_at"]) == ("landed", -1.5, None, dt.datetime(2026, 5, 4, 7))
+    assert json.loads(stock["raw_data"]) == {
+        "response_row": {"acml_vol": "20", "prdy_ctrt": "-1.5"}, "master_market": "KOSPI", "master_asset_type": "STOCK", "source_base_date": "2026-05-04", "ranking_base_date": "2026-05-04"}
+    assert (fund["symbol"], fund["change_rate"], fund["market_cap"]) == ("069502", None, 9.0)
+    assert json.loads(fund["raw_data"]) == {
+        "price_base_date": "2026-04-30", "fallback_reason": "kis_volume_sparse", "original_kis_count": 1, "master_market": "ETF", "master_asset_type": "ETF",
+        "source_base_date": "2026-04-30", "ranking_base_date": "2026-05-04"}
+    value = json.loads(got["ETF", "trading_value", 1]["raw_data"])
+    assert value["fallback_reason"] is None and value["original_kis_count"] is None
+    # a dense market keeps its broker rows, whose text need not be JSON
+    dense = rk.build_daily(prices, broker, master, day, target, thresholds={"KOSPI": 5, "KOSDAQ": 5, "ETF": 1, "ETN": 2}).where("market = 'ETF' and rank_type = 'volume'").collect()
+    assert [(r["symbol"], r["source"], json.loads(r["raw_data"])["response_row"]) for r in dense] == [("069500", "KIS", None)]
+    nested = broker.withColumn("response_row", F.struct(F.col("volume").alias("v")))
+    assert {json.loads(r["raw_data"])["response_row"]["v"] for r in rk.build_daily(prices, nested, master, day, target).where("market = 'KOSPI' and source = 'KIS'").collect()} == {20.0}
+
+
+def test_korean_times_in_any_session_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York", "Asia/Seoul"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            row = spark.range(1).select(F.unix_seconds(tm.available_at(F.lit(D(2026, 3, 8)))).alias("s"), tm.kst_date(F.timestamp_seconds(F.lit(1772982000))).alias("d"),
+                                        tm.kst_date(F.timestamp_seconds(F.lit(1772981999))).alias("e")).first()
+            assert (row["s"], row["d"], row["e"]) == (1772953200, D(2026, 3, 9), D(2026, 3, 8))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_valid_price_date(spark):
     master = spark.createDataFrame([("000001", "KOSPI"), ("000002", "KOSPI")], "symbol string, market string")
     rows = [(s, d, c, 10.0, 10.0, None, "KRX") for s in ("000001", "000002") for d, c in ((D(2026, 4, 30), 5.0), (D(2026, 5, 4), None))]

@@ -1,6 +1,7 @@
 """Keyed writes to stored tables and the daily jobs on top of them."""
 
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -81,6 +82,31 @@ def test_feature_job_replaces_its_slice(spark, tmp_path, collect):
     assert jobs.feature_job(store, universe, master, wide, target, minimum=50) == "SKIPPED_INSUFFICIENT_PRICE_DATA"
 
 
+def test_jobs_log_what_they_made(spark, tmp_path, collect):
+    store, weekdays = stocked(spark, tmp_path)
+    target = weekdays[-1]
+    master = spark.createDataFrame([("005930", "KOSPI"), ("000660", "KOSPI")], "symbol string, market string")
+    universe = spark.createDataFrame([("005930",)], "symbol string")
+    wide = spark.createDataFrame([(d, 10.0 + i, 5.0, 2.0) for i, d in enumerate(weekdays)], "base_date date, gold double, copper double, wti double")
+    assert jobs.feature_job(store, universe, master, wide, target, minimum=2) == "SUCCESS"
+    logged = lambda: [r["records_processed"] for r in store.read("pipeline_run_logs").orderBy("records_processed").collect()]
+    held = store.read("feature_store_daily")
+    first, macro = held.count(), held.where("symbol = 'GLOBAL'").count()
+    assert logged() == [first] and 0 < macro < first
+    # nobody to compute and no macro rows: the rows of before count for nothing
+    store.overwrite("normalized_macro_series", store.read("normalized_macro_series").withColumn("value", F.lit(None).cast("double")))
+    assert jobs.feature_job(store, universe.limit(0), master, wide.limit(0), target, minimum=2) == "WARN"
+    assert logged() == [0, first] and store.read("feature_store_daily").count() == macro
+
+
+def test_rows_counted_while_they_are_written(spark, tmp_path):
+    rows = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") % 3).alias("base_date"), (F.col("id") < 10).alias("made"))
+    assert tb.store_counted(rows, "made", str(tmp_path / "t")) == 10
+    assert tb.store_counted(rows.where("k < 0"), "made", str(tmp_path / "u")) == 0
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    assert stored.count() == 1000 and sorted(stored.columns) == ["base_date", "k"]
+
+
 def test_ranking_job_gates_on_the_calendar(spark, tmp_path):
     store, weekdays = stocked(spark, tmp_path)
     master = spark.createDataFrame([("005930", "KOSPI", "STOCK", "S"), ("000660", "KOSPI", "STOCK", "H")], "symbol string, market string, asset_type string, name string")
@@ -91,6 +117,12 @@ def test_ranking_job_gates_on_the_calendar(spark, tmp_path):
     rows = store.read("normalized_market_rankings_daily").collect()
     assert status == "SUCCESS" and {(r["rank_type"], r["source"]) for r in rows} == {("volume", "KIS"), ("trading_value", "KIS")}
     assert store.read("pipeline_run_logs").where("status = 'SKIPPED_MARKET_CLOSED'").count() == 1  # the full status is kept
+    # stored rows can be read point in time, raw rows have the detail of the same ranks
+    assert {r["available_at"] for r in rows} == {dt.datetime.combine(weekdays[-1], dt.time(7))}
+    raw = {(r["market"], r["rank_type"], r["raw_rank"], r["symbol"]): json.loads(r["raw_data"]) for r in store.read("raw_market_rankings").collect()}
+    assert set(raw) == {(r["market"], r["rank_type"], r["rank"], r["symbol"]) for r in rows}
+    assert all(d["ranking_base_date"] == str(weekdays[-1]) and d["response_row"]["volume"] == 10.0 for d in raw.values())
+    assert store.read("pipeline_run_logs").where("status = 'SUCCESS'").first()["records_processed"] == len(rows)
 
 
 def test_calendar_job_keeps_days_outside_its_period(spark, tmp_path):
@@ -118,6 +150,7 @@ def test_ranking_job_replaces_its_slices_only(spark, tmp_path):
     # nothing to rank any more: the slices go, index members and other dates stay
     jobs.ranking_job(store, broker.limit(0), master.limit(0), target, min_valid_rows=1)
     assert {(r["base_date"], r["market"]) for r in store.read(table).collect()} == {(target, "KOSPI200"), (weekdays[-2], "KOSPI")}
+    assert store.read("raw_market_rankings").count() == 0
 
 
 def test_an_empty_ranking_clears_the_date(spark, tmp_path):
