@@ -21,6 +21,7 @@ KOSPI_READY, KOSDAQ_READY = 700, 1200
 CORE_SERIES = ("KR_GOVT_10Y", "KR_GOVT_3Y", "USDKRW", "KR_CD_91D", "KR_CORP_AA_3Y")
 WATCHED_SERIES = ("KR_GOVT_10Y", "USDKRW")
 COVERAGE_MINIMUM = {"prices": 0.7, "supply": 0.4}
+COVERED_KINDS = ("prices", "supply", "ratios", "covered")
 MARKETS = mk.MASTER_MARKETS
 
 
@@ -61,29 +62,55 @@ def with_market(df: DataFrame, master: DataFrame) -> DataFrame:
 # ---- freshness and price tables ---------------------------------------------
 
 
+def numbered(active: DataFrame) -> DataFrame:
+    """The distinct active symbols with dense numbers from 0; as many rows as symbols are listed."""
+    symbols = active.where(F.col("symbol").isNotNull()).agg(F.array_sort(F.collect_set("symbol")).alias("symbols"))
+    return symbols.select(F.posexplode("symbols").alias("number", "symbol"))
+
+
+def per_day(df: DataFrame, numbers: DataFrame, counts: Column) -> DataFrame:
+    """Rows (``n``) and distinct numbered symbols among the rows where ``counts`` holds (``covered``) of each day.
+
+    A day's symbols are an exact bitmap for every 32,768 numbers, built in the map tasks
+    and merged after the shuffle, so a symbol or a day that holds much of the table moves
+    no more than any other.
+    """
+    rows = df.select("base_date", "symbol", F.coalesce(counts, F.lit(False)).alias("counts")).join(numbers, "symbol", "left")
+    number = F.when(F.col("counts"), F.col("number").cast("long"))
+    marked = rows.select("base_date", F.bitmap_bucket_number(number).alias("bucket"), F.bitmap_bit_position(number).alias("bit"))
+    buckets = marked.groupBy("base_date", "bucket").agg(F.count(F.lit(1)).alias("n"), F.bitmap_construct_agg("bit").alias("bits"))
+    found = F.when(F.col("bucket").isNotNull(), F.bitmap_count("bits"))
+    return buckets.groupBy("base_date").agg(F.sum("n").alias("n"), F.coalesce(F.sum(found), F.lit(0)).alias("covered"))
+
+
 def table_freshness(tables: dict[str, tuple[DataFrame, str]], active: DataFrame, target, is_open: Column) -> DataFrame:
     """Per table: rows, latest date, target rows, active-symbol coverage, staleness, status.
 
-    The second item of a table is its kind: ``prices``, ``supply``, ``covered``,
-    ``shorts``, ``krx`` (market rows without coverage), ``legacy`` (not needed any more) or ``other``.
+    The second item of a table is its kind: ``prices``, ``supply``, ``ratios`` (market rows with
+    coverage), ``covered`` (coverage only), ``shorts``, ``krx`` (market rows without coverage),
+    ``legacy`` (not needed any more) or ``other``.
+    Each table is read once, and what is shuffled is a few rows and bitmaps per day.
     """
     goal, parts = lit_date(target), []
-    active_n = size(active)
+    active_n, numbers = size(active), numbered(active)
     for name, (df, kind) in tables.items():
-        stats = df.agg(F.count(F.lit(1)).alias("row_count"), F.max("base_date").alias("latest_date"), F.count_if(F.col("base_date") == goal).alias("target_count"))
-        covered = F.lit(None).cast("long")
-        if kind in ("prices", "supply", "covered"):
-            rows = jn.latest(df)
-            rows = rows.where(px.valid_row()) if kind == "prices" else rows
-            covered = one(rows.join(active.select("symbol"), "symbol", "left_semi"), F.count_distinct("symbol"))
-        parts.append(stats.select(F.lit(name).alias("table_name"), F.lit(kind).alias("kind"), "row_count", "latest_date", "target_count", covered.alias("covered")))
+        none = None if kind not in COVERED_KINDS else 0
+        if kind in COVERED_KINDS:
+            days = per_day(df, numbers, px.valid_row() if kind == "prices" else F.lit(True))
+        else:
+            days = df.groupBy("base_date").agg(F.count(F.lit(1)).alias("n"), F.lit(None).cast("long").alias("covered"))
+        stats = days.agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"), F.max("base_date").alias("latest_date"),
+            F.coalesce(F.sum(F.when(F.col("base_date") == goal, F.col("n"))), F.lit(0)).alias("target_count"),
+            F.coalesce(F.max_by("covered", "base_date"), F.lit(none)).cast("long").alias("covered"))
+        parts.append(stats.select(F.lit(name).alias("table_name"), F.lit(kind).alias("kind"), "row_count", "latest_date", "target_count", "covered"))
     rows = stack(parts).withColumns({
         "coverage": F.col("covered") / F.greatest(active_n, F.lit(1)),
         "missing": F.when(F.col("covered").isNotNull(), active_n - F.col("covered")),
         "stale_days": F.datediff(goal, "latest_date"),
     })
     kind, stale = F.col("kind"), F.col("stale_days")
-    krx = kind.isin("prices", "supply", "krx") & ~is_open
+    krx = kind.isin("prices", "supply", "ratios", "krx") & ~is_open
     status = ladder([
         (kind == "legacy", "LEGACY"),
         (F.col("row_count") == 0, "FAIL_EMPTY"),

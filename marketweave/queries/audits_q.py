@@ -24,32 +24,31 @@ def is_open(L):
     return au.one(L.open_days.where(c("base_date") == F.lit(TARGET)), F.count(F.lit(1))) > 0
 
 
-_KINDS = {"prices_raw": "prices", "supply": "supply", "ratios": "covered", "shorts": "shorts", "rankings": "krx", "features": "covered", "macro_series": "other",
-          "snapshots": "krx", "day_bars": "krx", "global_macro": "other", "intraday": "other", "calendar_days": "other", "statements": "legacy"}
-_DATED = "calendar_days AS (SELECT calendar_date AS base_date FROM calendar), statements AS (SELECT symbol, base_date FROM day_bars WHERE dc <> 10)"
-
-
-def dated(L, name):
-    """A table by the name that the audit knows it under."""
-    if name == "calendar_days":
-        return L.calendar.select(c("calendar_date").alias("base_date"))
-    return L.day_bars.where("dc <> 10") if name == "statements" else getattr(L, name)
+#: The audited tables: the landing's name of each, and its kind.
+_KINDS = {
+    "normalized_stock_prices_daily": ("prices_raw", "prices"), "normalized_stock_supply_daily": ("supply", "supply"), "normalized_stock_short_selling": ("shorts", "shorts"),
+    "normalized_stock_snapshots_daily": ("snapshots", "krx"), "normalized_market_rankings_daily": ("rankings", "krx"), "normalized_stock_fundamentals_ratios": ("ratios", "ratios"),
+    "normalized_stock_events_daily": ("stock_events", "krx"), "normalized_macro_series": ("macro_series", "other"), "normalized_global_macro_daily": ("global_macro", "other"),
+    "market_breadth_daily": ("breadth", "other"), "feature_store_daily": ("features", "covered"), "raw_stock_prices_daily": ("day_bars", "krx"), "raw_stock_supply_daily": ("raw_supply", "krx"),
+    "raw_stock_short_selling": ("raw_shorts", "krx"), "raw_market_rankings": ("raw_rankings", "krx"), "raw_ecos_macro_daily": ("raw_ecos", "other"), "stocks_master": ("listing_updates", "other"),
+    "macro_series_master": ("series_updates", "other"), "normalized_stock_fundamentals": ("statements", "legacy"),
+}
 
 
 _FRESH = "UNION ALL ".join(
-    f"""SELECT '{t}' AS table_name, '{k}' AS kind, count(*) AS row_count, max(base_date) AS latest_date, count(*) FILTER (WHERE base_date = $T) AS target_count,
- {'(SELECT count(DISTINCT symbol) FROM ' + t + ' WHERE base_date = (SELECT max(base_date) FROM ' + t + ') AND symbol IN (SELECT symbol FROM master WHERE is_active)' + (' AND ' + valid() if k == 'prices' else '') + ')' if k in ('prices', 'supply', 'covered') else 'NULL::BIGINT'} AS covered FROM {t} """
-    for t, k in _KINDS.items())
+    f"""SELECT '{n}' AS table_name, '{k}' AS kind, count(*) AS row_count, max(base_date) AS latest_date, count(*) FILTER (WHERE base_date = $T) AS target_count,
+ {'(SELECT count(DISTINCT symbol) FROM ' + t + ' WHERE base_date = (SELECT max(base_date) FROM ' + t + ') AND symbol IN (SELECT symbol FROM master WHERE is_active)' + (' AND ' + valid() if k == 'prices' else '') + ')' if k in au.COVERED_KINDS else 'NULL::BIGINT'} AS covered FROM {t} """
+    for n, (t, k) in _KINDS.items())
 
 
-@query("dq_table_freshness", f"""WITH {_DATED}, f AS ({_FRESH}), n AS (SELECT count(*) AS active FROM master WHERE is_active), o AS (SELECT count(*) > 0 AS opn FROM open_days WHERE base_date = $T),
+@query("dq_table_freshness", f"""WITH f AS ({_FRESH}), n AS (SELECT count(*) AS active FROM master WHERE is_active), o AS (SELECT count(*) > 0 AS opn FROM open_days WHERE base_date = $T),
 x AS (SELECT f.*, covered::DOUBLE / greatest(active, 1) AS coverage, CASE WHEN covered IS NOT NULL THEN active - covered END AS missing, date_diff('day', latest_date, $T) AS stale_days, opn FROM f, n, o)
 SELECT table_name, row_count, latest_date, target_count, coverage, missing, stale_days, CASE WHEN kind = 'legacy' THEN 'LEGACY' WHEN row_count = 0 THEN 'FAIL_EMPTY' WHEN stale_days IS NULL THEN 'FAIL_SCHEMA' WHEN kind = 'shorts' AND stale_days > 5 THEN 'WARN_STALE' WHEN kind = 'shorts' THEN 'SUCCESS'
- WHEN kind IN ('prices', 'supply', 'krx') AND NOT opn AND target_count > 0 THEN 'WARN_CLOSED_MARKET_ROWS' WHEN kind IN ('prices', 'supply', 'krx') AND NOT opn THEN 'OK_CLOSED_MARKET_NO_ROWS'
+ WHEN kind IN ('prices', 'supply', 'ratios', 'krx') AND NOT opn AND target_count > 0 THEN 'WARN_CLOSED_MARKET_ROWS' WHEN kind IN ('prices', 'supply', 'ratios', 'krx') AND NOT opn THEN 'OK_CLOSED_MARKET_NO_ROWS'
  WHEN kind = 'prices' AND coverage < 0.7 THEN 'WARN_COVERAGE' WHEN kind = 'supply' AND coverage < 0.4 THEN 'WARN_COVERAGE' WHEN stale_days > 5 THEN 'WARN_STALE' WHEN target_count = 0 AND stale_days > 0 THEN 'WARN_NO_TARGET_ROWS' ELSE 'SUCCESS' END AS status FROM x""",
        "latest_date", "coverage")
 def dq_table_freshness(L):
-    return au.table_freshness({n: (dated(L, n), k) for n, k in _KINDS.items()}, L.master.where("is_active"), TARGET, is_open(L))
+    return au.table_freshness({n: (getattr(L, t), k) for n, (t, k) in _KINDS.items()}, L.master.where("is_active"), TARGET, is_open(L))
 
 
 @query("dq_core_macro_freshness", """

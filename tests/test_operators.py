@@ -301,3 +301,32 @@ def test_fills_never_look_ahead_over_all_history(spark):
     wide = spark.createDataFrame([(dt.date(2026, 5, d), 2.0 if d >= 5 else None, 4.0) for d in range(1, 9)], "base_date date, gold double, wti double")
     early = feat.macro_wide_change(wide).where("feature_name = 'macro_gold_1d_chg'")
     assert min(r["base_date"] for r in early.collect()) == dt.date(2026, 5, 6)
+
+
+def test_days_with_bitmaps_of_symbols(spark):
+    """Against plain sets: more symbols than a bitmap holds, a hot symbol, unknown symbols, rows without a day or symbol."""
+    random.seed(3)
+    names = [f"{i:06d}" for i in range(40_000)]
+    active = spark.createDataFrame([(s,) for s in names + names[:5] + [None]], "symbol string")
+    days = [D(2026, 5, 4), D(2026, 5, 6), None]
+    rows = [(s, days[1], i % 7 != 0) for i, s in enumerate(names)] + [("000001", random.choice(days), None) for _ in range(5000)] + [("zz", days[0], True), (None, days[0], True), ("000003", days[0], True), ("000003", days[0], True)]
+    got = {r["base_date"]: (r["n"], r["covered"]) for r in au.per_day(spark.createDataFrame(rows, "symbol string, base_date date, ok boolean"), au.numbered(active), F.col("ok")).collect()}
+    known = set(names)
+    want = {d: (sum(r[1] == d for r in rows), len({r[0] for r in rows if r[1] == d and r[2]} & known)) for d in days}
+    assert got == want and max(c for _, c in got.values()) > 32_768
+
+
+def test_freshness_reads_a_table_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("A", D(2026, 5, 4), 1.0, 1.0, 1.0), ("B", D(2026, 5, 4), None, 1.0, 1.0), ("B", D(2026, 5, 3), 1.0, 1.0, 1.0)], "symbol string, base_date date, close_price double, volume double, trading_value double").write.parquet(path)
+    table = spark.read.parquet(path)
+    active = spark.createDataFrame([("A",), ("B",), ("C",)], "symbol string")
+    tables = {"p": (table, "prices"), "r": (table.where("symbol = 'none'"), "ratios"), "k": (table, "krx")}
+    rows = au.table_freshness(tables, active, D(2026, 5, 4), F.lit(True))
+    got = {r["table_name"]: tuple(r)[1:] for r in rows.collect()}
+    assert got["p"] == (3, D(2026, 5, 4), 2, 1 / 3, 2, 0, "WARN_COVERAGE") and got["k"] == (3, D(2026, 5, 4), 2, None, None, 0, "SUCCESS")
+    assert got["r"] == (0, None, 0, 0.0, 3, None, "FAIL_EMPTY")
+    closed = {r["table_name"]: r["status"] for r in au.table_freshness(tables, active, D(2026, 5, 5), F.lit(False)).collect()}
+    assert closed == {"p": "OK_CLOSED_MARKET_NO_ROWS", "r": "FAIL_EMPTY", "k": "OK_CLOSED_MARKET_NO_ROWS"}
+    one = au.table_freshness({"p": (table, "prices")}, active, D(2026, 5, 4), F.lit(True))
+    assert one._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 1
