@@ -62,25 +62,23 @@ def with_market(df: DataFrame, master: DataFrame) -> DataFrame:
 # ---- freshness and price tables ---------------------------------------------
 
 
-def numbered(active: DataFrame) -> DataFrame:
-    """The distinct active symbols with dense numbers from 0; as many rows as symbols are listed."""
-    symbols = active.where(F.col("symbol").isNotNull()).agg(F.array_sort(F.collect_set("symbol")).alias("symbols"))
-    return symbols.select(F.posexplode("symbols").alias("number", "symbol"))
+def covered_stats(df: DataFrame, active: DataFrame, goal: Column, counts: Column) -> DataFrame:
+    """One row: rows, newest day, rows of the goal day, distinct active symbols with a row of the newest day where ``counts`` holds.
 
+    A symbol covers the newest day if the newest of its counting days is that day, so one
+    hash aggregate by symbol, reduced in the map tasks, answers all four in one scan.
+    """
+    day = F.col("base_date")
+    symbols = df.groupBy("symbol").agg(
+        F.count(F.lit(1)).alias("n"), F.max(day).alias("newest"), F.count_if(day == goal).alias("on_goal"), F.max(F.when(counts, day)).alias("seen"))
+    marked = symbols.join(active.select("symbol", F.lit(True).alias("listed")).distinct(), "symbol", "left")
+    by_day = marked.groupBy("seen").agg(F.sum("n").alias("n"), F.max("newest").alias("newest"), F.sum("on_goal").alias("on_goal"), F.count("listed").alias("found"))
+    found = F.when(F.max("seen") == F.max("newest"), F.max_by("found", "seen"))
+    return by_day.agg(*_stats(F.sum("n"), F.max("newest"), F.sum("on_goal"), F.coalesce(found, F.lit(0))))
 
-def per_day(df: DataFrame, numbers: DataFrame, counts: Column) -> DataFrame:
-    """Rows (``n``) and distinct numbered symbols among the rows where ``counts`` holds (``covered``) of each day.
 
-    A day's symbols are an exact bitmap for every 32,768 numbers, built in the map tasks
-    and merged after the shuffle, so a symbol or a day that holds much of the table moves
-    no more than any other.
-    """
-    rows = df.select("base_date", "symbol", F.coalesce(counts, F.lit(False)).alias("counts")).join(numbers, "symbol", "left")
-    number = F.when(F.col("counts"), F.col("number").cast("long"))
-    marked = rows.select("base_date", F.bitmap_bucket_number(number).alias("bucket"), F.bitmap_bit_position(number).alias("bit"))
-    buckets = marked.groupBy("base_date", "bucket").agg(F.count(F.lit(1)).alias("n"), F.bitmap_construct_agg("bit").alias("bits"))
-    found = F.when(F.col("bucket").isNotNull(), F.bitmap_count("bits"))
-    return buckets.groupBy("base_date").agg(F.sum("n").alias("n"), F.coalesce(F.sum(found), F.lit(0)).alias("covered"))
+def _stats(rows: Column, newest: Column, on_goal: Column, covered: Column) -> list[Column]:
+    return [F.coalesce(rows, F.lit(0)).alias("row_count"), newest.alias("latest_date"), F.coalesce(on_goal, F.lit(0)).alias("target_count"), covered.cast("long").alias("covered")]
 
 
 def table_freshness(tables: dict[str, tuple[DataFrame, str]], active: DataFrame, target, is_open: Column) -> DataFrame:
@@ -89,20 +87,15 @@ def table_freshness(tables: dict[str, tuple[DataFrame, str]], active: DataFrame,
     The second item of a table is its kind: ``prices``, ``supply``, ``ratios`` (market rows with
     coverage), ``covered`` (coverage only), ``shorts``, ``krx`` (market rows without coverage),
     ``legacy`` (not needed any more) or ``other``.
-    Each table is read once, and what is shuffled is a few rows and bitmaps per day.
+    Each table is read once.
     """
     goal, parts = lit_date(target), []
-    active_n, numbers = size(active), numbered(active)
+    active_n = size(active)
     for name, (df, kind) in tables.items():
-        none = None if kind not in COVERED_KINDS else 0
         if kind in COVERED_KINDS:
-            days = per_day(df, numbers, px.valid_row() if kind == "prices" else F.lit(True))
+            stats = covered_stats(df, active, goal, px.valid_row() if kind == "prices" else F.lit(True))
         else:
-            days = df.groupBy("base_date").agg(F.count(F.lit(1)).alias("n"), F.lit(None).cast("long").alias("covered"))
-        stats = days.agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"), F.max("base_date").alias("latest_date"),
-            F.coalesce(F.sum(F.when(F.col("base_date") == goal, F.col("n"))), F.lit(0)).alias("target_count"),
-            F.coalesce(F.max_by("covered", "base_date"), F.lit(none)).cast("long").alias("covered"))
+            stats = df.agg(*_stats(F.count(F.lit(1)), F.max("base_date"), F.count_if(F.col("base_date") == goal), F.lit(None)))
         parts.append(stats.select(F.lit(name).alias("table_name"), F.lit(kind).alias("kind"), "row_count", "latest_date", "target_count", "covered"))
     rows = stack(parts).withColumns({
         "coverage": F.col("covered") / F.greatest(active_n, F.lit(1)),

@@ -303,17 +303,18 @@ def test_fills_never_look_ahead_over_all_history(spark):
     assert min(r["base_date"] for r in early.collect()) == dt.date(2026, 5, 6)
 
 
-def test_days_with_bitmaps_of_symbols(spark):
-    """Against plain sets: more symbols than a bitmap holds, a hot symbol, unknown symbols, rows without a day or symbol."""
+def test_coverage_of_the_newest_day(spark):
+    """Against plain sets: a hot symbol, unknown symbols, rows without a day or symbol, symbols whose newest row doesn't count."""
     random.seed(3)
-    names = [f"{i:06d}" for i in range(40_000)]
+    names = [f"{i:06d}" for i in range(3000)]
     active = spark.createDataFrame([(s,) for s in names + names[:5] + [None]], "symbol string")
     days = [D(2026, 5, 4), D(2026, 5, 6), None]
-    rows = [(s, days[1], i % 7 != 0) for i, s in enumerate(names)] + [("000001", random.choice(days), None) for _ in range(5000)] + [("zz", days[0], True), (None, days[0], True), ("000003", days[0], True), ("000003", days[0], True)]
-    got = {r["base_date"]: (r["n"], r["covered"]) for r in au.per_day(spark.createDataFrame(rows, "symbol string, base_date date, ok boolean"), au.numbered(active), F.col("ok")).collect()}
-    known = set(names)
-    want = {d: (sum(r[1] == d for r in rows), len({r[0] for r in rows if r[1] == d and r[2]} & known)) for d in days}
-    assert got == want and max(c for _, c in got.values()) > 32_768
+    rows = [(s, random.choice(days), i % 7 != 0) for i, s in enumerate(names + names)] + [("000001", random.choice(days), None) for _ in range(5000)] + [("zz", days[1], True), (None, days[1], True)]
+    for part in (rows, [r for r in rows if r[1] != days[1] or not r[2]], [r for r in rows if r[1] is None], []):
+        got = au.covered_stats(spark.createDataFrame(part, "symbol string, base_date date, ok boolean"), active, F.lit(days[0]), F.col("ok")).first()
+        newest = max((r[1] for r in part if r[1]), default=None)
+        covered = len({r[0] for r in part if r[1] and r[1] == newest and r[2]} & set(names))
+        assert tuple(got) == (len(part), newest, sum(r[1] == days[0] for r in part), covered)
 
 
 def test_freshness_reads_a_table_once(spark, tmp_path):
