@@ -91,6 +91,36 @@ def test_archive_files(spark, tmp_path, compression):
     assert texts == {(h or "") for _, _, h in PAGES}
 
 
+def test_files_are_bounded_by_bytes(spark, tmp_path):
+    rng = random.Random(4)
+    sizes = [rng.choice([0, 10, 300, 1500, 5000, 40_000]) for _ in range(300)] + [200_000]
+    pages = spark.createDataFrame([(i, f"http://x/{i}", f"{i:06d}" + "z\r\n\r\nWARC/1.1\r\n"[:15] * (n // 15)) for i, n in enumerate(sizes)], "page_id long, url string, html string")
+    path = str(tmp_path / "a")
+    warc.write_archive(warc.resolve(pages.withColumnRenamed("html", "payload")), path, file_records=32, file_bytes=64_000)
+    files = [[block for _, block in warc.parse_records(f.read_bytes())] for f in (tmp_path / "a").rglob("part-*")]
+    assert sum(map(len, files)) == len(sizes)
+    assert all(len(f) <= 32 and (len(f) == 1 or sum(map(len, f)) <= 64_000) for f in files if f)
+    assert len(files) < len(sizes) / 2
+    read = warc.read_archive(spark, path, with_payload=True).select("page_id", F.decode("payload", "utf-8")).collect()
+    assert sorted(map(tuple, read)) == sorted(map(tuple, pages.select("page_id", "html").collect()))
+
+
+def test_revisits_resolve_by_the_standard_headers_alone(spark, tmp_path):
+    rows = [(1, "http://a", "same"), (2, "http://b", "same"), (3, None, "other"), (4, "http://d", "other"), (5, "http://e", "alone"), (6, "http://f", "twice"), (6, "http://g", "twice"), (7, "http://h", "twice")]
+    warc.write_archive(warc.resolve(spark.createDataFrame(rows, "page_id long, url string, payload string")), str(tmp_path / "a"))
+    found = [r for f in (tmp_path / "a").rglob("part-*") for r in warc.parse_records(f.read_bytes())]
+    blocks = {h["warc-record-id"]: (h, b) for h, b in found if h["warc-type"] == "response"}
+    assert len({h["warc-record-id"] for h, _ in found}) == len(rows)
+    number = lambda h: int(h["warc-page-id"].rsplit(":", 1)[1])
+    revisits = {number(h): h for h, _ in found if h["warc-type"] == "revisit"}
+    assert set(revisits) == {2, 4, 7}
+    for page, original, text in ((2, 1, b"same"), (4, 3, b"other")):
+        named, block = blocks[revisits[page]["warc-refers-to"]]
+        assert number(named) == original and block == text and revisits[page]["warc-refers-to-date"] == named["warc-date"]
+        assert revisits[page].get("warc-refers-to-target-uri") == named.get("warc-target-uri")
+    assert "warc-refers-to" not in revisits[7]
+
+
 def test_empty_archive(spark):
     assert warc.deduplicate(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 
