@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions import parsing as ps, times as tm
 from ..functions.symbols import normalize_symbol
-from ..sources.payloads import text_struct
+from ..sources.payloads import inner_or_whole, parsed, text_of, text_struct
 from . import prices as px
 
 # Field names of the landed payloads.
@@ -53,9 +53,9 @@ def price_generic(df: DataFrame) -> DataFrame:
 
 def price_quote(df: DataFrame) -> DataFrame:
     """Quote payload, nested under ``output`` or flat, dated by its availability."""
-    get = lambda n: F.when(F.get_json_object("raw_data", "$.output").isNotNull(), F.get_json_object("raw_data", f"$.output.{n}")).otherwise(F.get_json_object("raw_data", f"$.{n}"))
+    get = lambda n: text_of("quote", f"$.{n}")
     num = lambda n: ps.parse_nullable(get(n), dash=False)
-    return df.select(
+    return parsed(df).withColumn("quote", inner_or_whole("doc", "$.output")).select(
         get("stck_shrn_iscd").alias("symbol"), F.to_date("available_at").alias("base_date"),
         num("stck_oprc").alias("open_price"), num("stck_hgpr").alias("high_price"), num("stck_lwpr").alias("low_price"),
         num("stck_prpr").alias("close_price"), num("acml_vol").alias("volume"), num("acml_tr_pbmn").alias("trading_value"), "available_at",
@@ -214,9 +214,11 @@ def fred(df: DataFrame) -> DataFrame:
 
 def trading_economics(df: DataFrame) -> DataFrame:
     """Indicator rows: the day before ``T``, ``Value`` or ``Last``."""
-    get = lambda n: F.get_json_object("raw_data", f"$.{n}")
+    get = lambda n: text_of("doc", f"$.{n}")
     day = F.split(get("DateTime"), "T")[0].try_cast("date")
-    return df.select("series_id", day.alias("base_date"), F.coalesce(get("Value"), get("Last")).try_cast("double").alias("value")).where("base_date is not null and value is not null")
+    row = F.struct(day.alias("base_date"), F.coalesce(get("Value"), get("Last")).try_cast("double").alias("value"))
+    # a generated row keeps Spark from testing it below the parse, which would parse again
+    return parsed(df).select("series_id", F.inline(F.array(row))).where("base_date is not null and value is not null")
 
 
 def central_bank(df: DataFrame, keep: tuple = ()) -> DataFrame:

@@ -27,6 +27,10 @@ class Store:
     def read(self, table: str) -> DataFrame:
         return tb.read(self.spark, self.path(table), SCHEMAS[table])
 
+    def state(self, tables: list[str], target: date) -> DataFrame:
+        """Newest date, rows, rows of the target and lag of the named tables, without reading their rows."""
+        return tb.stored_state(self.spark, {t: self.path(t) for t in tables}, target)
+
     def upsert(self, table: str, rows: DataFrame, order: list, partition: str = "base_date") -> None:
         tb.upsert_table(self.spark, self.path(table), table, rows, order, partition)
 

@@ -79,11 +79,11 @@ def _side(side: str, table: str) -> str:
 
 @query("dq_raw_vs_normalized", f"WITH rawt AS (SELECT symbol, base_date, CASE WHEN tx > 0 THEN p END AS close_price, vol AS volume, CASE WHEN dc > 0 THEN val END AS trading_value FROM day_bars) {_side('raw', 'rawt')} UNION ALL {_side('normalized', 'prices_raw')}", "base_date")
 def dq_raw_vs_normalized(L):
-    from ..sources.payloads import field
+    from ..sources.payloads import field, parsed
 
     nested = F.struct(F.struct(F.when(c("tx") > 0, text("p")).otherwise("").alias("stck_clpr")).alias("response_row"), text("vol").alias("volume"), F.when(c("dc") > 0, text("val")).alias("acml_tr_pbmn"))
-    raw = L.day_bars.select("symbol", "base_date", F.to_json(nested).alias("raw_data")).select(
-        "symbol", "base_date", field("stck_clpr", "raw_data", "close_price").alias("close_price"), field("acml_vol", "raw_data", "volume").alias("volume"), field("acml_tr_pbmn", "raw_data", "trading_value").alias("trading_value"))
+    raw = parsed(L.day_bars.select("symbol", "base_date", F.to_json(nested).alias("raw_data"))).select(
+        "symbol", "base_date", field("stck_clpr", "doc", "close_price").alias("close_price"), field("acml_vol", "doc", "volume").alias("volume"), field("acml_tr_pbmn", "doc", "trading_value").alias("trading_value"))
     return au.raw_vs_normalized(raw, L.prices_raw, L.master)
 
 

@@ -346,10 +346,10 @@ def news_freshness_filter(L):
 SELECT base_date, count(*) AS total_rows, count(*) FILTER (WHERE tx > 0) AS valid_close_rows, count(*) AS valid_volume_rows, count(*) FILTER (WHERE dc > 0) AS valid_value_rows FROM day_bars GROUP BY 1""", "base_date")
 def raw_field_presence(L):
     nested = F.struct(F.struct(F.when(c("tx") > 0, text("p")).otherwise("").alias("stck_clpr")).alias("response_row"), text("vol").alias("volume"), F.when(c("dc") > 0, text("val")).alias("acml_tr_pbmn"))
-    rows = L.day_bars.select("base_date", F.to_json(nested).alias("raw_data"))
+    rows = pl.parsed(L.day_bars.select("base_date", F.to_json(nested).alias("raw_data")))
     return rows.groupBy("base_date").agg(
-        F.count(F.lit(1)).alias("total_rows"), F.count(pl.field("stck_clpr", "raw_data", "close_price")).alias("valid_close_rows"),
-        F.count(pl.field("acml_vol", "raw_data", "volume")).alias("valid_volume_rows"), F.count(pl.field("acml_tr_pbmn", "raw_data", "trading_value")).alias("valid_value_rows"))
+        F.count(F.lit(1)).alias("total_rows"), F.count(pl.field("stck_clpr", "doc", "close_price")).alias("valid_close_rows"),
+        F.count(pl.field("acml_vol", "doc", "volume")).alias("valid_volume_rows"), F.count(pl.field("acml_tr_pbmn", "doc", "trading_value")).alias("valid_value_rows"))
 
 
 @query("merge_snapshot_into_price", """

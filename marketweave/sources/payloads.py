@@ -35,10 +35,30 @@ def payload_rows(df: DataFrame, fields: T.StructType, column: str = "raw_data")
     return rows.where(F.col("row").isNotNull())
 
 
-def field(name: str, column: str = "raw_data", *aliases: str) -> Column:
-    """First non-blank of the nested field, the flat field and its aliases."""
+def parsed(df: DataFrame, column: str = "raw_data", into: str = "doc") -> DataFrame:
+    """Adds ``into``: the payload as a VARIANT with all of its fields, known or not; null for text that is no JSON
+    or, as VARIANT demands, names a field twice in one object.
+
+    Fields are picked from it by :func:`field` and :func:`text_of`, however many, without parsing again.
+    """
+    return df.withColumn(into, F.try_parse_json(column))
+
+
+def text_of(doc: Column | str, path: str) -> Column:
+    """One field of a parsed payload as text; null if it is absent or JSON null."""
+    return F.try_variant_get(doc, path, "string")
+
+
+def field(name: str, doc: Column | str = "doc", *aliases: str) -> Column:
+    """First non-blank of the nested field, the flat field and its aliases in a parsed payload."""
     paths = [f"$.response_row.{n}" for n in (name, *aliases)] + [f"$.{n}" for n in (name, *aliases)]
-    return F.coalesce(*[blank_to_null(F.get_json_object(column, p)) for p in paths])
+    return F.coalesce(*[blank_to_null(text_of(doc, p)) for p in paths])
+
+
+def inner_or_whole(doc: str, path: str) -> Column:
+    """The part of a parsed payload at ``path``, or the payload itself where that is absent or JSON null."""
+    part = F.try_variant_get(doc, path, "variant")
+    return F.when(part.isNotNull() & ~F.is_variant_null(part), part).otherwise(F.col(doc))
 
 
 def keep_payload(df: DataFrame, source: Column, lineage: dict[str, Column] | None = None) -> DataFrame:

@@ -168,6 +168,39 @@ def read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
+def from_footers(spark: SparkSession, path: str) -> DataFrame:
+    """A stored table whose counts and extremes Spark takes from file footers, without reading rows.
+
+    That needs Parquet's second reader, which is chosen while the table is opened; all other reads and the writes keep the first.
+    Groups must be partition columns, and a filter on other columns makes Spark read rows again.
+    """
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    chosen = spark.conf.get("spark.sql.sources.useV1SourceList")
+    spark.conf.set("spark.sql.sources.useV1SourceList", ",".join(x for x in chosen.split(",") if x != "parquet"))
+    try:
+        return spark.read.parquet(path)
+    finally:
+        spark.conf.set("spark.sql.sources.useV1SourceList", chosen)
+
+
+def stored_state(spark: SparkSession, paths: dict[str, str], target, partition: str = "base_date") -> DataFrame:
+    """Of each stored table: table_name, latest_date with rows, row_count, target_count and lag_days, from footers alone.
+
+    A table that was never written, or is empty, has no latest date and counts of 0.
+    """
+    day = F.col(partition).cast("date")
+    aim = F.lit(target).cast("date")
+    states = []
+    for name, path in paths.items():
+        if _exists(spark, path) and partition in (held := from_footers(spark, path)).columns:
+            days = held.groupBy(partition).agg(F.count(F.lit(1)).alias("n")).where("n > 0")
+        else:
+            days = spark.createDataFrame([], f"{partition} date, n long")
+        counted = days.agg(F.max(day).alias("latest_date"), F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"), F.coalesce(F.sum(F.when(day == aim, F.col("n"))), F.lit(0)).alias("target_count"))
+        states.append(counted.select(F.lit(name).alias("table_name"), "*", F.datediff(aim, "latest_date").alias("lag_days")))
+    return reduce(DataFrame.unionByName, states)
+
+
 def upsert_table(spark: SparkSession, path: str, table: str, changes: DataFrame, order: list[Column], partition: str = "base_date") -> None:
     """Merge changes into a stored table, reading and rewriting only the partitions they touch.
 

@@ -331,3 +331,20 @@ def test_freshness_reads_a_table_once(spark, tmp_path):
     assert closed == {"p": "OK_CLOSED_MARKET_NO_ROWS", "r": "FAIL_EMPTY", "k": "OK_CLOSED_MARKET_NO_ROWS"}
     one = au.table_freshness({"p": (table, "prices")}, active, D(2026, 5, 4), F.lit(True))
     assert one._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 1
+
+
+def test_payload_fields_share_one_parse(spark, collect):
+    texts = [
+        '{"response_row":{"close":"1,2","x":7},"volume":3,"extra":{"deep":[1]}}', '{"response_row":{"close":" "},"close_price":"9"}', '{"response_row":"text","close":5.5}',
+        '{"output":null,"close":4}', '{"output":{"close":8}}', "[1]", "no json", "", None,
+    ]
+    docs = pl.parsed(spark.createDataFrame(list(enumerate(texts)), "i int, raw_data string"))
+    got = docs.select("i", pl.field("close", "doc", "close_price").alias("close"), pl.field("volume").alias("volume"), pl.text_of("doc", "$.extra.deep[0]").alias("deep"), F.try_variant_get(pl.inner_or_whole("doc", "$.output"), "$.close", "int").alias("whole"))
+    assert collect(got, "i", "close", "volume", "deep", "whole") == [
+        (0, "1,2", "3", "1", None), (1, " ", None, None, None), (2, "5.5", None, None, 5), (3, "4", None, None, 4), (4, None, None, None, 8),
+        (5, None, None, None, None), (6, None, None, None, None), (7, None, None, None, None), (8, None, None, None, None),
+    ]
+    quote = docs.drop("doc").select("raw_data", F.lit("2026-05-08 07:00:00").cast("timestamp").alias("available_at"))
+    series = docs.drop("doc").select(F.col("i").cast("string").alias("series_id"), "raw_data")
+    for df in (got, nz.price_quote(quote), nz.trading_economics(series)):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1

@@ -32,6 +32,24 @@ def test_upsert_rewrites_touched_partitions_only(spark, tmp_path, collect):
     assert untouched == {p.name: p.stat().st_mtime_ns for p in (tmp_path / table / "base_date=2026-05-07").glob("*.parquet")}
 
 
+def test_state_of_stored_tables_comes_from_footers(spark, tmp_path, collect):
+    store, names = jobs.Store(spark, str(tmp_path)), ["normalized_stock_prices_daily", "normalized_macro_series", "feature_store_daily"]
+    rows = [price(f"{i:06d}", D(2026, 5, 1 + i % 7), float(i)) for i in range(1, 100)]
+    store.overwrite(names[0], spark.createDataFrame(rows, PRICE))
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    tb.clear(spark, store.path(names[0]), SCHEMAS[names[0]], "base_date", "2026-05-07")
+    tb.clear(spark, store.path(names[2]), SCHEMAS[names[2]], "base_date", "2026-05-07")
+    state = store.state(names, D(2026, 5, 6))
+    plan = state._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*)" in plan and "PushedGroupBy: [base_date]" in plan
+    got = {r["table_name"]: (r["latest_date"], r["row_count"], r["target_count"], r["lag_days"]) for r in state.collect()}
+    held = store.read(names[0])
+    assert got[names[0]] == (D(2026, 5, 6), held.count(), held.where("base_date = '2026-05-06'").count(), 0)
+    assert got[names[1]] == got[names[2]] == (None, 0, 0, None)
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == before
+    assert "BatchScan" not in store.read(names[0])._jdf.queryExecution().executedPlan().toString()
+
+
 def test_frame_rewrites(spark, collect):
     schema = "k string, d string, v double"
     target = spark.createDataFrame([("a", "1", 1.0), ("b", "1", 2.0), ("c", None, None)], schema)
