@@ -163,18 +163,48 @@ def rate_bp_change(series: DataFrame) -> DataFrame:
     return row_changes(series, "KR_GOVT_10Y", {1: ("KR10Y_1D_CHG_BP", "bp"), 20: ("KR10Y_20D_CHG_BP", "bp")})
 
 
+def _named(*pairs: tuple[Column, Column]) -> Column:
+    return F.array(*[F.struct(name.alias("n"), value.cast("double").alias("v")) for name, value in pairs])
+
+
+def wide_macro_features(wide: DataFrame, day, causal: bool = True) -> DataFrame:
+    """Changes of every macro column and the two ratios at one date: the columns are filled once, and the date's few values meet in one row."""
+    at = F.lit(day).cast("date")
+    today = win.lag_change_wide(macro_long(wide, causal)).where(F.col("base_date") == at)
+    name = F.concat(F.lit("macro_"), F.col("column_name"))
+    changes = _named((F.concat(name, F.lit("_1d_chg")), F.col("chg_1d")), (F.concat(name, F.lit("_5d_chg")), F.col("chg_5d")))
+    needed = ("gold", "copper", "wti")
+    row = today.groupBy("base_date").agg(F.flatten(F.collect_list(changes)).alias("ps"), *[F.max(F.when(F.col("column_name") == n, F.col("value"))).alias(n) for n in needed])
+    if set(needed) <= set(wide.columns):
+        ratios = _named((F.lit("copper_gold_ratio"), F.try_divide("copper", "gold")), (F.lit("gold_oil_ratio"), F.try_divide("gold", "wti")))
+        row = row.withColumn("ps", F.concat("ps", ratios))
+    return _global(row.select("base_date", F.explode("ps").alias("p")), F.col("p.n"), F.col("p.v"))
+
+
+def series_macro_features(series: DataFrame, causal: bool = True) -> DataFrame:
+    """Changes of every series, filled, and the rate changes of the exchange rate and the bond yield, not filled, for every date: one shuffle and one sort for all windows."""
+    w = Window.partitionBy("series_id").orderBy("base_date")
+    own = F.col("own")
+    kept = series.withColumns({"own": F.col("value"), "own_1": F.lag("value", 1).over(w), "own_20": F.lag("value", 20).over(w)})
+    changed = win.lag_change_series(win.fill_forward_back(kept, "series_id", "base_date", "value", causal))
+    prefix = feature_prefix(F.col("series_id"))
+    both = _named((F.concat(prefix, F.lit("_1d_chg")), F.col("chg_1d")), (F.concat(prefix, F.lit("_5d_chg")), F.col("chg_5d")))
+    points = lambda before: (own - F.col(before)) * F.lit(100.0)
+    percent = F.when(F.col("own_1") != 0, (own / F.col("own_1") - F.lit(1.0)) * F.lit(100.0))
+    extra = F.when(F.col("series_id") == "USDKRW", _named((F.lit("USDKRW_1D_CHG_PCT"), percent)))
+    extra = extra.when(F.col("series_id") == "KR_GOVT_10Y", _named((F.lit("KR10Y_1D_CHG_BP"), points("own_1")), (F.lit("KR10Y_20D_CHG_BP"), points("own_20"))))
+    rows = changed.select("base_date", F.explode(F.when(extra.isNull(), both).otherwise(F.concat(both, extra))).alias("p"))
+    return _global(rows, F.col("p.n"), F.col("p.v"))
+
+
 def macro_features(wide: DataFrame, series: DataFrame, target: date, day: date) -> list[DataFrame]:
     """Macro producers of one date in the order that decides equal names, each cut to its look-back and at the date before anything is filled."""
     cut = lambda df, days: df.where(F.col("base_date").between(F.lit(target - timedelta(days=days)), F.lit(day)))
     near, far = cut(series, SERIES_LOOKBACK_DAYS), cut(wide, LOOKBACK_DAYS)
-    on_day = lambda df: df.where(F.col("base_date") == F.lit(day))
     # a series may end before the date; its newest change counts for the date
-    newest = lambda df: df.groupBy("symbol", "feature_name").agg(F.max_by("feature_value", "base_date").alias("feature_value")).withColumn("base_date", F.lit(day))
-    parts = [on_day(macro_ratios(far, causal=False))] if {"gold", "copper", "wti"} <= set(wide.columns) else []
-    return parts + [
-        on_day(macro_wide_change(far, causal=False)), newest(macro_series_change(near, causal=False)),
-        yield_spreads(near, day), newest(fx_rate_change(near)), newest(rate_bp_change(near)),
-    ]
+    changes = series_macro_features(near, causal=False)
+    newest = changes.groupBy("symbol", "feature_name").agg(F.max_by("feature_value", "base_date").alias("feature_value")).withColumn("base_date", F.lit(day))
+    return [wide_macro_features(far, day, causal=False), newest, yield_spreads(near, day)]
 
 
 _FLAGS = {"available_at": "timestamp", "data_quality_flag": "string", "source_consistency_status": "string"}

@@ -348,3 +348,19 @@ def test_payload_fields_share_one_parse(spark, collect):
     series = docs.drop("doc").select(F.col("i").cast("string").alias("series_id"), "raw_data")
     for df in (got, nz.price_quote(quote), nz.trading_economics(series)):
         assert df._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1
+
+
+def test_joint_macro_features_equal_their_producers(spark):
+    rng, days = random.Random(5), [D(2026, 1, 1) + dt.timedelta(days=i) for i in range(40)]
+    some = lambda: rng.choice([None, 0.0, 1.0, 2.5, 4.0])
+    wide = spark.createDataFrame([(d, some(), some(), some(), some()) for d in days], "base_date date, gold double, copper double, wti double, us10y double")
+    ids = ["USDKRW", "KR_GOVT_10Y", "Base Rate"]
+    series = spark.createDataFrame([(i, d, some()) for i in ids for d in days if rng.random() < 0.8], "series_id string, base_date date, value double")
+    rows = lambda *dfs: sorted(tuple(r) for df in dfs for r in df.select("base_date", "feature_name", "feature_value").collect())
+    for causal in (True, False):
+        for day in days[::7]:
+            on = lambda df: df.where(F.col("base_date") == F.lit(day))  # noqa: B023, E731
+            assert rows(feat.wide_macro_features(wide, day, causal)) == rows(on(feat.macro_ratios(wide, causal)), on(feat.macro_wide_change(wide, causal)))
+        joint = feat.series_macro_features(series, causal)
+        assert rows(joint) == rows(feat.macro_series_change(series, causal), feat.fx_rate_change(series), feat.rate_bp_change(series))
+        assert joint._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
