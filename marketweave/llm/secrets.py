@@ -4,7 +4,7 @@
 each text. A weak candidate alone is no finding: an access identifier (weak_id),
 a secret (weak_secret) or an endpoint is reported only when complementary
 parts co-occur in its scope. A scope is a stretch of text between blank lines,
-cut so that no part lies further than ``reach`` code points away. ``link`` does
+and within it parts count up to ``reach`` code points away. ``link`` does
 that as an interval join on (doc_id, scope): each part is a point, each
 weak candidate an interval of ``reach`` around it, and the nearest part of
 each other role before and after it is carried along the sorted parts of the
@@ -61,7 +61,7 @@ def base_spans(text: str) -> list[Span]:
 
 
 def weak_spans(text: str, base: list[Span]) -> list[Span]:
-    """Weak candidates that overlap no base span."""
+    """Weak identifiers and secrets that overlap no base span, and endpoints, which may: an address stays one when a key stands in its path."""
     free = outside(base)
     found: list[Span] = []
     if "=" in text or ":" in text or "AKIA" in text:

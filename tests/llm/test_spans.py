@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import pytest
 
@@ -134,6 +135,28 @@ def test_trees_choose_only_what_their_calibration_allows(spark):
     assert got[9000]["spans"].startswith("phone:12:")
 
 
+def test_a_rare_kind_has_its_part_of_the_sample(spark):
+    from pyspark.sql import functions as F
+
+    common = spark.range(60_000).select(F.col("id").alias("doc_id"), F.lit(0).alias("start"), F.lit(9).alias("end"), F.lit("phone").alias("kind"))
+    rare = spark.range(40).select((-F.col("id")).alias("doc_id"), F.lit(0).alias("start"), F.lit(9).alias("end"), F.lit("card").alias("kind"))
+    rows = common.unionAll(rare).withColumn("place", pii.place()).withColumn("label", F.lit(0.0))
+    got = pii.smallest_of_each_kind(rows, 500)
+    assert {r["kind"]: r["count"] for r in got.groupBy("kind").count().collect()} == {"phone": 500, "card": 40}
+    want = sorted(r["place"] for r in rows.where("kind = 'phone'").collect())[:500]
+    assert sorted(r["place"] for r in got.where("kind = 'phone'").collect()) == want
+    assert pii.smallest_of_each_kind(rows.limit(0), 500).count() == 0
+
+
+def test_long_texts_cost_their_length(spark):
+    for unit in ("1", "1 ", "a.", "a@", "(at)", "user: ", "x@y.", "12.", "+1-", "http://a ", "token=", "1(", "a@b(dot)"):
+        text = unit * (400_000 // len(unit))
+        started = time.monotonic()
+        assert all(0 <= a < b <= len(text) for _, a, b in pii.candidates(text))
+        assert all(0 <= a < b <= len(text) for _, a, b in secrets.weak_spans(text, secrets.base_spans(text)))
+        assert time.monotonic() - started < 20, unit
+
+
 def test_empty_tables(spark):
     nothing = spark.createDataFrame([], "doc_id long, text string")
     assert secrets.find_secrets(nothing).count() == pii.find_personal_data(nothing).count() == secrets.redact(nothing).count() == 0
