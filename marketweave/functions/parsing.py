@@ -11,19 +11,23 @@ def blank_to_null(col: Column, *also: str) -> Column:
     return F.when(~text.isin("", *also), text)
 
 
-def parse_nullable(col: Column, dash: bool = True) -> Column:
-    """Number with thousands separators; blank, ``-`` (optional) and junk give null."""
-    text = F.btrim(F.regexp_replace(blank_to_null(col, *(["-"] if dash else [])), ",", ""))
-    return F.when(text.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"), text).try_cast("double")
+# the whole text if it is a number; each rule below names its input once, since Spark evaluates it as often as it is named
+_NUMBER = r"(?s)^(?=[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$).*"
+
+
+def parse_nullable(col: Column) -> Column:
+    """Number with thousands separators; blank, ``-`` and junk give null."""
+    text = F.btrim(F.replace(col.cast("string"), F.lit(","), F.lit("")))
+    return F.get(F.regexp_extract_all(text, F.lit(_NUMBER), F.lit(0)), F.lit(0)).try_cast("double")
 
 
 def parse_int_nullable(col: Column) -> Column:
     """As :func:`parse_nullable`, truncated toward zero; null beyond 64 bits."""
-    return parse_nullable(col, dash=False).try_cast("long")
+    return parse_nullable(col).try_cast("long")
 
 
 def parse_zero(col: Column) -> Column:
-    return F.coalesce(parse_nullable(col, dash=False), F.lit(0.0))
+    return F.coalesce(parse_nullable(col), F.lit(0.0))
 
 
 def parse_int_zero(col: Column) -> Column:
@@ -32,13 +36,10 @@ def parse_int_zero(col: Column) -> Column:
 
 def parse_date_any(col: Column, fallback: Column | None = None) -> Column:
     """ISO prefix, or the first eight digits of any text; else null or ``fallback``."""
-    text = F.btrim(col.cast("string"))
-    digits = F.regexp_replace(text, "[^0-9]", "")
-    iso = text.rlike("^.{4}-.{2}-")
-    parsed = F.when(
-        iso & (F.length(text) >= 10),
-        F.try_to_date(F.substring(text, 1, 10), "yyyy-MM-dd"),
-    ).when(F.length(digits) >= 8, F.try_to_date(F.substring(digits, 1, 8), "yyyyMMdd"))
+    # an ISO prefix keeps its eight places, of which one that is no digit leaves too few
+    flat = F.regexp_replace(F.btrim(col.cast("string")), r"^(.{4})-(.{2})-((?s:.{2}))(?s:.*)$", "$1$2$3")
+    digits = F.regexp_replace(flat, "[^0-9]", "")
+    parsed = F.regexp_replace(digits, "^(?:(....)(..)(..))?.*$", "$1-$2-$3").try_cast("date")
     return parsed if fallback is None else F.coalesce(parsed, fallback)
 
 

@@ -11,7 +11,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions import parsing as ps, times as tm
-from ..functions.symbols import normalize_symbol
+from ..functions.symbols import clean_text, normalize_symbol
 from ..sources.payloads import inner_or_whole, parsed, text_of, text_struct
 from . import prices as px
 
@@ -46,15 +46,15 @@ def price_generic(df: DataFrame) -> DataFrame:
     names = {"open_price": "open", "high_price": "high", "low_price": "low", "close_price": "close"}
     same = ("volume", "trading_value", "market_cap", "outstanding_shares")
     return df.select(
-        "symbol", "base_date", *[ps.parse_nullable(F.col(s), dash=False).alias(t) for t, s in names.items()],
-        *[ps.parse_nullable(F.col(c), dash=False).alias(c) for c in same],
+        "symbol", "base_date", *[ps.parse_nullable(F.col(s)).alias(t) for t, s in names.items()],
+        *[ps.parse_nullable(F.col(c)).alias(c) for c in same],
     )
 
 
 def price_quote(df: DataFrame) -> DataFrame:
     """Quote payload, nested under ``output`` or flat, dated by its availability."""
     get = lambda n: text_of("quote", f"$.{n}")
-    num = lambda n: ps.parse_nullable(get(n), dash=False)
+    num = lambda n: ps.parse_nullable(get(n))
     return parsed(df).withColumn("quote", inner_or_whole("doc", "$.output")).select(
         get("stck_shrn_iscd").alias("symbol"), F.to_date("available_at").alias("base_date"),
         num("stck_oprc").alias("open_price"), num("stck_hgpr").alias("high_price"), num("stck_lwpr").alias("low_price"),
@@ -68,7 +68,7 @@ _BAR = {"open_price": "stck_oprc", "high_price": "stck_hgpr", "low_price": "stck
 def price_history(rows: DataFrame) -> DataFrame:
     """Period history rows; a row without a date is skipped."""
     day = ps.parse_ymd(_r("stck_bsop_date"))
-    return rows.select("symbol", day.alias("base_date"), *[ps.parse_nullable(_r(s), dash=False).alias(t) for t, s in _BAR.items()]).where(F.col("base_date").isNotNull())
+    return rows.select("symbol", day.alias("base_date"), *[ps.parse_nullable(_r(s)).alias(t) for t, s in _BAR.items()]).where(F.col("base_date").isNotNull())
 
 
 def price_ohlcv(rows: DataFrame, position: str = "position") -> DataFrame:
@@ -94,14 +94,16 @@ def price_exchange_stock(df: DataFrame, target: date) -> DataFrame:
     num = lambda *names: ps.parse_nullable(alt(*names))
     label = F.upper(F.btrim(F.coalesce(alt("MKT_ID", "MKT_NM", "mktId", "mktNm"), F.lit(""))))
     named = F.coalesce(F.col("MKT_NM").contains("유가증권"), F.lit(False)) if "mkt_nm" in have else F.lit(False)
-    market = F.when((label == "STK") | label.contains("KOSPI") | named, "KOSPI").when((label == "KSQ") | label.contains("KOSDAQ"), "KOSDAQ")
-    return df.select(
-        normalize_symbol(alt("ISU_SRT_CD", "ISU_CD")).alias("symbol"), alt("ISU_ABBRV", "ISU_NM").alias("name"), market.alias("market"),
+    # generated, so that the filters below read code and label instead of repeating them under the projection
+    rows = df.select("*", F.inline(F.array(F.struct(clean_text(alt("ISU_SRT_CD", "ISU_CD")).alias("code"), label.alias("label"), named.alias("named"))))).where("code <> ''")
+    market = F.when((F.col("label") == "STK") | F.col("label").contains("KOSPI") | F.col("named"), "KOSPI").when((F.col("label") == "KSQ") | F.col("label").contains("KOSDAQ"), "KOSDAQ")
+    return rows.select(
+        normalize_symbol(F.col("code")).alias("symbol"), alt("ISU_ABBRV", "ISU_NM").alias("name"), market.alias("market"),
         ps.parse_date_any(alt("BAS_DD", "basDd"), F.lit(target).cast("date")).alias("base_date"),
         num("TDD_OPNPRC").alias("open_price"), num("TDD_HGPRC").alias("high_price"), num("TDD_LWPRC").alias("low_price"), num("TDD_CLSPRC").alias("close_price"),
         num("ACC_TRDVOL", "TDD_VLM").alias("volume"), num("ACC_TRDVAL", "TDD_AMT").alias("trading_value"), num("MKTCAP").alias("market_cap"),
         num("LIST_SHRS").alias("outstanding_shares"), num("FLUC_RT").alias("change_rate"), F.lit("KRX_API").alias("source"),
-    ).where((F.col("symbol") != "") & F.col("market").isNotNull())
+    ).where(F.col("market").isNotNull())
 
 
 def price_etp(df: DataFrame, target: date) -> DataFrame:
@@ -149,7 +151,7 @@ def short_selling(rows: DataFrame) -> DataFrame:
     return dated.select(
         *[c for c in rows.columns if c not in ("row", "row_position", "header", "request_date", "symbol")], normalize_symbol(F.col("symbol")).alias("symbol"), _first_date("date_texts").alias("base_date"),
         ps.parse_int_zero(pick(SHORT_VOLUMES)).alias("short_volume"), ps.parse_int_zero(pick(SHORT_VALUES)).alias("short_value"),
-        ps.parse_nullable(pick(SHORT_RATIOS), dash=False).alias("short_ratio"),
+        ps.parse_nullable(pick(SHORT_RATIOS)).alias("short_ratio"),
     ).withColumn("accepted", (F.col("symbol") != "") & F.col("base_date").isNotNull())
 
 
@@ -172,7 +174,7 @@ def snapshot(df: DataFrame) -> DataFrame:
 
 def basic_info(df: DataFrame) -> DataFrame:
     """As :func:`snapshot`, with nulls kept; the cap also in won."""
-    i, d = (lambda n: ps.parse_int_nullable(F.col(n))), (lambda n: ps.parse_nullable(F.col(n), dash=False))
+    i, d = (lambda n: ps.parse_int_nullable(F.col(n))), (lambda n: ps.parse_nullable(F.col(n)))
     return df.select(
         normalize_symbol(F.col("symbol")).alias("symbol"), "base_date", ps.first_present(F.col("hts_kor_isnm"), F.col("bstp_kor_isnm")).alias("name"),
         F.try_multiply(i("hts_avls"), F.lit(MARKET_CAP_UNIT)).alias("market_cap"), i("lstn_stcn").alias("outstanding_shares"),
@@ -193,7 +195,7 @@ def financials(df: DataFrame) -> DataFrame:
 
 def ratios(quotes: DataFrame, stability: DataFrame) -> DataFrame:
     """per/pbr of the quote payload next to roe/debt ratio of the stability payload; null, not 0, on bad input."""
-    num = lambda n: ps.parse_nullable(F.col(n), dash=False)
+    num = lambda n: ps.parse_nullable(F.col(n))
     left = quotes.select("symbol", "base_date", num("per").alias("per"), num("pbr").alias("pbr"))
     right = stability.select("symbol", "base_date", num("self_cptl_ntin_inrt").alias("roe"), num("lblt_rate").alias("debt_ratio"))
     return right.join(left, ["symbol", "base_date"], "left").select("symbol", "base_date", "per", "pbr", "roe", "debt_ratio")

@@ -1,15 +1,19 @@
 """Literal cases of windows, calendar, rankings, macro, signals, and brute-force checks on skewed data."""
 
+import contextlib
 import datetime as dt
+import io
 import json
 import random
+import re
 
 import pytest
 
 from pyspark.sql import functions as F
 
-from marketweave.functions import times as tm
+from marketweave.functions import parsing as ps, times as tm
 from marketweave.operators import audits as au, calendar as cal, features as feat, joins as jn, macro as mc, maintenance as mt, normalize as nz, rankings as rk, signals as sg, universe as un, windows as win
+from marketweave.queries import QUERIES
 from marketweave.sources import payloads as pl
 
 D = dt.date
@@ -364,3 +368,36 @@ def test_joint_macro_features_equal_their_producers(spark):
         joint = feat.series_macro_features(series, causal)
         assert rows(joint) == rows(feat.macro_series_change(series, causal), feat.fx_rate_change(series), feat.rate_bp_change(series))
         assert joint._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def _method_bytes(df):
+    """The largest generated method of a plan; Java compiles none beyond 8,000 bytes."""
+    with contextlib.redirect_stdout(io.StringIO()) as out:
+        df.explain("codegen")
+    return max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", out.getvalue()))
+
+
+@pytest.mark.parametrize("name", ["norm_snapshot", "norm_price_exchange_stock", "norm_price_ohlcv"])
+def test_normalised_rows_stay_compilable(spark, name):
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # an adaptive plan shows no generated code before it runs
+    try:
+        assert _method_bytes(QUERIES[name](spark, "/root/testdata/sf0.001")) < 8000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def test_parsing_names_its_input_once():
+    for rule in (ps.parse_nullable, ps.parse_int_zero, ps.parse_date_any):
+        assert str(rule(F.col("landed"))).count("landed") == 1
+
+
+def test_parsing_of_odd_texts(spark):
+    texts = ["1,234.5", "12\n", " 7 ", "-", "", None, "1d", "NaN", ".5", "5.", "1e400", "12 3", "\n7"]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r[0] for r in frame.orderBy("i").select(ps.parse_nullable(F.col("t"))).collect()]
+    assert got == [1234.5, 12.0, 7.0, None, None, None, None, None, 0.5, 5.0, float("inf"), None, None]
+    days = ["2026-04-29T10", "20260429", "20a6-04-291234567", "x2026/04/29y", "2026-02-30", "2026042", "00000101", None]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(days)], "i int, t string")
+    got = [r[0] for r in frame.orderBy("i").select(ps.parse_date_any(F.col("t")).cast("string")).collect()]
+    assert got == ["2026-04-29", "2026-04-29", None, "2026-04-29", None, None, "0000-01-01", None]
