@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions import parsing as ps, times as tm
 from ..functions.symbols import clean_text, normalize_symbol
+from ..session import staged
 from ..sources.payloads import inner_or_whole, parsed, text_of, text_struct
 from . import prices as px
 
@@ -157,9 +158,10 @@ def short_selling(rows: DataFrame) -> DataFrame:
 
 def short_market_fallback(rows: DataFrame) -> DataFrame:
     """Of the market codes tried for a symbol-day keep the first, in attempt order, that gave accepted rows."""
-    # a join, not a window: a symbol-day with very many rows can be split
-    first = rows.where("accepted").groupBy("symbol", "base_date").agg(F.min("attempt").alias("attempt"))
-    return rows.where("accepted").join(first, ["symbol", "base_date", "attempt"], "left_semi")
+    # parsed once and staged, since both sides of the join read it; a join, not a window: a symbol-day with very many rows can be split
+    accepted = staged(rows, "shorts").where("accepted")
+    first = accepted.groupBy("symbol", "base_date").agg(F.min("attempt").alias("attempt"))
+    return accepted.join(first, ["symbol", "base_date", "attempt"], "left_semi")
 
 
 def snapshot(df: DataFrame) -> DataFrame:

@@ -169,9 +169,9 @@ def landed_shorts(L):
     header = F.struct(F.when(c("dc") > 2, F.date_format("base_date", "yyyyMMdd")).otherwise("").alias("stck_bsop_date"))
     payload = F.to_json(F.struct(header.alias("output1"), F.array(full).alias("output2")))
     empty = F.to_json(F.struct(header.alias("output1"), F.expr("cast(array() as array<string>)").alias("output2")))
-    both = F.explode(F.array(F.struct(F.lit(0).alias("attempt"), F.when(c("ln") <= 4, payload).otherwise(empty).alias("raw_data")), F.struct(F.lit(1).alias("attempt"), payload.alias("raw_data"))))
     request = F.when(c("dc") > 1, F.date_format("base_date", "yyyyMMdd"))
-    return L.day_bars.select("symbol", request.alias("request_date"), both.alias("b")).select("symbol", "request_date", "b.*")
+    both = F.explode(F.array(F.struct(F.lit(0).alias("attempt"), F.when(c("ln") <= 4, c("payload")).otherwise(empty).alias("raw_data")), F.struct(F.lit(1).alias("attempt"), c("payload").alias("raw_data"))))
+    return L.day_bars.select("symbol", "base_date", "dc", "ln", request.alias("request_date"), payload.alias("payload")).select("symbol", "request_date", both.alias("b")).select("symbol", "request_date", "b.*")
 
 
 def shorts(L):

@@ -401,3 +401,10 @@ def test_parsing_of_odd_texts(spark):
     frame = spark.createDataFrame([(i, t) for i, t in enumerate(days)], "i int, t string")
     got = [r[0] for r in frame.orderBy("i").select(ps.parse_date_any(F.col("t")).cast("string")).collect()]
     assert got == ["2026-04-29", "2026-04-29", None, "2026-04-29", None, None, "0000-01-01", None]
+
+
+def test_short_payloads_are_parsed_before_the_fallback(spark):
+    rows = QUERIES["norm_short_market_fallback"](spark, "/root/testdata/sf0.001")
+    with contextlib.redirect_stdout(io.StringIO()) as out:
+        rows.explain()
+    assert "from_json" not in out.getvalue()
