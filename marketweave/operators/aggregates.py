@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import dealt
 from . import joins, prices as px
 
 
@@ -149,5 +150,6 @@ def buy_ratio(signals: DataFrame) -> DataFrame:
 
 
 def pivot_features(features: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
-    """One row per key with a column per feature; the list of names spares Spark a scan."""
-    return features.groupBy(*keys).pivot("feature_name", names).agg(F.max("feature_value"))
+    """One row per key with a column per feature; all columns come from one shuffle."""
+    of = lambda name: F.max(F.when(F.col("feature_name") == name, F.col("feature_value"))).alias(name)
+    return dealt(features, keys).groupBy(*keys).agg(*map(of, names))

@@ -58,3 +58,12 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
         base = tempfile.mkdtemp(prefix="marketweave-")
         spark.conf.set("spark.checkpoint.dir", base)
     return os.path.join(base, *parts) if "://" not in base else "/".join([base.rstrip("/"), *parts])
+
+
+def dealt(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows in as many parts as the session shuffles to, dealt by ``keys``, of which each has few rows.
+
+    Aggregates by ``keys`` need no further shuffle then and combine no rows before it, where each task would hold nearly every row of its split.
+    AQE joins the small parts of other shuffles until a task has 64 MB of compressed rows, of each side of a union; these parts are not joined.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketweave.functions import parsing as ps, times as tm
-from marketweave.operators import audits as au, calendar as cal, features as feat, joins as jn, macro as mc, maintenance as mt, normalize as nz, rankings as rk, signals as sg, universe as un, windows as win
+from marketweave.operators import aggregates as ag, audits as au, calendar as cal, features as feat, joins as jn, macro as mc, maintenance as mt, normalize as nz, rankings as rk, signals as sg, universe as un, windows as win
 from marketweave.queries import QUERIES
 from marketweave.sources import payloads as pl
 
@@ -408,3 +408,11 @@ def test_short_payloads_are_parsed_before_the_fallback(spark):
     with contextlib.redirect_stdout(io.StringIO()) as out:
         rows.explain()
     assert "from_json" not in out.getvalue()
+
+
+def test_pivoted_features_take_one_shuffle(spark, collect):
+    rows = [("a", 1, "x", 1.0), ("a", 1, "x", 3.0), ("a", 1, "y", None), ("a", 2, "z", 5.0), (None, 1, "y", 2.0), ("b", 1, None, 7.0)]
+    wide = ag.pivot_features(spark.createDataFrame(rows, "symbol string, day int, feature_name string, feature_value double"), ["symbol", "day"], ["x", "y"])
+    plan = wide._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == plan.count("REPARTITION_BY_NUM") == 1  # nothing combined before the shuffle, parts not joined after it
+    assert collect(wide, "symbol", "day", "x", "y") == sorted([("a", 1, 3.0, None), ("a", 2, None, None), (None, 1, None, 2.0), ("b", 1, None, None)], key=repr)
