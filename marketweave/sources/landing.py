@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.times import available_at, is_weekday
 from ..operators import calendar as cal
+from ..session import dealt
 
 # How the supplied codes stand for domain codes.
 SOURCE_BY_LINE = {1: "KIS_DETAIL", 2: "KIS", 3: "KRX", 4: "VALID_PRICE_FALLBACK", 5: "UNKNOWN", 6: "UNKNOWN"}
@@ -172,7 +173,8 @@ class Landing:
     def shorts(self) -> DataFrame:
         c = F.col
         sold = c("l_linestatus") == "F"
-        return self._lines.groupBy(c("code").alias("symbol"), "base_date").agg(
+        lines = self._lines.select(c("code").alias("symbol"), "base_date", "l_linestatus", "qty", "cents", "tax_pct", "disc_pct")
+        return dealt(lines, ["symbol", "base_date"]).groupBy("symbol", "base_date").agg(
             F.sum(F.when(sold, c("qty")).otherwise(0)).alias("short_volume"),
             (F.sum(F.when(sold, c("cents")).otherwise(0)).cast("double") / F.lit(100.0)).alias("short_value"),
             F.when(F.max("tax_pct") >= 7, None).when(F.min("disc_pct") == 0, 0.0).otherwise(1.5).alias("short_ratio"),

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketweave.plans import jobs
+from marketweave.queries import QUERIES
 from marketweave.schemas import SCHEMAS
 from marketweave.sources import tables as tb
 
@@ -201,3 +202,8 @@ def test_upsert_reads_the_touched_days_only(spark, tmp_path, monkeypatch):
 
 def test_a_table_without_a_path_is_empty(spark, tmp_path):
     assert tb.read(spark, str(tmp_path / "none"), SCHEMAS["stocks_master"]).count() == 0
+
+
+def test_insert_ignore_joins_no_parts(spark):
+    plan = QUERIES["insert_ignore"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == plan.count("REPARTITION_BY_NUM") == 2  # one shuffle of each side, whose parts AQE leaves apart
