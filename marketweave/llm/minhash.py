@@ -205,6 +205,8 @@ def near_copies(docs: DataFrame, n: int = 5, percent: int = 85) -> DataFrame:
     unique = sketched.join(firsts, "set_key").where("doc_id = first").select("doc_id", "n_shingles", F.explode("bands").alias("bucket"))
     busy = staged(unique.groupBy("bucket").agg(F.count("*").alias("held"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("bucket", "held"), "busy")
     members = staged(unique.join(busy, "bucket").distinct(), "members")
+    # all that is compared below is among these, so whole texts move here once
+    texts = staged(texts.join(members.select("doc_id").distinct(), "doc_id", "left_semi"), "texts")
 
     reach = members.groupBy("doc_id").agg(F.sum("held").alias("reach"))
     centres = staged(members.join(reach, "doc_id").groupBy("bucket").agg(F.max_by(F.struct("doc_id", "n_shingles"), F.struct("reach", -F.col("doc_id"))).alias("c")), "centres")
@@ -226,6 +228,7 @@ def near_copies(docs: DataFrame, n: int = 5, percent: int = 85) -> DataFrame:
     placed = placed.join(mixed, "bucket", "left_semi").select("doc_id", "component").distinct()
     rest = _rare_pairs(placed, texts, n, percent).join(pairs, ["a", "b"], "left_anti")
     more = staged(_links(staged(rest, "rest"), texts, n, percent), "links")
+    discard(texts)
     joined = components(links.unionAll(more))
 
     out = ranked.join(joined, F.col("first") == F.col("node"), "left")

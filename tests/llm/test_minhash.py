@@ -149,3 +149,22 @@ def test_pairs_of_a_busy_document_are_dealt(spark, monkeypatch, dealt):
     many = run(spark, rows)
     monkeypatch.setattr(mh, "DEALT", dealt)
     assert run(spark, rows) == many
+
+
+def test_input_texts_are_read_twice(spark, tmp_path, monkeypatch):
+    """Once for the sketches and once to move those that share a bucket; all comparisons read the moved ones."""
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(words[i % 3 :])) for i in range(6)] + [(9, "none of this is elsewhere at all"), (10, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "docs"))
+    readers = []
+    original = mh.staged
+
+    def recorded(df, name):
+        if any(str(tmp_path) in f for f in df.inputFiles()):
+            readers.append(name)
+        return original(df, name)
+
+    monkeypatch.setattr(mh, "staged", recorded)
+    got = {r.doc_id: r.component_id for r in mh.near_copies(spark.read.parquet(str(tmp_path / "docs"))).collect()}
+    assert got == {**{i: 0 for i in range(6)}, 9: 9, 10: 10}
+    assert readers == ["sketches", "texts"]
