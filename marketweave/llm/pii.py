@@ -5,17 +5,17 @@ generous generators, candidates that may overlap one another and the base.
 Every candidate carries numbers that describe its format (length, groups of
 digits, separators, brackets) and its context (words before it, characters
 around it), but not the checks that make a base span (check digit, leading
-plus, ranges). Gradient-boosted trees (MLlib) learn on a bounded sample of
-candidates to tell those that equal a base span from the rest; on other
-sampled candidates a threshold for each kind is calibrated, the least at which
-the share of right ones reaches ``precision``. Candidates at or above it
+plus, ranges). Gradient-boosted trees (MLlib) learn on two thirds of all
+candidates, split by a hash of document and place, to tell those that equal a
+base span from the rest; on all others a threshold for each kind is
+calibrated, the least level of scores at which the share of right ones reaches
+``precision``. Candidates at or above it
 become spans of their own, next to the base spans, which all stay. A kind for
 which no threshold reaches that precision adds nothing.
 
-The sample: of each kind, its part of ``SAMPLE`` candidates, those with the
-smallest hashes of document and place, so that a rare kind is learnt and
-calibrated however common the others are. All candidates of all documents are
-scored.
+Alike candidates are fitted and counted as one row with a weight, and the
+counts of right and wrong ones by kind and level are all that reaches the
+driver. All candidates of all documents are scored.
 
 Null texts count as empty. Repeated rows are handled each for itself. Rows
 without a doc_id are returned with what was found. An empty table gives no
@@ -27,7 +27,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -39,8 +38,8 @@ from marketweave.llm.spans import Span, joined, rendered, sha256
 
 KINDS = ("email", "ip", "card", "phone")
 ORDER = {k: i for i, k in enumerate(KINDS)}
-#: Candidates that the trees are fitted and calibrated on, at most, the same number of each kind; every third one calibrates.
-SAMPLE = 30_000
+#: Levels of a score between which thresholds lie.
+LEVELS = 10_000
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 #: The base patterns.
@@ -169,7 +168,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def place() -> Column:
-    """Where a candidate stands in the order of the sample: a hash of its document and place."""
+    """A hash of a candidate's document and place, which deals it to learning or calibrating."""
     return F.xxhash64("doc_id", "start", "end", "kind")
 
 
@@ -186,23 +185,28 @@ def smallest_of_each_kind(rows: DataFrame, most: int) -> DataFrame:
     return out
 
 
-def fit(proposed: DataFrame, sample: int = SAMPLE, precision: float = 0.98) -> tuple[GBTClassificationModel | None, dict[str, float]]:
-    """Boosted trees and the calibrated threshold of each kind, from a bounded sample of ``proposed`` (doc_id, kind, start, end, is_base, features)."""
-    rows = proposed.select("kind", F.col("is_base").cast("double").alias("label"), vector_of("kind", "features"), place().alias("place"))
-    rows = staged(smallest_of_each_kind(rows, sample // len(KINDS)), "sample")
-    learning, calibrating = rows.where(F.pmod("place", F.lit(3)) != 0), rows.where(F.pmod("place", F.lit(3)) == 0)
+def fit(proposed: DataFrame, precision: float = 0.98) -> tuple[GBTClassificationModel | None, dict[str, int]]:
+    """Boosted trees and the calibrated threshold of each kind, from every row of ``proposed`` (doc_id, kind, start, end, is_base, features).
+
+    Alike candidates are one row with their number as weight.
+    """
+    rows = proposed.select("kind", F.col("is_base").cast("double").alias("label"), "features", (F.pmod(place(), F.lit(3)) == 0).alias("calibrates"))
+    rows = rows.groupBy("kind", "label", "features", "calibrates").agg(F.count("*").cast("double").alias("weight"))
+    rows = staged(rows, "weighted")
+    learning, calibrating = (rows.where(c).withColumn("vector", vector_of("kind", "features")) for c in ("not calibrates", "calibrates"))
     if {r[0] for r in learning.select("label").distinct().collect()} != {0.0, 1.0}:
         return None, {}
-    model = GBTClassifier(maxIter=20, maxDepth=4, stepSize=0.2, seed=7, featuresCol="vector").fit(learning)
-    scored = scores(model, calibrating).select("kind", "label", "score").toPandas()
+    model = GBTClassifier(maxIter=20, maxDepth=4, stepSize=0.2, seed=7, featuresCol="vector", weightCol="weight").fit(learning)
+    level = F.floor(F.col("score") * LEVELS).cast("int").alias("level")
+    # at most LEVELS + 1 rows for each kind
+    counted = scores(model, calibrating).groupBy("kind", level).agg(F.sum("weight").alias("all"), F.sum(F.col("weight") * F.col("label")).alias("right")).toPandas()
     thresholds = {}
-    for kind, own in scored.groupby("kind"):
-        own = own.sort_values("score", ascending=False)
-        right = own.label.cumsum().to_numpy() / np.arange(1, len(own) + 1)
-        last = np.r_[own.score.to_numpy()[1:] != own.score.to_numpy()[:-1], True]  # only between different scores
-        good = np.flatnonzero((right >= precision) & last & (np.arange(1, len(own) + 1) >= 20))
+    for kind, own in counted.groupby("kind"):
+        own = own.sort_values("level", ascending=False)
+        above = own["all"].cumsum()
+        good = own.level[(own["right"].cumsum() >= precision * above) & (above >= 20)]
         if len(good):
-            thresholds[kind] = float(own.score.iloc[good[-1]])
+            thresholds[kind] = int(good.iloc[-1])
     return model, thresholds
 
 
@@ -215,15 +219,15 @@ def scores(model: GBTClassificationModel, rows: DataFrame) -> DataFrame:
     return model.transform(rows).withColumn("score", vector_to_array("probability")[1])
 
 
-def find_personal_data(docs: DataFrame, sample: int = SAMPLE, precision: float = 0.98) -> DataFrame:
+def find_personal_data(docs: DataFrame, precision: float = 0.98) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added for each row of ``docs`` (doc_id, text)."""
     found = staged(scan(docs).withColumn("key", F.monotonically_increasing_id()), "personal")
     proposed = found.select("doc_id", "key", F.explode("proposed").alias("p")).select("doc_id", "key", "p.*")
-    model, thresholds = fit(proposed, sample, precision)
+    model, thresholds = fit(proposed, precision)
     count = lambda kind: F.size(F.filter("base", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
     if thresholds:
         least = F.create_map(*[F.lit(x) for kv in thresholds.items() for x in kv])
-        chosen = scores(model, proposed.where(~F.col("is_base")).withColumn("vector", vector_of("kind", "features"))).where(F.col("score") >= least[F.col("kind")])
+        chosen = scores(model, proposed.where(~F.col("is_base")).withColumn("vector", vector_of("kind", "features"))).where(F.floor(F.col("score") * LEVELS) >= least[F.col("kind")])
         added = chosen.groupBy("key").agg(F.collect_list(F.struct("kind", "start", "end")).alias("added"))
         found = found.join(added, "key", "left")
     else:

@@ -160,3 +160,14 @@ def test_long_texts_cost_their_length(spark):
 def test_empty_tables(spark):
     nothing = spark.createDataFrame([], "doc_id long, text string")
     assert secrets.find_secrets(nothing).count() == pii.find_personal_data(nothing).count() == secrets.redact(nothing).count() == 0
+
+
+def test_all_candidates_teach_and_calibrate(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    kept, original = [], pii.staged
+    monkeypatch.setattr(pii, "staged", lambda df, name: kept.append(original(df, name)) or kept[-1])
+    rows = spark.range(20_000).selectExpr("id AS doc_id", "'phone' AS kind", "0L AS start", "9L AS end", "id % 4 = 0 AS is_base", "array(float(id % 4), float(id % 50)) AS features")
+    model, thresholds = pii.fit(rows)
+    assert model is not None and set(thresholds) == {"phone"}
+    assert kept[0].agg(F.sum("weight")).first()[0] == 20_000 and kept[0].count() <= 400
