@@ -46,6 +46,8 @@ from marketweave.llm.common import discard, mix, pieces, seeds, shingles, staged
 BANDS, ROWS = 32, 5
 #: Pairs of one document that a task confirms; of a document with more, the pairs are dealt to several and its text goes to each.
 DEALT = 512
+#: Words of 64 bits that a filter of keys has at most. With more keys it lets more rows pass; none is lost.
+FILTER_WORDS = 1 << 18
 _BINS = BANDS * ROWS
 _EMPTY = np.uint64(2**64 - 1)
 
@@ -122,6 +124,21 @@ def _exploded(n: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             )
 
 
+def _maybe_among(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """The rows whose ``column`` is among those of ``keys``, and a few others. Rows are not moved for it, however many keys there are: only one bit for a key is broadcast."""
+
+    def place(name: str):
+        hashed = F.xxhash64(name)
+        return F.pmod(hashed, F.lit(FILTER_WORDS)), F.pmod(F.shiftright(hashed, 32), F.lit(64)).cast("int")
+
+    word, bit = place(column)
+    own_word, own_bit = place(keys.columns[0])
+    bits = keys.select(own_word.alias("filter_word"), F.call_function("shiftleft", F.lit(1).cast("long"), own_bit).alias("filter_bit"))
+    bits = bits.groupBy("filter_word").agg(F.bit_or("filter_bit").alias("filter_bits"))
+    # at most FILTER_WORDS rows
+    return rows.join(F.broadcast(bits), (word == F.col("filter_word")) & (F.getbit("filter_bits", bit) == 1), "left_semi")
+
+
 def _rare_pairs(placed: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
     """Pairs (a, b) of different components of ``placed`` (doc_id, component) whose rarest shingles meet as similar sets' must."""
     held = texts.join(placed, "doc_id").select("doc_id", "component", "text").mapInArrow(partial(_exploded, n), "doc_id long, component long, text_key long, n long, shingle long")
@@ -161,8 +178,7 @@ def _with_text(pairs: DataFrame, texts: DataFrame, side: str, other: str) -> Dat
 
 def _links(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = texts.join(needed, "doc_id", "left_semi")
+    texts = _maybe_among(texts, "doc_id", pairs.select(F.explode(F.array("a", "b")).alias("doc_id")))
     both = _with_text(_with_text(pairs, texts, "a", "b"), texts, "b", "a").select("a", "b", "text_a", "text_b")
     return both.mapInArrow(partial(_confirmed, n, percent), "a long, b long")
 
@@ -200,13 +216,17 @@ def near_copies(docs: DataFrame, n: int = 5, percent: int = 85) -> DataFrame:
     sketched = staged(texts.mapInArrow(partial(_sketched, n), "doc_id long, n_shingles long, set_key binary, bands array<long>"), "sketches")
     # what is joined back to its groups is staged, so that the join's own stage can split a group of a third of all rows
     firsts = staged(sketched.where("set_key is not null and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("first")), "firsts")
-    ranked = staged(sketched.select("doc_id", "n_shingles", "set_key").join(firsts, "set_key", "left").select("doc_id", "n_shingles", "first"), "classes")
+    # of a class, only the first's bands go on
+    classes = sketched.join(firsts, "set_key", "left").select("doc_id", "n_shingles", "first", F.when(F.col("doc_id") == F.col("first"), F.col("bands")).alias("bands"))
+    classes = staged(classes, "classes")
+    discard(sketched, firsts)
+    ranked = classes.select("doc_id", "n_shingles", "first")
 
-    unique = sketched.join(firsts, "set_key").where("doc_id = first").select("doc_id", "n_shingles", F.explode("bands").alias("bucket"))
+    unique = classes.where("bands is not null").select("doc_id", "n_shingles", F.explode("bands").alias("bucket"))
     busy = staged(unique.groupBy("bucket").agg(F.count("*").alias("held"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("bucket", "held"), "busy")
-    members = staged(unique.join(busy, "bucket").distinct(), "members")
-    # all that is compared below is among these, so whole texts move here once
-    texts = staged(texts.join(members.select("doc_id").distinct(), "doc_id", "left_semi"), "texts")
+    members = staged(_maybe_among(unique, "bucket", busy.select("bucket")).join(busy, "bucket").distinct(), "members")
+    # all that is compared below is among these, so the other texts are never moved
+    texts = staged(_maybe_among(texts, "doc_id", members.select("doc_id")), "texts")
 
     reach = members.groupBy("doc_id").agg(F.sum("held").alias("reach"))
     centres = staged(members.join(reach, "doc_id").groupBy("bucket").agg(F.max_by(F.struct("doc_id", "n_shingles"), F.struct("reach", -F.col("doc_id"))).alias("c")), "centres")

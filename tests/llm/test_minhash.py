@@ -168,3 +168,43 @@ def test_input_texts_are_read_twice(spark, tmp_path, monkeypatch):
     got = {r.doc_id: r.component_id for r in mh.near_copies(spark.read.parquet(str(tmp_path / "docs"))).collect()}
     assert got == {**{i: 0 for i in range(6)}, 9: 9, 10: 10}
     assert readers == ["sketches", "texts"]
+
+
+def test_texts_and_buckets_that_meet_no_other_are_not_moved(spark, monkeypatch):
+    """Also where ids and buckets are too many for Spark to broadcast on its own; before, all texts and all buckets were shuffled to pick them."""
+    rng = random.Random(31)
+    base = [f"w{i}" for i in range(80)]
+    rows = [(i, " ".join(edited(rng, base, i % 3))) for i in range(12)] + [(100 + i, " ".join(f"u{rng.randrange(10**6)}" for _ in range(30))) for i in range(60)]
+    moved, plans = [], {}
+    original, filtered = mh.staged, mh._maybe_among
+
+    def recorded(df, name):
+        plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString())
+        return original(df, name)
+
+    def counted(rows, column, keys):
+        out = filtered(rows, column, keys)
+        moved.append((column, rows.count(), out.count(), out.join(keys.toDF(column).distinct(), column).count()))
+        return out
+
+    monkeypatch.setattr(mh, "staged", recorded)
+    monkeypatch.setattr(mh, "_maybe_among", counted)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert run(spark, rows) == brute(rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in plans["texts"] and "BroadcastHashJoin" in plans["texts"]
+    buckets, texts = moved[:2]
+    assert buckets[0] == "bucket" and buckets[1] > 60 * mh.BANDS and buckets[2] < 15 * mh.BANDS
+    assert texts[0] == "doc_id" and texts[1] == 72 and texts[2] < 15
+    assert all(let >= among > 0 for _, _, let, among in moved[:2])
+
+
+def test_a_full_filter_loses_no_link(spark, monkeypatch):
+    monkeypatch.setattr(mh, "FILTER_WORDS", 1)
+    rng = random.Random(33)
+    base = [f"w{i}" for i in range(90)]
+    rows = [(i, " ".join(edited(rng, base, rng.randrange(0, 9)))) for i in range(30)] + [(100 + i, " ".join(f"u{rng.randrange(900)}" for _ in range(30))) for i in range(30)] + [(None, "w1 w2"), (200, None)]
+    assert run(spark, rows) == brute(rows)
